@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gridseries.functions import values
 from gridseries.operators.numbering import with_position
 from gridseries.schema import NEIGHBOURS, RADIUS_DEGREES
+from gridseries.session import spread
 
 # A cell splits into 4 x 4 cells of the next level.
 SHIFT = 2
@@ -103,6 +104,9 @@ def knn(requests: DataFrame, catalogue: DataFrame, k: int = NEIGHBOURS,
     kept = [c for c in requests.columns if c != "k"]
     wanted = F.least(F.col("k"), F.lit(k)) if "k" in requests.columns else F.lit(k)
     asked = requests.filter(values.is_finite(F.col("lat")) & values.is_finite(F.col("lon")))
+    # Each request fans out into many candidates: spread the requests first, by the key they
+    # are ranked by, and the candidates need no shuffle where the catalogue is broadcast.
+    asked = spread(asked, "req_id")
     offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
     home_y = F.shiftright(F.floor(F.col("lat") / fine), SHIFT * levels)
     home_x = F.shiftright(F.floor(F.col("lon") / fine), SHIFT * levels)

@@ -15,11 +15,14 @@ from gridseries.operators.quality import drop_sentinel
 from gridseries.operators.space import idw_weights, knn
 from gridseries.operators.validate import unanswered, validate_requests
 from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES
+from gridseries.session import ensure_checkpoint_dir, spread
 
 TIERS = (HISTORIC, CURRENT)
 # Requests of one stencil beyond this number are split into groups of their own.
 GROUP_LIMIT = 20_000
-GROUP = ["source", "stencil", "salt"]
+# `place` is struct(source, stencil). As one column it stays the partitioning key of every step
+# even where the source is a constant, which the optimizer would drop from a list of keys.
+GROUP = ["place", "salt"]
 
 
 def request_profile(requests: DataFrame) -> dict:
@@ -37,7 +40,9 @@ def with_stencils(requests: DataFrame, catalogue: DataFrame, radius: float = RAD
     keys = ["req_id", "source", "vars", "start_time", "end_time"]
     near = weighted.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("loc_id", "weight"))).alias("near"))
-    return near.select(*keys, F.col("near.loc_id").alias("stencil"), F.col("near.weight").alias("weights"))
+    place = F.struct("source", F.col("near.loc_id").alias("stencil"))
+    return near.select("req_id", "vars", "start_time", "end_time", place.alias("place"),
+                       F.col("near.weight").alias("weights"))
 
 
 def with_salt(requests: DataFrame) -> DataFrame:
@@ -45,10 +50,10 @@ def with_salt(requests: DataFrame) -> DataFrame:
 
     The list of crowded stencils is shorter than requests / GROUP_LIMIT, so it is broadcast.
     """
-    crowded = (requests.groupBy("source", "stencil").agg(F.count("*").alias("n"))
+    crowded = (requests.groupBy("place").agg(F.count("*").alias("n"))
                .filter(F.col("n") > GROUP_LIMIT)
                .withColumn("salts", F.ceil(F.col("n") / GROUP_LIMIT)))
-    salted = requests.join(F.broadcast(crowded.drop("n")), ["source", "stencil"], "left")
+    salted = requests.join(F.broadcast(crowded.drop("n")), "place", "left")
     salt = F.pmod(F.xxhash64("req_id"), F.coalesce("salts", F.lit(1)))
     return salted.withColumn("salt", salt).drop("salts")
 
@@ -62,14 +67,15 @@ def by_day(requests: DataFrame) -> DataFrame:
 def stencil_values(obs: DataFrame, groups: DataFrame, variables: list[str]) -> DataFrame:
     """One row per (group, time) with the values of every variable, tier and stencil position.
 
-    `groups` has distinct (source, stencil, salt, day). Column `<tier>_<v>_<p>` holds the value
+    `groups` has distinct (place, salt, day). Column `<tier>_<v>_<p>` holds the value
     at position p, `<tier>_<v>` a bit per position that has a row.
     """
-    members = groups.select(*GROUP, "day", F.posexplode("stencil").alias("pos", "loc_id"))
+    members = groups.select(
+        *GROUP, "day", "place.source", F.posexplode("place.stencil").alias("pos", "loc_id"))
     rows = obs.withColumn("day", F.to_date("time"))
     hits = rows.join(members, ["source", "loc_id", "day"])
     # all rows of a group and day come together here; what follows stays in place
-    together = hits.repartition(*GROUP, "day")
+    together = spread(hits, *GROUP, "day")
     aggregates = []
     for i, var in enumerate(variables):
         for tier in TIERS:
@@ -84,7 +90,7 @@ def stencil_values(obs: DataFrame, groups: DataFrame, variables: list[str]) -> D
 
 def _weighted(tier: str, i: int) -> Column:
     terms = [
-        F.when(F.size("stencil") > p, F.get("weights", F.lit(p)) * F.col(f"{tier}_{i}_{p}")).otherwise(0.0)
+        F.when(F.size("place.stencil") > p, F.get("weights", F.lit(p)) * F.col(f"{tier}_{i}_{p}")).otherwise(0.0)
         for p in range(NEIGHBOURS)
     ]
     return reduce(lambda a, b: a + b, terms)
@@ -94,6 +100,8 @@ def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
                    variables: list[str] | None = None, radius: float = RADIUS_DEGREES) -> DataFrame:
     """Wide results (req_id, time, one column per variable) for accepted requests.
 
+    Two small jobs run at once: the requests' profile and their neighbours. The result is lazy.
+
     `requests` has (req_id, source, lat, lon, vars, start_time, end_time, mode) with unique ids.
     Variables a request did not ask for are null in its rows.
     """
@@ -104,13 +112,15 @@ def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
         span = F.col("time").between(F.lit(profile["start"]).cast("timestamp_ntz"),
                                      F.lit(profile["end"]).cast("timestamp_ntz"))
         rows = rows.filter(span)
-    asked = with_salt(with_stencils(requests, catalogue, radius))
-    daily = by_day(asked)
+    # read three times below; without the cut, the neighbour search would run for each of them
+    ensure_checkpoint_dir(requests.sparkSession)
+    asked = with_salt(with_stencils(requests, catalogue, radius).checkpoint())
+    daily = spread(by_day(asked), *GROUP, "day")
     shared = stencil_values(drop_sentinel(rows), daily.select(*GROUP, "day").distinct(), variables)
     joined = shared.join(daily, [*GROUP, "day"]).filter(
         F.col("time").between(F.col("start_time"), F.col("end_time")))
 
-    everyone = F.expr("shiftleft(1, size(stencil)) - 1")
+    everyone = F.expr("shiftleft(1, size(place.stencil)) - 1")
     columns, usable = [], []
     for i, var in enumerate(variables):
         wanted = F.array_contains("vars", var)

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,3 +35,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="gridseries-checkpoint-")
     sc.setCheckpointDir(folder)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition rows that are about to fan out.
+
+    The explicit number keeps adaptive execution from merging partitions by the size they have
+    before the fan-out.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

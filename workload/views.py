@@ -16,14 +16,16 @@ class Dialect:
     plus_hours: str
     props_k: str
     tables: str
+    n_locations: str
 
     def table(self, name: str) -> str:
         return self.tables.format(name=name)
 
 
-SPARK = Dialect("({t} + make_dt_interval(0, cast({h} as int)))", "cast(get_json_object(props, '$.k') as int)",
-                "parquet.`{{folder}}/{name}.parquet`")
-DUCKDB = Dialect("({t} + to_hours(cast({h} as int)))", "cast(json_extract_string(props, '$.k') as int)", "{name}")
+SPARK = Dialect("({t} + make_dt_interval(0, cast({h} as int)))", "cast(trim(both '{\"k: }' from props) as int)",
+                "parquet.`{{folder}}/{name}.parquet`", "{n_locations}L")
+DUCKDB = Dialect("({t} + to_hours(cast({h} as int)))", "cast(json_extract_string(props, '$.k') as int)", "{name}",
+                 "(select count(*) from supplier)")
 
 
 def ratio(a: str, b: int) -> str:
@@ -31,7 +33,7 @@ def ratio(a: str, b: int) -> str:
 
 
 def view_texts(d: Dialect) -> dict[str, str]:
-    t = d.table
+    t, n = d.table, d.n_locations
 
     def base_plus(hours: str) -> str:
         stamp = "timestamp_ntz'2024-01-01 00:00:00'" if d is SPARK else "timestamp '2024-01-01 00:00:00'"
@@ -48,8 +50,7 @@ def view_texts(d: Dialect) -> dict[str, str]:
             from {t('supplier')}""",
         # one observation per event: suppliers take turns, one round per hour
         "numbered": f"""
-            select event_id, event_id % (select count(*) from {t('supplier')}) as loc,
-                   floor(event_id / (select count(*) from {t('supplier')})) as hr,
+            select event_id, event_id % {n} as loc, floor(event_id / {n}) as hr,
                    {d.props_k} as k, value
             from {t('events')}""",
         "obs": f"""
@@ -122,7 +123,7 @@ def view_texts(d: Dialect) -> dict[str, str]:
         # half of the locations have ids 0..n-1 already, most of all locations are seen
         "stations_old": f"""
             select cast(s_suppkey as int) as loc_id, {station_lat} as latitude, {station_lon} as longitude
-            from {t('supplier')} where s_suppkey < (select count(*) from {t('supplier')}) / 2""",
+            from {t('supplier')} where s_suppkey < {n} / 2""",
         "stations_seen": f"""
             select distinct {station_lat} as latitude, {station_lon} as longitude
             from {t('lineitem')} join {t('supplier')} on l_suppkey = s_suppkey
@@ -148,9 +149,31 @@ def view_texts(d: Dialect) -> dict[str, str]:
     }
 
 
-def with_views(query: str, d: Dialect) -> str:
+def spark_texts() -> dict[str, str]:
+    """Unions of the same rows under several names are one pass here."""
+    texts = view_texts(SPARK)
+    rows = [
+        ("historic", "temperature_2m", "value", "hr < 70"),
+        ("current", "temperature_2m", "if(value = -999D, value, value + 0.25D)", "hr >= 55"),
+        ("historic", "relative_humidity_2m", "cast(k as double)", "k >= 5 and hr < 70"),
+        ("current", "relative_humidity_2m", "cast(k as double)", "k >= 5 and hr >= 55"),
+    ]
+    structs = ", ".join(
+        f"named_struct('tier', '{tier}', 'var', '{var}', 'value', {value}, 'keep', {keep})"
+        for tier, var, value, keep in rows)
+    texts["series"] = f"""
+        select 'nasapower' as source, row.tier, row.var, loc_id, time, row.value from (
+          select loc_id, time, explode(array({structs})) as row from obs)
+        where row.keep"""
+    texts["daily"] = """
+        select 'era5' as source, var, loc_id, time, value from (
+          select loc_id, time, stack(4, 'runoff', runoff, 'surface_pressure', surface_pressure,
+                 'total_cloud_cover', total_cloud_cover, 'snowfall', snowfall) as (var, value) from daily_wide)"""
+    return texts
+
+
+def with_views(query: str, texts: dict[str, str]) -> str:
     """Prefix the query with the views it needs, in order of dependence."""
-    texts = view_texts(d)
     needed: list[str] = []
 
     def need(sql: str) -> None:
@@ -170,8 +193,11 @@ def with_views(query: str, d: Dialect) -> str:
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.sql(with_views(f"select * from {name}", SPARK).replace("{folder}", folder))
+    text = with_views(f"select * from {name}", spark_texts()).replace("{folder}", folder)
+    if "{n_locations}" in text:
+        text = text.replace("{n_locations}", str(spark.read.parquet(f"{folder}/supplier.parquet").count()))
+    return spark.sql(text)
 
 
 def oracle(query: str) -> str:
-    return with_views(query, DUCKDB)
+    return with_views(query, view_texts(DUCKDB))
