@@ -41,10 +41,14 @@ def month_floor(time: Column, months_back: Column | int = 0) -> Column:
 
 
 def month_index(time: Column) -> Column:
-    """Months since year 0; the chunk that long series are split by."""
+    """Calendar month as a running number; long series are split by it."""
     return F.year(time) * 12 + F.month(time)
 
 
+def quarter_index(time: Column) -> Column:
+    return F.year(time) * 4 + F.quarter(time)
+
+
 def date_key(date: Column) -> Column:
     """2024-01-31 -> 20240131."""
     return F.date_format(date, "yyyyMMdd").cast("int")

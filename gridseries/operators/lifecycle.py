@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.functions import names, times
-from gridseries.operators.quality import with_series_stats
+from gridseries.operators.quality import series_stats, with_series_stats
 from gridseries.operators.series import union_priority
 from gridseries.schema import DEFAULT_START, KEEP_MONTHS, SERIES
 
@@ -32,7 +32,7 @@ def mark_settled(current: DataFrame, force: bool = False) -> DataFrame:
     """Add `settled`: is the row older than the cutoff of its series?"""
     if force:
         return current.withColumn("settled", F.lit(True))
-    out = with_series_stats(current, {"_latest": (F.max("time"), F.max)})
+    out = with_series_stats(current, series_stats(current, {"_latest": (F.max("time"), F.max)}))
     settled = F.col("time") < cutoff(F.col("_latest"), F.col("source"))
     return out.withColumn("settled", settled).drop("_latest")
 

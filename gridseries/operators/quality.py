@@ -17,55 +17,59 @@ def drop_null_rows(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
-def with_series_stats(obs: DataFrame, stats: dict[str, tuple], how: str = "left") -> DataFrame:
-    """Attach statistics of the whole series to each of its rows.
+def series_stats(obs: DataFrame, stats: dict[str, tuple]) -> DataFrame:
+    """Statistics of whole series, repeated for each of their months.
 
-    `stats` maps a name to (aggregate over rows, function that combines the partial results).
-    A window or a join on the series key would bring one long series into one task. So partial
-    results are taken per series and month, combined over the few months of a series, and
-    joined back by series and month.
+    `stats` maps a name to (aggregate over rows, function that combines partial results). Rows
+    are pre-aggregated per series and month, so a long series never meets in one task.
     """
-    chunked = obs.withColumn("_month", times.month_index(F.col("time")))
-    partial = chunked.groupBy(*SERIES, "_month").agg(*[a.alias(n) for n, (a, _) in stats.items()])
+    partial = (obs.withColumn("_month", times.month_index(F.col("time")))
+               .groupBy(*SERIES, "_month").agg(*[a.alias(n) for n, (a, _) in stats.items()]))
     whole = Window.partitionBy(*SERIES)
-    combined = partial.select(
+    return partial.select(
         *SERIES, "_month", *[combine(n).over(whole).alias(n) for n, (_, combine) in stats.items()])
-    return chunked.join(combined, [*SERIES, "_month"], how).drop("_month")
 
 
-def _last_seen() -> tuple:
-    """Latest time that is not a sentinel; a null counts as seen."""
-    time, value = F.col("time"), F.col("value")
-    return F.max(F.when(~values.is_sentinel(value), time)), F.max
+def with_series_stats(rows: DataFrame, stats: DataFrame, how: str = "left") -> DataFrame:
+    """Attach them by series and month; a join on the series alone would be skewed by long ones."""
+    return (rows.withColumn("_month", times.month_index(F.col("time")))
+            .join(stats, [*SERIES, "_month"], how).drop("_month"))
 
 
 def trim_trailing(obs: DataFrame) -> DataFrame:
-    """Cut each series after its last time that is not a sentinel."""
-    out = with_series_stats(obs, {"_last": _last_seen()}, "inner")
-    return out.filter(F.col("time") <= F.col("_last")).drop("_last")
+    """Cut each series after its last time that is not a sentinel; a null counts as seen.
+
+    Only sentinels can lie beyond that time, so only they are joined to it. All other rows pass
+    straight through.
+    """
+    sentinel = values.is_sentinel(F.col("value"))
+    last = series_stats(obs, {"_last": (F.max(F.when(~sentinel, F.col("time"))), F.max)})
+    inner_gaps = with_series_stats(obs.filter(sentinel), last, "inner").filter(F.col("time") <= F.col("_last"))
+    return obs.filter(~sentinel).unionByName(inner_gaps.drop("_last"))
 
 
 def _hour_gaps(obs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows keyed by (series, hour of day, month), and what crosses the borders of those keys."""
-    time, value = F.col("time"), values.nan_to_null(F.col("value"))
+    """Rows keyed by (series, hour of day, quarter), and per key what crosses its borders."""
+    time = F.col("time")
     rows = obs.withColumns({
-        "value": value, "_hour": F.hour(time), "_month": times.month_index(time)})
+        "value": values.nan_to_null(F.col("value")), "_hour": F.hour(time),
+        "_quarter": times.quarter_index(time)})
     value = F.col("value")
-    valid = values.is_valid(value)
-    edges = rows.groupBy(*SERIES, "_hour", "_month").agg(
+    valid, sentinel = values.is_valid(value), values.is_sentinel(value)
+    edges = rows.groupBy(*SERIES, "_hour", "_quarter").agg(
         F.min_by(F.when(valid, value), F.when(valid, time)).alias("first_valid"),
         F.max_by(F.when(valid, value), F.when(valid, time)).alias("last_valid"),
-        F.max(F.when(~values.is_sentinel(value), time)).alias("_last"),
-        F.min(F.when(values.is_sentinel(value), time)).alias("_gap"),
+        F.max(F.when(~sentinel, time)).alias("_last"),
+        F.min(F.when(sentinel, time)).alias("_gap"),
     )
     series = Window.partitionBy(*SERIES)
-    by_month = Window.partitionBy(*SERIES, "_hour").orderBy("_month")
-    before = by_month.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_month.rowsBetween(1, Window.unboundedFollowing)
+    by_quarter = Window.partitionBy(*SERIES, "_hour").orderBy("_quarter")
+    before = by_quarter.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_quarter.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edges = edges.select(
-        *SERIES, "_hour", "_month",
-        F.last("last_valid", ignorenulls=True).over(before).alias("_carry_in"),
-        F.first("first_valid", ignorenulls=True).over(after).alias("_carry_out"),
+        *SERIES, "_hour", "_quarter",
+        F.last("last_valid", ignorenulls=True).over(before).alias("_carried"),
+        F.first("first_valid", ignorenulls=True).over(whole).alias("_first"),
         F.max("_last").over(series).alias("_last"),
         F.min("_gap").over(series).alias("_gap"),
     )
@@ -73,14 +77,14 @@ def _hour_gaps(obs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _filled(value: Column) -> Column:
-    """Previous valid value at this hour, else the next one, across month borders."""
-    order = Window.partitionBy(*SERIES, "_hour", "_month").orderBy("time")
+    """Previous valid value at this hour, else the next one.
+
+    Where none precedes, the next valid value is the first one of the series at that hour.
+    """
+    order = Window.partitionBy(*SERIES, "_hour", "_quarter").orderBy("time")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    onwards = order.rowsBetween(0, Window.unboundedFollowing)
     good = F.when(values.is_valid(value), value)
-    return F.coalesce(
-        F.last(good, ignorenulls=True).over(so_far), F.col("_carry_in"),
-        F.first(good, ignorenulls=True).over(onwards), F.col("_carry_out"))
+    return F.coalesce(F.last(good, ignorenulls=True).over(so_far), F.col("_carried"), F.col("_first"))
 
 
 def fill_by_hour(obs: DataFrame, trim: bool = False) -> DataFrame:
@@ -89,12 +93,12 @@ def fill_by_hour(obs: DataFrame, trim: bool = False) -> DataFrame:
     Nulls are filled too, but only in a series that also holds a sentinel. A gap with no valid
     value at its hour becomes null. With `trim`, trailing sentinels are cut first.
 
-    One shuffle of the rows, by (series, hour, month): a month of one hour of day is a short
-    run however long the series is. The values carried over month borders come from a
-    pre-aggregated table with one row per key.
+    One shuffle of the rows, by (series, hour, quarter): some ninety rows of an hourly series,
+    however long it is. What is carried over the borders comes from a pre-aggregated table with
+    one row per key, which is the hashed side of the join.
     """
     rows, edges = _hour_gaps(obs)
-    joined = rows.join(edges, [*SERIES, "_hour", "_month"])
+    joined = rows.join(edges.hint("shuffle_hash"), [*SERIES, "_hour", "_quarter"])
     if trim:
         joined = joined.filter(F.col("time") <= F.col("_last"))
         has_gap = F.coalesce(F.col("_gap") <= F.col("_last"), F.lit(False))
