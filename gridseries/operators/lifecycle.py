@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridseries.functions import names, times
 from gridseries.operators.quality import series_stats, with_series_stats
 from gridseries.operators.series import union_priority
-from gridseries.schema import DEFAULT_START, KEEP_MONTHS, SERIES
+from gridseries.schema import DEFAULT_START, KEEP_MONTHS, OBS_KEY, OBS_SCHEMA, SERIES
 
 
 def resume_times(obs: DataFrame, key: str, now) -> DataFrame:
@@ -37,9 +37,9 @@ def mark_settled(current: DataFrame, force: bool = False) -> DataFrame:
     return out.withColumn("settled", settled).drop("_latest")
 
 
-def promoted_history(settled: DataFrame, historic: DataFrame) -> DataFrame:
-    """History after promotion; a promoted row replaces the one it meets."""
-    return union_priority(settled, historic, [*SERIES, "time"])
+def replaced(newer: DataFrame, older: DataFrame) -> DataFrame:
+    """Rows of one tier after newer ones have replaced those they meet."""
+    return union_priority(newer.select(OBS_SCHEMA.names), older.select(OBS_SCHEMA.names), OBS_KEY)
 
 
 def remaining_current(marked: DataFrame) -> DataFrame:

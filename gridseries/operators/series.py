@@ -42,8 +42,8 @@ def route_tiers(requests: DataFrame, bounds: DataFrame) -> DataFrame:
 def union_priority(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
     """Union where rows of `first` win over rows of `second` with the same keys.
 
-    Columns are picked by priority one by one, so all buffers are fixed-width and the merge is
-    a hash aggregate with map-side combine. Within one input `keys` must be unique.
+    Columns are picked by priority one by one: as long as they are numbers or times, the merge
+    is a hash aggregate with map-side combine. Within one input `keys` must be unique.
     """
     tagged = (first.withColumn("_prio", F.lit(0))
               .unionByName(second.select(first.columns).withColumn("_prio", F.lit(1))))
@@ -54,10 +54,11 @@ def union_priority(first: DataFrame, second: DataFrame, keys: list[str]) -> Data
 
 def serve_tiers(obs: DataFrame) -> DataFrame:
     """One row per series and time; history wins where the tiers overlap."""
-    keys = [*SERIES, "time"]
-    historic = obs.filter(F.col("tier") == HISTORIC).select(*keys, "tier", "value")
-    current = obs.filter(F.col("tier") == CURRENT).select(*keys, "tier", "value")
-    return union_priority(historic, current, keys)
+    first = F.min("_prio")
+    tagged = obs.withColumn("_prio", F.when(F.col("tier") == HISTORIC, 0).otherwise(1))
+    best = tagged.groupBy(*SERIES, "time").agg(first.alias("_first"), F.min_by("value", "_prio").alias("value"))
+    tier = F.when(F.col("_first") == 0, HISTORIC).otherwise(CURRENT)
+    return best.select(*SERIES, "time", tier.alias("tier"), "value")
 
 
 def interpolate(obs: DataFrame, neighbours: DataFrame) -> DataFrame:

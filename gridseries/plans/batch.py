@@ -96,15 +96,8 @@ def _weighted(tier: str, i: int) -> Column:
     return reduce(lambda a, b: a + b, terms)
 
 
-def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
-                   variables: list[str] | None = None, radius: float = RADIUS_DEGREES) -> DataFrame:
-    """Wide results (req_id, time, one column per variable) for accepted requests.
-
-    Two small jobs run at once: the requests' profile and their neighbours. The result is lazy.
-
-    `requests` has (req_id, source, lat, lon, vars, start_time, end_time, mode) with unique ids.
-    Variables a request did not ask for are null in its rows.
-    """
+def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None,
+             radius: float) -> tuple[DataFrame, list[str]]:
     profile = request_profile(requests)
     variables = variables or profile["variables"]
     rows = obs.filter(F.col("var").isin(variables) & F.col("source").isin(profile["sources"]))
@@ -129,22 +122,36 @@ def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
         columns.append(F.when(wanted, value).alias(var))
         usable.append(~wanted | full[HISTORIC] | full[CURRENT])
     covered = F.size(F.array_except("vars", F.array(*[F.lit(v) for v in variables]))) == 0
-    return (joined.filter(covered & reduce(lambda a, b: a & b, usable))
-            .select("req_id", "time", *columns))
+    whole = joined.filter(covered & reduce(lambda a, b: a & b, usable, F.lit(True)))
+    return whole.select("req_id", "time", "vars", *columns), variables
+
+
+def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
+                   variables: list[str] | None = None, radius: float = RADIUS_DEGREES) -> DataFrame:
+    """Wide results (req_id, time, one column per variable) for accepted requests.
+
+    `requests` has (req_id, source, lat, lon, vars, start_time, end_time, mode) with unique ids.
+    Variables a request did not ask for are null in its rows. Two small jobs run at once, the
+    requests' profile and their neighbours; the result is lazy.
+    """
+    wide, _ = _extract(requests, obs, catalogue, variables, radius)
+    return wide.drop("vars")
 
 
 def extract_series(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
-                   variables: list[str] | None = None) -> DataFrame:
+                   variables: list[str] | None = None, radius: float = RADIUS_DEGREES) -> DataFrame:
     """Long results (req_id, time, var, value), only for the variables each request asked for."""
-    variables = variables or request_profile(requests)["variables"]
-    wide = extract_points(requests, obs, catalogue, variables)
-    long = wide.unpivot(["req_id", "time"], [F.col(f"`{v}`") for v in variables], "var", "value")
-    asked = requests.select("req_id", F.explode(F.array_distinct("vars")).alias("var"))
-    return long.join(asked, ["req_id", "var"], "left_semi")
+    wide, names = _extract(requests, obs, catalogue, variables, radius)
+    long = wide.unpivot(["req_id", "time", "vars"], [F.col(f"`{v}`") for v in names], "var", "value")
+    return long.filter(F.array_contains("vars", F.col("var"))).drop("vars")
 
 
 def run_requests(raw: DataFrame, obs: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Validate text requests and extract the good ones: (results, rejected with reason)."""
+    """Validate text requests and extract the good ones: (results, rejected with reason).
+
+    The rejections include requests without results. To avoid extracting twice, write the
+    results and pass the written table to `unanswered`.
+    """
     accepted, rejected = validate_requests(raw)
     results = extract_points(accepted, obs, catalogue)
     return results, rejected.unionByName(unanswered(accepted, results))

@@ -3,10 +3,10 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.operators.lifecycle import mark_settled, promoted_history, remaining_current
+from gridseries.operators.lifecycle import mark_settled, remaining_current, replaced
 from gridseries.operators.quality import series_mismatch
 from gridseries.schema import CURRENT, HISTORIC, OBS_SCHEMA
-from gridseries.sinks.writers import write_obs
+from gridseries.sinks.writers import replace_tier, write_obs
 from gridseries.sources.tables import STORED_OBS, path_exists, scan_obs
 
 
@@ -17,12 +17,12 @@ class SeriesMismatch(RuntimeError):
 def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, staging: str) -> None:
     """Overwrite the partitions that `rows` fall in.
 
-    `rows` may read `path`, so they are written to the staging folder first and copied from
-    there. After a crash the job can simply run again: promotion is idempotent.
+    `rows` may read `path`, so they are written to the staging folder first, as they are, and
+    laid out from there: the sampling pass of the layout then reads files instead of running
+    the query again. After a crash the job can simply run again.
     """
-    write_obs(rows, staging)
-    staged = spark.read.schema(STORED_OBS).parquet(staging)
-    write_obs(staged.select(OBS_SCHEMA.names), path, partition_mode="dynamic")
+    rows.select(OBS_SCHEMA.names).write.mode("overwrite").parquet(staging)
+    write_obs(spark.read.schema(OBS_SCHEMA).parquet(staging), path, partition_mode="dynamic")
 
 
 def touched_partitions(rows: DataFrame) -> list[tuple]:
@@ -67,17 +67,12 @@ def promote(spark: SparkSession, path: str, source: str, force: bool = False) ->
         return False
     affected = historic.filter(in_partitions(touched)).select(OBS_SCHEMA.names)
     staging = f"{path.rstrip('/')}/_staging"
-    replace_partitions(spark, promoted_history(settled, affected), path, f"{staging}/{source}_historic")
+    replace_partitions(spark, replaced(settled, affected), path, f"{staging}/{source}_historic")
 
     # the current tier is small and is replaced as a whole
-    left = f"{staging}/{source}_current"
-    write_obs(remaining_current(marked), left)
-    kept = spark.read.schema(STORED_OBS).parquet(left)
-    (kept.select("var", "year", "loc_id", "time", "value")
-     .repartitionByRange("var", "year", "loc_id", "time")
-     .sortWithinPartitions("var", "year", "loc_id", "time")
-     .write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
-     .partitionBy("var", "year").parquet(f"{path.rstrip('/')}/source={source}/tier={CURRENT}"))
+    kept = f"{staging}/{source}_current"
+    remaining_current(marked).select(OBS_SCHEMA.names).write.mode("overwrite").parquet(kept)
+    replace_tier(spark.read.schema(OBS_SCHEMA).parquet(kept), path, source, CURRENT)
     return True
 
 
@@ -85,12 +80,13 @@ def promoted(current: DataFrame, historic: DataFrame, force: bool = False) -> tu
     """Lazy form: (new history, remaining current) of two tables."""
     marked = mark_settled(current, force)
     settled = marked.filter("settled").drop("settled").withColumn("tier", F.lit(HISTORIC))
-    return promoted_history(settled, historic), remaining_current(marked)
+    return replaced(settled, historic), remaining_current(marked)
 
 
 def refresh_current(spark: SparkSession, rows: DataFrame, path: str) -> None:
     """Land freshly ingested current rows: they replace stored rows with the same key."""
-    landed = scan_obs(spark, path, tiers=[CURRENT]) if path_exists(spark, path) else None
-    merged = rows if landed is None else promoted_history(rows, landed)
+    if not path_exists(spark, path):
+        write_obs(rows, path)
+        return
     staging = f"{path.rstrip('/')}/_staging/current"
-    replace_partitions(spark, merged, path, staging)
+    replace_partitions(spark, replaced(rows, scan_obs(spark, path, tiers=[CURRENT])), path, staging)

@@ -28,6 +28,15 @@ def write_obs(obs: DataFrame, path: str, mode: str = "overwrite", partition_mode
      .parquet(path))
 
 
+def replace_tier(obs: DataFrame, path: str, source: str, tier: str) -> None:
+    """Replace all rows of one tier of one source. `obs` must not read the table itself."""
+    (laid_out(obs).drop("source", "tier").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .option("compression", "zstd")
+     .partitionBy("var", "year")
+     .parquet(f"{path.rstrip('/')}/source={source}/tier={tier}"))
+
+
 def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "zstd").parquet(path)
 

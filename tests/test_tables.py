@@ -7,7 +7,7 @@ from gridseries.operators import lifecycle
 from gridseries.plans import backfill, point, promote, update
 from gridseries.plans.ingest import rebuild
 from gridseries.schema import OBS_SCHEMA
-from gridseries.sinks.writers import write_catalogue, write_obs, write_raw
+from gridseries.sinks.writers import laid_out, write_catalogue, write_obs, write_raw
 from gridseries.sources.tables import empty_result, path_exists, read_catalogue, scan_obs
 
 T = "temperature_2m"
@@ -209,6 +209,9 @@ def test_layout_spreads_one_long_series(spark, tmp_path):
         F.lit("nasapower").alias("source"), F.lit("historic").alias("tier"), F.lit(T).alias("var"),
         F.lit(0).alias("loc_id"), (F.lit(at(1)) + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).cast("timestamp_ntz").alias("time"),
         F.col("id").cast("double").alias("value")))
-    from gridseries.sinks.writers import laid_out
-    sizes = laid_out(obs).groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in sizes) <= 20000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = laid_out(obs).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 10000
