@@ -7,6 +7,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def as_time(x) -> Column:
+    """Column, text or naive datetime as TIMESTAMP_NTZ.
+
+    Datetimes go through text: as literals they would be read in the driver's time zone.
+    """
+    return x if isinstance(x, Column) else F.lit(str(x)).cast("timestamp_ntz")
+
+
 def parse_hour_key(text: Column) -> Column:
     """`2024010123` -> 2024-01-01 23:00."""
     return F.to_timestamp_ntz(text, F.lit("yyyyMMddHH"))

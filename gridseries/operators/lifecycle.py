@@ -14,8 +14,7 @@ from gridseries.schema import DEFAULT_START, KEEP_MONTHS, OBS_KEY, OBS_SCHEMA, S
 def resume_times(obs: DataFrame, key: str, now) -> DataFrame:
     """Per source and key: the earliest of the latest times of its series, at most `now`."""
     latest = obs.groupBy(*SERIES).agg(F.max("time").alias("time"))
-    now = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
-    return latest.groupBy("source", key).agg(F.least(F.min("time"), now).alias("time"))
+    return latest.groupBy("source", key).agg(F.least(F.min("time"), times.as_time(now)).alias("time"))
 
 
 def months_kept(source: Column) -> Column:
@@ -48,16 +47,16 @@ def remaining_current(marked: DataFrame) -> DataFrame:
 
 def resume_or_default(keys: DataFrame, resume: DataFrame, key: str, default: str = DEFAULT_START) -> DataFrame:
     """Every key with its resume time; a key without history starts at the default."""
-    start = F.coalesce("time", F.lit(default).cast("timestamp_ntz"))
+    start = F.coalesce("time", times.as_time(default))
     return (keys.join(resume, ["source", key], "left")
             .select(*[F.col(c) for c in keys.columns], start.alias("resume")))
 
 
 def backfill_months(keys: DataFrame, end) -> DataFrame:
     """One row per key and calendar month to fetch. `keys` has (source, <key>, resume)."""
-    end = end if isinstance(end, Column) else F.lit(end).cast("timestamp_ntz")
+    end = times.as_time(end).cast("date")
     first = times.month_floor(F.col("resume"), months_kept(F.col("source"))).cast("date")
-    months = F.when(first <= end.cast("date"), F.sequence(first, end.cast("date"), F.expr("interval 1 month")))
+    months = F.when(first <= end, F.sequence(first, end, F.expr("interval 1 month")))
     rows = keys.withColumn("_month", F.explode(months))
     return rows.withColumns({"year": F.year("_month"), "month": F.month("_month")}).drop("_month", "resume")
 
@@ -68,7 +67,7 @@ def distinct_months(days: DataFrame, column: str) -> DataFrame:
 
 def backfill_years(keys: DataFrame, end) -> DataFrame:
     """One row per key and calendar year to fetch, clamped to the range, with date keys."""
-    end = (end if isinstance(end, Column) else F.lit(end).cast("timestamp_ntz")).cast("date")
+    end = times.as_time(end).cast("date")
     first = times.month_floor(F.col("resume"), months_kept(F.col("source"))).cast("date")
     years = F.when(first <= end, F.sequence(F.year(first), F.year(end)))
     rows = keys.withColumns({"_first": first}).withColumn("year", F.explode(years))
@@ -79,7 +78,7 @@ def backfill_years(keys: DataFrame, end) -> DataFrame:
 
 
 def active_stations(meta: DataFrame, owner: str, since: str) -> DataFrame:
-    reporting = times.parse_station_time(F.col("to_date")) >= F.lit(since).cast("timestamp_ntz")
+    reporting = times.parse_station_time(F.col("to_date")) >= times.as_time(since)
     return meta.filter((F.col("owner") == owner) & reporting)
 
 

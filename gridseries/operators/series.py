@@ -3,13 +3,13 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridseries.functions.times import as_time
 from gridseries.schema import CURRENT, HISTORIC, SERIES
 
 
 def time_range(df: DataFrame, start, end) -> DataFrame:
     """Inclusive range; pushed down to the scan."""
-    start, end = (x if isinstance(x, Column) else F.lit(x).cast("timestamp_ntz") for x in (start, end))
-    return df.filter(F.col("time").between(start, end))
+    return df.filter(F.col("time").between(as_time(start), as_time(end)))
 
 
 def tier_bounds(obs: DataFrame) -> DataFrame:

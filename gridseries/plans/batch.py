@@ -8,14 +8,16 @@ weighted sums need no further shuffle.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridseries.operators.quality import drop_sentinel
+from gridseries.operators.series import time_range
 from gridseries.operators.space import idw_weights, knn
 from gridseries.operators.validate import unanswered, validate_requests
 from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES
 from gridseries.session import ensure_checkpoint_dir, spread
+from gridseries.sources.tables import scan_obs
 
 TIERS = (HISTORIC, CURRENT)
 # Requests of one stencil beyond this number are split into groups of their own.
@@ -97,14 +99,14 @@ def _weighted(tier: str, i: int) -> Column:
 
 
 def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None,
-             radius: float) -> tuple[DataFrame, list[str]]:
-    profile = request_profile(requests)
+             radius: float, profile: dict | None = None) -> tuple[DataFrame, list[str]]:
+    profile = profile or request_profile(requests)
     variables = variables or profile["variables"]
+    if not variables:
+        no_time = F.lit(None).cast("timestamp_ntz").alias("time")
+        return requests.filter(F.lit(False)).select("req_id", no_time, "vars"), []
     rows = obs.filter(F.col("var").isin(variables) & F.col("source").isin(profile["sources"]))
-    if profile["start"] is not None:
-        span = F.col("time").between(F.lit(profile["start"]).cast("timestamp_ntz"),
-                                     F.lit(profile["end"]).cast("timestamp_ntz"))
-        rows = rows.filter(span)
+    rows = time_range(rows, profile["start"], profile["end"])
     # read three times below; without the cut, the neighbour search would run for each of them
     ensure_checkpoint_dir(requests.sparkSession)
     asked = with_salt(with_stencils(requests, catalogue, radius).checkpoint())
@@ -138,10 +140,21 @@ def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
     return wide.drop("vars")
 
 
+def extract_stored(spark: SparkSession, path: str, requests: DataFrame, catalogue: DataFrame,
+                   radius: float = RADIUS_DEGREES) -> DataFrame:
+    """`extract_points` over a written table, reading only the partitions the requests need."""
+    need = request_profile(requests)
+    obs = scan_obs(spark, path, need["sources"], TIERS, need["variables"], start=need["start"], end=need["end"])
+    wide, _ = _extract(requests, obs, catalogue, None, radius, need)
+    return wide.drop("vars")
+
+
 def extract_series(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
                    variables: list[str] | None = None, radius: float = RADIUS_DEGREES) -> DataFrame:
     """Long results (req_id, time, var, value), only for the variables each request asked for."""
     wide, names = _extract(requests, obs, catalogue, variables, radius)
+    if not names:
+        return wide.select("req_id", "time", F.lit("").alias("var"), F.lit(0.0).alias("value"))
     long = wide.unpivot(["req_id", "time", "vars"], [F.col(f"`{v}`") for v in names], "var", "value")
     return long.filter(F.array_contains("vars", F.col("var"))).drop("vars")
 

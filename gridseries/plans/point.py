@@ -2,13 +2,14 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridseries.operators.quality import drop_sentinel
 from gridseries.operators.series import time_range
-from gridseries.operators.space import idw_weights, nearest
+from gridseries.operators.space import nearest
 from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES
+from gridseries.sources.tables import scan_obs
 
 
 def point_weights(catalogue: DataFrame, lat: float, lon: float, mode: str = "idw",
@@ -67,6 +68,13 @@ def point_series(obs: DataFrame, catalogue: DataFrame, source: str, lat: float,
             .select("time", *columns).orderBy("time"))
 
 
+def point_stored(spark: SparkSession, path: str, catalogue: DataFrame, source: str, lat: float, lon: float,
+                 variables: list[str], start, end, mode: str = "idw") -> DataFrame:
+    """`point_series` over a written table, reading only the partitions it needs."""
+    obs = scan_obs(spark, path, source, [HISTORIC, CURRENT], variables, start=start, end=end)
+    return point_series(obs, catalogue, source, lat, lon, variables, start, end, mode)
+
+
 def preview(obs: DataFrame, source: str, var: str, loc_id: int, start=None, end=None) -> DataFrame:
     """One stored series, or a slice of it."""
     one = obs.filter((F.col("source") == source) & (F.col("var") == var) & (F.col("loc_id") == loc_id))

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridseries.functions.times import as_time
 from gridseries.schema import CATALOGUE_SCHEMA, OBS_SCHEMA
 
 STORED_OBS = T.StructType(OBS_SCHEMA.fields + [T.StructField("year", T.IntegerType())])
@@ -29,9 +30,9 @@ def drop_index_artifacts(df: DataFrame) -> DataFrame:
 def in_years(years: Column, start: str | None, end: str | None) -> Column:
     test = F.lit(True)
     if start is not None:
-        test = test & (years >= F.year(F.lit(start).cast("timestamp_ntz")))
+        test = test & (years >= F.year(as_time(start)))
     if end is not None:
-        test = test & (years <= F.year(F.lit(end).cast("timestamp_ntz")))
+        test = test & (years <= F.year(as_time(end)))
     return test
 
 
@@ -54,9 +55,9 @@ def scan_obs(spark: SparkSession, path: str, source=None, tiers=None, variables=
     if start is not None or end is not None:
         df = df.filter(in_years(F.col("year"), start, end))
     if start is not None:
-        df = df.filter(F.col("time") >= F.lit(start).cast("timestamp_ntz"))
+        df = df.filter(F.col("time") >= as_time(start))
     if end is not None:
-        df = df.filter(F.col("time") <= F.lit(end).cast("timestamp_ntz"))
+        df = df.filter(F.col("time") <= as_time(end))
     return df.select(OBS_SCHEMA.names)
 
 

@@ -169,3 +169,25 @@ def test_batch_values_lie_between_their_neighbours(world):
     low, high = obs.filter("value <> -999").agg(F.min("value"), F.max("value")).first()
     outside = batch.extract_series(requests, obs, catalogue).filter(~F.col("value").between(low, high))
     assert outside.isEmpty()
+
+
+def test_batch_without_requests_is_empty(world):
+    obs, catalogue, requests, _ = world
+    assert batch.extract_points(requests.limit(0), obs, catalogue).isEmpty()
+    assert batch.extract_series(requests.limit(0), obs, catalogue).columns == ["req_id", "time", "var", "value"]
+
+
+def test_stored_tables_give_the_same(spark, world, tmp_path):
+    from gridseries.sinks.writers import write_obs
+    obs, catalogue, requests, asked = world
+    path = str(tmp_path / "obs")
+    write_obs(obs, path)
+    columns = ["req_id", "time", T, H]
+    got = batch.extract_stored(spark, path, requests, catalogue).select(columns)
+    want = batch.extract_points(requests, obs, catalogue, [T, H]).select(columns)
+    assert got.count() == want.count() and got.select("req_id", "time").exceptAll(want.select("req_id", "time")).isEmpty()
+    one = point.point_stored(spark, path, catalogue, "nasapower", -45.01, 170.01, [T], "2024-01-01", "2024-01-02")
+    here = point.point_series(obs, catalogue, "nasapower", -45.01, 170.01, [T], "2024-01-01", "2024-01-02")
+    assert one.collect() == here.collect()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "year" in plan.split("PartitionFilters: ")[1].split("]")[0]
