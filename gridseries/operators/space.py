@@ -12,6 +12,8 @@ from gridseries.session import spread
 SHIFT = 2
 # Cells with up to this many locations are not split.
 CELL_TARGET = 64
+# At the eighth level cells of one degree have shrunk to about two metres.
+MAX_LEVELS = 8
 
 
 def nearest(catalogue: DataFrame, lat: float, lon: float, k: int = NEIGHBOURS,
@@ -25,13 +27,18 @@ def nearest(catalogue: DataFrame, lat: float, lon: float, k: int = NEIGHBOURS,
 
 
 def _levels_needed(points: DataFrame, size: float) -> int:
-    """How often a cell has to be split; one small job over the catalogue."""
-    fullest = (points.groupBy("source", F.floor(F.col("plat") / size), F.floor(F.col("plon") / size))
-               .count().agg(F.max("count")).first()[0] or 0)
-    levels = 0
-    while fullest > CELL_TARGET * 16 ** levels and levels < 8:
-        levels += 1
-    return levels
+    """How often cells have to be split until none holds too many locations.
+
+    One small job over the distinct coordinates of the catalogue; one row per level comes back.
+    """
+    finest = size / 4 ** MAX_LEVELS
+    cells = (points.select("source", "plat", "plon").distinct()
+             .select("source", F.floor(F.col("plat") / finest).alias("cy"), F.floor(F.col("plon") / finest).alias("cx"))
+             .select("*", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVELS))).alias("level"))
+             .withColumn("up", (MAX_LEVELS - F.col("level")) * SHIFT))
+    counts = cells.groupBy("source", "level", F.expr("shiftright(cy, up)"), F.expr("shiftright(cx, up)")).count()
+    fullest = {r["level"]: r["n"] for r in counts.groupBy("level").agg(F.max("count").alias("n")).collect()}
+    return next((level for level in range(MAX_LEVELS) if fullest.get(level, 0) <= CELL_TARGET), MAX_LEVELS)
 
 
 def _first_copies(points: DataFrame, k: int) -> DataFrame:
@@ -184,6 +191,11 @@ def extend_catalogue(old: DataFrame, seen: DataFrame) -> DataFrame:
     return old.select(F.col("loc_id").cast("int"), "latitude", "longitude").unionByName(added)
 
 
+def by_id(catalogue: DataFrame) -> DataFrame:
+    """Sorted for display or export; locations without an id come last."""
+    return catalogue.orderBy(F.col("loc_id").asc_nulls_last())
+
+
 def check_dense_ids(catalogue: DataFrame) -> DataFrame:
     """Ids that differ from their position in id order; empty for a sound catalogue.
 

@@ -22,11 +22,10 @@ POINT_VARS = ["temperature_2m", "relative_humidity_2m"]
 NOW = "2024-04-10 05:00:00"
 
 
-def check(sql: str | None):
+def check(sql: str):
     def register(fn):
         QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLES[fn.__name__] = oracle(sql)
+        ORACLES[fn.__name__] = oracle(sql)
         return fn
     return register
 
@@ -478,7 +477,12 @@ def rejected_requests(spark, sf):
     return rejected
 
 
-@check(None)
+@check("""with wide as (select loc_id, time, max(case when var = 'temperature_2m' then value end) as temperature_2m,
+                        max(case when var = 'relative_humidity_2m' then value end) as relative_humidity_2m
+                      from series where tier = 'historic' group by loc_id, time having count(distinct var) = 2)
+          select loc_id, cast(json_object('time', strftime(time, '%Y-%m-%d %H:%M:%S'), 'temperature_2m', temperature_2m,
+                                          'relative_humidity_2m', relative_humidity_2m) as varchar) as record
+          from wide""")
 def records_json(spark, sf):
     obs = view(spark, sf, "series").filter("tier = 'historic'")
     return writers.to_records(shape.series_to_wide(obs, ["loc_id", "time"], POINT_VARS), "loc_id")
