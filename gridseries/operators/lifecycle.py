@@ -28,12 +28,15 @@ def cutoff(latest: Column, source: Column) -> Column:
 
 
 def mark_settled(current: DataFrame, force: bool = False) -> DataFrame:
-    """Add `settled`: is the row older than the cutoff of its series?"""
+    """Add `settled`: is the row older than the cutoff of its series?
+
+    Sources without a cutoff rule never settle.
+    """
     if force:
         return current.withColumn("settled", F.lit(True))
     out = with_series_stats(current, series_stats(current, {"_latest": (F.max("time"), F.max)}))
     settled = F.col("time") < cutoff(F.col("_latest"), F.col("source"))
-    return out.withColumn("settled", settled).drop("_latest")
+    return out.withColumn("settled", F.coalesce(settled, F.lit(False))).drop("_latest")
 
 
 def replaced(newer: DataFrame, older: DataFrame) -> DataFrame:

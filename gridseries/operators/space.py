@@ -107,21 +107,17 @@ def knn(requests: DataFrame, catalogue: DataFrame, k: int = NEIGHBOURS,
     fine = size / 4 ** levels
     points = points.withColumns({
         "cy": F.floor(F.col("plat") / fine), "cx": F.floor(F.col("plon") / fine)})
-
     kept = [c for c in requests.columns if c != "k"]
-    wanted = F.least(F.col("k"), F.lit(k)) if "k" in requests.columns else F.lit(k)
+    wanted = f"least(k, {k})" if "k" in requests.columns else f"{k}"
     asked = requests.filter(values.is_finite(F.col("lat")) & values.is_finite(F.col("lon")))
     # Each request fans out into many candidates: spread the requests first, by the key they
     # are ranked by, and the candidates need no shuffle where the catalogue is broadcast.
-    asked = spread(asked, "req_id")
-    offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    home_y = F.shiftright(F.floor(F.col("lat") / fine), SHIFT * levels)
-    home_x = F.shiftright(F.floor(F.col("lon") / fine), SHIFT * levels)
-    candidates = (asked.select(*kept, wanted.alias("k"), home_y.alias("hy"), home_x.alias("hx"))
-                  .select("*", F.explode(offsets).alias("oy"))
-                  .select("*", F.explode(offsets).alias("ox"))
-                  .select(*kept, "k", (F.col("hy") + F.col("oy")).alias("cy"),
-                          (F.col("hx") + F.col("ox")).alias("cx")))
+    homes = spread(asked, "req_id").selectExpr(
+        *kept, f"{wanted} as k", f"shiftright(floor(lat / {fine!r}D), {SHIFT * levels}) as home_y",
+        f"shiftright(floor(lon / {fine!r}D), {SHIFT * levels}) as home_x")
+    candidates = (homes.selectExpr("*", "explode(array(-1, 0, 1)) as dy")
+                  .selectExpr("*", "explode(array(-1, 0, 1)) as dx")
+                  .selectExpr(*kept, "k", "home_y + dy as cy", "home_x + dx as cx"))
     for level in range(1, levels + 1):
         candidates = _descend(candidates, _cells(points, levels - level), radius)
 

@@ -8,7 +8,7 @@ weighted sums need no further shuffle.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridseries.operators.quality import drop_sentinel
@@ -69,33 +69,33 @@ def by_day(requests: DataFrame) -> DataFrame:
 def stencil_values(obs: DataFrame, groups: DataFrame, variables: list[str]) -> DataFrame:
     """One row per (group, time) with the values of every variable, tier and stencil position.
 
-    `groups` has distinct (place, salt, day). Column `<tier>_<v>_<p>` holds the value
-    at position p, `<tier>_<v>` a bit per position that has a row.
+    `groups` has distinct (place, salt, day). Variable i of history is kind 2i, of the current
+    tier 2i + 1. Column `v<kind>_<p>` holds the value at position p, `has<kind>` a bit per
+    position that has a row.
     """
-    members = groups.select(
-        *GROUP, "day", "place.source", F.posexplode("place.stencil").alias("pos", "loc_id"))
-    rows = obs.withColumn("day", F.to_date("time"))
+    members = groups.selectExpr(*GROUP, "day", "place.source", "posexplode(place.stencil) as (pos, loc_id)")
+    number = F.array_position(F.array(*[F.lit(v) for v in variables]), F.col("var")) * 2 - 2
+    rows = obs.select(
+        "source", "loc_id", "time", "value", F.to_date("time").alias("day"),
+        (number + (F.col("tier") == CURRENT).cast("int")).cast("int").alias("kind"))
     hits = rows.join(members, ["source", "loc_id", "day"])
     # all rows of a group and day come together here; what follows stays in place
     together = spread(hits, *GROUP, "day")
     aggregates = []
-    for i, var in enumerate(variables):
-        for tier in TIERS:
-            here = (F.col("var") == var) & (F.col("tier") == tier)
-            bit = F.when(here, F.expr("shiftleft(1, pos)"))
-            aggregates.append(F.coalesce(F.bit_or(bit), F.lit(0)).alias(f"{tier}_{i}"))
-            for p in range(NEIGHBOURS):
-                value = F.when(here & (F.col("pos") == p), F.col("value"))
-                aggregates.append(F.max(value).alias(f"{tier}_{i}_{p}"))
-    return together.groupBy(*GROUP, "day", "time").agg(*aggregates)
+    for kind in range(2 * len(variables)):
+        aggregates.append(f"coalesce(bit_or(case when kind = {kind} then shiftleft(1, pos) end), 0) as has{kind}")
+        aggregates += [f"max(case when kind = {kind} and pos = {p} then value end) as v{kind}_{p}"
+                       for p in range(NEIGHBOURS)]
+    return together.groupBy(*GROUP, "day", "time").agg(*[F.expr(a) for a in aggregates])
+
+
+def _full(kind: int) -> str:
+    """Does every location of the stencil have a row?"""
+    return f"has{kind} = shiftleft(1, size(place.stencil)) - 1"
 
 
-def _weighted(tier: str, i: int) -> Column:
-    terms = [
-        F.when(F.size("place.stencil") > p, F.get("weights", F.lit(p)) * F.col(f"{tier}_{i}_{p}")).otherwise(0.0)
-        for p in range(NEIGHBOURS)
-    ]
-    return reduce(lambda a, b: a + b, terms)
+def _weighted(kind: int) -> str:
+    return " + ".join(f"if(size(place.stencil) > {p}, get(weights, {p}) * v{kind}_{p}, 0D)" for p in range(NEIGHBOURS))
 
 
 def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None,
@@ -105,27 +105,26 @@ def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variable
     if not variables:
         no_time = F.lit(None).cast("timestamp_ntz").alias("time")
         return requests.filter(F.lit(False)).select("req_id", no_time, "vars"), []
-    rows = obs.filter(F.col("var").isin(variables) & F.col("source").isin(profile["sources"]))
+    rows = obs.filter(F.col("var").isin(variables) & F.col("source").isin(profile["sources"])
+                      & F.col("tier").isin(*TIERS))
     rows = time_range(rows, profile["start"], profile["end"])
     # read three times below; without the cut, the neighbour search would run for each of them
     ensure_checkpoint_dir(requests.sparkSession)
     asked = with_salt(with_stencils(requests, catalogue, radius).checkpoint())
     daily = spread(by_day(asked), *GROUP, "day")
     shared = stencil_values(drop_sentinel(rows), daily.select(*GROUP, "day").distinct(), variables)
-    joined = shared.join(daily, [*GROUP, "day"]).filter(
-        F.col("time").between(F.col("start_time"), F.col("end_time")))
+    joined = shared.join(daily, [*GROUP, "day"])
 
-    everyone = F.expr("shiftleft(1, size(place.stencil)) - 1")
-    columns, usable = [], []
+    listed = F.array(*[F.lit(v) for v in variables])
+    usable = [F.size(F.array_except("vars", listed)) == 0, F.expr("time between start_time and end_time")]
+    columns = []
     for i, var in enumerate(variables):
         wanted = F.array_contains("vars", var)
-        full = {tier: F.col(f"{tier}_{i}") == everyone for tier in TIERS}
-        value = F.when(full[HISTORIC], _weighted(HISTORIC, i)).when(full[CURRENT], _weighted(CURRENT, i))
+        historic, current = 2 * i, 2 * i + 1
+        usable.append(~wanted | F.expr(f"{_full(historic)} or {_full(current)}"))
+        value = F.expr(f"if({_full(historic)}, {_weighted(historic)}, {_weighted(current)})")
         columns.append(F.when(wanted, value).alias(var))
-        usable.append(~wanted | full[HISTORIC] | full[CURRENT])
-    covered = F.size(F.array_except("vars", F.array(*[F.lit(v) for v in variables]))) == 0
-    whole = joined.filter(covered & reduce(lambda a, b: a & b, usable, F.lit(True)))
-    return whole.select("req_id", "time", "vars", *columns), variables
+    return joined.filter(reduce(lambda a, b: a & b, usable)).select("req_id", "time", "vars", *columns), variables
 
 
 def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,

@@ -198,6 +198,12 @@ def test_settled_is_judged_per_series(spark):
     assert marked == {(0, at(1)): True, (0, at(6)): False, (1, at(1)): False}
 
 
+def test_sources_without_a_rule_stay_current(spark):
+    current = frame(spark, [("current", T, 0, at(1), 1.0), ("current", T, 0, at(12), 1.0)], "stations")
+    history, left = promote.promoted(current, current.limit(0))
+    assert history.isEmpty() and left.count() == 2
+
+
 def test_empty_current_is_a_no_op(spark, tmp_path):
     path = str(tmp_path / "obs")
     write_obs(frame(spark, [("historic", T, 0, at(1), 1.0)]), path)
