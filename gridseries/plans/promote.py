@@ -7,7 +7,7 @@ from gridseries.operators.lifecycle import mark_settled, remaining_current, repl
 from gridseries.operators.quality import series_mismatch
 from gridseries.schema import CURRENT, HISTORIC, OBS_SCHEMA
 from gridseries.sinks.writers import replace_tier, write_obs
-from gridseries.sources.tables import STORED_OBS, path_exists, scan_obs
+from gridseries.sources.tables import STORED_OBS, path_exists
 
 
 class SeriesMismatch(RuntimeError):
@@ -84,9 +84,22 @@ def promoted(current: DataFrame, historic: DataFrame, force: bool = False) -> tu
 
 
 def refresh_current(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Land freshly ingested current rows: they replace stored rows with the same key."""
+    """Land freshly ingested current rows: they replace stored rows with the same key.
+
+    Only the partitions they fall in are read and rewritten. The rows are written aside first,
+    so that finding those partitions does not run the ingest a second time.
+    """
     if not path_exists(spark, path):
         write_obs(rows, path)
         return
-    staging = f"{path.rstrip('/')}/_staging/current"
-    replace_partitions(spark, replaced(rows, scan_obs(spark, path, tiers=[CURRENT])), path, staging)
+    staging = f"{path.rstrip('/')}/_staging"
+    rows.select(OBS_SCHEMA.names).write.mode("overwrite").parquet(f"{staging}/incoming")
+    fresh = spark.read.schema(OBS_SCHEMA).parquet(f"{staging}/incoming")
+    touched = touched_partitions(fresh)
+    if not touched:
+        return
+    # a handful of products
+    sources = [r["source"] for r in fresh.select("source").distinct().collect()]
+    table = spark.read.schema(STORED_OBS).parquet(path).filter(
+        (F.col("tier") == CURRENT) & F.col("source").isin(sources) & in_partitions(touched))
+    replace_partitions(spark, replaced(fresh, table), path, f"{staging}/merged")

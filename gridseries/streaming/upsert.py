@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridseries.operators.lifecycle import cutoff
-from gridseries.operators.series import union_priority
-from gridseries.plans.promote import in_partitions, replace_partitions, touched_partitions
+from gridseries.plans.promote import refresh_current
 from gridseries.schema import CURRENT, OBS_KEY, OBS_SCHEMA, SERIES
 from gridseries.sources.tables import STORED_OBS, path_exists
 
@@ -45,14 +44,7 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, path: str, rejects: str,
         marked.filter("late").drop("late").write.mode("overwrite").parquet(folder)
     late = spark.read.schema(OBS_SCHEMA).parquet(folder)
     fresh = newest.join(late.select(OBS_KEY), OBS_KEY, "left_anti")
-
-    touched = touched_partitions(fresh)
-    if not touched:
-        return
-    sources = [r["source"] for r in fresh.select("source").distinct().collect()]
-    stored = current.filter(F.col("source").isin(sources) & in_partitions(touched))
-    merged = union_priority(fresh.select(OBS_SCHEMA.names), stored.select(OBS_SCHEMA.names), OBS_KEY)
-    replace_partitions(spark, merged, path, f"{path.rstrip('/')}/_staging/stream")
+    refresh_current(spark, fresh, path)
 
 
 def stream_ingest(spark: SparkSession, incoming: str, path: str, rejects: str, checkpoint: str,
