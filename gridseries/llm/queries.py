@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from gridseries.llm import language, toxicity
 from gridseries.llm.decontaminate import contamination
-from gridseries.llm.tables import table
+from gridseries.llm.tables import remainder, table
 
 
 def op1_decontaminate(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = language.fit(docs.where(remainder("doc_id", 5) != 0))
+    found = language.with_language(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    machine = toxicity.fit(docs, labels.where(remainder("doc_id", 3) != 1).select("doc_id", "toxic"))
+    found = toxicity.with_toxicity(docs, machine)
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate,
+    op1_decontaminate, op4_language, op5_toxicity,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
