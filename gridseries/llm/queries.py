@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, toxicity
+from gridseries.llm import language, packing, toxicity
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, table
 
@@ -27,8 +29,22 @@ def op5_toxicity(spark, sf_dir):
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def tokenizer_path() -> str:
+    """The byte-level vocabulary: from BYTE_BPE_PATH, else the installed collection of public ones."""
+    if "BYTE_BPE_PATH" in os.environ:
+        return os.environ["BYTE_BPE_PATH"]
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_packing(spark, sf_dir):
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op4_language, op5_toxicity,
+    op1_decontaminate, op4_language, op5_toxicity, op6_packing,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

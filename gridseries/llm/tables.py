@@ -33,3 +33,25 @@ def text_bytes(df: DataFrame, *columns: str) -> int:
 def pieces(df: DataFrame, bytes_each: int, least: int, *columns: str) -> int:
     """How many parts of about `bytes_each` a table's texts make; follows the input."""
     return max(least, -(-text_bytes(df, *columns) // bytes_each))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write the rows once below the shared folder and read them back from there.
+
+    Unlike checkpoint() this evaluates the plan once. `drop_stored` removes the folders of a session
+    when their results are no longer read.
+    """
+    folder = shared_folder(df.sparkSession, name)
+    _written.append(folder)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+_written: list[str] = []
+
+
+def drop_stored(spark: SparkSession) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
