@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, packing, toxicity
+from gridseries.llm import language, packing, repeats, toxicity
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, table
 
@@ -43,8 +43,14 @@ def op6_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op7_repeats(spark, sf_dir):
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op4_language, op5_toxicity, op6_packing,
+    op1_decontaminate, op4_language, op5_toxicity, op6_packing, op7_repeats,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
