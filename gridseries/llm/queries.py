@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, packing, repeats, toxicity
+from gridseries.llm import language, packing, perplexity, repeats, toxicity
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, table
 
@@ -15,6 +15,12 @@ def op1_decontaminate(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    scored = perplexity.score_texts(docs, remainder("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     net = language.fit(docs.where(remainder("doc_id", 5) != 0))
@@ -50,7 +56,7 @@ def op7_repeats(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op4_language, op5_toxicity, op6_packing, op7_repeats,
+    op1_decontaminate, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +15,26 @@ from pyspark.sql import functions as F
 from gridseries.session import ensure_checkpoint_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors once per context, where it may not be installed.
+
+    The archive is a file of the driver's own; Spark serves it to the executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_gridseries_shipped", False):
+        return
+    top, archive = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(top.rglob("*.py")):
+            out.write(source, source.relative_to(top.parent))
+    path = os.path.join(tempfile.mkdtemp(prefix="gridseries-code-"), "gridseries.zip")
+    Path(path).write_bytes(archive.getvalue())
+    context.addPyFile(path)
+    context._gridseries_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
