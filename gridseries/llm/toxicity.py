@@ -91,7 +91,7 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return kept[(a - expected) ** 2 > CHI_SQUARE * np.maximum(spread, 1e-9)]
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: int = 30, seed: int = 3) -> Machine:
+def train(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: int = 40, seed: int = 3) -> Machine:
     """Adaptive stochastic gradients over single rows, with weight decay on the terms a row has."""
     rng = np.random.default_rng(seed)
     kept = telling(rows, labels)
@@ -114,7 +114,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs:
             bias -= 0.1 * error / np.sqrt(seen_bias)
             g = error + 1e-4 * linear[s]
             seen_linear[s] += g * g
-            linear[s] -= 0.1 * g / np.sqrt(seen_linear[s])
+            linear[s] -= 0.3 * g / np.sqrt(seen_linear[s])
             g = np.clip(error * (total - v), -1, 1) + 1e-3 * v
             seen_factors[s] += g * g
             factors[s] -= 0.02 * g / np.sqrt(seen_factors[s])
@@ -131,7 +131,8 @@ def training_rows(documents: DataFrame, labels: DataFrame, most_rows: int = MOST
     each = most_rows // 2
     draw = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic") == 1, 1.2 * each / counts[1]).otherwise(1.2 * each / counts[0])
-    drawn = known.where(draw < share)
+    # about 1.2 * most_rows rows at any size of the input, so the texts need no shuffle
+    drawn = F.broadcast(known.where(draw < share))
     rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text").join(drawn, "doc_id")
 
     def hashed(batches: Iterator[pa.RecordBatch]):
