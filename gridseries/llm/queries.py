@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, packing, perplexity, repeats, toxicity
+from gridseries.llm import language, near, packing, perplexity, repeats, toxicity
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, table
 
@@ -15,6 +15,11 @@ def op1_decontaminate(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_near_duplicates(spark, sf_dir):
+    found = near.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_members", "n_shingles")
+
+
 def op3_score(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     scored = perplexity.score_texts(docs, remainder("doc_id", 10) != 0)
@@ -56,7 +61,7 @@ def op7_repeats(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats,
+    op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
