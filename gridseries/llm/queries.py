@@ -6,9 +6,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, near, packing, perplexity, repeats, toxicity
+from gridseries.llm import language, near, packing, perplexity, repeats, toxicity, warc
 from gridseries.llm.decontaminate import contamination
-from gridseries.llm.tables import remainder, table
+from gridseries.llm.tables import remainder, shared_folder, table
 
 
 def op1_decontaminate(spark, sf_dir):
@@ -60,8 +60,14 @@ def op7_repeats(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_warc(spark, sf_dir):
+    folder = shared_folder(spark, "archives")
+    index = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.read_archives(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats,
+    op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats, op9_warc,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
