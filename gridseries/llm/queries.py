@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, near, packing, perplexity, repeats, toxicity, warc
+from gridseries.llm import language, near, neighbours, packing, perplexity, repeats, toxicity, warc
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, shared_folder, table
 
@@ -60,6 +60,10 @@ def op7_repeats(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op9_warc(spark, sf_dir):
     folder = shared_folder(spark, "archives")
     index = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
@@ -67,7 +71,7 @@ def op9_warc(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats, op9_warc,
+    op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats, op8_neighbours, op9_warc,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
