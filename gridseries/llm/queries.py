@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, near, neighbours, packing, perplexity, repeats, toxicity, warc
+from gridseries.llm import language, licenses, near, neighbours, packing, perplexity, repeats, toxicity, warc
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, shared_folder, table
 
@@ -70,8 +70,15 @@ def op9_warc(spark, sf_dir):
     return warc.read_archives(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_licenses(spark, sf_dir):
+    """The tables have no paths: a document lies in a directory of its source and of its id by thousands."""
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return licenses.scan_licenses(files).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats, op8_neighbours, op9_warc,
+    op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats, op8_neighbours, op9_warc, op10_licenses,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
