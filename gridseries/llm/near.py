@@ -216,6 +216,13 @@ def one_of_each(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     """Documents with one row of each class, that of the smallest doc_id; columns unchanged."""
     classes = near_duplicates(documents, threshold).where(F.col("n_shingles") > 0)
     gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
-    kept = documents.withColumn("_node", _node()).join(
-        gone.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_node") == gone["_node"]), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_gone"))
+    gone = gone.distinct().withColumnRenamed("_node", "_gone")
+    kept = documents.withColumn("_node", _node()).join(gone, same, "left_anti")
+    # rows that repeat the one that stays: rare, and looked for among ids only
+    again = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id", "node").agg(F.count("*").alias("n")).where("n > 1")
+    if not again.isEmpty():
+        again = again.select(F.col("doc_id").alias("_id"), F.col("node").alias("_gone"))
+        once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "_node"])
+        kept = kept.join(again, same, "left_anti").unionByName(once)
     return kept.drop("_node")

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with all other columns under names no operator uses, and what gives them their names back."""
+    names = df.columns
+    apart = [c if c in needed else f"_column{i}" for i, c in enumerate(names)]
+    return df.toDF(*apart), lambda out: out.select(*(F.col(a).alias(n) for a, n in zip(apart, names)))
+
+
 def remainder(key: str, of: int) -> Column:
     """crc32 of the key as text, modulo `of`; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % of
