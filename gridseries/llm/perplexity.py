@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.flat import LOWER, flatten, mix, prefix_hash, span_hash, word_spans
+from gridseries.llm.flat import LOWER, flatten, mix, prefix_hash, slices, span_hash, word_spans
 from gridseries.llm.tables import pieces, stored
 
 PRIOR = 20.0
 BATCH_BYTES = 12 << 20
+SLICE = 1 << 20
 LEAST_BATCHES = 16
 WORD_BYTE = np.ones(256, bool)
 WORD_BYTE[[32, 9, 10, 11, 12, 13]] = False
@@ -69,7 +70,14 @@ def _training(table: pa.Table, begins: np.ndarray) -> np.ndarray:
 
 
 def _texts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return token_keys(table["text"].combine_chunks().cast(pa.large_string()) if table["text"].num_chunks else pa.array([], pa.large_string()))
+    """Token keys of a whole batch, hashed in slices so that the work arrays stay small."""
+    keys, begins, n = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
+    for batch in slices(table.select(["text"]).to_batches(), "text", SLICE):
+        own, first = token_keys(batch.column(0))
+        keys.append(own)
+        begins.append(first[1:] + n)
+        n += len(own)
+    return np.concatenate(keys), np.concatenate(begins)
 
 
 class Automaton:
@@ -110,8 +118,24 @@ class Automaton:
         return out
 
 
-def _packed(x: np.ndarray, kind) -> bytes:
-    return np.ascontiguousarray(x).astype(kind, copy=False).tobytes()
+def _planes(x: np.ndarray, kind: str) -> bytes:
+    """Numbers byte by byte: first all lowest bytes, last all highest, which the shuffle then compresses."""
+    x = np.ascontiguousarray(x).astype(kind, copy=False)
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Ordered keys by their differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)), "<u8")
+
+
+def _keys(steps: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(steps, "<u8"), dtype=np.uint64)
 
 
 def score_texts(documents: DataFrame, training: Column, prior: float = PRIOR) -> DataFrame:
@@ -126,37 +150,42 @@ def score_texts(documents: DataFrame, training: Column, prior: float = PRIOR) ->
         training = _training(table, begins)
         words, word_counts = _counted(keys, training)
         pairs, pair_counts = _counted(pair_keys(keys, begins), training)
-        word_to, pair_to = (np.searchsorted(x, _borders(batches)) for x in (words, pairs))
+        word_to, pair_to = (_shares(x, batches) for x in (words, pairs))
         out = []
         for r in range(batches):
             w, p = slice(word_to[r], word_to[r + 1]), slice(pair_to[r], pair_to[r + 1])
-            out.append((_packed(words[w], "<u8"), _packed(word_counts[w], "<u4"), _packed(pairs[p], "<u8"), _packed(pair_counts[p], "<u4")))
+            out.append((_steps(words[w]), _planes(word_counts[w], "<u4"), _steps(pairs[p]), _planes(pair_counts[p], "<u4")))
         columns = [pa.array(c, pa.binary()) for c in zip(*out)]
         own = table["batch"][0].as_py()
         return pa.table([pa.array(range(batches), pa.int64()), pa.array([own] * batches, pa.int64()), *columns], names)
 
     def add(table: pa.Table) -> pa.Table:
-        out = {"batch": table["batch"].to_pylist()}
+        out = {"batch": table["batch"].to_pylist(), "reducer": table["reducer"].to_pylist()}
         kinds = tokens = 0
         for name in ("word", "pair"):
-            blobs = [np.frombuffer(x, "<u8") for x in table[name + "s"].to_pylist()]
-            keys, counts = np.concatenate(blobs), np.concatenate([np.frombuffer(x, "<u4") for x in table[name + "_counts"].to_pylist()])
-            distinct, inverse = np.unique(keys, return_inverse=True)
-            total = np.bincount(inverse, counts, len(distinct)).astype(np.int64)
+            blobs = [_keys(x.as_py()) for x in table[name + "s"]]
+            at = np.cumsum([0, *map(len, blobs)])
+            keys = np.concatenate(blobs)
+            del blobs
+            counts = np.concatenate([_numbers(x.as_py(), "<u4") for x in table[name + "_counts"]])
+            inverse = np.unique(keys, return_inverse=True)[1]
+            total = np.bincount(inverse, counts).astype(np.int64)
             if name == "word":
                 kinds, tokens = int((total > 0).sum()), int(total.sum())
-            tell = total[inverse] != counts
-            at = np.cumsum([0, *map(len, blobs)])
-            out[name + "s"] = [_packed(keys[a:b][tell[a:b]], "<u8") for a, b in zip(at, at[1:])]
-            out[name + "_counts"] = [_packed(total[inverse[a:b]][tell[a:b]], "<u8") for a, b in zip(at, at[1:])]
+            total = total[inverse]
+            tell = total != counts
+            # the batch has the same keys in the same order, so marks say which ones the totals are for
+            out[name + "s"] = [np.packbits(tell[a:b]).tobytes() for a, b in zip(at, at[1:])]
+            out[name + "_counts"] = [_planes(total[a:b][tell[a:b]], "<u8") for a, b in zip(at, at[1:])]
         n = len(out["batch"])
         out["kinds"], out["tokens"] = [kinds] + [0] * (n - 1), [tokens] + [0] * (n - 1)
-        return pa.table({"batch": pa.array(out["batch"], pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in names[2:]},
+        return pa.table({"batch": pa.array(out["batch"], pa.int64()), "reducer": pa.array(out["reducer"], pa.int64()),
+                         **{k: pa.array(out[k], pa.binary()) for k in names[2:]},
                          "kinds": pa.array(out["kinds"], pa.int64()), "tokens": pa.array(out["tokens"], pa.int64())})
 
-    blobs = "batch long, words binary, word_counts binary, pairs binary, pair_counts binary"
-    sent = dealt.groupBy("batch").applyInArrow(send, f"reducer long, {blobs}")
-    answers = stored(sent.groupBy("reducer").applyInArrow(add, f"{blobs}, kinds long, tokens long"), "answers")
+    blobs = "words binary, word_counts binary, pairs binary, pair_counts binary"
+    sent = dealt.groupBy("batch").applyInArrow(send, f"reducer long, batch long, {blobs}")
+    answers = stored(sent.groupBy("reducer").applyInArrow(add, f"batch long, reducer long, {blobs}, kinds long, tokens long"), "answers")
     kinds, tokens = answers.agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     texts = rows.where("training").count()
 
@@ -167,9 +196,10 @@ def score_texts(documents: DataFrame, training: Column, prior: float = PRIOR) ->
         learned = []
         for name, own in (("word", keys), ("pair", pair_of)):
             distinct, counts = _counted(own, training)
-            told = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(x, "<u8") for x in right[name + "s"].to_pylist())])
-            total = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(x, "<u8") for x in right[name + "_counts"].to_pylist())])
-            counts[np.searchsorted(distinct, told)] = total
+            edges = _shares(distinct, batches)
+            for r, marks, totals in zip(*(right[c].to_pylist() for c in ("reducer", name + "s", name + "_counts"))):
+                share = counts[edges[r]:edges[r + 1]]
+                share[np.unpackbits(np.frombuffer(marks, np.uint8), count=len(share)).astype(bool)] = _numbers(totals, "<u8")
             learned += [distinct, counts]
         automaton = Automaton(*learned, tokens, kinds, texts, prior)
         word = np.searchsorted(automaton.words, keys)
@@ -185,7 +215,7 @@ def score_texts(documents: DataFrame, training: Column, prior: float = PRIOR) ->
         score, "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _borders(parts: int) -> np.ndarray:
-    """First key of each reducer's share of the 64-bit range, and a last border past all."""
-    edges = [min((i << 64) // parts, (1 << 64) - 1) for i in range(parts + 1)]
-    return np.array(edges, np.uint64)
+def _shares(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where each reducer's share of the 64-bit range begins among ordered keys, and their end."""
+    borders = np.array([(i << 64) // parts for i in range(parts)], np.uint64)
+    return np.append(np.searchsorted(keys, borders), len(keys))
