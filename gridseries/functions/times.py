@@ -16,8 +16,9 @@ def as_time(x) -> Column:
 
 
 def parse_hour_key(text: Column) -> Column:
-    """`2024010123` -> 2024-01-01 23:00."""
-    return F.to_timestamp_ntz(text, F.lit("yyyyMMddHH"))
+    """`2024010123` -> 2024-01-01 23:00; null for anything else."""
+    digits = F.when(text.rlike("^[0-9]{10}$"), text)
+    return F.try_to_timestamp(digits, F.lit("yyyyMMddHH")).cast("timestamp_ntz")
 
 
 def parse_station_time(text: Column) -> Column:

@@ -95,10 +95,10 @@ def fill_by_hour(obs: DataFrame, trim: bool = False) -> DataFrame:
 
     One shuffle of the rows, by (series, hour, quarter): some ninety rows of an hourly series,
     however long it is. What is carried over the borders comes from a pre-aggregated table with
-    one row per key, which is the hashed side of the join.
+    one row per key; the join's sort is a prefix of the one the window needs.
     """
     rows, edges = _hour_gaps(obs)
-    joined = rows.join(edges.hint("shuffle_hash"), [*SERIES, "_hour", "_quarter"])
+    joined = rows.join(edges, [*SERIES, "_hour", "_quarter"])
     if trim:
         joined = joined.filter(F.col("time") <= F.col("_last"))
         has_gap = F.coalesce(F.col("_gap") <= F.col("_last"), F.lit(False))

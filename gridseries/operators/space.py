@@ -10,9 +10,11 @@ from gridseries.session import spread
 
 # A cell splits into 4 x 4 cells of the next level.
 SHIFT = 2
-# Cells with up to this many locations are not split.
+# Cells of one degree are split this often: to a sixteenth of a degree, finer than the grid products.
+LEVELS = 2
+# With `levels_needed`: cells with up to this many locations need no further split ...
 CELL_TARGET = 64
-# At the eighth level cells of one degree have shrunk to about two metres.
+# ... and at the eighth level they have shrunk to about two metres.
 MAX_LEVELS = 8
 
 
@@ -26,11 +28,14 @@ def nearest(catalogue: DataFrame, lat: float, lon: float, k: int = NEIGHBOURS,
     return box.withColumn("d", d).filter(F.col("d") < radius).orderBy("d", "loc_id").limit(k)
 
 
-def _levels_needed(points: DataFrame, size: float) -> int:
-    """How often cells have to be split until none holds too many locations.
+def levels_needed(catalogue: DataFrame, radius: float = RADIUS_DEGREES) -> int:
+    """A value of `levels` for crowded catalogues: how often cells have to be split until none holds many locations.
 
     One small job over the distinct coordinates of the catalogue; one row per level comes back.
     """
+    points = catalogue.select("source", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
+    points = points.filter(values.is_finite(F.col("plat")) & values.is_finite(F.col("plon")))
+    size = radius * (1 + 1e-9)
     finest = size / 4 ** MAX_LEVELS
     cells = (points.select("source", "plat", "plon").distinct()
              .select("source", F.floor(F.col("plat") / finest).alias("cy"), F.floor(F.col("plon") / finest).alias("cx"))
@@ -87,23 +92,21 @@ def _descend(candidates: DataFrame, cells: DataFrame, radius: float) -> DataFram
 
 
 def knn(requests: DataFrame, catalogue: DataFrame, k: int = NEIGHBOURS,
-        radius: float = RADIUS_DEGREES, levels: int | None = None) -> DataFrame:
+        radius: float = RADIUS_DEGREES, levels: int = LEVELS) -> DataFrame:
     """The k nearest locations of every request, strictly within `radius`, nearest first.
 
     `requests` has (req_id, source, lat, lon); a column `k` up to the argument may lower it per
     row. Neighbours lie in the 3 x 3 block of radius-sized cells around a request, so this is an
-    equi-join on cells. Where cells hold many locations, requests first descend a grid of
-    occupied cells and keep only the cells that can hold a neighbour, so a crowded cell is never
-    paired whole with the requests around it. The result is the same at any number of levels.
+    equi-join on cells. Requests first descend `levels` steps of a grid of occupied cells and keep
+    only the cells that can hold a neighbour, so a crowded cell is not paired whole with the requests
+    around it. The result is the same at any number of levels; catalogues far denser than the grid
+    products want more of them, which `levels_needed` finds. `requests` has unique ids.
     """
     points = catalogue.select(
         "source", "loc_id", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
     points = points.filter(values.is_finite(F.col("plat")) & values.is_finite(F.col("plon")))
     size = radius * (1 + 1e-9)
-    if levels is None:
-        levels = _levels_needed(points, size)
-    if levels:
-        points = _first_copies(points, k)
+    points = _first_copies(points, k)
     fine = size / 4 ** levels
     points = points.withColumns({
         "cy": F.floor(F.col("plat") / fine), "cx": F.floor(F.col("plon") / fine)})
@@ -195,10 +198,12 @@ def by_id(catalogue: DataFrame) -> DataFrame:
 def check_dense_ids(catalogue: DataFrame) -> DataFrame:
     """Ids that differ from their position in id order; empty for a sound catalogue.
 
+    Null ids come last and are always reported, one row for each, without a position.
     Positions are running counts over the distinct ids, first per block of 65 536 ids, then
     over the blocks (at most 65 536 of them), so no task sees the whole catalogue.
     """
-    counts = catalogue.groupBy("loc_id").agg(F.count("*").alias("n"))
+    nulls = catalogue.filter(F.col("loc_id").isNull()).select("loc_id", F.lit(None).cast("bigint").alias("position"))
+    counts = catalogue.filter(F.col("loc_id").isNotNull()).groupBy("loc_id").agg(F.count("*").alias("n"))
     counts = counts.withColumn("_block", F.shiftright("loc_id", 16))
     blocks = counts.groupBy("_block").agg(F.sum("n").alias("_n"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -210,4 +215,4 @@ def check_dense_ids(catalogue: DataFrame) -> DataFrame:
     off = placed.filter((F.col("_first") != F.col("loc_id")) | (F.col("n") > 1))
     positions = F.sequence(F.col("_first"), F.col("_first") + F.col("n") - 1)
     return (off.select("loc_id", F.explode(positions).alias("position"))
-            .filter(F.col("loc_id") != F.col("position")))
+            .filter(F.col("loc_id") != F.col("position")).unionByName(nulls))

@@ -19,7 +19,8 @@ def _allowed(source: Column) -> Column:
 def checked_requests(raw: DataFrame) -> DataFrame:
     """Parse the text fields and name the first thing wrong with each request, if any.
 
-    Checks run in a fixed order: source given, source known, coordinates given, numeric,
+    An id that several requests share is no id, so all of them are refused. Checks run in a fixed
+    order: id given and unique, source given, source known, coordinates given, numeric,
     variables given, known for the source, dates. Any mode but `snap` means `idw`.
     """
     source = F.lower("data_source")
@@ -36,6 +37,8 @@ def checked_requests(raw: DataFrame) -> DataFrame:
     known = F.col("source").isin(SERVED_SOURCES)
     numeric = values.is_finite(F.col("lat")) & values.is_finite(F.col("lon"))
     problems = [
+        (F.col("req_id").isNull(), F.lit("req_id is missing")),
+        (F.col("_again").isNotNull(), F.lit("req_id is not unique")),
         (F.col("source").isNull(), F.lit("data_source is missing")),
         (~known, F.lit("data_source is unknown")),
         (F.col("_no_place"), F.lit("lat or lon is missing")),
@@ -47,7 +50,8 @@ def checked_requests(raw: DataFrame) -> DataFrame:
     ]
     first = reduce(lambda rest, p: F.when(p[0], p[1]).otherwise(rest), reversed(problems),
                    F.lit(None).cast("string"))
-    return parsed.withColumn("error", first).drop("_unknown", "_no_place")
+    again = raw.groupBy("req_id").agg(F.count("*").alias("_again")).filter(F.col("_again") > 1)
+    return parsed.join(again, "req_id", "left").withColumn("error", first).drop("_unknown", "_no_place", "_again")
 
 
 def validate_requests(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

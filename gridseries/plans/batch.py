@@ -6,8 +6,6 @@ all its requests, so shuffled volume follows the number of stencils, not of requ
 weighted sums need no further shuffle.
 """
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +15,7 @@ from gridseries.operators.space import idw_weights, knn
 from gridseries.operators.validate import unanswered, validate_requests
 from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES
 from gridseries.session import ensure_checkpoint_dir, spread
+from gridseries.sinks.writers import write_raw
 from gridseries.sources.tables import scan_obs
 
 TIERS = (HISTORIC, CURRENT)
@@ -28,9 +27,14 @@ GROUP = ["place", "salt"]
 
 
 def request_profile(requests: DataFrame) -> dict:
-    """What the scan can be pruned by: sources, variables and time span (one row)."""
+    """What the scan can be pruned by: sources, variables and time span (one row).
+
+    Raises if an id occurs twice: ranks, weights and answers go by id.
+    """
     exploded = requests.select("source", F.explode("vars").alias("var"), "start_time", "end_time")
     row = exploded.agg(F.collect_set("source"), F.collect_set("var"), F.min("start_time"), F.max("end_time")).first()
+    if not requests.groupBy("req_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        raise ValueError("request ids are not unique")
     return {"sources": sorted(row[0]), "variables": sorted(row[1]), "start": row[2], "end": row[3]}
 
 
@@ -47,15 +51,15 @@ def with_stencils(requests: DataFrame, catalogue: DataFrame, radius: float = RAD
                        F.col("near.weight").alias("weights"))
 
 
-def with_salt(requests: DataFrame) -> DataFrame:
-    """Split the requests of crowded stencils into groups.
+def with_salt(requests: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """Split the requests of crowded stencils into groups of about `group_limit`.
 
-    The list of crowded stencils is shorter than requests / GROUP_LIMIT, so it is broadcast.
+    Crowded stencils are fewer than requests / group_limit; they join without a hint.
     """
     crowded = (requests.groupBy("place").agg(F.count("*").alias("n"))
-               .filter(F.col("n") > GROUP_LIMIT)
-               .withColumn("salts", F.ceil(F.col("n") / GROUP_LIMIT)))
-    salted = requests.join(F.broadcast(crowded.drop("n")), "place", "left")
+               .filter(F.col("n") > group_limit)
+               .withColumn("salts", F.ceil(F.col("n") / group_limit)))
+    salted = requests.join(crowded.drop("n"), "place", "left")
     salt = F.pmod(F.xxhash64("req_id"), F.coalesce("salts", F.lit(1)))
     return salted.withColumn("salt", salt).drop("salts")
 
@@ -66,104 +70,111 @@ def by_day(requests: DataFrame) -> DataFrame:
     return requests.withColumn("day", F.explode(days))
 
 
-def stencil_values(obs: DataFrame, groups: DataFrame, variables: list[str]) -> DataFrame:
-    """One row per (group, time) with the values of every variable, tier and stencil position.
+def stencil_values(obs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row per (group, time) with `cells`, the complete variables there: (var, values by stencil position).
 
-    `groups` has distinct (place, salt, day). Variable i of history is kind 2i, of the current
-    tier 2i + 1. Column `v<kind>_<p>` holds the value at position p, `has<kind>` a bit per
-    position that has a row.
+    `groups` has distinct (place, salt, day). A variable is complete if one tier has a row for every
+    location of the stencil; history is taken before the current tier. The number of aggregates
+    does not depend on the number of variables.
     """
     members = groups.selectExpr(*GROUP, "day", "place.source", "posexplode(place.stencil) as (pos, loc_id)")
-    number = F.array_position(F.array(*[F.lit(v) for v in variables]), F.col("var")) * 2 - 2
-    rows = obs.select(
-        "source", "loc_id", "time", "value", F.to_date("time").alias("day"),
-        (number + (F.col("tier") == CURRENT).cast("int")).cast("int").alias("kind"))
+    rows = obs.select("source", "loc_id", "time", "var", "value", F.to_date("time").alias("day"),
+                      (F.col("tier") == CURRENT).alias("current"))
     hits = rows.join(members, ["source", "loc_id", "day"])
     # all rows of a group and day come together here; what follows stays in place
     together = spread(hits, *GROUP, "day")
     aggregates = []
-    for kind in range(2 * len(variables)):
-        aggregates.append(f"coalesce(bit_or(case when kind = {kind} then shiftleft(1, pos) end), 0) as has{kind}")
-        aggregates += [f"max(case when kind = {kind} and pos = {p} then value end) as v{kind}_{p}"
-                       for p in range(NEIGHBOURS)]
-    return together.groupBy(*GROUP, "day", "time").agg(*[F.expr(a) for a in aggregates])
+    for name, test in (("history", "not current"), ("current", "current")):
+        aggregates.append(f"bit_or(case when {test} then shiftleft(1, pos) end) as has_{name}")
+        aggregates += [f"max(case when {test} and pos = {p} then value end) as {name}_{p}" for p in range(NEIGHBOURS)]
+    tiers = together.groupBy(*GROUP, "day", "time", "var").agg(*[F.expr(a) for a in aggregates])
+
+    def full(name: str):
+        return F.coalesce(F.expr(f"has_{name} = shiftleft(1, size(place.stencil)) - 1"), F.lit(False))
+
+    def at_positions(name: str):
+        return F.array(*[f"{name}_{p}" for p in range(NEIGHBOURS)])
 
+    chosen = F.when(full("history"), at_positions("history")).otherwise(at_positions("current"))
+    complete = tiers.filter(full("history") | full("current")).withColumn("values", chosen)
+    return complete.groupBy(*GROUP, "day", "time").agg(F.collect_list(F.struct("var", "values")).alias("cells"))
 
-def _full(kind: int) -> str:
-    """Does every location of the stencil have a row?"""
-    return f"has{kind} = shiftleft(1, size(place.stencil)) - 1"
 
+def _weighted(weights, values):
+    """Sum over the stencil's positions; null if one of its values is."""
+    products = F.zip_with(weights, F.slice(values, F.lit(1), F.size(weights)), lambda w, v: w * v)
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
-def _weighted(kind: int) -> str:
-    return " + ".join(f"if(size(place.stencil) > {p}, get(weights, {p}) * v{kind}_{p}, 0D)" for p in range(NEIGHBOURS))
+
+def _needed_locations(asked: DataFrame):
+    """The range of location ids in any stencil, which the scan's row groups are skipped by; one row."""
+    ids = asked.select(F.explode("place.stencil").alias("loc_id"))
+    return ids.agg(F.min("loc_id").alias("low"), F.max("loc_id").alias("high")).first()
 
 
 def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None,
-             radius: float, profile: dict | None = None) -> tuple[DataFrame, list[str]]:
+             radius: float, profile: dict | None = None, group_limit: int = GROUP_LIMIT) -> tuple[DataFrame, list[str]]:
+    """(req_id, time, answers) with one (var, value) for each variable of the request, and the variables' names."""
     profile = profile or request_profile(requests)
     variables = variables or profile["variables"]
     if not variables:
-        no_time = F.lit(None).cast("timestamp_ntz").alias("time")
-        return requests.filter(F.lit(False)).select("req_id", no_time, "vars"), []
+        nothing = F.lit(None).cast("array<struct<var: string, value: double>>").alias("answers")
+        return requests.filter(F.lit(False)).select("req_id", F.lit(None).cast("timestamp_ntz").alias("time"), nothing), []
     rows = obs.filter(F.col("var").isin(variables) & F.col("source").isin(profile["sources"])
                       & F.col("tier").isin(*TIERS))
     rows = time_range(rows, profile["start"], profile["end"])
-    # read three times below; without the cut, the neighbour search would run for each of them
+    # read several times below; without the cut, the neighbour search would run for each of them
     ensure_checkpoint_dir(requests.sparkSession)
-    asked = with_salt(with_stencils(requests, catalogue, radius).checkpoint())
-    daily = spread(by_day(asked), *GROUP, "day")
-    shared = stencil_values(drop_sentinel(rows), daily.select(*GROUP, "day").distinct(), variables)
-    joined = shared.join(daily, [*GROUP, "day"])
-
-    listed = F.array(*[F.lit(v) for v in variables])
-    usable = [F.size(F.array_except("vars", listed)) == 0, F.expr("time between start_time and end_time")]
-    columns = []
-    for i, var in enumerate(variables):
-        wanted = F.array_contains("vars", var)
-        historic, current = 2 * i, 2 * i + 1
-        usable.append(~wanted | F.expr(f"{_full(historic)} or {_full(current)}"))
-        value = F.expr(f"if({_full(historic)}, {_weighted(historic)}, {_weighted(current)})")
-        columns.append(F.when(wanted, value).alias(var))
-    return joined.filter(reduce(lambda a, b: a & b, usable)).select("req_id", "time", "vars", *columns), variables
-
-
-def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
-                   variables: list[str] | None = None, radius: float = RADIUS_DEGREES) -> DataFrame:
+    near = with_stencils(requests, catalogue, radius).checkpoint()
+    need = _needed_locations(near)
+    rows = rows.filter(F.col("loc_id").between(need["low"], need["high"]))
+    daily = spread(by_day(with_salt(near, group_limit)), *GROUP, "day")
+    shared = stencil_values(drop_sentinel(rows), daily.select(*GROUP, "day").distinct())
+    joined = shared.join(daily, [*GROUP, "day"]).filter("time between start_time and end_time")
+    wanted = joined.withColumn("cells", F.filter("cells", lambda c: F.array_contains("vars", c["var"])))
+    answers = F.transform("cells", lambda c: F.struct(c["var"].alias("var"), _weighted(F.col("weights"), c["values"]).alias("value")))
+    # a time needs every variable of the request
+    return wanted.filter(F.size("cells") == F.size("vars")).select("req_id", "time", answers.alias("answers")), variables
+
+
+def _wide(answers: DataFrame, variables: list[str]) -> DataFrame:
+    by_name = F.map_from_entries("answers")
+    return answers.select("req_id", "time", *[F.try_element_at(by_name, F.lit(v)).alias(v) for v in variables])
+
+
+def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None = None,
+                   radius: float = RADIUS_DEGREES, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Wide results (req_id, time, one column per variable) for accepted requests.
 
     `requests` has (req_id, source, lat, lon, vars, start_time, end_time, mode) with unique ids.
-    Variables a request did not ask for are null in its rows. Two small jobs run at once, the
-    requests' profile and their neighbours; the result is lazy.
+    Variables a request did not ask for are null in its rows. A few small jobs over the requests run
+    at once; the result is lazy. `group_limit` bounds the requests that share one copy of a stencil's
+    rows; the result does not depend on it.
     """
-    wide, _ = _extract(requests, obs, catalogue, variables, radius)
-    return wide.drop("vars")
+    return _wide(*_extract(requests, obs, catalogue, variables, radius, None, group_limit))
 
 
 def extract_stored(spark: SparkSession, path: str, requests: DataFrame, catalogue: DataFrame,
                    radius: float = RADIUS_DEGREES) -> DataFrame:
-    """`extract_points` over a written table, reading only the partitions the requests need."""
+    """`extract_points` over a written table, reading only the partitions and locations the requests need."""
     need = request_profile(requests)
     obs = scan_obs(spark, path, need["sources"], TIERS, need["variables"], start=need["start"], end=need["end"])
-    wide, _ = _extract(requests, obs, catalogue, None, radius, need)
-    return wide.drop("vars")
+    return _wide(*_extract(requests, obs, catalogue, None, radius, need))
 
 
-def extract_series(requests: DataFrame, obs: DataFrame, catalogue: DataFrame,
-                   variables: list[str] | None = None, radius: float = RADIUS_DEGREES) -> DataFrame:
+def extract_series(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None = None,
+                   radius: float = RADIUS_DEGREES, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Long results (req_id, time, var, value), only for the variables each request asked for."""
-    wide, names = _extract(requests, obs, catalogue, variables, radius)
-    if not names:
-        return wide.select("req_id", "time", F.lit("").alias("var"), F.lit(0.0).alias("value"))
-    long = wide.unpivot(["req_id", "time", "vars"], [F.col(f"`{v}`") for v in names], "var", "value")
-    return long.filter(F.array_contains("vars", F.col("var"))).drop("vars")
+    answers, _ = _extract(requests, obs, catalogue, variables, radius, None, group_limit)
+    return answers.select("req_id", "time", F.inline("answers"))
 
 
-def run_requests(raw: DataFrame, obs: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
+def run_requests(raw: DataFrame, obs: DataFrame, catalogue: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Validate text requests and extract the good ones: (results, rejected with reason).
 
-    The rejections include requests without results. To avoid extracting twice, write the
-    results and pass the written table to `unanswered`.
+    The results are written to `path` once and read from there, also to find requests without any.
     """
     accepted, rejected = validate_requests(raw)
-    results = extract_points(accepted, obs, catalogue)
+    write_raw(extract_points(accepted, obs, catalogue), path)
+    results = raw.sparkSession.read.parquet(path)
     return results, rejected.unionByName(unanswered(accepted, results))

@@ -1,18 +1,16 @@
 """Raw landings to observation rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.functions import values
-from gridseries.operators.quality import drop_null_rows, drop_sentinel, fill_by_hour
-from gridseries.operators.shape import conform_names, correct_coords, value_column
+from gridseries.operators.quality import drop_sentinel, fill_by_hour
+from gridseries.operators.shape import conform_names, correct_coords
 from gridseries.operators.space import (
     check_dense_ids, distinct_coordinates, extend_catalogue, locate_cells, locate_stations)
-from gridseries.schema import (
-    CURRENT, KELVIN_VARIABLES, OBS_SCHEMA, VARIABLES, coordinate_fixes)
+from gridseries.schema import CURRENT, OBS_SCHEMA, VARIABLES, coordinate_fixes
 from gridseries.schema import variables as variable_table
 from gridseries.sinks.writers import write_obs
-from gridseries.sources.raw import normalise_time, parse_point_payload
+from gridseries.sources.raw import grid_files_of, grid_rows, parse_point_payload, payload_rejects, read_grid_raw
 
 
 def clean_point(obs: DataFrame) -> DataFrame:
@@ -28,20 +26,34 @@ def ingest_point(payloads: DataFrame, tier: str = CURRENT, source: str = "nasapo
     return clean_point(named.select(OBS_SCHEMA.names)).to(OBS_SCHEMA)
 
 
+def point_rejects(payloads: DataFrame) -> DataFrame:
+    """What `ingest_point` had to leave out: (loc_id, reason)."""
+    return payload_rejects(payloads, "payload", ["loc_id"])
+
+
+def _located(rows: DataFrame, catalogue: DataFrame, source: str, tier: str) -> DataFrame:
+    """`grid_rows` named, converted and located."""
+    tagged = rows.withColumns({"source": F.lit(source), "tier": F.lit(tier)})
+    named = conform_names(tagged, variable_table(rows.sparkSession), convert=True)
+    return locate_cells(named, catalogue).select(OBS_SCHEMA.names).to(OBS_SCHEMA)
+
+
 def ingest_grid(grid_raw: DataFrame, catalogue: DataFrame, source: str, tier: str = CURRENT) -> DataFrame:
-    """Flattened extracts of one variable: masked cells dropped, named, converted, located.
+    """One flattened extract: masked cells dropped, named, converted, located."""
+    return _located(grid_rows(grid_raw, source), catalogue, source, tier)
+
+
+def ingest_grid_files(spark: SparkSession, manifest: DataFrame, folder: str, var: str, catalogue: DataFrame, source: str,
+                      tier: str = CURRENT, fmt: str = "parquet", extensions: list[str] | None = None) -> DataFrame:
+    """All landed files of one variable. `manifest` has (file_name) of what lies in the folder.
 
-    Rows with a null in any column go, so auxiliary columns count.
+    File names go through the driver: one for each month of one variable.
     """
-    whole = drop_null_rows(normalise_time(grid_raw))
-    raw_name = value_column(whole, source)
-    var = VARIABLES[source].get(raw_name, raw_name)
-    value = F.col(f"`{raw_name}`").cast("double")
-    value = values.celsius(value, F.lit(var in KELVIN_VARIABLES))
-    rows = whole.select(
-        F.lit(source).alias("source"), F.lit(tier).alias("tier"), F.lit(var).alias("var"),
-        "longitude", "latitude", F.col("time").cast("timestamp_ntz").alias("time"), value.alias("value"))
-    return locate_cells(rows, catalogue).select(OBS_SCHEMA.names).to(OBS_SCHEMA)
+    chosen = grid_files_of(manifest, var, extensions=extensions).select("file_name").distinct().orderBy("file_name")
+    paths = [f"{folder.rstrip('/')}/{r['file_name']}" for r in chosen.collect()]
+    if not paths:
+        return spark.createDataFrame([], OBS_SCHEMA)
+    return _located(read_grid_raw(spark, paths, source, fmt), catalogue, source, tier)
 
 
 def ingest_stations(raw: DataFrame, old_catalogue: DataFrame, tier: str = CURRENT,

@@ -6,23 +6,18 @@ from pyspark.sql import functions as F
 from gridseries.operators.lifecycle import mark_settled, remaining_current, replaced
 from gridseries.operators.quality import series_mismatch
 from gridseries.schema import CURRENT, HISTORIC, OBS_SCHEMA
-from gridseries.sinks.writers import replace_tier, write_obs
+from gridseries.sinks.files import remove
+from gridseries.sinks.swap import finish_swaps, staging_folder, swap
+from gridseries.sinks.writers import write_obs
 from gridseries.sources.tables import STORED_OBS, path_exists
 
 
 class SeriesMismatch(RuntimeError):
-    pass
+    """Series in only one tier; `report` is the folder that lists them all."""
 
-
-def replace_partitions(spark: SparkSession, rows: DataFrame, path: str, staging: str) -> None:
-    """Overwrite the partitions that `rows` fall in.
-
-    `rows` may read `path`, so they are written to the staging folder first, as they are, and
-    laid out from there: the sampling pass of the layout then reads files instead of running
-    the query again. After a crash the job can simply run again.
-    """
-    rows.select(OBS_SCHEMA.names).write.mode("overwrite").parquet(staging)
-    write_obs(spark.read.schema(OBS_SCHEMA).parquet(staging), path, partition_mode="dynamic")
+    def __init__(self, n: int, report: str):
+        super().__init__(f"{n} series are in only one tier, see {report}")
+        self.n, self.report = n, report
 
 
 def touched_partitions(rows: DataFrame) -> list[tuple]:
@@ -48,31 +43,34 @@ def in_partitions(touched: list[tuple]) -> Column:
 def promote(spark: SparkSession, path: str, source: str, force: bool = False) -> bool:
     """Promote the settled rows of one source; False if there was nothing to do.
 
-    Only the historic partitions that receive rows are rewritten. History is written before the
-    current tier, so a crash in between leaves rows in both, which readers tolerate.
+    Only the historic partitions that receive rows are rewritten. All that is written is staged
+    first; a promotion that a crash interrupted is finished before anything else.
     """
+    finish_swaps(spark, path)
     table = spark.read.schema(STORED_OBS).parquet(path).filter(F.col("source") == source)
     current = table.filter(F.col("tier") == CURRENT).select(OBS_SCHEMA.names)
     historic = table.filter(F.col("tier") == HISTORIC)
     if current.isEmpty():
         return False
-    mismatch = series_mismatch(current, historic)
-    if not force and not mismatch.isEmpty():
-        raise SeriesMismatch(f"series in only one tier: {mismatch.limit(20).collect()}")
-
-    marked = mark_settled(current, force)
+    if not force:
+        report = f"{path.rstrip('/')}/_mismatch/source={source}"
+        series_mismatch(current, historic).write.mode("overwrite").parquet(report)
+        n = spark.read.parquet(report).count()
+        if n:
+            raise SeriesMismatch(n, report)
+
+    # judged once; the rest reads the staged rows
+    run = staging_folder(path)
+    mark_settled(current, force).write.parquet(f"{run}/marked")
+    marked = spark.read.parquet(f"{run}/marked")
     settled = marked.filter("settled").drop("settled").withColumn("tier", F.lit(HISTORIC))
     touched = touched_partitions(settled)
     if not touched:
+        remove(spark, run)
         return False
     affected = historic.filter(in_partitions(touched)).select(OBS_SCHEMA.names)
-    staging = f"{path.rstrip('/')}/_staging"
-    replace_partitions(spark, replaced(settled, affected), path, f"{staging}/{source}_historic")
-
     # the current tier is small and is replaced as a whole
-    kept = f"{staging}/{source}_current"
-    remaining_current(marked).select(OBS_SCHEMA.names).write.mode("overwrite").parquet(kept)
-    replace_tier(spark.read.schema(OBS_SCHEMA).parquet(kept), path, source, CURRENT)
+    swap(spark, path, run, replaced(settled, affected), {(source, CURRENT): remaining_current(marked)})
     return True
 
 
@@ -92,14 +90,16 @@ def refresh_current(spark: SparkSession, rows: DataFrame, path: str) -> None:
     if not path_exists(spark, path):
         write_obs(rows, path)
         return
-    staging = f"{path.rstrip('/')}/_staging"
-    rows.select(OBS_SCHEMA.names).write.mode("overwrite").parquet(f"{staging}/incoming")
-    fresh = spark.read.schema(OBS_SCHEMA).parquet(f"{staging}/incoming")
+    finish_swaps(spark, path)
+    run = staging_folder(path)
+    rows.select(OBS_SCHEMA.names).write.parquet(f"{run}/incoming")
+    fresh = spark.read.schema(OBS_SCHEMA).parquet(f"{run}/incoming")
     touched = touched_partitions(fresh)
     if not touched:
+        remove(spark, run)
         return
     # a handful of products
     sources = [r["source"] for r in fresh.select("source").distinct().collect()]
     table = spark.read.schema(STORED_OBS).parquet(path).filter(
         (F.col("tier") == CURRENT) & F.col("source").isin(sources) & in_partitions(touched))
-    replace_partitions(spark, replaced(fresh, table), path, f"{staging}/merged")
+    swap(spark, path, run, replaced(fresh, table))

@@ -1,7 +1,5 @@
 """Session settings shared by jobs and tests."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = {
@@ -11,6 +9,7 @@ CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -25,7 +24,7 @@ def build_session(app: str = "gridseries", master: str | None = None, **conf) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; only a local session gets one of its own."""
+    """Use the cluster's checkpoint folder; only a local session gets one, below its warehouse."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
@@ -33,7 +32,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="gridseries-checkpoint-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(folder)
 
 

@@ -1,0 +1,65 @@
+"""Replacing parts of a written table from staged rows, so that a crash at any point loses nothing.
+
+A swap first stages all rows it will write, below `_staging` in a folder of its own, then marks them
+ready, and only then touches the table. What it overwrites is therefore still staged whole until the
+swap is over. `finish_swaps` runs before any other change: a swap that was ready is carried out again
+from its staged rows, which gives the same table however far it had come; one that was not ready has
+changed nothing and is dropped. One job at a time changes a table.
+"""
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from gridseries.schema import OBS_SCHEMA
+from gridseries.sinks.files import exists, folders, remove
+from gridseries.sinks.writers import replace_tier, write_obs
+
+
+def _staging(path: str) -> str:
+    return f"{path.rstrip('/')}/_staging"
+
+
+def _apply(spark: SparkSession, path: str, run: str) -> None:
+    """Write the staged parts: partitions first, then whole tiers. A part is gone once it is written."""
+    parts = folders(spark, run)
+    if "partitions" in parts:
+        write_obs(spark.read.schema(OBS_SCHEMA).parquet(f"{run}/partitions"), path, partition_mode="dynamic")
+    for part in parts:
+        if part.startswith("tier="):
+            for source in folders(spark, f"{run}/{part}"):
+                rows = spark.read.schema(OBS_SCHEMA).parquet(f"{run}/{part}/{source}")
+                replace_tier(rows, path, source.removeprefix("source="), part.removeprefix("tier="))
+    remove(spark, run)
+
+
+def finish_swaps(spark: SparkSession, path: str) -> int:
+    """Carry out swaps that a crash interrupted; returns how many."""
+    done = 0
+    for name in folders(spark, _staging(path)):
+        run = f"{_staging(path)}/{name}"
+        if exists(spark, f"{run}/ready/_SUCCESS"):
+            _apply(spark, path, run)
+            done += 1
+        else:
+            remove(spark, run)
+    return done
+
+
+def staging_folder(path: str) -> str:
+    """A new folder for one swap's rows; it counts for nothing until `swap` marks it ready."""
+    return f"{_staging(path)}/{uuid.uuid4().hex}"
+
+
+def swap(spark: SparkSession, path: str, run: str, partitions: DataFrame | None = None,
+         tiers: dict[tuple[str, str], DataFrame] | None = None) -> None:
+    """Overwrite the partitions that `partitions` fall in, and the (source, tier) of `tiers` as a whole.
+
+    All of them may read the table: they are evaluated before it changes.
+    """
+    if partitions is not None:
+        partitions.select(OBS_SCHEMA.names).write.mode("overwrite").parquet(f"{run}/partitions")
+    for (source, tier), rows in (tiers or {}).items():
+        rows.select(OBS_SCHEMA.names).write.mode("overwrite").parquet(f"{run}/tier={tier}/source={source}")
+    spark.range(1).write.mode("overwrite").parquet(f"{run}/ready")
+    _apply(spark, path, run)

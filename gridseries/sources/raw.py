@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridseries.functions import names, times
+from gridseries.operators.quality import drop_null_rows
+from gridseries.operators.shape import value_column
 
 PAYLOAD_SCHEMA = "struct<properties: struct<parameter: map<string, map<string, double>>>>"
 STATION_EXTRAS = ["geometry", "height", "externalId", "name", "station_id", "ref"]
@@ -16,7 +18,8 @@ def parse_point_payload(df: DataFrame, json_col: str, keep: list[str]) -> DataFr
 
     Parameters of one payload are aligned on the union of their hours: an hour that one of
     them lacks becomes a row with a null value. Each payload is one location and year, so the
-    hour lists are bounded and the alignment needs no shuffle.
+    hour lists are bounded and the alignment needs no shuffle. Rows whose hour key is no time are
+    left out; `payload_rejects` reports them and payloads that cannot be read.
     """
     parsed = df.select(
         *keep, F.from_json(json_col, PAYLOAD_SCHEMA).getField("properties").getField("parameter").alias("params"))
@@ -27,9 +30,21 @@ def parse_point_payload(df: DataFrame, json_col: str, keep: list[str]) -> DataFr
         lambda h: F.struct(h.alias("key"), F.lit(None).cast("double").alias("value")))
     rows = by_param.select(
         *keep, "raw_name", F.explode(F.concat(F.map_entries("by_hour"), missing)).alias("entry"))
-    return rows.select(
+    rows = rows.select(
         *keep, "raw_name", times.parse_hour_key(F.col("entry.key")).alias("time"),
         F.col("entry.value").alias("value"))
+    return rows.filter(F.col("time").isNotNull())
+
+
+def payload_rejects(df: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
+    """(keep, reason) of payloads without readable parameters, and of each bad hour key."""
+    params = F.from_json(json_col, PAYLOAD_SCHEMA).getField("properties").getField("parameter")
+    hours = F.array_distinct(F.flatten(F.transform(F.map_values("params"), lambda m: F.map_keys(m))))
+    bad = F.filter(hours, lambda h: times.parse_hour_key(h).isNull())
+    parsed = df.select(*keep, params.alias("params")).withColumn(
+        "reasons", F.when(F.coalesce(F.size("params") < 1, F.lit(True)), F.array(F.lit("no readable parameters")))
+        .otherwise(F.transform(bad, lambda h: F.concat(F.lit("bad hour key: "), h))))
+    return parsed.select(*keep, F.explode("reasons").alias("reason"))
 
 
 def normalise_time(df: DataFrame) -> DataFrame:
@@ -41,10 +56,33 @@ def normalise_time(df: DataFrame) -> DataFrame:
     raise ValueError(f"no time column among {df.columns}")
 
 
-def read_grid_raw(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> DataFrame:
-    """All extracts of one variable; the files may differ in column order and time name."""
-    parts = [normalise_time(spark.read.format(fmt).option("header", True).load(p)) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+def grid_rows(extract: DataFrame, source: str) -> DataFrame:
+    """raw_name, longitude, latitude, time, value of the unmasked cells of one extract.
+
+    Rows with a null in any column go, so auxiliary columns count.
+    """
+    whole = drop_null_rows(normalise_time(extract))
+    raw_name = value_column(whole, source)
+    return whole.select(
+        F.lit(raw_name).alias("raw_name"), F.col("longitude").cast("double").alias("longitude"),
+        F.col("latitude").cast("double").alias("latitude"), F.col("time").cast("timestamp_ntz").alias("time"),
+        F.col(f"`{raw_name}`").cast("double").alias("value"))
+
+
+def read_grid_raw(spark: SparkSession, paths: list[str], source: str, fmt: str = "parquet") -> DataFrame:
+    """`grid_rows` of all files of a variable, which may differ in columns, their order and the time's name.
+
+    Files with the same columns are read by one scan. Each such group is reduced to common columns
+    before the union: an auxiliary column of some files says nothing about the rows of the others.
+    """
+    reader = spark.read.format(fmt).option("header", True)
+    groups: dict[str, tuple] = {}
+    for path in paths:
+        schema = reader.load(path).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    parts = [grid_rows(spark.read.format(fmt).option("header", True).schema(schema).load(same), source)
+             for schema, same in groups.values()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def station_rows(df: DataFrame, file_name: Column) -> DataFrame:
@@ -69,7 +107,7 @@ def match_files(manifest: DataFrame, column: str = "file_name", **how) -> DataFr
     return manifest.filter(names.matches_file(F.col(column), **how))
 
 
-def grid_files_of(manifest: DataFrame, var: str, column: str = "file_name") -> DataFrame:
+def grid_files_of(manifest: DataFrame, var: str, column: str = "file_name", extensions: list[str] | None = None) -> DataFrame:
     """Monthly files of one conformed variable."""
     named = names.grid_file_variable(F.col(column)) == names.request_name(F.lit(var))
-    return match_files(manifest, column, extension=["netcdf.zip", "nc"]).filter(named)
+    return match_files(manifest, column, extension=extensions or ["netcdf.zip", "nc"]).filter(named)

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from gridseries.operators.lifecycle import cutoff
 from gridseries.plans.promote import refresh_current
+from gridseries.sinks.swap import finish_swaps
 from gridseries.schema import CURRENT, OBS_KEY, OBS_SCHEMA, SERIES
 from gridseries.sources.tables import STORED_OBS, path_exists
 
@@ -36,6 +37,7 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, path: str, rejects: str,
     Late rows are written aside first. That folder records the decision, so a replay after a
     partly applied batch does not judge its rows by a table that already holds some of them.
     """
+    finish_swaps(spark, path)
     current = spark.read.schema(STORED_OBS).parquet(path).filter(F.col("tier") == CURRENT)
     newest = newest_per_key(batch.withColumn("tier", F.lit(CURRENT))).select(OBS_SCHEMA.names)
     folder = f"{rejects.rstrip('/')}/batch={batch_id}"

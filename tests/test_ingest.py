@@ -62,8 +62,32 @@ def test_grid_extracts_with_different_time_names(spark, tmp_path, hours):
     spark.createDataFrame([(1.0, 2.0, hours(0), 3.0)], GRID.format("tp double")).write.parquet(str(tmp_path / "a"))
     spark.createDataFrame([(hours(1), 1.0, 2.0, 4.0)], "time timestamp_ntz, latitude float, longitude float, tp double"
                           ).write.parquet(str(tmp_path / "b"))
-    both = raw.read_grid_raw(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
-    assert {(r["time"], r["tp"]) for r in both.collect()} == {(hours(0), 3.0), (hours(1), 4.0)}
+    both = raw.read_grid_raw(spark, [str(tmp_path / "a"), str(tmp_path / "b")], "era5")
+    assert {(r["raw_name"], r["time"], r["value"]) for r in both.collect()} == {("tp", hours(0), 3.0), ("tp", hours(1), 4.0)}
+
+
+def test_an_auxiliary_column_of_one_file_drops_no_rows_of_others(spark, make_catalogue, tmp_path, hours):
+    spark.createDataFrame([(170.0, -45.0, hours(0), 1.0), (170.0, -45.0, hours(3), None)], GRID.format("tp double")
+                          ).write.parquet(str(tmp_path / "total_precipitation_2024_1.nc"))
+    spark.createDataFrame([(170.0, -45.0, hours(1), 2.0, 7), (170.0, -45.0, hours(2), 2.0, None)], GRID.format("tp double, number int")
+                          ).write.parquet(str(tmp_path / "total_precipitation_2024_2.nc"))
+    manifest = spark.createDataFrame([("total_precipitation_2024_1.nc",), ("total_precipitation_2024_2.nc",),
+                                      ("runoff_2024_1.nc",)], "file_name string")
+    catalogue = make_catalogue([(-45.0, 170.0)], source="era5")
+    rows = ingest.ingest_grid_files(spark, manifest, str(tmp_path), "total_precipitation", catalogue, "era5")
+    assert {(r["var"], r["time"], r["value"]) for r in rows.collect()} == {
+        ("total_precipitation", hours(0), 1.0), ("total_precipitation", hours(1), 2.0)}
+    assert ingest.ingest_grid_files(spark, manifest, str(tmp_path), "snowfall", catalogue, "era5").isEmpty()
+
+
+def test_bad_payloads_are_reported(spark, hours):
+    rows = [(1, payload({"T2M": {"2024010100": 1.0, "20240101": 2.0, "2024019900": 3.0}})), (2, '{"properties": {"par'), (3, None),
+            (4, '{"message": "no data"}')]
+    frame = spark.createDataFrame(rows, "loc_id int, payload string")
+    assert [(r["loc_id"], r["time"], r["value"]) for r in ingest.ingest_point(frame).collect()] == [(1, hours(0), 1.0)]
+    found = {(r["loc_id"], r["reason"]) for r in ingest.point_rejects(frame).collect()}
+    assert found == {(1, "bad hour key: 20240101"), (1, "bad hour key: 2024019900"), (2, "no readable parameters"),
+                     (3, "no readable parameters"), (4, "no readable parameters")}
 
 
 STATION = "var string, ref string, latitude double, longitude double, time timestamp_ntz, value double"

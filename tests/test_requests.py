@@ -57,11 +57,17 @@ def test_any_other_mode_is_idw(spark):
     assert {r["mode"] for r in rows} == {"idw"}
 
 
-def test_run_requests_reports_every_request_once(spark, make_obs, make_catalogue):
+def test_shared_ids_are_refused(spark):
+    rows = raw(spark, {}, {}, {}).selectExpr("if(req_id = 2, null, 5) req_id", "* except (req_id)")
+    assert {r["error"] for r in validate.checked_requests(rows).collect()} == {"req_id is not unique", "req_id is missing"}
+
+
+def test_run_requests_reports_every_request_once(spark, make_obs, make_catalogue, tmp_path):
     obs = make_obs([(0, h, float(h)) for h in range(48)])
     catalogue = make_catalogue([(-44.9, 170.9)])
     results, rejected = batch.run_requests(
-        raw(spark, {}, {"lat": "10"}, {"lat": "x"}, {"start_date": "2025-01-01", "end_date": "2025-01-02"}), obs, catalogue)
+        raw(spark, {}, {"lat": "10"}, {"lat": "x"}, {"start_date": "2025-01-01", "end_date": "2025-01-02"}), obs, catalogue,
+        str(tmp_path / "results"))
     assert {r["req_id"] for r in results.select("req_id").distinct().collect()} == {0} and results.count() == 48
     assert {r["req_id"]: r["error"][:9] for r in rejected.collect()} == {1: "no values", 2: "lat and l", 3: "no values"}
 

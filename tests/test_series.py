@@ -147,19 +147,17 @@ def close(got, want):
 
 
 @pytest.mark.parametrize("limit", [20_000, 3])
-def test_batch_equals_single_queries(world, monkeypatch, limit):
+def test_batch_equals_single_queries(world, limit):
     obs, catalogue, requests, asked = world
-    monkeypatch.setattr(batch, "GROUP_LIMIT", limit)
     got = {(r["req_id"], r["time"], r["var"]): r["value"]
-           for r in batch.extract_series(requests, obs, catalogue).collect()}
+           for r in batch.extract_series(requests, obs, catalogue, group_limit=limit).collect()}
     assert len(got) > 300
     close(got, one_by_one(obs, catalogue, asked))
 
 
-def test_crowded_stencils_are_split(world, monkeypatch):
+def test_crowded_stencils_are_split(world):
     _, catalogue, requests, _ = world
-    monkeypatch.setattr(batch, "GROUP_LIMIT", 3)
-    salted = batch.with_salt(batch.with_stencils(requests, catalogue))
+    salted = batch.with_salt(batch.with_stencils(requests, catalogue), 3)
     assert salted.select("salt").distinct().count() > 1
     assert salted.count() == batch.with_stencils(requests, catalogue).count()
 
@@ -191,3 +189,12 @@ def test_stored_tables_give_the_same(spark, world, tmp_path):
     assert one.collect() == here.collect()
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "year" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    plan = batch.extract_stored(spark, path, requests, catalogue)._jdf.queryExecution().executedPlan().toString()
+    scans = [x.split("]")[0] for x in plan.split("PushedFilters: ")[1:]]
+    assert scans and all("loc_id" in x for x in scans), plan
+
+
+def test_repeated_request_ids_are_refused(world):
+    obs, catalogue, requests, _ = world
+    with pytest.raises(ValueError):
+        batch.extract_points(requests.unionByName(requests.limit(1)), obs, catalogue)

@@ -33,7 +33,7 @@ def as_frame(spark, requests):
     return spark.createDataFrame(rows, "req_id int, source string, lat double, lon double")
 
 
-@pytest.mark.parametrize("levels", [None, 0, 1, 3])
+@pytest.mark.parametrize("levels", [space.LEVELS, 0, 1, 4])
 def test_knn_is_brute_force_at_any_level(spark, make_catalogue, crowded, levels):
     requests, points = crowded
     found = space.knn(as_frame(spark, requests), make_catalogue(points), levels=levels)
@@ -42,10 +42,10 @@ def test_knn_is_brute_force_at_any_level(spark, make_catalogue, crowded, levels)
 
 
 def test_crowded_catalogue_is_descended(crowded, make_catalogue):
-    points = make_catalogue(crowded[1]).selectExpr("source", "latitude plat", "longitude plon")
+    points = make_catalogue(crowded[1])
     # 130 locations within 0.02 degrees need cells below that size
-    assert space._levels_needed(points, 1.0) in (3, 4)
-    assert space._levels_needed(points.limit(60), 1.0) == 0
+    assert space.levels_needed(points) in (3, 4)
+    assert space.levels_needed(points.limit(60)) == 0
 
 
 def test_knn_respects_sources_and_radius(spark, make_catalogue):

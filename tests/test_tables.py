@@ -7,6 +7,7 @@ from gridseries.operators import lifecycle
 from gridseries.plans import backfill, point, promote, update
 from gridseries.plans.ingest import rebuild
 from gridseries.schema import OBS_SCHEMA
+from gridseries.sinks import files, swap
 from gridseries.sinks.writers import laid_out, write_catalogue, write_obs, write_raw
 from gridseries.sources.tables import empty_result, path_exists, read_catalogue, scan_obs
 
@@ -85,6 +86,44 @@ def test_mismatch_blocks_promotion(spark, stored):
     assert scan_obs(spark, stored, tiers=["historic"]).count() == 8
 
 
+def test_mismatches_are_all_reported(spark, stored):
+    write_obs(frame(spark, [("current", "snowfall", i, at(1, 1), 1.0) for i in range(30)]), stored, mode="append")
+    with pytest.raises(promote.SeriesMismatch) as error:
+        promote.promote(spark, stored, "nasapower")
+    assert error.value.n == 30 and spark.read.parquet(error.value.report).count() == 30
+
+
+@pytest.mark.parametrize("broken", ["write_obs", "replace_tier"])
+def test_interrupted_promotion_is_finished(spark, stored, monkeypatch, broken):
+    """A write that fails after the table was touched: the rerun finds every row."""
+    want = spark.read.parquet(stored).count()
+    keys = ["source", "var", "loc_id", "time"]
+    before = scan_obs(spark, stored).select(keys).distinct().collect()
+    real = getattr(swap, broken)
+
+    def failing(rows, path, *args, **kwargs):
+        real(rows.limit(0) if broken == "replace_tier" else rows.filter("loc_id = 0"), path, *args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(swap, broken, failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        promote.promote(spark, stored, "nasapower")
+    monkeypatch.setattr(swap, broken, real)
+    assert not promote.promote(spark, stored, "nasapower")
+    after = scan_obs(spark, stored)
+    assert sorted(map(tuple, after.select(keys).collect())) == sorted(map(tuple, before)) and want > after.count()
+    assert rows_of(scan_obs(spark, stored, tiers=["current"])) == {
+        (T, loc, at(m, 2), m + 0.5) for loc in (0, 1) for m in (4, 5)}
+    assert not files.folders(spark, f"{stored}/_staging")
+
+
+def test_unfinished_staging_changes_nothing(spark, stored):
+    before = scan_obs(spark, stored).count()
+    frame(spark, [("historic", T, 0, at(1, 2), 77.0)]).write.parquet(f"{swap.staging_folder(stored)}/partitions")
+    assert swap.finish_swaps(spark, stored) == 0
+    assert scan_obs(spark, stored).count() == before and not files.folders(spark, f"{stored}/_staging")
+
+
 def test_other_sources_are_left_alone(spark, stored):
     write_obs(frame(spark, [("current", T, 0, at(1, 1), 1.0)], "era5"), stored, mode="append")
     promote.promote(spark, stored, "nasapower")

@@ -1,5 +1,6 @@
 """Check queries: each pairs a Spark query with the SQL that must give the same rows."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from gridseries.operators import lifecycle, quality, series, shape, space, valid
 from gridseries.plans import backfill, batch, ingest, point, promote
 from gridseries.schema import (
     KEEP_MONTHS, SERVED_SOURCES, VARIABLES, coordinate_fixes, served_variables, variables)
+from gridseries.session import ensure_checkpoint_dir
 from gridseries.sinks import writers
 from gridseries.sources import raw, tables
 from workload.views import oracle, view
@@ -38,6 +40,12 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "requests").withColumn("vars", F.split("var_name", ",")).drop("var_name")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the session's checkpoint folder, for queries that write and read back."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 # ---- sources and projections -----------------------------------------------------------
 
 @check("""select loc_id, time, value from series
@@ -408,13 +416,11 @@ def extract_series(spark, sf):
           select f.req_id, o.tier, o.var, o.time,
                  round(case when count(o.value) = count(*) then sum(o.value * f.w) end, 4) as value
           from series o join four f on o.loc_id = f.loc_id
-          where o.value is distinct from -999 and o.time = timestamp '2024-01-03 10:00:00'
+          where o.value is distinct from -999
           group by f.req_id, o.tier, o.var, o.time having count(*) = any_value(f.k)""")
 def interpolate_snapshot(spark, sf):
     near = space.idw_weights(space.knn(requests(spark, sf), view(spark, sf, "grid")))
-    snapshot = quality.drop_sentinel(
-        series.time_range(view(spark, sf, "series"), "2024-01-03 10:00:00", "2024-01-03 10:00:00"))
-    return rounded(series.interpolate(snapshot, near), "value")
+    return rounded(series.interpolate(quality.drop_sentinel(view(spark, sf, "series")), near), "value")
 
 
 # ---- requests --------------------------------------------------------------------------
@@ -463,7 +469,8 @@ RAW_RUN = f"""{CHECKED}, accepted as (select * from checked where error is null)
 
 @check(f"{RAW_RUN} {WIDE_ANSWERS}")
 def run_requests(spark, sf):
-    results, _ = batch.run_requests(view(spark, sf, "requests_raw"), view(spark, sf, "series"), view(spark, sf, "grid"))
+    results, _ = batch.run_requests(view(spark, sf, "requests_raw"), view(spark, sf, "series"), view(spark, sf, "grid"),
+                                    scratch(spark, "results"))
     return rounded(results, *POINT_VARS).select("req_id", "time", *POINT_VARS)
 
 
@@ -473,7 +480,8 @@ def run_requests(spark, sf):
           select req_id, 'no values near the point in the date range' from accepted
           where req_id not in (select req_id from answered)""")
 def rejected_requests(spark, sf):
-    _, rejected = batch.run_requests(view(spark, sf, "requests_raw"), view(spark, sf, "series"), view(spark, sf, "grid"))
+    _, rejected = batch.run_requests(view(spark, sf, "requests_raw"), view(spark, sf, "series"), view(spark, sf, "grid"),
+                                     scratch(spark, "results"))
     return rejected
 
 
