@@ -28,7 +28,7 @@ from gridseries.llm.flat import LOWER, flatten, mix, prefix_hash, slices, span_h
 from gridseries.llm.tables import pieces, stored
 
 PRIOR = 20.0
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 SLICE = 1 << 20
 LEAST_BATCHES = 16
 WORD_BYTE = np.ones(256, bool)
@@ -121,12 +121,12 @@ class Automaton:
 def _planes(x: np.ndarray, kind: str) -> bytes:
     """Numbers byte by byte: first all lowest bytes, last all highest, which the shuffle then compresses."""
     x = np.ascontiguousarray(x).astype(kind, copy=False)
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
 
 def _numbers(planes: bytes, kind: str) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, len(planes) // width).T).view(kind).ravel()
 
 
 def _steps(keys: np.ndarray) -> bytes:
