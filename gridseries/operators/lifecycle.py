@@ -64,6 +64,11 @@ def backfill_months(keys: DataFrame, end) -> DataFrame:
     return rows.withColumns({"year": F.year("_month"), "month": F.month("_month")}).drop("_month", "resume")
 
 
+def by_month(plan: DataFrame) -> DataFrame:
+    """Plan rows in the order they are fetched in."""
+    return plan.orderBy("year", "month", "var")
+
+
 def distinct_months(days: DataFrame, column: str) -> DataFrame:
     return days.select(F.year(column).alias("year"), F.month(column).alias("month")).distinct()
 

@@ -7,10 +7,11 @@ from gridseries.operators.quality import drop_sentinel, fill_by_hour
 from gridseries.operators.shape import conform_names, correct_coords
 from gridseries.operators.space import (
     check_dense_ids, distinct_coordinates, extend_catalogue, locate_cells, locate_stations)
-from gridseries.schema import CURRENT, OBS_SCHEMA, VARIABLES, coordinate_fixes
+from gridseries.schema import CURRENT, GRID_SOURCES, HISTORIC, OBS_SCHEMA, VARIABLES, coordinate_fixes
 from gridseries.schema import variables as variable_table
 from gridseries.sinks.writers import write_obs
 from gridseries.sources.raw import grid_files_of, grid_rows, parse_point_payload, payload_rejects, read_grid_raw
+from gridseries.sources.tables import path_exists
 
 
 def clean_point(obs: DataFrame) -> DataFrame:
@@ -73,6 +74,24 @@ def ingest_stations(raw: DataFrame, old_catalogue: DataFrame, tier: str = CURREN
     return rows.select(OBS_SCHEMA.names).to(OBS_SCHEMA), catalogue, rejects
 
 
+def rebuild_from_raw(spark: SparkSession, landing: str, manifest: DataFrame, catalogues: DataFrame, path: str, fmt: str = "parquet",
+                     extensions: list[str] | None = None, variables: dict[str, list[str]] | None = None) -> None:
+    """Rebuild history from the raw backup.
+
+    `landing` holds a folder `nasapower` of payload tables and a folder of files for each grid source;
+    `manifest` has (source, file_name) of the grid files. `variables` names those to rebuild of a source,
+    else all of its dictionary.
+    """
+    parts = []
+    if path_exists(spark, f"{landing}/nasapower"):
+        parts.append(ingest_point(spark.read.format(fmt).load(f"{landing}/nasapower"), HISTORIC))
+    for source in GRID_SOURCES:
+        own = manifest.filter(F.col("source") == source)
+        for var in (variables or {}).get(source, sorted(set(VARIABLES[source].values()))):
+            parts.append(ingest_grid_files(spark, own, f"{landing}/{source}", var, catalogues, source, HISTORIC, fmt, extensions))
+    rebuild(parts, path)
+
+
 def rebuild(parts: list[DataFrame], path: str) -> None:
     """Write ingested parts as a whole new table, in one job."""
     whole = parts[0]

@@ -1,11 +1,13 @@
 """The periodic job: ingest what has landed for all sources into the current tier."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridseries.operators.quality import coverage
 from gridseries.plans.ingest import ingest_grid, ingest_point
 from gridseries.plans.promote import refresh_current
-from gridseries.schema import SERVED_SOURCES, VARIABLES
+from gridseries.plans.backfill import collected_variables, plan_grid, plan_point
+from gridseries.schema import GRID_SOURCES, SERVED_SOURCES, VARIABLES
 from gridseries.sources.tables import scan_obs
 
 
@@ -28,6 +30,25 @@ def ingest_landed(landed: dict[str, DataFrame | list[DataFrame]], catalogues: Da
     return whole
 
 
+def plan_update(spark: SparkSession, path: str, catalogues: DataFrame, now) -> DataFrame:
+    """What to fetch for all sources of the catalogue, from the table's state.
+
+    Location-years of the point product and variable-months of the grids, as one table.
+    """
+    obs = scan_obs(spark, path)
+    points = plan_point(obs, catalogues.filter(F.col("source") == "nasapower"), now)
+    plan = points.select("source", "loc_id", F.lit(None).cast("string").alias("var"), "year", F.lit(None).cast("int").alias("month"),
+                         "start_date", "end_date", F.lit(None).cast("string").alias("file_name"))
+    wanted = catalogues.select("source").distinct()
+    for source in GRID_SOURCES:
+        keys = collected_variables(spark, source).join(wanted, "source", "left_semi")
+        months = plan_grid(obs, keys, now)
+        plan = plan.unionByName(months.select(
+            "source", F.lit(None).cast("int").alias("loc_id"), "var", "year", "month", F.lit(None).cast("int").alias("start_date"),
+            F.lit(None).cast("int").alias("end_date"), "file_name"))
+    return plan
+
+
 def update_all(spark: SparkSession, landed: dict, catalogues: DataFrame, path: str) -> None:
     refresh_current(spark, ingest_landed(landed, catalogues), path)
 

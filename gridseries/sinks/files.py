@@ -22,6 +22,18 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(target) if f.isDirectory())
 
 
+def move_files(spark: SparkSession, folder: str, target: str, name: str, extension: str) -> None:
+    """Move the data files of a written folder to `target`, named after `name`."""
+    files, source = _open(spark, folder)
+    _, place = _open(spark, target)
+    files.mkdirs(place)
+    found = sorted(f.getPath().getName() for f in files.listStatus(source) if f.getPath().getName().startswith("part-"))
+    for i, part in enumerate(found):
+        _, old = _open(spark, f"{folder}/{part}")
+        _, new = _open(spark, f"{target}/{name}{f'.{i}' if i else ''}{extension}")
+        files.rename(old, new)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _open(spark, path)
     files.delete(target, True)

@@ -67,10 +67,9 @@ def drop_index_artifacts(spark, sf):
     return tables.drop_index_artifacts(foreign)
 
 
-@check("""select loc_id, strftime(time, '%Y%m%d%H') as hour_key, time, value from obs where value is not null""")
+@check("""select loc_id, strftime(time, '%Y%m%d%H') as hour_key, time, value from obs""")
 def parse_payload(spark, sf):
-    stamped = (view(spark, sf, "obs").filter("value is not null")
-               .withColumn("hour_key", F.date_format("time", "yyyyMMddHH")))
+    stamped = view(spark, sf, "obs").withColumn("hour_key", F.date_format("time", "yyyyMMddHH"))
     by_hour = F.map_from_entries(F.collect_list(F.struct("hour_key", "value")))
     # one payload per location and day
     packed = (stamped.groupBy("loc_id", F.to_date("time").alias("day")).agg(by_hour.alias("T2M"))
@@ -125,12 +124,11 @@ def wide_to_long(spark, sf):
         "loc_id", "time", "var", "value")
 
 
-@check("""select loc_id, time, max(case when var = 'temperature_2m' then value end) as temperature_2m,
+@check("""select tier, loc_id, time, max(case when var = 'temperature_2m' then value end) as temperature_2m,
                  max(case when var = 'relative_humidity_2m' then value end) as relative_humidity_2m
-          from series where tier = 'historic' group by loc_id, time having count(distinct var) = 2""")
+          from series group by tier, loc_id, time having count(distinct var) = 2""")
 def long_to_wide(spark, sf):
-    obs = view(spark, sf, "series").filter("tier = 'historic'")
-    return shape.series_to_wide(obs, ["loc_id", "time"], POINT_VARS)
+    return shape.series_to_wide(view(spark, sf, "series"), ["tier", "loc_id", "time"], POINT_VARS)
 
 
 @check("""select event_id, case when event_type = 'click' then 'temperature_2m'
@@ -485,23 +483,25 @@ def rejected_requests(spark, sf):
     return rejected
 
 
-@check("""with wide as (select loc_id, time, max(case when var = 'temperature_2m' then value end) as temperature_2m,
+@check("""with wide as (select tier, loc_id, time, max(case when var = 'temperature_2m' then value end) as temperature_2m,
                         max(case when var = 'relative_humidity_2m' then value end) as relative_humidity_2m
-                      from series where tier = 'historic' group by loc_id, time having count(distinct var) = 2)
-          select loc_id, cast(json_object('time', strftime(time, '%Y-%m-%d %H:%M:%S'), 'temperature_2m', temperature_2m,
+                      from series group by tier, loc_id, time having count(distinct var) = 2)
+          select tier, loc_id, cast(json_object('time', strftime(time, '%Y-%m-%d %H:%M:%S'), 'temperature_2m', temperature_2m,
                                           'relative_humidity_2m', relative_humidity_2m) as varchar) as record
           from wide""")
 def records_json(spark, sf):
-    obs = view(spark, sf, "series").filter("tier = 'historic'")
-    return writers.to_records(shape.series_to_wide(obs, ["loc_id", "time"], POINT_VARS), "loc_id")
+    wide = shape.series_to_wide(view(spark, sf, "series"), ["tier", "loc_id", "time"], POINT_VARS)
+    return writers.to_records(wide, "tier", "loc_id")
 
 
-@check("""select req_id, format('{} series at {},{} for {} from {} to {}, mode {}', source, '1.5', '2.5',
+@check("""select req_id, format('{} series at {},{} for {} from {} to {}, mode {}', source,
+                 cast(round(lat * 256) / 256 as varchar), cast(round(lon * 256) / 256 as varchar),
                  array_to_string(string_split(var_name, ','), ', '),
                  strftime(start_time, '%Y-%m-%d %H:%M:%S'), strftime(end_time, '%Y-%m-%d %H:%M:%S'), mode) as message
           from requests""")
 def response_messages(spark, sf):
-    text = writers.response_message(F.col("source"), F.lit(1.5), F.lit(2.5), F.col("vars"),
+    lat, lon = (F.round(F.col(c) * 256) / 256 for c in ("lat", "lon"))
+    text = writers.response_message(F.col("source"), lat, lon, F.col("vars"),
                                     F.col("start_time"), F.col("end_time"), F.col("mode"))
     return requests(spark, sf).select("req_id", text.alias("message"))
 
@@ -642,17 +642,18 @@ def ingest_stations(spark, sf):
 
 # ---- scalar functions ------------------------------------------------------------------
 
-@check("""select o_orderkey, strftime(o_orderdate, '%Y%m%d') as day_text,
-                 cast(strftime(o_orderdate, '%Y%m%d') as int) as day_key,
+@check("""select o_orderkey, cast(strftime(o_orderdate, '%Y%m%d') as int) as day_key,
                  cast(date_trunc('month', o_orderdate - interval 5 month) as timestamp) as five_back,
-                 cast(hour(o_orderdate) as int) as hour,
-                 o_totalprice between 10000 and 200000 as in_band from orders""")
+                 lpad(cast(o_orderkey % 24 as varchar), 2, '0') || ':00' as label,
+                 cast(day(last_day(o_orderdate)) as int) as n_days,
+                 cast(o_orderdate as timestamp) + interval 7 minute as recorded from orders""")
 def calendar_functions(spark, sf):
     t = F.col("o_orderdate")
+    text = F.concat(F.date_format(t, "yyyy-MM-dd"), F.lit(" 00:07:00"))
     return spark.read.parquet(f"{sf}/orders.parquet").select(
-        "o_orderkey", F.date_format(t, "yyyyMMdd").alias("day_text"), times.date_key(t).alias("day_key"),
-        times.month_floor(t, 5).alias("five_back"), F.hour(t).alias("hour"),
-        F.col("o_totalprice").between(10000, 200000).alias("in_band"))
+        "o_orderkey", times.date_key(t).alias("day_key"), times.month_floor(t, 5).alias("five_back"),
+        times.hour_label(F.col("o_orderkey") % 24).alias("label"), F.size(times.month_days(F.year(t), F.month(t))).alias("n_days"),
+        times.parse_record_time(text).alias("recorded"))
 
 
 @check("""select loc_id, latitude between -47.24 and -33.3 and longitude between 164.64 and 179.53 as inside,
@@ -663,3 +664,7 @@ def coordinate_functions(spark, sf):
     return view(spark, sf, "grid").select(
         "loc_id", values.in_area(lat, lon).alias("inside"), values.milli_degrees(lat).alias("lat_k"),
         values.milli_degrees(lon).alias("lon_k"))
+
+
+# the queries that write and read back register themselves here
+from workload import stored  # noqa: E402, F401

@@ -87,7 +87,7 @@ def view_texts(d: Dialect) -> dict[str, str]:
                    case c_custkey % 12 when 1 then null when 2 then 'other' else 'NASAPOWER' end as data_source,
                    case c_custkey % 12 when 3 then null when 4 then 'abc' when 9 then 'nan'
                         else cast(-46 + (c_custkey % 3) as varchar(9)) || '.3125' end as lat,
-                   '170.9' as lon,
+                   cast(168 + (c_custkey % 5) as varchar(9)) || '.65625' as lon,
                    case c_custkey % 12 when 5 then null when 6 then 'temperature_2m,bogus,bogus'
                         else 'temperature_2m,relative_humidity_2m' end as var_name,
                    case c_custkey % 12 when 7 then '2024-02-31' when 8 then null else '2024-01-02' end as start_date,
@@ -118,8 +118,7 @@ def view_texts(d: Dialect) -> dict[str, str]:
             select cast(longitude + case when o.loc_id % 9 = 5 then 30 else 0 end as float) as longitude,
                    cast(latitude as float) as latitude, time as valid_time,
                    case when k % 17 = 0 then null else value + cast(273.15 as double) end as t2m
-            from obs o join grid g on o.loc_id = g.loc_id
-            where value <> {sentinel}""",
+            from obs o join grid g on o.loc_id = g.loc_id""",
         # half of the locations have ids 0..n-1 already, most of all locations are seen
         "stations_old": f"""
             select cast(s_suppkey as int) as loc_id, {station_lat} as latitude, {station_lon} as longitude
