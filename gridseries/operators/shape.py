@@ -17,10 +17,10 @@ def conform_columns(df: DataFrame, source: str) -> DataFrame:
 def conform_names(df: DataFrame, variables: DataFrame, convert: bool = False) -> DataFrame:
     """Long form: `raw_name` becomes `var`, kelvin values become Celsius when asked.
 
-    The dictionary has a fixed 67 rows, hence the broadcast.
+    The dictionary has 67 rows, so Spark broadcasts it by itself.
     """
     names = variables.select("source", "raw_name", "var", "kelvin")
-    out = df.join(F.broadcast(names), ["source", "raw_name"], "left")
+    out = df.join(names, ["source", "raw_name"], "left")
     out = out.withColumn("var", F.coalesce("var", "raw_name"))
     if convert:
         kelvin = F.coalesce("kelvin", F.lit(False))
@@ -70,8 +70,8 @@ def series_to_wide(df: DataFrame, keys: list[str], variables: list[str], complet
 
 
 def correct_coords(df: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Override coordinates by (var, ref). The fixes are a hand-kept list, hence the broadcast."""
-    return (df.join(F.broadcast(fixes), ["var", "ref"], "left")
+    """Override coordinates by (var, ref); `fixes` has one row for each."""
+    return (df.join(fixes, ["var", "ref"], "left")
             .withColumn("latitude", F.coalesce("fix_lat", "latitude"))
             .withColumn("longitude", F.coalesce("fix_lon", "longitude"))
             .drop("fix_lat", "fix_lon"))

@@ -9,7 +9,7 @@ from gridseries.schema import CURRENT, HISTORIC, OBS_SCHEMA
 from gridseries.sinks.files import remove
 from gridseries.sinks.swap import finish_swaps, staging_folder, swap
 from gridseries.sinks.writers import write_obs
-from gridseries.sources.tables import STORED_OBS, path_exists
+from gridseries.sources.tables import STORED_OBS, path_exists, scan_series
 
 
 class SeriesMismatch(RuntimeError):
@@ -54,7 +54,8 @@ def promote(spark: SparkSession, path: str, source: str, force: bool = False) ->
         return False
     if not force:
         report = f"{path.rstrip('/')}/_mismatch/source={source}"
-        series_mismatch(current, historic).write.mode("overwrite").parquet(report)
+        listed = scan_series(spark, path).filter(F.col("source") == source)
+        series_mismatch(listed.filter(F.col("tier") == CURRENT), listed.filter(F.col("tier") == HISTORIC)).write.mode("overwrite").parquet(report)
         n = spark.read.parquet(report).count()
         if n:
             raise SeriesMismatch(n, report)

@@ -8,7 +8,7 @@ from gridseries.plans.ingest import ingest_grid, ingest_point
 from gridseries.plans.promote import refresh_current
 from gridseries.plans.backfill import collected_variables, plan_grid, plan_point
 from gridseries.schema import GRID_SOURCES, SERVED_SOURCES, VARIABLES
-from gridseries.sources.tables import scan_obs
+from gridseries.sources.tables import scan_obs, scan_series
 
 
 def ingest_landed(landed: dict[str, DataFrame | list[DataFrame]], catalogues: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def plan_update(spark: SparkSession, path: str, catalogues: DataFrame, now) -> D
 
     Location-years of the point product and variable-months of the grids, as one table.
     """
-    obs = scan_obs(spark, path)
+    obs = scan_series(spark, path)
     points = plan_point(obs, catalogues.filter(F.col("source") == "nasapower"), now)
     plan = points.select("source", "loc_id", F.lit(None).cast("string").alias("var"), "year", F.lit(None).cast("int").alias("month"),
                          "start_date", "end_date", F.lit(None).cast("string").alias("file_name"))

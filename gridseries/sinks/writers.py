@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.schema import OBS_SCHEMA
+from gridseries.sinks.files import remove
+from gridseries.sources.tables import STORED_OBS, series_folder, series_of
 
 PARTITIONS = ["source", "tier", "var", "year"]
 RECORD_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "ignoreNullFields": "false"}
@@ -21,20 +23,35 @@ def laid_out(obs: DataFrame) -> DataFrame:
 
 
 def write_obs(obs: DataFrame, path: str, mode: str = "overwrite", partition_mode: str = "static") -> None:
-    (laid_out(obs).write.mode(mode)
-     .option("partitionOverwriteMode", partition_mode)
-     .option("compression", "zstd")
-     .partitionBy(*PARTITIONS)
-     .parquet(path))
+    """Write rows and keep the table's list of series.
+
+    A whole table's list is made from what was written. With dynamic partitions `obs` is all that is
+    in them afterwards and is read twice, so it should be a written table itself. Appending drops the
+    list, and readers then make it from the rows.
+    """
+    spark = obs.sparkSession
+    if mode == "append":
+        remove(spark, series_folder(path))
+    _write(laid_out(obs), path, PARTITIONS, mode, partition_mode)
+    if partition_mode == "dynamic":
+        _write(series_of(obs), series_folder(path), PARTITIONS, "overwrite", "dynamic")
+    elif mode == "overwrite":
+        _write(series_of(spark.read.schema(STORED_OBS).parquet(path)), series_folder(path), PARTITIONS, "overwrite", "static")
 
 
 def replace_tier(obs: DataFrame, path: str, source: str, tier: str) -> None:
-    """Replace all rows of one tier of one source. `obs` must not read the table itself."""
-    (laid_out(obs).drop("source", "tier").write.mode("overwrite")
-     .option("partitionOverwriteMode", "static")
+    """Replace all rows of one tier of one source. `obs` is a written table other than this one."""
+    part = f"source={source}/tier={tier}"
+    _write(laid_out(obs).drop("source", "tier"), f"{path.rstrip('/')}/{part}", ["var", "year"])
+    _write(series_of(obs).drop("source", "tier"), f"{series_folder(path)}/{part}", ["var", "year"])
+
+
+def _write(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite", partition_mode: str = "static") -> None:
+    (df.write.mode(mode)
+     .option("partitionOverwriteMode", partition_mode)
      .option("compression", "zstd")
-     .partitionBy("var", "year")
-     .parquet(f"{path.rstrip('/')}/source={source}/tier={tier}"))
+     .partitionBy(*partitions)
+     .parquet(path))
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:

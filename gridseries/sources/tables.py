@@ -10,6 +10,9 @@ from gridseries.schema import CATALOGUE_SCHEMA, OBS_SCHEMA
 
 STORED_OBS = T.StructType(OBS_SCHEMA.fields + [T.StructField("year", T.IntegerType())])
 
+STORED_SERIES = T.StructType([f for f in STORED_OBS.fields if f.name not in ("time", "value")] + [
+    T.StructField("first", T.TimestampNTZType()), T.StructField("last", T.TimestampNTZType()), T.StructField("n", T.LongType())])
+
 
 def read_catalogue(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Location CSV. Column order differs between files, so columns are taken by name."""
@@ -61,6 +64,29 @@ def scan_obs(spark: SparkSession, path: str, source=None, tiers=None, variables=
     return df.select(OBS_SCHEMA.names)
 
 
+def series_folder(path: str) -> str:
+    """Where a table keeps the list of its series; the name hides it from readers of the rows."""
+    return f"{path.rstrip('/')}/_series"
+
+
+def series_of(obs: DataFrame) -> DataFrame:
+    """One row per series, tier and year: first and last time, and how many rows."""
+    return obs.groupBy("source", "tier", "var", "loc_id", F.year("time").alias("year")).agg(
+        F.min("time").alias("first"), F.max("time").alias("last"), F.count("*").alias("n"))
+
+
+def scan_series(spark: SparkSession, path: str) -> DataFrame:
+    """The list of a table's series with `time`, the last one of each year; no rows are read.
+
+    Tables whose list is missing (after an append, or from elsewhere) are scanned for it.
+    """
+    if path_exists(spark, series_folder(path)):
+        listed = spark.read.schema(STORED_SERIES).parquet(series_folder(path))
+    else:
+        listed = series_of(spark.read.schema(STORED_OBS).parquet(path))
+    return listed.withColumn("time", F.col("last"))
+
+
 def empty_result(spark: SparkSession, variables: list[str]) -> DataFrame:
     fields = [T.StructField("time", T.TimestampNTZType())]
     fields += [T.StructField(v, T.DoubleType()) for v in variables]

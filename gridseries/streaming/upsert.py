@@ -8,7 +8,7 @@ from gridseries.operators.lifecycle import cutoff
 from gridseries.plans.promote import refresh_current
 from gridseries.sinks.swap import finish_swaps
 from gridseries.schema import CURRENT, OBS_KEY, OBS_SCHEMA, SERIES
-from gridseries.sources.tables import STORED_OBS, path_exists
+from gridseries.sources.tables import path_exists, scan_series
 
 ARRIVALS = T.StructType([*[f for f in OBS_SCHEMA.fields if f.name != "tier"],
                          T.StructField("arrival", T.TimestampNTZType())])
@@ -38,11 +38,11 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, path: str, rejects: str,
     partly applied batch does not judge its rows by a table that already holds some of them.
     """
     finish_swaps(spark, path)
-    current = spark.read.schema(STORED_OBS).parquet(path).filter(F.col("tier") == CURRENT)
+    current = scan_series(spark, path).filter(F.col("tier") == CURRENT)
     newest = newest_per_key(batch.withColumn("tier", F.lit(CURRENT))).select(OBS_SCHEMA.names)
     folder = f"{rejects.rstrip('/')}/batch={batch_id}"
     if not path_exists(spark, f"{folder}/_SUCCESS"):
-        marked = mark_late(newest, current.select(OBS_SCHEMA.names))
+        marked = mark_late(newest, current)
         marked.filter("late").drop("late").write.mode("overwrite").parquet(folder)
     late = spark.read.schema(OBS_SCHEMA).parquet(folder)
     fresh = newest.join(late.select(OBS_KEY), OBS_KEY, "left_anti")

@@ -9,7 +9,7 @@ from gridseries.plans.ingest import rebuild
 from gridseries.schema import OBS_SCHEMA
 from gridseries.sinks import files, swap
 from gridseries.sinks.writers import laid_out, write_catalogue, write_obs, write_raw
-from gridseries.sources.tables import empty_result, path_exists, read_catalogue, scan_obs
+from gridseries.sources.tables import empty_result, path_exists, read_catalogue, scan_obs, scan_series, series_of
 
 T = "temperature_2m"
 
@@ -117,6 +117,30 @@ def test_interrupted_promotion_is_finished(spark, stored, monkeypatch, broken):
     assert not files.folders(spark, f"{stored}/_staging")
 
 
+def listed(spark, path):
+    return sorted(map(tuple, scan_series(spark, path).select("source", "tier", "var", "loc_id", "year", "first", "last", "n").collect()))
+
+
+def test_the_list_of_series_follows_the_rows(spark, stored):
+    def check():
+        rows = series_of(scan_obs(spark, stored)).select("source", "tier", "var", "loc_id", "year", "first", "last", "n")
+        assert listed(spark, stored) == sorted(map(tuple, rows.collect()))
+
+    check()
+    promote.refresh_current(spark, frame(spark, [("current", T, 0, at(6, 1), 1.0), ("current", "snowfall", 3, at(6, 1, year=2023), 1.0)]), stored)
+    check()
+    promote.promote(spark, stored, "nasapower", force=True)
+    check()
+    write_obs(frame(spark, [("current", T, 9, at(1, 1), 1.0)]), stored, mode="append")
+    check()
+
+
+def test_planning_reads_no_rows(spark, stored, make_catalogue):
+    plan = update.plan_update(spark, stored, make_catalogue([(-45, 170)]), "2024-06-01 00:00:00")
+    files_read = plan.inputFiles()
+    assert files_read and all("/_series/" in f for f in files_read)
+
+
 def test_unfinished_staging_changes_nothing(spark, stored):
     before = scan_obs(spark, stored).count()
     frame(spark, [("historic", T, 0, at(1, 2), 77.0)]).write.parquet(f"{swap.staging_folder(stored)}/partitions")
