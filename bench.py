@@ -8,7 +8,6 @@ beforehand, untimed.
 
 import json
 import os
-import tempfile
 import time
 
 from gridseries.plans.batch import extract_stored
@@ -18,7 +17,7 @@ from gridseries.sources.tables import scan_obs
 from gridseries.operators.series import serve_tiers
 from gridseries.plans.ingest import clean_point
 from gridseries.session import build_session
-from workload.queries import LAT, LON, POINT_VARS, QUERIES, requests
+from workload.queries import LAT, LON, POINT_VARS, QUERIES, requests, scratch
 from workload.views import view
 
 HEADLINE = [
@@ -35,7 +34,7 @@ def timed(query, spark, folder) -> float:
 
 
 def stored_queries(spark, folder: str) -> dict:
-    work = tempfile.mkdtemp(prefix="gridseries-bench-")
+    work = scratch(spark, "bench")
     hourly, daily = f"{work}/hourly", f"{work}/daily"
     write_obs(view(spark, folder, "series"), hourly)
     write_obs(view(spark, folder, "daily_historic"), daily)
