@@ -100,4 +100,28 @@ named as (select doc_id, count(distinct item) n_items, string_agg(distinct item,
 select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint) n_hit,
        cast(coalesce(n_items, 0) as bigint) n_items, sha256(coalesce(list, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 from docs d left join covered using (doc_id) left join named using (doc_id)""",
+    "op7_repeats": """
+with d as (select doc_id, encode(coalesce(text, '')) b from documents),
+starts as (select doc_id, p, md5(b[p + 1:p + 400]) w from (select doc_id, b, unnest(range(0, octet_length(b) - 399)) p from d where octet_length(b) >= 400)),
+often as (select w from starts group by w having count(*) > 1),
+again as (select doc_id, p from starts semi join often using (w)),
+marked as (select *, case when p <= lag(p) over (partition by doc_id order by p) + 400 then 0 else 1 end new from again),
+numbered as (select *, sum(new) over (partition by doc_id order by p) span from marked),
+spans as (select doc_id, span, min(p) a, max(p) + 400 z from numbered group by doc_id, span),
+edges as (select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) last from spans),
+cut as (select doc_id, count(*) n_spans, sum(z - a) n_removed, max(z) fin, string_agg(hex(b[last + 1:a]), '' order by a) head
+        from edges join d using (doc_id) group by doc_id)
+select doc_id, cast(octet_length(b) as bigint) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, cast(coalesce(n_spans, 0) as bigint) n_spans,
+       sha256(case when fin is null then b else unhex(coalesce(head, '') || hex(b[fin + 1:octet_length(b)])) end) kept_sha256
+from d left join cut using (doc_id)""",
+    "op9_warc": """
+with digits as (select list_transform(range(16), lambda v: right('000' || bin(v), 4)) four, list_transform(range(32), lambda v: right('0000' || bin(v), 5)) five),
+p as (select page_id, coalesce(html, '') h, sha1(coalesce(html, '')) hex from pages),
+b as (select page_id, h, array_to_string(list_transform(range(40), lambda i: four[instr('0123456789abcdef', substr(hex, cast(i + 1 as int), 1))]), '') bits, five from p, digits),
+g as (select *, max(page_id) over (partition by h) top from b)
+select page_id, cast(strlen(h) as bigint) payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(list_position(five, substr(bits, cast(5 * i + 1 as int), 5)) as int), 1)), '') payload_digest,
+       case when top is null or page_id = top then 'response' else 'revisit' end record_type,
+       case when page_id <> top then top end refers_to
+from g""",
 }
