@@ -10,9 +10,9 @@ classes are the connected components of the links. A class is named by its small
    fullest buckets altogether, which in a group of copies is the original. No pairs are formed
    otherwise, so this grows with the nodes.
 3. Where a bucket still holds several components, the missing links are found exactly: a prefix-filter
-   join (the rarest 1 - THRESHOLD of a node's shingles, rarity counted over these nodes) of every node
-   of a smaller component with the nodes of larger ones. Shingles of a single node form no pairs, and a
-   node without links has little else in its prefix.
+   join (a node's rarest shingles, as many as the two sizes allow, rarity counted over these nodes) of
+   every node of a smaller component with the nodes of larger ones. Shingles of a single node form no
+   pairs, and a node without links has little else in its prefix.
 
 A pair of similarity s meets in some bucket with probability 1 - (1 - s^ROWS)^BANDS: 0.99995 at 0.8.
 Nothing is capped. Texts and shingles are compared by 64-bit hashes.
@@ -151,7 +151,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _prefixes(bags_: DataFrame, threshold: float) -> DataFrame:
-    """item, node of the rarest items that a node must share with any it is linked to."""
+    """node, item, place, size: the rarest items of each node, of which it must share one with any it is linked to.
+
+    `place` is the item's place in the node's order of rarity; a pair's own sizes say how far down it counts.
+    """
     rows = bags_.select("node", "items")
 
     def unpack(batches: Iterator[pa.RecordBatch]):
@@ -166,8 +169,9 @@ def _prefixes(bags_: DataFrame, threshold: float) -> DataFrame:
     shared = items.join(often.where("n > 1"), "item").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("shared"))
     length = F.col("size") - F.ceil(F.col("size") * threshold) + 1
     kept = shared.join(bags_.select("node", "size"), "node").withColumn("length", length - (F.col("size") - F.size("shared")))
-    kept = kept.where("length > 0").select("node", F.explode(F.slice("shared", F.lit(1), F.col("length").cast("int"))).alias("x"))
-    return kept.select("node", F.col("x.item").alias("item"))
+    kept = kept.where("length > 0").select("node", "size", (F.col("size") - F.size("shared")).alias("alone"),
+                                           F.posexplode(F.slice("shared", F.lit(1), F.col("length").cast("int"))).alias("at", "x"))
+    return kept.select("node", F.col("x.item").alias("item"), (F.col("alone") + F.col("at")).alias("place"), "size")
 
 
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -197,16 +201,21 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: i
     open_ = stored(open_, "open")
     prefix = _prefixes(bags_.join(open_.select("node"), "node", "left_semi"), threshold).join(open_, "node")
     prefix = stored(prefix, "prefix")
-    left = prefix.where("smaller").select("item", F.col("node").alias("a"), F.col("part").alias("part_a"))
-    right = prefix.select("item", F.col("node").alias("b"), F.col("part").alias("part_b"))
-    missed = left.join(right, "item").where("part_a < part_b").select("a", "b").distinct()
+    left, right = (prefix.where(which).select("item", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "part", "place", "size")])
+                   for which, s in (("smaller", "a"), ("true", "b")))
+    # the overlap that a pair of these sizes needs: beyond it, an item comes too late in the order to be the first one shared
+    needed = F.ceil(threshold / (1 + threshold) * (F.col("size_a") + F.col("size_b")) - 1e-9)
+    early = (F.col("place_a") <= F.col("size_a") - needed) & (F.col("place_b") <= F.col("size_b") - needed)
+    missed = left.join(right, "item").where((F.col("part_a") < F.col("part_b")) & early)
+    missed = missed.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     more = _verified(missed, bags_, threshold)
     labels = components(links.union(more))
 
     found = signed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # documents without words stay alone
     worded = found.where("n_shingles > 0")
-    classes = worded.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_members"))
+    # stored, so that the join has a shuffle of its own, in which a large class can be split
+    classes = stored(worded.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_members")), "classes")
     result = worded.join(classes, "label").select("doc_id", "node", "class_id", "n_members", "n_shingles")
     alone = found.where("n_shingles = 0").select("doc_id", "node", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_members"), "n_shingles")
     return result.union(alone)
