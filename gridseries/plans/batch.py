@@ -13,7 +13,7 @@ from gridseries.operators.quality import drop_sentinel
 from gridseries.operators.series import time_range
 from gridseries.operators.space import idw_weights, knn
 from gridseries.operators.validate import unanswered, validate_requests
-from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES
+from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES, VARIABLES
 from gridseries.session import ensure_checkpoint_dir, spread
 from gridseries.sinks.writers import write_raw
 from gridseries.sources.tables import scan_obs
@@ -29,10 +29,13 @@ GROUP = ["place", "salt"]
 def request_profile(requests: DataFrame) -> dict:
     """What the scan can be pruned by: sources, variables and time span (one row).
 
-    Raises if an id occurs twice: ranks, weights and answers go by id.
+    Only names of the dictionary are gathered, so the row has a bound; other names have to be passed to
+    `extract_points` as `variables`. Raises if an id occurs twice: ranks, weights and answers go by id.
     """
     exploded = requests.select("source", F.explode("vars").alias("var"), "start_time", "end_time")
-    row = exploded.agg(F.collect_set("source"), F.collect_set("var"), F.min("start_time"), F.max("end_time")).first()
+    known = F.col("var").isin(sorted({v for names in VARIABLES.values() for v in names.values()}))
+    served = F.col("source").isin(list(VARIABLES))
+    row = exploded.agg(F.collect_set(F.when(served, F.col("source"))), F.collect_set(F.when(known, F.col("var"))), F.min("start_time"), F.max("end_time")).first()
     if not requests.groupBy("req_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
         raise ValueError("request ids are not unique")
     return {"sources": sorted(row[0]), "variables": sorted(row[1]), "start": row[2], "end": row[3]}
