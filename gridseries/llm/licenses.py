@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.llm.flat import slices
+from gridseries.llm.tables import stored
 
 THRESHOLD = 0.55
 FILE_SHARE = 0.6
@@ -194,12 +195,12 @@ def directory(path: str) -> Column:
 
 def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, templates=None) -> DataFrame:
     """id, path, license, score, via (own, inherited or null) and licensed_by, the path the licence comes from."""
-    from gridseries.llm.tables import stored
-
     found = stored(own_licenses(files, threshold, templates), "licenses")
     best = F.max_by(F.struct("own_license", "own_score", "path"), F.struct("own_score", -F.length("path"), -F.coalesce("id", F.lit(0))))
     holders = (found.where("is_file and path is not null").withColumn("holder", directory("path"))
                .groupBy("holder").agg(best.alias("law")))
+    # stored, so that the join below has a shuffle of its own: every file has the root above it
+    holders = stored(holders, "holders")
     # a file's ancestors: its directory and all above it, up to the empty one
     open_ = found.where("own_license is null and path is not null").select("path").distinct()
     parts = F.split(directory("path"), "/")

@@ -65,6 +65,10 @@ def _node() -> F.Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def _id() -> F.Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
+
+
 def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
     """doc_id, node, n_shingles, and the bucket keys of all bands (null for documents without words)."""
 
@@ -105,8 +109,10 @@ def _bags_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
                 [batch.column("node"), pa.array([len(p) for p in parts], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
                 ["node", "size", "items"])
 
-    texts = documents.select("text").withColumn("node", _node()).join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    return texts.mapInArrow(scan, "node long, size long, items binary")
+    # one row of each node by its id, so that the many copies of a text do not meet
+    texts = documents.select("text", _node().alias("node"), _id().alias("id")).join(nodes, ["node", "id"], "left_semi")
+    texts = texts.dropDuplicates(["node", "id"])
+    return texts.select("node", "text").mapInArrow(scan, "node long, size long, items binary")
 
 
 def _verified(pairs: DataFrame, bags_: DataFrame, threshold: float) -> DataFrame:
@@ -164,9 +170,10 @@ def _prefixes(bags_: DataFrame, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), node.as_py()), pa.int64()), pa.array(x)], ["node", "item"])
 
     items = rows.mapInArrow(unpack, "node long, item long")
-    often = items.groupBy("item").agg(F.count("*").alias("n"))
+    # stored, so that the join has a shuffle of its own, in which a very common item can be split
+    often = stored(items.groupBy("item").agg(F.count("*").alias("n")).where("n > 1"), "often")
     # items that only one node has come first in every order and never make a pair, but they fill the prefix
-    shared = items.join(often.where("n > 1"), "item").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("shared"))
+    shared = items.join(often, "item").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("shared"))
     length = F.col("size") - F.ceil(F.col("size") * threshold) + 1
     kept = shared.join(bags_.select("node", "size"), "node").withColumn("length", length - (F.col("size") - F.size("shared")))
     kept = kept.where("length > 0").select("node", "size", (F.col("size") - F.size("shared")).alias("alone"),
@@ -177,7 +184,7 @@ def _prefixes(bags_: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, node (of the text), class_id, n_members, n_shingles."""
     signed = stored(_signed(documents, bands, rows), "signed")
-    nodes = signed.where(F.col("buckets").isNotNull()).groupBy("node").agg(F.first("buckets").alias("buckets"))
+    nodes = signed.where(F.col("buckets").isNotNull()).groupBy("node").agg(F.first("buckets").alias("buckets"), F.min(_id()).alias("id"))
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
     full = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(members.join(full, "bucket"), "members")
@@ -186,7 +193,7 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: i
     centre = placed.groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("top")).select("bucket", F.col("top.node").alias("centre"))
     pairs = members.join(centre, "bucket").where("node <> centre")
     pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    bags_ = stored(_bags_of(documents, members.select("node").distinct()), "bags")
+    bags_ = stored(_bags_of(documents, nodes.join(score, "node", "left_semi").select("node", "id")), "bags")
     links = stored(_verified(pairs, bags_, threshold), "links")
     first = components(links)
 

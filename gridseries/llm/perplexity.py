@@ -152,12 +152,14 @@ def score_texts(documents: DataFrame, training: Column, prior: float = PRIOR) ->
         pairs, pair_counts = _counted(pair_keys(keys, begins), training)
         word_to, pair_to = (_shares(x, batches) for x in (words, pairs))
         out = []
-        for r in range(batches):
+        # only reducers that get something, so messages never outnumber keys
+        reached = np.flatnonzero(np.diff(word_to) + np.diff(pair_to)).tolist()
+        for r in reached:
             w, p = slice(word_to[r], word_to[r + 1]), slice(pair_to[r], pair_to[r + 1])
             out.append((_steps(words[w]), _planes(word_counts[w], "<u4"), _steps(pairs[p]), _planes(pair_counts[p], "<u4")))
         columns = [pa.array(c, pa.binary()) for c in zip(*out)]
         own = table["batch"][0].as_py()
-        return pa.table([pa.array(range(batches), pa.int64()), pa.array([own] * batches, pa.int64()), *columns], names)
+        return pa.table([pa.array(reached, pa.int64()), pa.array([own] * len(reached), pa.int64()), *columns], names)
 
     def add(table: pa.Table) -> pa.Table:
         out = {"batch": table["batch"].to_pylist(), "reducer": table["reducer"].to_pylist()}

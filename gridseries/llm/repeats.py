@@ -99,7 +99,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _runs(texts: DataFrame) -> DataFrame:
-    """k1, k2, minimizer, content, begin, end of all runs."""
+    """k1, k2, id, minimizer, content, begin, end of all runs."""
 
     def scan(batches):
         for batch, data, offsets, base in _parts(batches):
@@ -107,15 +107,17 @@ def _runs(texts: DataFrame) -> DataFrame:
             if found is None:
                 continue
             row, begin, end, minimizer, content, _ = found
-            keys = [batch.column(c).take(pa.array(row)) for c in ("k1", "k2")]
+            keys = [batch.column(c).take(pa.array(row)) for c in ("k1", "k2", "id")]
             yield pa.RecordBatch.from_arrays([*keys, _signed(minimizer), _signed(content), pa.array(begin + base), pa.array(end + base)],
-                                             ["k1", "k2", "minimizer", "content", "begin", "end"])
+                                             ["k1", "k2", "id", "minimizer", "content", "begin", "end"])
 
-    return texts.mapInArrow(scan, "k1 long, k2 long, minimizer long, content long, begin long, end long")
+    return texts.mapInArrow(scan, "k1 long, k2 long, id long, minimizer long, content long, begin long, end long")
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(1), F.length("text"))})
+    """With the key of the text, and an id that tells most copies of a text apart."""
+    return documents.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(1), F.length("text")),
+                                  "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))})
 
 
 class Shard:
@@ -257,8 +259,9 @@ def _counted(contents: DataFrame) -> DataFrame:
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """k1, k2 (the text's key) and the intervals of window starts that occur elsewhere, as one array a text."""
     keyed = _keyed(documents.select("doc_id", "text")).where(F.octet_length("text") >= LENGTH)
-    runs = _runs(keyed.select("k1", "k2", "text"))
-    held = F.struct("k1", "k2", "begin", "end")
+    runs = _runs(keyed.select("k1", "k2", "id", "text"))
+    # one place of each content; of copies of a text always the same one
+    held = F.struct("k1", "k2", "id", "begin", "end")
     counted = runs.groupBy("minimizer", "content").agg(F.count("*").alias("n"), F.min(held).alias("at"))
     counted = stored(counted.select("minimizer", "content", "n", "at.*"), "runs")
     several = counted.groupBy("minimizer").agg(F.count("*").alias("contents")).where("contents > 1")
@@ -266,8 +269,8 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     spans = alike.select("k1", "k2", "begin", "end")
 
     asked = counted.join(several, "minimizer")
-    lists = asked.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end", "minimizer", "content", "n", "contents")).alias("asked"))
-    one = keyed.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "asked")
+    lists = asked.groupBy("k1", "k2", "id").agg(F.collect_list(F.struct("begin", "end", "minimizer", "content", "n", "contents")).alias("asked"))
+    one = keyed.join(lists, ["k1", "k2", "id"]).select("k1", "k2", "text", "asked")
 
     def cut(batches):
         for batch in slices(batches, "text"):
@@ -296,7 +299,8 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
 def without_repeats(documents: DataFrame) -> DataFrame:
     """All columns, and `kept` (binary), `n_bytes`, `n_removed`, `removed` (array of begin, end; end not included)."""
     documents = documents.drop("kept", "n_bytes", "n_removed", "removed", "_k1", "_k2", "_spans")
-    spans = repeated_spans(documents).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans"))
+    # stored, so that the join has a shuffle of its own, in which the many copies of a text can be split
+    spans = stored(repeated_spans(documents), "spans").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans"))
     keyed = documents.withColumns({"_k1": F.xxhash64("text"), "_k2": F.xxhash64("text", F.lit(1), F.length("text"))})
     joined = keyed.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
     span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])

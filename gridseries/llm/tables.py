@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
-import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
@@ -19,7 +17,7 @@ from gridseries.session import ensure_checkpoint_dir
 def ship_package(spark: SparkSession) -> None:
     """Send this package's code to the executors once per context, where it may not be installed.
 
-    The archive is a file of the driver's own; Spark serves it to the executors.
+    The archive goes to the shared folder, from where Spark takes it.
     """
     context = spark.sparkContext
     if getattr(context, "_gridseries_shipped", False):
@@ -28,8 +26,11 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(top.rglob("*.py")):
             out.write(source, source.relative_to(top.parent))
-    path = os.path.join(tempfile.mkdtemp(prefix="gridseries-code-"), "gridseries.zip")
-    Path(path).write_bytes(archive.getvalue())
+    path = f"{shared_folder(spark, 'code')}/gridseries.zip"
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    out.write(archive.getvalue())
+    out.close()
     context.addPyFile(path)
     context._gridseries_shipped = True
 

@@ -142,7 +142,8 @@ def with_originals(pages: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) ->
     rows = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload")).withColumn("payload_sha1", F.sha1("payload"))
     long = rows.where(F.octet_length("payload") >= least_bytes)
     largest = long.groupBy("payload_sha1").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = rows.join(largest, "payload_sha1", "left")
+    # stored, so that the join has a shuffle of its own, in which a very common payload can be split
+    joined = rows.join(stored(largest, "originals"), "payload_sha1", "left")
     other = F.col("largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest")) & (F.octet_length("payload") >= least_bytes)
     return joined.withColumn("refers_to", F.when(other, F.col("largest"))).drop("largest")
 
@@ -194,8 +195,10 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = Non
         if archive:
             yield close()
 
+    # a repeated task then writes the same bytes
+    ordered = with_originals(pages, least_bytes).sortWithinPartitions("payload_sha1", "page_id", "url")
     schema = "archive string, frame_offset long, frame_length long, page_id long, record_type string"
-    return stored(with_originals(pages, least_bytes).mapInArrow(write, schema), "warc-index")
+    return stored(ordered.mapInArrow(write, schema), "warc-index")
 
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
