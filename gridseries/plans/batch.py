@@ -32,11 +32,14 @@ def request_profile(requests: DataFrame) -> dict:
     Only names of the dictionary are gathered, so the row has a bound; other names have to be passed to
     `extract_points` as `variables`. Raises if an id occurs twice: ranks, weights and answers go by id.
     """
-    exploded = requests.select("source", F.explode("vars").alias("var"), "start_time", "end_time")
+    by_id = requests.groupBy("req_id").agg(
+        F.count("*").alias("n"), F.first("source").alias("source"), F.first("vars").alias("vars"),
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
+    exploded = by_id.select("n", "source", F.explode_outer("vars").alias("var"), "start_time", "end_time")
     known = F.col("var").isin(sorted({v for names in VARIABLES.values() for v in names.values()}))
     served = F.col("source").isin(list(VARIABLES))
-    row = exploded.agg(F.collect_set(F.when(served, F.col("source"))), F.collect_set(F.when(known, F.col("var"))), F.min("start_time"), F.max("end_time")).first()
-    if not requests.groupBy("req_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+    row = exploded.agg(F.collect_set(F.when(served, F.col("source"))), F.collect_set(F.when(known, F.col("var"))), F.min("start_time"), F.max("end_time"), F.max("n")).first()
+    if (row[4] or 0) > 1:
         raise ValueError("request ids are not unique")
     return {"sources": sorted(row[0]), "variables": sorted(row[1]), "start": row[2], "end": row[3]}
 
