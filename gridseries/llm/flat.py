@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse, modulo 2^64; a worker keeps the longest."""
-    if len(_powers.get("up", ())) < n:
+    if "up" not in _powers or len(_powers["up"]) < n:
         size = max(n, SLICE_BYTES + 1)
         for name, base in (("up", _ODD), ("down", _INVERSE)):
             steps = np.full(size, base, np.uint64)

@@ -58,6 +58,12 @@ def test_words_do_not_cross_rows(texts):
     assert found == [w for t in want for w in t] and np.diff(first).tolist() == [len(t) for t in want]
 
 
+def test_a_worker_may_start_with_no_bytes(monkeypatch):
+    monkeypatch.setattr(flat, "_powers", {})
+    nothing = np.zeros(0, np.uint8)
+    assert len(flat.span_hash(flat.prefix_hash(nothing), np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
+
+
 def test_equal_spans_have_equal_hashes():
     data = np.frombuffer(b"abcabcabd", np.uint8)
     sums = flat.prefix_hash(data)
