@@ -1,12 +1,16 @@
-"""Licence scan: TF-IDF cosine of licence statements to templates, and inheritance along directories.
+"""Licence scan: TF-IDF cosine of headers, statements and whole files to templates, and inheritance along directories.
 
-A text is cut into sentences. Those with a licence cue, joined with cue sentences next to them, are the
-passages compared; nothing else of a text can resemble a template. Each passage is a sparse vector of
-term counts times idf, the same for the templates, and takes the template of the largest cosine if that
-is at least THRESHOLD. Idf counts all documents and the templates. A document whose matched passages
-make up most of its words is a licence file of its directory. A document without a statement of its own
-takes the licence of the nearest directory above it that has a licence file, by joining its ancestors
-with those directories.
+Texts are compared as sequences of words, so line breaks and comment marks do not matter. Of each text these
+passages are compared: the whole file; its header, that is its leading comment or first paragraph; its runs, the
+parts of which most neighbouring words are neighbours in a template too; and its sentences with a licence cue,
+joined with cue sentences next to them. Each passage is a sparse vector of term counts times idf, the same for the
+templates (notices and full texts), and takes the template of the largest cosine if that is at least THRESHOLD.
+Idf counts all documents and the templates. A reservation of all rights counts only where no other licence
+matches, as it also opens the notices of free licences. A document whose matched words, those of all its
+matched passages together, make up most of its words is a licence file of its directory; of a header or a whole
+file only the words that its template has are matched. A document without a statement of its own takes the
+licence of the nearest directory above it that has a licence file, by joining its ancestors with those
+directories.
 
 Defined cases: null and empty texts have no licence of their own; a null path has no directory and
 inherits nothing; of several licence files in a directory the best match counts, then the smallest path,
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,14 +32,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.llm.flat import slices
+from gridseries.llm.license_texts import FULL_TEXTS
 from gridseries.llm.tables import stored
 
 THRESHOLD = 0.55
 FILE_SHARE = 0.6
+RUN_LEAD = 3
+RESERVED = "Proprietary"
 CUES = ("license", "licence", "copyright", "spdx", "permission is hereby granted", "redistribution and use", "public domain",
         "all rights reserved")
 
-# fixed values: openings and notices of public licences
+# fixed values: openings, notices and full texts of public licences
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
@@ -82,18 +90,25 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved."),
     ("Proprietary", "Copyright. All rights reserved. No part may be reproduced without permission."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    *FULL_TEXTS,
 ]
 
 _TERM = re.compile(r"\w+(?:[.-]\w+)*")
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?;](?=\s)|$)", re.MULTILINE)
+_LINE = re.compile(r"[^\n]*\n?")
+_MARK = re.compile(r"\s*(?:[#*;%!]|//|--|<!--|/\*|\"\"\"|\'\'\'|\(\*|\{-)")
+_WORD_MARK = re.compile(r"^[ \t]*(?:@?rem|dnl)(?!\S)", re.MULTILINE)
+_BLOCKS = {"/*": "*/", "<!--": "-->", '"""': '"""', "'''": "'''", "(*": "*)", "{-": "-}"}
 
 
 def terms(text: str) -> list[str]:
     return _TERM.findall(text.lower())
 
 
-def passages(text: str) -> list[str]:
-    """Sentences with a cue, joined with cue sentences that follow directly."""
+def passage_spans(text: str) -> list[tuple[int, int]]:
+    """Where sentences with a cue are, joined with cue sentences that follow directly."""
     low = text.lower()
     if not any(cue in low for cue in CUES):
         return []
@@ -104,12 +119,41 @@ def passages(text: str) -> list[str]:
             continue
         has = any(cue in sentence.lower() for cue in CUES)
         if has and after:
-            out[-1].append(sentence)
+            out[-1].append(found.span())
         elif has:
-            out.append([sentence])
+            out.append([found.span()])
         after = has
     # a passage of several sentences is compared whole and by sentence
-    return [" ".join(p) for p in out] + [s for p in out if len(p) > 1 for s in p]
+    return [(p[0][0], p[-1][1]) for p in out] + [s for p in out if len(p) > 1 for s in p]
+
+
+def passages(text: str) -> list[str]:
+    """Sentences with a cue, joined with cue sentences that follow directly."""
+    return [text[a:b].strip() for a, b in passage_spans(text)]
+
+
+def header_end(text: str) -> int:
+    """Where the leading comment ends, or else the first paragraph."""
+    comment, close, end = None, None, 0
+    for found in _LINE.finditer(text):
+        line = found.group().strip()
+        if not found.group():
+            break
+        if comment is None:
+            if line:
+                comment = bool(_MARK.match(line))
+        if close is None and comment and line:
+            mark = _MARK.match(line)
+            if not mark:
+                break
+            close = _BLOCKS.get(mark.group().strip())
+            line = line[mark.end():]
+        if close and close in line:
+            close = None
+        if comment is False and not line:
+            break
+        end = found.end()
+    return end
 
 
 class Matcher:
@@ -117,39 +161,100 @@ class Matcher:
 
     def __init__(self, counts: dict[str, int], documents: int, templates=None):
         templates = templates or TEMPLATES
-        own = Counter(t for _, text in templates for t in set(terms(text)))
-        self.all, self.counts = documents + len(templates), {t: n + counts.get(t, 0) for t, n in own.items()}
-        self.names, self.by_term = [name for name, _ in templates], {}
-        for i, (_, text) in enumerate(templates):
-            vector = self.vector(text)
+        words = [terms(text) for _, text in templates]
+        own = Counter(t for found in words for t in set(found))
+        self.all = documents + len(templates)
+        self.idf = {t: self._idf(n + counts.get(t, 0)) for t, n in own.items()}
+        self.rare = self._idf(0)
+        self.pairs = {pair for found in words for pair in zip(found, found[1:])}
+        self.names, self.by_term, self.vocabulary = [name for name, _ in templates], {}, {}
+        for i, found in enumerate(words):
+            self.vocabulary.setdefault(self.names[i], set()).update(found)
+            vector = self.weights(found)
+            norm = math.sqrt(sum(w * w for w in vector.values()))
             for term, weight in vector.items():
-                self.by_term.setdefault(term, []).append((i, weight))
+                self.by_term.setdefault(term, []).append((i, weight / norm))
 
-    def vector(self, text: str) -> dict[str, float]:
-        weights = {t: (1 + math.log(n)) * (math.log((1 + self.all) / (1 + self.counts.get(t, 0))) + 1) for t, n in Counter(terms(text)).items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: w / norm for t, w in weights.items()} if norm else {}
+    def _idf(self, n: int) -> float:
+        return math.log((1 + self.all) / (1 + n)) + 1
 
-    def best(self, text: str) -> tuple[str | None, float]:
-        cosine = [0.0] * len(self.names)
-        for term, weight in self.vector(text).items():
-            for i, other in self.by_term.get(term, ()):
-                cosine[i] += weight * other
+    def weights(self, words: list[str]) -> dict[str, float]:
+        idf, rare = self.idf, self.rare
+        return {t: (1 + math.log(n)) * idf.get(t, rare) if n > 1 else idf.get(t, rare) for t, n in Counter(words).items()}
+
+    def closest(self, words: list[str], least: float = 0.0) -> tuple[str | None, float]:
+        """The template of the largest cosine; none if no cosine can reach `least`."""
+        weights = self.weights(words)
+        known = [(t, w) for t, w in weights.items() if t in self.by_term]
+        total = sum(w * w for w in weights.values())
+        # no cosine is above the share of the terms that templates have
+        if not known or sum(w * w for _, w in known) < (least * least - 1e-9) * total:
+            return None, 0.0
+        cosine, norm = [0.0] * len(self.names), math.sqrt(total)
+        for term, weight in known:
+            for i, other in self.by_term[term]:
+                cosine[i] += weight / norm * other
         at = min(range(len(cosine)), key=lambda i: (-round(cosine[i], 12), self.names[i]))
-        return (self.names[at], cosine[at]) if cosine[at] > 0 else (None, 0.0)
+        return self.names[at], round(cosine[at], 12)
+
+    def best(self, text: str) -> tuple[str | None, float]:
+        return self.closest(terms(text))
+
+    def runs(self, words: list[str]) -> list[tuple[int, int]]:
+        """Ranges of words of which most neighbouring pairs are a template's.
+
+        A pair counts 1 if a template has it and -1 otherwise; the ranges are the maximal scoring
+        ones of that sequence (Ruzzo and Tompa) that score at least RUN_LEAD.
+        """
+        known, pairs = [], self.pairs
+        for k, pair in enumerate(zip(words, words[1:])):
+            if pair in pairs:
+                if known and known[-1][1] == k:
+                    known[-1][1] = k + 1
+                else:
+                    known.append([k, k + 1])
+        # found ranges: sum before, sum after, start, end, and the place of the last one of a smaller sum before
+        out, total, last = [], 0, 0
+        for start, end in known:
+            low = total - (start - last)
+            total, last = low + end - start, end
+            high = total
+            while True:
+                at = len(out) - 1
+                while at >= 0 and out[at][0] >= low:
+                    at = out[at][4]
+                if at < 0 or out[at][1] >= high:
+                    out.append((low, high, start, end, at))
+                    break
+                low, start = out[at][0], out[at][2]
+                del out[at:]
+        return [(start, end + 1) for low, high, start, end, _ in out if high - low >= RUN_LEAD]
 
     def scan(self, text: str, threshold: float = THRESHOLD) -> tuple[str | None, float | None, float]:
         """Licence, cosine, and the share of the text's words in matched passages."""
-        found, covered = (None, 0.0), 0
-        for passage in passages(text):
-            name, cosine = self.best(passage)
-            if name and cosine >= threshold:
-                covered = max(covered, len(terms(passage)))
-                if (cosine, found[0] or "") > (found[1], found[0] or ""):
-                    found = (name, cosine)
-        if not found[0]:
+        low = text.lower()
+        if _WORD_MARK.match(low):
+            low = _WORD_MARK.sub("#", low)
+        words = terms(low)
+        ranges = self.runs(words)
+        cues = passage_spans(low)
+        if cues:
+            begins = [m.start() for m in _TERM.finditer(low)]
+            ranges += [(bisect_left(begins, a), bisect_left(begins, b)) for a, b in cues]
+        blocks = {(0, len(words)), (0, len(terms(low[:header_end(low)])))}
+        found, covered = (False, 0.0, None), bytearray(len(words))
+        for a, b in {*ranges, *blocks}:
+            name, cosine = self.closest(words[a:b], threshold)
+            if not name or cosine < threshold:
+                continue
+            if (a, b) in blocks:
+                covered[a:b] = bytes(c or t in self.vocabulary[name] for c, t in zip(covered[a:b], words[a:b]))
+            else:
+                covered[a:b] = b"\1" * (b - a)
+            found = max(found, (name != RESERVED, cosine, name), key=lambda f: (f[0], f[1], f[2] or ""))
+        if found[2] is None:
             return None, None, 0.0
-        return found[0], found[1], covered / max(1, len(terms(text)))
+        return found[2], found[1], sum(covered) / max(1, len(words))
 
 
 def _term_counts(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:

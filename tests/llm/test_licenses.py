@@ -1,4 +1,5 @@
 import math
+import textwrap
 from collections import Counter
 
 import pytest
@@ -67,3 +68,65 @@ def test_every_template_is_its_own_best():
 
 def test_empty_table(spark):
     assert op.scan_licenses(files(spark, [("a", "b")]).limit(0)).isEmpty()
+
+
+def full(name):
+    return next(text for known, text in op.FULL_TEXTS if known == name)
+
+
+def commented(text, mark, width=60):
+    """Wrapped at `width` columns, each line behind a comment mark."""
+    return "\n".join(f"{mark} {line}".rstrip() for part in text.split("\n\n") for line in [*textwrap.wrap(part, width), ""])
+
+
+NOTICES = [("MIT", full("MIT")), ("BSD-2-Clause", full("BSD-2-Clause")), ("BSD-3-Clause", full("BSD-3-Clause")), ("ISC", full("ISC")),
+           ("Apache-2.0", op.TEMPLATES[1][1]), ("GPL-2.0", GPL), ("GPL-3.0", op.TEMPLATES[16][1]), ("MIT", op.TEMPLATES[20][1])]
+
+
+@pytest.mark.parametrize("mark", ["", "#", "//", " *", "--", "dnl"])
+def test_wrapped_headers(mark):
+    matcher = op.Matcher({}, 0)
+    code = "\n".join(f"value_{i} = compute_{i}(left_{i}, right_{i})" for i in range(200))
+    for name, notice in NOTICES:
+        for owner in ("", "Copyright (c) 2019, Jane Roe and the other authors\nAll rights reserved.\n\n"):
+            text = commented(owner + notice, mark)
+            text = f"/*\n{text}\n */" if mark == " *" else text
+            found = matcher.scan(f"{text}\n\n{code}\n")
+            # all of the notice counts, which is less than most of the file
+            words = len(op.terms(notice))
+            assert found[0] == name and words * 0.9 / (words + 820) <= found[2] < op.FILE_SHARE, (name, mark, found)
+            alone = matcher.scan(text)
+            assert alone[0] == name and alone[2] >= 0.8, (name, mark, alone)
+
+
+def test_header_block():
+    assert op.header_end("#!/bin/sh\n# one\n\n# two\ncode\n# three") == len("#!/bin/sh\n# one\n\n# two\n")
+    assert op.header_end("/* one\n two\n */\ncode") == len("/* one\n two\n */\n")
+    assert op.header_end("/* one */\ncode") == len("/* one */\n")
+    assert op.header_end("one\ntwo\n\nthree") == len("one\ntwo\n") and op.header_end("") == 0 and op.header_end("one") == 3
+
+
+def test_full_texts_license_their_directories(spark):
+    rows = []
+    for k, (name, text) in enumerate(op.FULL_TEXTS):
+        rows += [(f"d{k}/LICENSE", f"Copyright (c) 2020 Jane Roe\n\n{text}"), (f"d{k}/src/one.txt", BODY)]
+    found = scan(spark, rows)
+    for k, (name, _) in enumerate(op.FULL_TEXTS):
+        assert (found[2 * k]["license"], found[2 * k]["via"]) == (name, "own")
+        assert (found[2 * k + 1]["license"], found[2 * k + 1]["licensed_by"]) == (name, f"d{k}/LICENSE")
+
+
+def test_matched_words_are_a_union():
+    """Two statements apart from each other, neither of which is most of the file."""
+    matcher = op.Matcher({}, 0)
+    name, _, share = matcher.scan(f"{APACHE}\nrivers hills\nsome words\nThis notice stands for all files:\n{op.TEMPLATES[0][1]}")
+    assert name == "Apache-2.0" and share >= 12 / 24
+    assert matcher.scan(f"All rights reserved.\n{BODY}\n{MIT}")[0] == "MIT"
+    assert matcher.scan(BODY * 30)[0] is None
+
+
+def test_runs_are_maximal_scoring_ranges():
+    matcher = op.Matcher({}, 0, [("x", "a b c d e f g h")])
+    assert matcher.runs("a b c d e f g h".split()) == [(0, 8)]
+    assert matcher.runs("z z a b c d q e f g h z z z z z z z a b c d e".split()) == [(2, 11), (18, 23)]
+    assert matcher.runs("a b c".split()) == [] and matcher.runs([]) == []
