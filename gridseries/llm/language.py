@@ -4,7 +4,7 @@ Whole texts are cut into consecutive windows of `STEPS` bytes. A forward and a b
 with reset and update gates run over each window, a softmax labels every byte position, and a
 document's probabilities are the mean of its positions' log-probabilities, normalised. All bytes of
 all texts are read. The network is trained in numpy by backpropagation through time on excerpts of
-at most `per_language` documents for each language.
+at most `per_language` different texts for each label; every label that has a row is learned.
 
 Defined cases: a null text or one without a letter is `und` with score 0; without any labelled row
 everything is `und`; repeated rows are scored alike; extra columns stay untouched.
@@ -26,28 +26,36 @@ STEPS = 48
 HIDDEN = 8
 PER_LANGUAGE = 400
 EXCERPT_CHARS = 600
-MOST_LANGUAGES = 200
+MOST_EXCERPTS = 80_000
+ROUNDS = 700
+ROUNDS_EACH = 10
 UNKNOWN = "und"
 LANES = 2048
 
 
 def training_excerpts(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """At most `per_language` excerpts for each language, chosen by a hash of the text.
+    """At most `per_language` excerpts for each label that has a row, chosen by a hash of the text.
 
-    Languages are the most frequent `MOST_LANGUAGES` labels. A first filter by hash keeps about twice
-    what is wanted of each, so that no language is ranked whole.
+    Copies of a text under one label are one text. A first filter by hash keeps about twice what is
+    wanted of each label, so that none is ranked whole. With so many labels that all excerpts would be
+    more than MOST_EXCERPTS, each label has fewer, but one at least.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    draw = F.xxhash64("text", F.lit(7))
+    rows = (labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+            .select("lang", "text", draw.alias("draw")))
+    counts = rows.select("lang", "draw").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return []
-    share = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(2.0 * per_language / r["count"]))))
-    draw = F.xxhash64("text", F.lit(7))
-    unit = F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)
+    per_language = max(1, min(per_language, MOST_EXCERPTS // len(counts)))
+    # so many that the filter hardly leaves too few; the model has all labels in one place too
+    keep = max(2.0 * per_language, 40.0)
+    share = labelled.sparkSession.createDataFrame([(r["lang"], keep / r["n"]) for r in counts], "lang string, share double")
+    unit = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
     start = F.pmod(F.xxhash64("text", F.lit(11)), F.greatest(F.lit(1), F.length("text") - EXCERPT_CHARS + 1)).cast("int") + 1
-    drawn = (rows.withColumn("draw", draw).where(unit < share[F.col("lang")])
+    drawn = (rows.join(F.broadcast(share), "lang").where(unit < F.col("share"))
              .select("lang", "draw", F.col("text").substr(start, F.lit(EXCERPT_CHARS)).alias("text")))
-    ranked = drawn.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")))
+    once = drawn.groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    ranked = once.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw")))
     chosen = ranked.where(F.col("place") <= per_language).orderBy("lang", "place").collect()
     return [(r["lang"], r["text"].encode()) for r in chosen]
 
@@ -135,7 +143,7 @@ class Network:
         return logits
 
 
-def train(examples: list[tuple[str, bytes]], steps: int = STEPS, hidden: int = HIDDEN, rounds: int = 700,
+def train(examples: list[tuple[str, bytes]], steps: int = STEPS, hidden: int = HIDDEN, rounds: int = ROUNDS,
           lanes: int = 96, seed: int = 5) -> Network:
     """Fit by Adam; each round draws windows evenly over the languages."""
     rng = np.random.default_rng(seed)
@@ -208,7 +216,7 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def fit(documents: DataFrame, labelled: DataFrame | None = None, per_language: int = PER_LANGUAGE) -> Network | None:
     examples = training_excerpts(documents if labelled is None else labelled, per_language)
-    return train(examples) if examples else None
+    return train(examples, rounds=max(ROUNDS, ROUNDS_EACH * len({lang for lang, _ in examples}))) if examples else None
 
 
 def with_language(documents: DataFrame, net: Network | None) -> DataFrame:

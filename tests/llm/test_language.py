@@ -86,3 +86,24 @@ def test_training_sample_is_bounded(spark, documents):
     assert chosen == op.training_excerpts(labelled.repartition(7), 25)
     one = op.train([("aa", b"some text of one language only")])
     assert one.languages == ["aa"] and op.pooled(one, np.frombuffer(b"abc", np.uint8), np.array([0, 3])).shape == (1, 1)
+
+
+def test_every_label_is_learned_from_different_texts(spark, documents):
+    labels = [f"l{k:03}" for k in range(230)]
+    rows = [(i, text(list(SOUNDS)[i % 3], i, 8)) for i in range(690)]
+    labelled = documents(rows).selectExpr("text", "concat('l', lpad(cast(doc_id % 230 as string), 3, '0')) lang")
+    assert {lang for lang, _ in op.training_excerpts(labelled)} == set(labels)
+    # one text very often, ten others once: each counts once, and none is missing
+    often = [(i, text("aa", 5000 + max(0, i - 2990), 8)) for i in range(3000)]
+    more = labelled.union(documents(often).selectExpr("text", "'often' lang"))
+    chosen = op.training_excerpts(more, 25)
+    found = [t for lang, t in chosen if lang == "often"]
+    assert len(found) == len(set(found)) == 10 and set(found) == {t.encode() for _, t in often}
+    assert op.train(chosen, rounds=1).languages == sorted([*labels, "often"])
+
+
+def test_many_labels_have_fewer_excerpts_each(spark, documents, monkeypatch):
+    monkeypatch.setattr(op, "MOST_EXCERPTS", 60)
+    rows = [(i, text("aa", i, 8)) for i in range(2000)]
+    chosen = op.training_excerpts(documents(rows).selectExpr("text", "cast(doc_id % 40 as string) lang"))
+    assert len(chosen) == 40 and len({lang for lang, _ in chosen}) == 40
