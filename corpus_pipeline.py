@@ -13,20 +13,19 @@ from gridseries.llm import decontaminate, language, near, packing, repeats
 from gridseries.llm.queries import tokenizer_path
 from gridseries.llm.tables import set_aside, shared_folder, ship_package, table
 
-LEAST_LANGUAGE_SCORE = 0.4
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is recognised, with that language as lang.
+    """Documents with a letter, with the language that fits best as lang.
 
-    A document is rejected if it has no letter or if no language reaches LEAST_LANGUAGE_SCORE. The network
-    learns from the documents that have a lang.
+    Only a document without a letter is rejected: the score of a clean text that mixes languages, or of any
+    text among many languages, may be low. The network learns from the documents that have a lang; if none
+    has one, lang is language.UNKNOWN.
     """
     ship_package(spark)
     net = language.fit(docs.select("text", "lang"))
     apart, restore = set_aside(docs, "text", "lang")
     found = language.with_language(apart, net)
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    kept = found.where(F.col("text").rlike(r"\p{L}"))
     return restore(kept.withColumn("lang", F.col("lang_pred")))
 
 

@@ -1,7 +1,9 @@
 import corpus_pipeline as pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridseries.llm import language as op
 from gridseries.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string"
@@ -45,6 +47,22 @@ def test_stages_one_by_one(spark, folder, tmp_path):
     assert {r["doc_id"] for r in docs.select("doc_id").distinct().collect()} == set(clean)
 
 
+def test_only_documents_without_a_letter_are_rejected(spark, words, monkeypatch):
+    """Not those whose best language is unsure, as in a mixed text or among many languages."""
+    rows = [(i, " ".join(words(60, i)), "en", "s", 1, 0.5, "k") for i in range(20)]
+    docs = spark.createDataFrame([*rows, (20, "12 ?!", "en", "s", 1, 0.5, "k"), (21, None, "en", "s", 1, 0.5, "k")], SCHEMA)
+
+    def flat(examples, **_):
+        return op.Network([f"l{k}" for k in range(20)], op.Gru.new(np.random.default_rng(0), 2), op.Gru.new(np.random.default_rng(0), 2),
+                          np.zeros((4, 20), np.float32), np.zeros(20, np.float32))
+
+    monkeypatch.setattr(op, "train", flat)
+    assert {r["doc_id"] for r in pipeline.identify_language(spark, docs, "").collect()} == set(range(20))
+    monkeypatch.undo()
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert pipeline.identify_language(spark, unlabelled, "").where("lang = 'und'").count() == 20
+
+
 def test_run_is_the_stages(spark, folder):
     packed = pipeline.run(spark, folder)
     assert packed.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
