@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, licenses, near, neighbours, packing, perplexity, repeats, toxicity, warc
+from gridseries.llm import language, licenses, near, negatives, neighbours, packing, perplexity, repeats, toxicity, warc
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, shared_folder, table
 
@@ -77,8 +77,15 @@ def op10_licenses(spark, sf_dir):
     return licenses.scan_licenses(files).withColumnRenamed("id", "doc_id")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats, op8_neighbours, op9_warc, op10_licenses,
+    op11_hard_negatives,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -124,4 +131,18 @@ select page_id, cast(strlen(h) as bigint) payload_bytes,
        case when top is null or page_id = top then 'response' else 'revisit' end record_type,
        case when page_id <> top then top end refers_to
 from g""",
+    "op11_hard_negatives": """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label, list_transform(embedding, lambda x: floor(256 * x::double)) v
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+met as (
+  select a.vec_id anchor_id, b.vec_id, a.label = b.label same, cast(list_inner_product(a.v, b.v) as bigint) score
+  from rows a join rows b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id positive_id, score positive_score from met where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as int) rank, vec_id negative_id, positive_score, score negative_score
+from positives p join met n on p.anchor_id = n.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 10""",
 }
