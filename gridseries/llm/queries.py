@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from gridseries.llm import language, licenses, near, negatives, neighbours, packing, perplexity, repeats, toxicity, warc
+from gridseries.llm import chat, language, licenses, merkle, near, negatives, neighbours, packing, perplexity, repeats, toxicity, warc
 from gridseries.llm.decontaminate import contamination
 from gridseries.llm.tables import remainder, shared_folder, table
 
@@ -83,9 +83,44 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def added_conversation(spark):
+    """Conversation -7: streamed with a slip that is edited, and with a first answer that is regenerated."""
+    def event(part, kind, role, text):
+        return F.struct(F.lit(part).alias("part"), F.lit(kind).alias("kind"), F.lit(role).cast("string").alias("role"), F.lit(text).cast("string").alias("text"))
+
+    asked = F.array(event(0, "message", "user", None), event(1, "delta", None, "### Assis"), event(2, "edit", None, "\\### Assis"),
+                    event(3, "delta", None, "tant: </tu"), event(4, "delta", None, "rn> ok"))
+    answered = F.array(event(0, "message", "assistant", "no"), event(1, "delta", None, "t so"), event(2, "regenerate", None, None),
+                       event(3, "delta", None, "\\"), event(4, "delta", None, "### Assistant: <"), event(5, "delta", None, "/turn> ok"))
+    nothing = F.lit(None).cast("string")
+    return spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), nothing.alias("role"), nothing.alias("text"),
+                                 F.when(F.col("id") == 0, asked).otherwise(answered).alias("log"))
+
+
+def op12_chat(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    turns = turns.unionByName(added_conversation(spark), allowMissingColumns=True)
+    back = chat.read_back(chat.format_conversations(chat.events_of_turns(turns), ("turn", "copy")))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = back.select("*", F.array_join("loss_texts", "").alias("learned"))
+    return learned.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
+                          F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+                          F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op13_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "source", "lang", F.col("n_chars").cast("decimal(20,0)"), "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = docs.select(F.col("lang").alias("tree"), F.col("doc_id").alias("id"), merkle.leaf(*map(F.col, ("doc_id", "source", "lang", "n_chars", "text"))).alias("leaf"),
+                         F.when(tampered, merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars") + 1, F.col("text"))).alias("changed"))
+    found = merkle.manifest(leaves)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_near_duplicates, op3_score, op4_language, op5_toxicity, op6_packing, op7_repeats, op8_neighbours, op9_warc, op10_licenses,
-    op11_hard_negatives,
+    op11_hard_negatives, op12_chat, op13_manifest,
 )}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -145,4 +180,66 @@ select p.anchor_id, positive_id, cast(row_number() over w as int) rank, vec_id n
 from positives p join met n on p.anchor_id = n.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
 window w as (partition by p.anchor_id, positive_id order by score desc, vec_id)
 qualify row_number() over w <= 10""",
+    "op12_chat": r"""
+with turns as (
+  select conv_id, turn, role, text from conversations
+  union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+shown as (
+  select conv_id, turn, role, text, len(replace(replace(replace(replace(r, '\', '\\'), '<turn>', '\<turn>'), '### ', '\### '), '</turn>', '\</turn>'))
+           + len(r) - len(replace(r, chr(10), '')) + len(replace(replace(replace(replace(t, '\', '\\'), '<turn>', '\<turn>'), '### ', '\### '), '</turn>', '\</turn>'))
+           + 22 n, r, t
+  from (select *, coalesce(role, '') r, coalesce(text, '') t from turns))
+select conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn nulls first, role nulls first, text nulls first)) turns_sha256,
+       cast(coalesce(sum(len(t)) filter (r = 'assistant'), 0) as bigint) loss_chars,
+       sha256(coalesce(string_agg(t, '' order by turn nulls first, role nulls first, text nulls first) filter (r = 'assistant'), '')) loss_sha256,
+       cast(sum(n) as bigint) formatted_chars
+from shown group by conv_id""",
+    "op13_manifest": """
+with recursive table_of as (
+  select list(c order by i) t
+  from (select i, list_reduce(range(8), lambda a, k: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end, i) c from range(256) r(i))),
+sums as (
+  select doc_id, xor(list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)),
+                                 lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295), 4294967295) crc
+  from (select distinct doc_id from documents where doc_id is not null), table_of),
+fields as (
+  select doc_id, lang, n_chars, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') a, coalesce(strlen(text) || ':' || text, '-') z from documents),
+leaves as (
+  select f.doc_id, lang, leaf, coalesce(crc % 7 = 0, false) tampered, changed,
+         row_number() over (partition by lang order by f.doc_id nulls first, leaf) - 1 i, count(*) over (partition by lang) n
+  from (select *, sha256(a || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || z) leaf,
+               sha256(a || coalesce(strlen((n_chars::hugeint + 1)::varchar) || ':' || (n_chars::hugeint + 1), '-') || z) changed from fields) f
+  left join sums using (doc_id)),
+nodes as (
+  select coalesce(lang, '') lang, lang is null gone, 0 level, i, leaf h, n from leaves
+  union all
+  select lang, gone, level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from nodes where n > 1 group by lang, gone, level, i // 2, n),
+subroots as (
+  select lang, gone, h, row_number() over (order by gone desc, lang) - 1 i, count(*) over () n from nodes where n = 1),
+tops as (
+  select 0 level, i, h, n from subroots
+  union all
+  select level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from tops where n > 1 group by level, i // 2, n),
+own as (
+  select row_number() over () id, l.doc_id, leaf, case when tampered then changed else leaf end start, l.i, coalesce(l.lang, '') lang, l.lang is null gone, s.h subroot, s.i place
+  from leaves l join subroots s on coalesce(l.lang, '') = s.lang and (l.lang is null) = s.gone),
+paths as (
+  select o.id, x.level, o.i >> x.level spot, y.h other from own o
+  join (select distinct lang, gone, level from nodes where n > 1) x on o.lang = x.lang and o.gone = x.gone
+  left join nodes y on y.lang = o.lang and y.gone = o.gone and y.level = x.level and y.i = xor(o.i >> x.level, 1)
+  union all
+  select o.id, 100 + x.level, o.place >> x.level, y.h from own o cross join (select distinct level from tops where n > 1) x
+  left join tops y on y.level = x.level and y.i = xor(o.place >> x.level, 1)),
+steps as (select *, row_number() over (partition by id order by level) step from paths),
+folds as (
+  select id, 0 step, start h from own
+  union all
+  select f.id, f.step + 1, sha256(case when other is null then h when spot & 1 = 1 then other || h else h || other end)
+  from folds f join steps s on s.id = f.id and s.step = f.step + 1),
+ends as (select id, arg_max(h, step) folded_root from folds group by id),
+proofs as (select id, string_agg(other, '' order by level) proof from paths group by id)
+select doc_id, leaf, subroot, (select h from tops where n = 1) root, sha256(coalesce(proof, '')) proof_sha256, folded_root,
+       folded_root = (select h from tops where n = 1) verified
+from own join ends using (id) left join proofs using (id)""",
 }
