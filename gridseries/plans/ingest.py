@@ -44,17 +44,22 @@ def ingest_grid(grid_raw: DataFrame, catalogue: DataFrame, source: str, tier: st
     return _located(grid_rows(grid_raw, source), catalogue, source, tier)
 
 
-def ingest_grid_files(spark: SparkSession, manifest: DataFrame, folder: str, var: str, catalogue: DataFrame, source: str,
+def ingest_grid_files(spark: SparkSession, manifest: DataFrame, folder: str, var: str | list[str], catalogue: DataFrame, source: str,
                       tier: str = CURRENT, fmt: str = "parquet", extensions: list[str] | None = None) -> DataFrame:
-    """All landed files of one variable. `manifest` has (file_name) of what lies in the folder.
+    """All landed files of one or several variables. `manifest` has (file_name) of what lies in the folder.
 
-    File names go through the driver: one for each month of one variable.
+    A variable is named in its rows, so the plan has a branch for each layout of files, not for each variable. A
+    manifest that also has `layout`, as `describe_files` gives it, spares looking into the files. File names go
+    through the driver.
     """
-    chosen = grid_files_of(manifest, var, extensions=extensions).select("file_name").distinct().orderBy("file_name")
-    paths = [f"{folder.rstrip('/')}/{r['file_name']}" for r in chosen.collect()]
+    chosen = grid_files_of(manifest, var, extensions=extensions)
+    known = "layout" in manifest.columns
+    chosen = chosen.select("file_name", *["layout"] * known).distinct().orderBy("file_name").collect()
+    paths = [f"{folder.rstrip('/')}/{r['file_name']}" for r in chosen]
     if not paths:
         return spark.createDataFrame([], OBS_SCHEMA)
-    return _located(read_grid_raw(spark, paths, source, fmt), catalogue, source, tier)
+    described = spark.createDataFrame([(p, r["layout"]) for p, r in zip(paths, chosen)], "path string, layout string") if known else None
+    return _located(read_grid_raw(spark, paths, source, fmt, described), catalogue, source, tier)
 
 
 def ingest_stations(raw: DataFrame, old_catalogue: DataFrame, tier: str = CURRENT,
@@ -87,8 +92,8 @@ def rebuild_from_raw(spark: SparkSession, landing: str, manifest: DataFrame, cat
         parts.append(ingest_point(spark.read.format(fmt).load(f"{landing}/nasapower"), HISTORIC))
     for source in GRID_SOURCES:
         own = manifest.filter(F.col("source") == source)
-        for var in (variables or {}).get(source, sorted(set(VARIABLES[source].values()))):
-            parts.append(ingest_grid_files(spark, own, f"{landing}/{source}", var, catalogues, source, HISTORIC, fmt, extensions))
+        wanted = (variables or {}).get(source, sorted(set(VARIABLES[source].values())))
+        parts.append(ingest_grid_files(spark, own, f"{landing}/{source}", wanted, catalogues, source, HISTORIC, fmt, extensions))
     rebuild(parts, path)
 
 

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from gridseries.functions import names, times
 from gridseries.operators.quality import drop_null_rows
 from gridseries.operators.shape import value_column
+from gridseries.schema import REQUEST_NAMES
+from gridseries.sources.layouts import by_layout, describe_files
 
 PAYLOAD_SCHEMA = "struct<properties: struct<parameter: map<string, map<string, double>>>>"
+STATION_AXES = ["time", "lat", "lon"]
 STATION_EXTRAS = ["geometry", "height", "externalId", "name", "station_id", "ref"]
 
 
@@ -69,45 +72,44 @@ def grid_rows(extract: DataFrame, source: str) -> DataFrame:
         F.col(f"`{raw_name}`").cast("double").alias("value"))
 
 
-def read_grid_raw(spark: SparkSession, paths: list[str], source: str, fmt: str = "parquet") -> DataFrame:
-    """`grid_rows` of all files of a variable, which may differ in columns, their order and the time's name.
+def read_grid_raw(spark: SparkSession, paths: list[str], source: str, fmt: str = "parquet", described: DataFrame | None = None) -> DataFrame:
+    """`grid_rows` of all files, which may differ in variable, columns, their order and the time's name.
 
     Files with the same columns are read by one scan. Each such group is reduced to common columns
     before the union: an auxiliary column of some files says nothing about the rows of the others.
+    `described` is what `describe_files` found of the paths, if that is known already.
     """
-    reader = spark.read.format(fmt).option("header", True)
-    groups: dict[str, tuple] = {}
-    for path in paths:
-        schema = reader.load(path).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    parts = [grid_rows(spark.read.format(fmt).option("header", True).schema(schema).load(same), source)
-             for schema, same in groups.values()]
-    return reduce(DataFrame.unionByName, parts)
+    if not paths:
+        raise ValueError("no grid files")
+    described = describe_files(spark, paths, fmt) if described is None else described
+    return reduce(DataFrame.unionByName, (grid_rows(part, source) for part in by_layout(spark, described, fmt)))
 
 
 def station_rows(df: DataFrame, file_name: Column) -> DataFrame:
     """Name the value column (always the last one) after the file's variable, in long form."""
-    extras = [c for c in STATION_EXTRAS if c in df.columns]
-    df = df.withColumns({"_var": names.station_var(file_name), "_ref": names.station_ref(file_name)})
-    df = df.drop(*extras)
-    value = [c for c in df.columns if c not in ("_var", "_ref")][-1]
+    rest = [c for c in df.columns if c not in STATION_EXTRAS]
+    if not rest or rest[-1] in STATION_AXES or not set(STATION_AXES) <= set(rest):
+        raise ValueError(f"no time, place and value, in that order, among {df.columns}")
     return df.select(
-        F.col("_var").alias("var"), F.col("_ref").alias("ref"), F.col("lat").alias("latitude"),
-        F.col("lon").alias("longitude"), "time", F.col(value).cast("double").alias("value"))
+        names.station_var(file_name).alias("var"), names.station_ref(file_name).alias("ref"), F.col("lat").alias("latitude"),
+        F.col("lon").alias("longitude"), "time", F.col(f"`{rest[-1]}`").cast("double").alias("value"))
 
 
-def read_station_raw(spark: SparkSession, path: str, fmt: str = "parquet",
-                     glob: str = "*_!_*") -> DataFrame:
-    """Station files; variable and station come from each file's name."""
-    df = spark.read.format(fmt).option("header", True).option("pathGlobFilter", glob).load(path)
-    return station_rows(df, F.col("_metadata.file_name"))
+def read_station_raw(spark: SparkSession, path: str, fmt: str = "parquet", glob: str = "*_!_*") -> DataFrame:
+    """Station files; variable and station come from each file's name, the value from its own last column."""
+    described = describe_files(spark, path, fmt, glob)
+    parts = [station_rows(part, F.col("_metadata.file_name")) for part in by_layout(spark, described, fmt)]
+    if not parts:
+        raise ValueError(f"no station files in {path}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def match_files(manifest: DataFrame, column: str = "file_name", **how) -> DataFrame:
     return manifest.filter(names.matches_file(F.col(column), **how))
 
 
-def grid_files_of(manifest: DataFrame, var: str, column: str = "file_name", extensions: list[str] | None = None) -> DataFrame:
-    """Monthly files of one conformed variable."""
-    named = names.grid_file_variable(F.col(column)) == names.request_name(F.lit(var))
+def grid_files_of(manifest: DataFrame, var: str | list[str], column: str = "file_name", extensions: list[str] | None = None) -> DataFrame:
+    """Monthly files of one or several conformed variables."""
+    wanted = [REQUEST_NAMES.get(v, v) for v in ([var] if isinstance(var, str) else var)]
+    named = names.grid_file_variable(F.col(column)).isin(wanted)
     return match_files(manifest, column, extension=extensions or ["netcdf.zip", "nc"]).filter(named)

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridseries.plans import ingest
+from gridseries.schema import REQUEST_NAMES, VARIABLES
 from gridseries.sources import raw
+from gridseries.sources.layouts import describe_files
 
 S = -999.0
 
@@ -138,3 +140,94 @@ def test_grid_files_of_a_variable(spark):
 def test_nan_in_a_payload_column_is_dropped_from_grids(spark, make_catalogue, hours):
     frame = spark.createDataFrame([(170.25, -45.0, hours(0), math.nan)], GRID.format("tp double"))
     assert ingest.ingest_grid(frame, make_catalogue([(-45.0, 170.25)], source="era5"), "era5").isEmpty()
+
+
+def one_file(frame, path):
+    import os
+    out = f"{path}.written"
+    frame.coalesce(1).write.parquet(out)
+    part = next(f for f in os.listdir(out) if f.endswith(".parquet"))
+    path.parent.mkdir(exist_ok=True)
+    path.write_bytes(open(f"{out}/{part}", "rb").read())
+
+
+STATION_FILE = "time timestamp_ntz, lat double, lon double, {}"
+
+
+def test_station_files_with_different_value_columns(spark, tmp_path, hours):
+    """Each file's value is its own last column: none is lost, as it would be with one schema for all."""
+    folder = tmp_path / "raw"
+    one_file(spark.createDataFrame([(hours(0), -41.0, 175.0, 7.5)], STATION_FILE.format("air_temperature double")), folder / "temperature_2m_!_a.parquet")
+    one_file(spark.createDataFrame([(hours(0), -41.0, 175.0, 80)], STATION_FILE.format("humidity int")), folder / "relative_humidity_2m_!_a.parquet")
+    one_file(spark.createDataFrame([("x", -41.0, hours(1), 175.0, "y", 3.0)], "ref string, lat double, time timestamp_ntz, lon double, geometry string, humidity double"),
+             folder / "relative_humidity_2m_!_b.parquet")
+    one_file(spark.createDataFrame([(1,)], "other int"), folder / "no_station.parquet")
+    got = {(r["var"], r["ref"], r["time"], r["value"]) for r in raw.read_station_raw(spark, str(folder)).collect()}
+    assert got == {("temperature_2m", "a", hours(0), 7.5), ("relative_humidity_2m", "a", hours(0), 80.0), ("relative_humidity_2m", "b", hours(1), 3.0)}
+
+
+def test_station_csv_files_differ_too(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "temperature_2m_!_a.csv").write_text('﻿"time",lat,lon,air\r\n2024-01-01,-41,175,7.5\r\n', encoding="utf-8")
+    (tmp_path / "raw" / "wind_speed_2m_!_a.csv").write_text("lat,lon,time,wind\n-41,175,2024-01-01,3\n")
+    got = {(r["var"], r["latitude"], r["value"]) for r in raw.read_station_raw(spark, str(tmp_path / "raw"), "csv").select("var", F.col("latitude").cast("double"), "value").collect()}
+    assert got == {("temperature_2m", -41.0, 7.5), ("wind_speed_2m", -41.0, 3.0)}
+
+
+def test_station_files_without_a_value_are_refused(spark, tmp_path, hours):
+    one_file(spark.createDataFrame([(1.0, hours(0), -41.0, 175.0)], "air double, time timestamp_ntz, lat double, lon double"), tmp_path / "raw" / "temperature_2m_!_a.parquet")
+    with pytest.raises(ValueError, match="value"):
+        raw.read_station_raw(spark, str(tmp_path / "raw"))
+
+
+def jobs_of(spark, action):
+    """How many Spark jobs an action starts."""
+    group = f"jobs-{id(action)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_many_files_are_described_by_few_jobs(spark, tmp_path, hours):
+    small, large = tmp_path / "small", tmp_path / "large"
+    first, second = tmp_path / "a.parquet", tmp_path / "b.parquet"
+    one_file(spark.createDataFrame([(1.0, 2.0, hours(0), 3.0)], GRID.format("tp double")), first)
+    one_file(spark.createDataFrame([(1.0, 2.0, hours(0), 3.0, 1)], GRID.format("tp double, number int")), second)
+    for folder, n in ((small, 50), (large, 1000)):
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"total_precipitation_2024_{i}.nc").write_bytes((first if i % 2 else second).read_bytes())
+
+    def read(folder, n):
+        paths = [f"{folder}/total_precipitation_2024_{i}.nc" for i in range(n)]
+        assert raw.read_grid_raw(spark, paths, "era5").count() == n
+
+    assert jobs_of(spark, lambda: read(small, 50)) <= jobs_of(spark, lambda: read(large, 1000)) < 15
+
+
+def test_layouts_can_be_kept_in_the_manifest(spark, make_catalogue, tmp_path, hours):
+    one_file(spark.createDataFrame([(170.0, -45.0, hours(0), 1.0)], GRID.format("tp double")), tmp_path / "raw" / "total_precipitation_2024_1.nc")
+    one_file(spark.createDataFrame([(170.0, -45.0, hours(0), 283.15, 1)], GRID.format("t2m double, number int")), tmp_path / "raw" / "2m_temperature_2024_1.nc")
+    described = describe_files(spark, str(tmp_path / "raw"))
+    assert {tuple(r["columns"][3:]) for r in described.collect()} == {("tp",), ("t2m", "number")}
+    manifest = described.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "layout")
+    catalogue = make_catalogue([(-45.0, 170.0)], source="era5")
+    rows = ingest.ingest_grid_files(spark, manifest, str(tmp_path / "raw"), ["total_precipitation", "temperature_2m", "runoff"], catalogue, "era5")
+    assert {(r["var"], round(r["value"], 3)) for r in rows.collect()} == {("total_precipitation", 1.0), ("temperature_2m", 10.0)}
+
+
+def test_rebuild_has_a_branch_for_each_layout(spark, make_catalogue, tmp_path, hours):
+    """Fifty variables in two layouts are two scans, not fifty."""
+    manifest = []
+    for var in sorted(set(VARIABLES["era5"].values())):
+        short = next(k for k, v in VARIABLES["era5"].items() if v == var)
+        name = f"{REQUEST_NAMES.get(var, var)}_2024_1.nc"
+        one_file(spark.createDataFrame([(170.0, -45.0, hours(0), 300.0)], GRID.format(f"{'t2m' if short == 't2m' else 'tp'} double")), tmp_path / "land" / name)
+        manifest.append(("era5", name))
+    frame = spark.createDataFrame(manifest, "source string, file_name string")
+    rows = ingest.ingest_grid_files(spark, frame, str(tmp_path / "land"), sorted(set(VARIABLES["era5"].values())), make_catalogue([(-45.0, 170.0)], source="era5"), "era5")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [longitude") == 2 and rows.count() == len(manifest)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gridseries.functions import times
 from gridseries.operators import lifecycle, quality, shape, space
-from gridseries.plans import backfill, batch, ingest, point, promote, update
+from gridseries.plans import backfill, batch, ingest, point, promote, stations, update
 from gridseries.schema import CURRENT, HISTORIC, OBS_SCHEMA
 from gridseries.sinks import files, writers
 from gridseries.sources import raw, tables
@@ -194,18 +194,52 @@ def point_payload_rejects(spark, sf):
                    l_shipdate as time, l_quantity as value
             from lineitem join supplier on l_suppkey = s_suppkey)""")
 def station_files(spark, sf):
-    """Files named after variable and station, value column last."""
+    """Files named after variable and station; the value is each file's own last column, whatever its name."""
+    folder = scratch(spark, "station-files")
+    land_station_files(spark, sf, folder)
+    return raw.read_station_raw(spark, folder)
+
+
+def land_station_files(spark: SparkSession, sf: str, folder: str) -> None:
+    """Humidities and temperatures of each nation's suppliers; their files differ in columns, order and types."""
     item, supplier = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("lineitem", "supplier"))
     var = F.when(F.col("l_linenumber") < 4, "relative_humidity_2m").otherwise("temperature_2m")
     rows = item.join(supplier, item.l_suppkey == supplier.s_suppkey).select(
         F.concat(var, F.lit("_!_n"), F.col("s_nationkey").cast("string")).alias("file"), F.col("l_shipdate").alias("time"),
         F.col("s_suppkey").cast("double").alias("lat"), F.col("s_nationkey").cast("double").alias("lon"),
-        F.lit("p").alias("geometry"), F.lit("i").alias("ref"), F.col("l_quantity").alias("measured"))
-    split, folder = scratch(spark, "station-parts"), scratch(spark, "station-files")
-    rows.repartition("file").write.partitionBy("file").parquet(split)
-    for part in files.folders(spark, split):
-        files.move_files(spark, f"{split}/{part}", folder, part.removeprefix("file="), ".parquet")
-    return raw.read_station_raw(spark, folder)
+        F.lit("p").alias("geometry"), F.lit("i").alias("ref"), F.col("l_quantity").alias("humidity"))
+    humid = F.col("file").startswith("relative")
+    warm = rows.filter(~humid).select("file", "lon", "lat", "time", "ref", F.col("humidity").cast("float").alias("air_temperature"))
+    for kind in (rows.filter(humid), warm):
+        split = scratch(spark, "station-parts")
+        kind.repartition("file").write.partitionBy("file").parquet(split)
+        for part in files.folders(spark, split):
+            files.move_files(spark, f"{split}/{part}", folder, part.removeprefix("file="), ".parquet")
+
+
+STATION_FILES = """select case when l_linenumber < 4 then 'relative_humidity_2m' else 'temperature_2m' end as var,
+                          cast(s_suppkey as double) as latitude, cast(s_nationkey as double) as longitude, l_shipdate, l_quantity
+                   from lineitem join supplier on l_suppkey = s_suppkey"""
+
+
+@check(f"""with rows_of as ({STATION_FILES}), merged as (
+            select var, latitude, longitude, cast(l_shipdate as timestamp) as time, l_quantity as value, count(*) as n from rows_of group by all),
+          places as (select distinct latitude, longitude from rows_of),
+          old as (select cast(s_suppkey as int) as loc_id, cast(s_suppkey as double) as latitude, cast(s_nationkey as double) as longitude
+                  from supplier where s_suppkey < (select count(*) from supplier) / 2),
+          added as (select latitude, longitude, cast(row_number() over (order by latitude, longitude) - 1 + (select count(*) from old) as int) as loc_id
+                    from places p where not exists (select 1 from old o where o.latitude = p.latitude and o.longitude = p.longitude)),
+          ids as (select loc_id, latitude, longitude from old union all select loc_id, latitude, longitude from added)
+          select var, loc_id, time, value, n from merged join ids using (latitude, longitude)""")
+def land_stations(spark, sf):
+    """Station files into the stored table, with the catalogue that is extended by their places."""
+    folder, path = scratch(spark, "station-files"), scratch(spark, "obs")
+    land_station_files(spark, sf, folder)
+    supplier = spark.read.parquet(f"{sf}/supplier.parquet")
+    old = supplier.filter(F.col("s_suppkey") < supplier.count() / 2).select(
+        F.col("s_suppkey").cast("int").alias("loc_id"), F.col("s_suppkey").cast("double").alias("latitude"), F.col("s_nationkey").cast("double").alias("longitude"))
+    stations.land_stations(spark, folder, old, path, scratch(spark, "catalogue"), scratch(spark, "rejects"))
+    return tables.scan_obs(spark, path, "stations", [CURRENT]).groupBy("var", "loc_id", "time", "value").agg(F.count("*").alias("n"))
 
 
 @check(f"{GRID_FILES.replace('select loc_id', 'select loc_id', 1)} union all select loc_id, var, time, round(value, 4) from ({POINT_FILL})")
