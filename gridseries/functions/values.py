@@ -47,3 +47,27 @@ def strict_double(text: Column) -> Column:
 def in_area(lat: Column, lon: Column) -> Column:
     north, west, south, east = AREA
     return lat.between(south, north) & lon.between(west, east)
+
+
+def square(lat: Column, lon: Column) -> Column:
+    """(row, column) of a place among one-degree squares; null if it is no finite number.
+
+    Places beyond the poles or the date line share the squares at the edges.
+    """
+    def place(x: Column, most: int) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(most), F.floor(x))).cast("int")
+
+    return F.when(is_finite(lat) & is_finite(lon), F.struct(place(lat + 90, 179).alias("row"), place(lon + 180, 359).alias("column")))
+
+
+def curve_cell(lat: Column, lon: Column) -> Column:
+    """Number of a place's square on a curve over the map: the bits of row and column in turn.
+
+    Squares that lie together mostly have numbers that lie together.
+    """
+    own = square(lat, lon)
+    code = F.lit(0)
+    for i in range(9):
+        code = code + F.shiftleft(F.shiftright(own["column"], i).bitwiseAND(F.lit(1)), 2 * i)
+        code = code + F.shiftleft(F.shiftright(own["row"], i).bitwiseAND(F.lit(1)), 2 * i + 1)
+    return code

@@ -1,5 +1,7 @@
 """Nearest locations, coordinate joins and catalogue upkeep."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,9 +12,9 @@ from gridseries.session import spread
 
 # A cell splits into 4 x 4 cells of the next level.
 SHIFT = 2
-# Cells of one degree are split this often: to a sixteenth of a degree, finer than the grid products.
-LEVELS = 2
-# With `levels_needed`: cells with up to this many locations need no further split ...
+# A scan is pruned by at most this many ranges of cells.
+CELL_RANGES = 64
+# Cells with up to this many locations need no split ...
 CELL_TARGET = 64
 # ... and at the eighth level they have shrunk to about two metres.
 MAX_LEVELS = 8
@@ -28,45 +30,91 @@ def nearest(catalogue: DataFrame, lat: float, lon: float, k: int = NEIGHBOURS,
     return box.withColumn("d", d).filter(F.col("d") < radius).orderBy("d", "loc_id").limit(k)
 
 
-def levels_needed(catalogue: DataFrame, radius: float = RADIUS_DEGREES) -> int:
-    """A value of `levels` for crowded catalogues: how often cells have to be split until none holds many locations.
+def curve_code(row: int, column: int) -> int:
+    """The number that `values.curve_cell` gives the square."""
+    return sum((row >> i & 1) << 2 * i + 1 | (column >> i & 1) << 2 * i for i in range(9))
 
-    One small job over the distinct coordinates of the catalogue; one row per level comes back.
-    """
-    points = catalogue.select("source", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
-    points = points.filter(values.is_finite(F.col("plat")) & values.is_finite(F.col("plon")))
-    size = radius * (1 + 1e-9)
-    finest = size / 4 ** MAX_LEVELS
-    cells = (points.select("source", "plat", "plon").distinct()
-             .select("source", F.floor(F.col("plat") / finest).alias("cy"), F.floor(F.col("plon") / finest).alias("cx"))
-             .select("*", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVELS))).alias("level"))
-             .withColumn("up", (MAX_LEVELS - F.col("level")) * SHIFT))
-    counts = cells.groupBy("source", "level", F.expr("shiftright(cy, up)"), F.expr("shiftright(cx, up)")).count()
-    fullest = {r["level"]: r["n"] for r in counts.groupBy("level").agg(F.max("count").alias("n")).collect()}
-    return next((level for level in range(MAX_LEVELS) if fullest.get(level, 0) <= CELL_TARGET), MAX_LEVELS)
 
+def cells_around(squares: list[tuple[int, int]], radius: float = RADIUS_DEGREES, most: int = CELL_RANGES) -> list[tuple[int, int]]:
+    """Ranges of cells on the curve that hold every location within the radius of any place in the squares.
 
-def _first_copies(points: DataFrame, k: int) -> DataFrame:
-    """Of locations at one and the same coordinate, only the k lowest ids can be neighbours."""
+    There are 64 800 squares in all. Ranges with the smallest gaps between them are joined until at most `most` are left.
+    """
+    reach = math.ceil(radius)
+    rows, columns = range(-reach, reach + 1), range(-reach, reach + 1)
+    codes = sorted({curve_code(min(179, max(0, r + dr)), min(359, max(0, c + dc))) for r, c in squares for dr in rows for dc in columns})
+    gaps = sorted((b - a for a, b in zip(codes, codes[1:])), reverse=True)
+    least = max(2, gaps[most - 1] + 1 if len(gaps) >= most else 2)
+    ranges: list[list[int]] = []
+    for code in codes:
+        if ranges and code - ranges[-1][1] < least:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return [(low, high) for low, high in ranges]
+
+
+def _points(catalogue: DataFrame, k: int) -> DataFrame:
+    """Locations that can be neighbours: of those at one and the same coordinate only the k lowest ids."""
+    points = catalogue.select("source", "loc_id", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
+    points = points.filter(values.is_finite(F.col("plat")) & values.is_finite(F.col("plon")))
     same = Window.partitionBy("source", "plat", "plon").orderBy("loc_id")
     return points.withColumn("_copy", F.row_number().over(same)).filter(F.col("_copy") <= k).drop("_copy")
 
 
-def _cells(points: DataFrame, up: int) -> DataFrame:
-    """Occupied cells `up` levels above the finest one: count and bounding box."""
-    cy, cx = F.shiftright("cy", up * SHIFT), F.shiftright("cx", up * SHIFT)
-    boxes = points.groupBy("source", cy.alias("ny"), cx.alias("nx")).agg(
-        F.count("*").alias("n"), F.min("plat").alias("south"), F.max("plat").alias("north"),
-        F.min("plon").alias("west"), F.max("plon").alias("east"))
-    return boxes.withColumns({"cy": F.shiftright("ny", SHIFT), "cx": F.shiftright("nx", SHIFT)})
+def _at_levels(points: DataFrame, levels: int, radius: float) -> DataFrame:
+    """Each point once for every level from 0, with its cell there; a cell splits into 4 x 4 of the next level."""
+    finest = radius * (1 + 1e-9) / 4 ** levels
+    rows = points.withColumns({"_y": F.floor(F.col("plat") / finest), "_x": F.floor(F.col("plon") / finest), "level": F.explode(F.sequence(F.lit(0), F.lit(levels)))})
+    up = (F.lit(levels) - F.col("level")) * SHIFT
+    return rows.withColumns({"_up": up}).withColumns({"cy": F.expr("shiftright(_y, _up)"), "cx": F.expr("shiftright(_x, _up)")}).drop("_y", "_x", "_up")
+
+
+def cell_tree(points: DataFrame, levels: int, radius: float = RADIUS_DEGREES, target: int = CELL_TARGET) -> DataFrame:
+    """Occupied cells with their number of points `n` and bounding box; a cell of more than `target` points has its children too.
+
+    `split` marks those. Cells of the last level are never split.
+    """
+    cells = _at_levels(points, levels, radius).groupBy("source", "level", "cy", "cx").agg(
+        F.count("*").alias("n"), F.min("plat").alias("south"), F.max("plat").alias("north"), F.min("plon").alias("west"), F.max("plon").alias("east"))
+    cells = cells.withColumn("split", (F.col("n") > target) & (F.col("level") < levels))
+    if not levels:
+        return cells
+    # a child has no more points than its parent, so all above a split cell are split
+    parents = cells.filter("split").select("source", (F.col("level") + 1).alias("level"), F.col("cy").alias("py"), F.col("cx").alias("px"))
+    below = cells.withColumns({"py": F.shiftright("cy", SHIFT), "px": F.shiftright("cx", SHIFT)})
+    below = below.join(parents, ["source", "level", "py", "px"], "left_semi").drop("py", "px")
+    return cells.filter("level = 0").unionByName(below)
 
 
-def _descend(candidates: DataFrame, cells: DataFrame, radius: float) -> DataFrame:
-    """Replace each request's candidate cells by those of their children that can matter.
+def levels_needed(catalogue: DataFrame, radius: float = RADIUS_DEGREES, target: int = CELL_TARGET) -> int:
+    """How often the most crowded cell has to be split until no cell holds more than `target` distinct places.
 
-    The k nearest locations lie no farther than the farthest corner of the nearest children
-    that together hold k locations; children beyond that are dropped.
+    One small job over the distinct coordinates of the catalogue; one row per level comes back.
     """
+    points = catalogue.select("source", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
+    points = points.filter(values.is_finite(F.col("plat")) & values.is_finite(F.col("plon"))).distinct()
+    counts = _at_levels(points, MAX_LEVELS, radius).groupBy("source", "level", "cy", "cx").count()
+    fullest = {r["level"]: r["n"] for r in counts.groupBy("level").agg(F.max("count").alias("n")).collect()}
+    return next((level for level in range(MAX_LEVELS) if fullest.get(level, 0) <= target), MAX_LEVELS)
+
+
+def _descend(candidates: DataFrame, children: DataFrame, radius: float) -> DataFrame:
+    """Replace each request's split cells by their children, and keep only the cells that can matter.
+
+    The k nearest locations lie no farther than the farthest corner of the nearest cells that together hold
+    k locations; cells beyond that are dropped. Cells that are not split stay as they are.
+    """
+    # a null key meets nothing, so cells without children pass through the join
+    key = {"jy": F.when(F.col("split"), F.col("cy")), "jx": F.when(F.col("split"), F.col("cx"))}
+    cell = ["level", "cy", "cx", "n", "south", "north", "west", "east", "split"]
+    own = children.select("source", F.shiftright("cy", SHIFT).alias("jy"), F.shiftright("cx", SHIFT).alias("jx"), *[F.col(c).alias(f"_{c}") for c in cell])
+    plain = [c for c in candidates.columns if c not in cell]
+    joined = candidates.withColumns(key).join(own, ["source", "jy", "jx"], "left")
+    return _pruned(joined.select(*plain, *[F.coalesce(f"_{c}", c).alias(c) for c in cell]), radius)
+
+
+def _pruned(candidates: DataFrame, radius: float) -> DataFrame:
     def gap(x: Column, low: str, high: str) -> Column:
         return F.greatest(F.col(low) - x, x - F.col(high), F.lit(0.0))
 
@@ -79,53 +127,53 @@ def _descend(candidates: DataFrame, cells: DataFrame, radius: float) -> DataFram
     lat, lon = F.col("lat"), F.col("lon")
     near = norm(gap(lat, "south", "north"), gap(lon, "west", "east"))
     far = norm(reach(lat, "south", "north"), reach(lon, "west", "east"))
-    children = (candidates.join(cells, ["source", "cy", "cx"])
-                .withColumns({"near": near, "far": far}).filter(F.col("near") < radius))
+    within = candidates.withColumns({"_near": near, "_far": far}).filter(F.col("_near") < radius)
     whole = Window.partitionBy("req_id")
-    inwards = whole.orderBy("far", "ny", "nx").rowsBetween(Window.unboundedPreceding, 0)
+    inwards = whole.orderBy("_far", "level", "cy", "cx").rowsBetween(Window.unboundedPreceding, 0)
     enough = F.sum("n").over(inwards) >= F.col("k")
-    bound = F.min(F.when(F.col("_enough"), F.col("far"))).over(whole)
-    kept = (children.withColumn("_enough", enough).withColumn("_bound", bound)
-            .filter(F.col("_bound").isNull() | (F.col("near") <= F.col("_bound"))))
-    plain = [c for c in candidates.columns if c not in ("cy", "cx")]
-    return kept.select(*plain, F.col("ny").alias("cy"), F.col("nx").alias("cx"))
+    bound = F.min(F.when(F.col("_enough"), F.col("_far"))).over(whole)
+    kept = within.withColumn("_enough", enough).withColumn("_bound", bound)
+    return kept.filter(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound"))).drop("_near", "_far", "_enough", "_bound")
 
 
-def knn(requests: DataFrame, catalogue: DataFrame, k: int = NEIGHBOURS,
-        radius: float = RADIUS_DEGREES, levels: int = LEVELS) -> DataFrame:
+def knn(requests: DataFrame, catalogue: DataFrame, k: int = NEIGHBOURS, radius: float = RADIUS_DEGREES,
+        levels: int | None = None, target: int = CELL_TARGET) -> DataFrame:
     """The k nearest locations of every request, strictly within `radius`, nearest first.
 
-    `requests` has (req_id, source, lat, lon); a column `k` up to the argument may lower it per
-    row. Neighbours lie in the 3 x 3 block of radius-sized cells around a request, so this is an
-    equi-join on cells. Requests first descend `levels` steps of a grid of occupied cells and keep
-    only the cells that can hold a neighbour, so a crowded cell is not paired whole with the requests
-    around it. The result is the same at any number of levels; catalogues far denser than the grid
-    products want more of them, which `levels_needed` finds. `requests` has unique ids.
+    `requests` has (req_id, source, lat, lon) and unique ids; a column `k` up to the argument may lower it per
+    row. Neighbours lie in the 3 x 3 block of radius-sized cells around a request, so this is an equi-join
+    on cells. A cell of more than `target` locations is split, and its parts again, so cells are deep only where the
+    catalogue is dense. Requests descend through the split cells and keep only those that can hold a neighbour; at
+    last each meets the locations of its leaves, none of them crowded. `levels` bounds the depth; by default it is what
+    the catalogue needs, which a small job finds. The result does not depend on either.
     """
-    points = catalogue.select(
-        "source", "loc_id", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
-    points = points.filter(values.is_finite(F.col("plat")) & values.is_finite(F.col("plon")))
-    size = radius * (1 + 1e-9)
-    points = _first_copies(points, k)
-    fine = size / 4 ** levels
-    points = points.withColumns({
-        "cy": F.floor(F.col("plat") / fine), "cx": F.floor(F.col("plon") / fine)})
+    levels = levels_needed(catalogue, radius, target) if levels is None else levels
+    points = _points(catalogue, k)
+    tree = cell_tree(points, levels, radius, target)
+    home = radius * (1 + 1e-9) / 4 ** levels
     kept = [c for c in requests.columns if c != "k"]
     wanted = f"least(k, {k})" if "k" in requests.columns else f"{k}"
     asked = requests.filter(values.is_finite(F.col("lat")) & values.is_finite(F.col("lon")))
     # Each request fans out into many candidates: spread the requests first, by the key they
     # are ranked by, and the candidates need no shuffle where the catalogue is broadcast.
     homes = spread(asked, "req_id").selectExpr(
-        *kept, f"{wanted} as k", f"shiftright(floor(lat / {fine!r}D), {SHIFT * levels}) as home_y",
-        f"shiftright(floor(lon / {fine!r}D), {SHIFT * levels}) as home_x")
+        *kept, f"{wanted} as k", f"shiftright(floor(lat / {home!r}D), {SHIFT * levels}) as home_y",
+        f"shiftright(floor(lon / {home!r}D), {SHIFT * levels}) as home_x")
     candidates = (homes.selectExpr("*", "explode(array(-1, 0, 1)) as dy")
                   .selectExpr("*", "explode(array(-1, 0, 1)) as dx")
-                  .selectExpr(*kept, "k", "home_y + dy as cy", "home_x + dx as cx"))
-    for level in range(1, levels + 1):
-        candidates = _descend(candidates, _cells(points, levels - level), radius)
+                  .selectExpr(*kept, "k", "0 as level", "home_y + dy as cy", "home_x + dx as cx"))
+    if levels:
+        candidates = _pruned(candidates.join(tree.filter("level = 0").drop("level"), ["source", "cy", "cx"]), radius)
+        for level in range(1, levels + 1):
+            candidates = _descend(candidates, tree.filter(F.col("level") == level), radius)
+        leaves = tree.filter("not split").select("source", "level", "cy", "cx")
+        points = _at_levels(points, levels, radius).join(leaves, ["source", "level", "cy", "cx"])
+    else:
+        points = _at_levels(points, 0, radius)
 
     d = values.degree_distance(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
-    pairs = candidates.join(points, ["source", "cy", "cx"]).withColumn("d", d).filter(F.col("d") < radius)
+    pairs = candidates.select(*kept, "k", "level", "cy", "cx").join(points, ["source", "level", "cy", "cx"])
+    pairs = pairs.withColumn("d", d).filter(F.col("d") < radius)
     order = Window.partitionBy("req_id").orderBy("d", "loc_id")
     # the constant limit lets the ranking drop rows before they are shuffled
     ranked = pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

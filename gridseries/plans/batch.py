@@ -9,9 +9,10 @@ weighted sums need no further shuffle.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridseries.functions.values import square
 from gridseries.operators.quality import drop_sentinel
 from gridseries.operators.series import time_range
-from gridseries.operators.space import idw_weights, knn
+from gridseries.operators.space import cells_around, idw_weights, knn
 from gridseries.operators.validate import unanswered, validate_requests
 from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES, VARIABLES
 from gridseries.session import ensure_checkpoint_dir, spread
@@ -27,21 +28,21 @@ GROUP = ["place", "salt"]
 
 
 def request_profile(requests: DataFrame) -> dict:
-    """What the scan can be pruned by: sources, variables and time span (one row).
+    """What the scan can be pruned by: sources, variables, time span and one-degree squares (one row).
 
     Only names of the dictionary are gathered, so the row has a bound; other names have to be passed to
     `extract_points` as `variables`. Raises if an id occurs twice: ranks, weights and answers go by id.
     """
     by_id = requests.groupBy("req_id").agg(
         F.count("*").alias("n"), F.first("source").alias("source"), F.first("vars").alias("vars"),
-        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
-    exploded = by_id.select("n", "source", F.explode_outer("vars").alias("var"), "start_time", "end_time")
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.first(square(F.col("lat"), F.col("lon"))).alias("square"))
+    exploded = by_id.select("n", "source", F.explode_outer("vars").alias("var"), "start_time", "end_time", "square")
     known = F.col("var").isin(sorted({v for names in VARIABLES.values() for v in names.values()}))
     served = F.col("source").isin(list(VARIABLES))
-    row = exploded.agg(F.collect_set(F.when(served, F.col("source"))), F.collect_set(F.when(known, F.col("var"))), F.min("start_time"), F.max("end_time"), F.max("n")).first()
+    row = exploded.agg(F.collect_set(F.when(served, F.col("source"))), F.collect_set(F.when(known, F.col("var"))), F.min("start_time"), F.max("end_time"), F.max("n"), F.collect_set("square")).first()
     if (row[4] or 0) > 1:
         raise ValueError("request ids are not unique")
-    return {"sources": sorted(row[0]), "variables": sorted(row[1]), "start": row[2], "end": row[3]}
+    return {"sources": sorted(row[0]), "variables": sorted(row[1]), "start": row[2], "end": row[3], "squares": [tuple(s) for s in row[5]]}
 
 
 def with_stencils(requests: DataFrame, catalogue: DataFrame, radius: float = RADIUS_DEGREES) -> DataFrame:
@@ -112,12 +113,6 @@ def _weighted(weights, values):
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def _needed_locations(asked: DataFrame):
-    """The range of location ids in any stencil, which the scan's row groups are skipped by; one row."""
-    ids = asked.select(F.explode("place.stencil").alias("loc_id"))
-    return ids.agg(F.min("loc_id").alias("low"), F.max("loc_id").alias("high")).first()
-
-
 def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None,
              radius: float, profile: dict | None = None, group_limit: int = GROUP_LIMIT) -> tuple[DataFrame, list[str]]:
     """(req_id, time, answers) with one (var, value) for each variable of the request, and the variables' names."""
@@ -132,8 +127,6 @@ def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variable
     # read several times below; without the cut, the neighbour search would run for each of them
     ensure_checkpoint_dir(requests.sparkSession)
     near = with_stencils(requests, catalogue, radius).checkpoint()
-    need = _needed_locations(near)
-    rows = rows.filter(F.col("loc_id").between(need["low"], need["high"]))
     daily = spread(by_day(with_salt(near, group_limit)), *GROUP, "day")
     shared = stencil_values(drop_sentinel(rows), daily.select(*GROUP, "day").distinct())
     joined = shared.join(daily, [*GROUP, "day"]).filter("time between start_time and end_time")
@@ -162,9 +155,9 @@ def extract_points(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, va
 
 def extract_stored(spark: SparkSession, path: str, requests: DataFrame, catalogue: DataFrame,
                    radius: float = RADIUS_DEGREES) -> DataFrame:
-    """`extract_points` over a written table, reading only the partitions and locations the requests need."""
+    """`extract_points` over a written table, reading only the partitions and neighbourhoods the requests need."""
     need = request_profile(requests)
-    obs = scan_obs(spark, path, need["sources"], TIERS, need["variables"], start=need["start"], end=need["end"])
+    obs = scan_obs(spark, path, need["sources"], TIERS, need["variables"], start=need["start"], end=need["end"], cells=cells_around(need["squares"], radius))
     return _wide(*_extract(requests, obs, catalogue, None, radius, need))
 
 

@@ -1,5 +1,6 @@
 """Series at one point."""
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridseries.operators.quality import drop_sentinel
 from gridseries.operators.series import time_range
-from gridseries.operators.space import nearest
+from gridseries.operators.space import cells_around, nearest
 from gridseries.schema import CURRENT, HISTORIC, NEIGHBOURS, RADIUS_DEGREES
 from gridseries.sources.tables import scan_obs
 
@@ -71,7 +72,8 @@ def point_series(obs: DataFrame, catalogue: DataFrame, source: str, lat: float,
 def point_stored(spark: SparkSession, path: str, catalogue: DataFrame, source: str, lat: float, lon: float,
                  variables: list[str], start, end, mode: str = "idw") -> DataFrame:
     """`point_series` over a written table, reading only the partitions it needs."""
-    obs = scan_obs(spark, path, source, [HISTORIC, CURRENT], variables, start=start, end=end)
+    around = cells_around([(min(179, max(0, math.floor(lat + 90))), min(359, max(0, math.floor(lon + 180))))])
+    obs = scan_obs(spark, path, source, [HISTORIC, CURRENT], variables, start=start, end=end, cells=around)
     return point_series(obs, catalogue, source, lat, lon, variables, start, end, mode)
 
 

@@ -1,15 +1,15 @@
 """Moving settled rows from the current to the historic tier of a written table."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridseries.operators.lifecycle import mark_settled, remaining_current, replaced
 from gridseries.operators.quality import series_mismatch
 from gridseries.schema import CURRENT, HISTORIC, OBS_SCHEMA
-from gridseries.sinks.files import remove
-from gridseries.sinks.swap import finish_swaps, staging_folder, swap
+from gridseries.sinks.versions import replace_rows, work_folder
 from gridseries.sinks.writers import write_obs
-from gridseries.sources.tables import STORED_OBS, path_exists, scan_series
+from gridseries.sources.snapshots import newest, read_rows
+from gridseries.sources.tables import scan_series
 
 
 class SeriesMismatch(RuntimeError):
@@ -20,36 +20,20 @@ class SeriesMismatch(RuntimeError):
         self.n, self.report = n, report
 
 
-def touched_partitions(rows: DataFrame) -> list[tuple]:
-    """Distinct (var, year); bounded by dictionary size times years."""
-    found = rows.select("var", F.year("time").alias("year")).distinct().collect()
-    return sorted((r["var"], r["year"]) for r in found)
-
-
-def in_partitions(touched: list[tuple]) -> Column:
-    """Variables that share the same years are tested together, so the predicate stays short."""
-    by_years: dict[tuple, list] = {}
-    years_of: dict[str, list] = {}
-    for var, year in touched:
-        years_of.setdefault(var, []).append(year)
-    for var, years in years_of.items():
-        by_years.setdefault(tuple(years), []).append(var)
-    test = F.lit(False)
-    for years, variables in by_years.items():
-        test = test | (F.col("var").isin(variables) & F.col("year").isin(list(years)))
-    return test
+def touched_partitions(rows: DataFrame) -> set[tuple]:
+    """Distinct (source, var, year); bounded by dictionary size times years."""
+    found = rows.select("source", "var", F.year("time").alias("year")).distinct().collect()
+    return {(r["source"], r["var"], r["year"]) for r in found}
 
 
 def promote(spark: SparkSession, path: str, source: str, force: bool = False) -> bool:
     """Promote the settled rows of one source; False if there was nothing to do.
 
-    Only the historic partitions that receive rows are rewritten. All that is written is staged
-    first; a promotion that a crash interrupted is finished before anything else.
+    Only the historic partitions that receive rows are rewritten. Readers see both tiers change at once; a
+    promotion that stops before its end has changed nothing.
     """
-    finish_swaps(spark, path)
-    table = spark.read.schema(STORED_OBS).parquet(path).filter(F.col("source") == source)
-    current = table.filter(F.col("tier") == CURRENT).select(OBS_SCHEMA.names)
-    historic = table.filter(F.col("tier") == HISTORIC)
+    current = read_rows(spark, path, lambda p: (p.source, p.tier) == (source, CURRENT)).select(OBS_SCHEMA.names)
+    current = current.filter((F.col("source") == source) & (F.col("tier") == CURRENT))
     if current.isEmpty():
         return False
     if not force:
@@ -60,18 +44,17 @@ def promote(spark: SparkSession, path: str, source: str, force: bool = False) ->
         if n:
             raise SeriesMismatch(n, report)
 
-    # judged once; the rest reads the staged rows
-    run = staging_folder(path)
-    mark_settled(current, force).write.parquet(f"{run}/marked")
-    marked = spark.read.parquet(f"{run}/marked")
+    # judged once; the rest reads what is written aside
+    work = work_folder(path)
+    mark_settled(current, force).write.parquet(f"{work}/marked")
+    marked = spark.read.parquet(f"{work}/marked")
     settled = marked.filter("settled").drop("settled").withColumn("tier", F.lit(HISTORIC))
     touched = touched_partitions(settled)
     if not touched:
-        remove(spark, run)
         return False
-    affected = historic.filter(in_partitions(touched)).select(OBS_SCHEMA.names)
+    affected = read_rows(spark, path, lambda p: p.tier == HISTORIC and (p.source, p.var, p.year) in touched).select(OBS_SCHEMA.names)
     # the current tier is small and is replaced as a whole
-    swap(spark, path, run, replaced(settled, affected), {(source, CURRENT): remaining_current(marked)})
+    replace_rows(replaced(settled, affected).unionByName(remaining_current(marked)), path, {(source, CURRENT)})
     return True
 
 
@@ -88,19 +71,14 @@ def refresh_current(spark: SparkSession, rows: DataFrame, path: str) -> None:
     Only the partitions they fall in are read and rewritten. The rows are written aside first,
     so that finding those partitions does not run the ingest a second time.
     """
-    if not path_exists(spark, path):
-        write_obs(rows, path)
+    if newest(spark, path) is None:
+        # also refuses a table from elsewhere
+        write_obs(rows, path, mode="append")
         return
-    finish_swaps(spark, path)
-    run = staging_folder(path)
-    rows.select(OBS_SCHEMA.names).write.parquet(f"{run}/incoming")
-    fresh = spark.read.schema(OBS_SCHEMA).parquet(f"{run}/incoming")
+    work = work_folder(path)
+    rows.select(OBS_SCHEMA.names).write.parquet(f"{work}/incoming")
+    fresh = spark.read.schema(OBS_SCHEMA).parquet(f"{work}/incoming")
     touched = touched_partitions(fresh)
-    if not touched:
-        remove(spark, run)
-        return
-    # a handful of products
-    sources = [r["source"] for r in fresh.select("source").distinct().collect()]
-    table = spark.read.schema(STORED_OBS).parquet(path).filter(
-        (F.col("tier") == CURRENT) & F.col("source").isin(sources) & in_partitions(touched))
-    swap(spark, path, run, replaced(fresh, table))
+    if touched:
+        stored = read_rows(spark, path, lambda p: p.tier == CURRENT and (p.source, p.var, p.year) in touched).select(OBS_SCHEMA.names)
+        replace_rows(replaced(fresh, stored), path)

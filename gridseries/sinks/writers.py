@@ -3,55 +3,23 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.schema import OBS_SCHEMA
-from gridseries.sinks.files import remove
-from gridseries.sources.tables import STORED_OBS, series_folder, series_of
+from gridseries.sinks.versions import append_rows, replace_rows, replace_table
 
-PARTITIONS = ["source", "tier", "var", "year"]
 RECORD_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "ignoreNullFields": "false"}
 
 
-def laid_out(obs: DataFrame) -> DataFrame:
-    """Range-partition so that each task writes few directories and a location's rows lie together.
+def write_obs(obs: DataFrame, path: str, mode: str = "overwrite", partition_mode: str = "static", catalogue: DataFrame | None = None) -> None:
+    """Write rows of a table: all of it, with dynamic partitions those that the rows fall in, or in addition.
 
-    `time` is part of the range key: a series that holds a large share of all rows is split
-    over several files instead of ending up in one task.
+    With a catalogue, a new table is ordered by place, so a batch of requests reads the row groups of its
+    neighbourhoods. Readers see the table as it was until all rows are written.
     """
-    df = obs.select(OBS_SCHEMA.names).withColumn("year", F.year("time"))
-    order = [*PARTITIONS, "loc_id", "time"]
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
-
-
-def write_obs(obs: DataFrame, path: str, mode: str = "overwrite", partition_mode: str = "static") -> None:
-    """Write rows and keep the table's list of series.
-
-    A whole table's list is made from what was written. With dynamic partitions `obs` is all that is
-    in them afterwards and is read twice, so it should be a written table itself. Appending drops the
-    list, and readers then make it from the rows.
-    """
-    spark = obs.sparkSession
     if mode == "append":
-        remove(spark, series_folder(path))
-    _write(laid_out(obs), path, PARTITIONS, mode, partition_mode)
-    if partition_mode == "dynamic":
-        _write(series_of(obs), series_folder(path), PARTITIONS, "overwrite", "dynamic")
-    elif mode == "overwrite":
-        _write(series_of(spark.read.schema(STORED_OBS).parquet(path)), series_folder(path), PARTITIONS, "overwrite", "static")
-
-
-def replace_tier(obs: DataFrame, path: str, source: str, tier: str) -> None:
-    """Replace all rows of one tier of one source. `obs` is a written table other than this one."""
-    part = f"source={source}/tier={tier}"
-    _write(laid_out(obs).drop("source", "tier"), f"{path.rstrip('/')}/{part}", ["var", "year"])
-    _write(series_of(obs).drop("source", "tier"), f"{series_folder(path)}/{part}", ["var", "year"])
-
-
-def _write(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite", partition_mode: str = "static") -> None:
-    (df.write.mode(mode)
-     .option("partitionOverwriteMode", partition_mode)
-     .option("compression", "zstd")
-     .partitionBy(*partitions)
-     .parquet(path))
+        append_rows(obs, path)
+    elif partition_mode == "dynamic":
+        replace_rows(obs, path)
+    else:
+        replace_table(obs, path, catalogue)
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -7,10 +7,9 @@ from pyspark.sql import types as T
 
 from gridseries.functions.times import as_time
 from gridseries.schema import CATALOGUE_SCHEMA, OBS_SCHEMA
+from gridseries.sources.snapshots import STORED_OBS, Partition, newest, partition, read_folders, read_rows
 
-STORED_OBS = T.StructType(OBS_SCHEMA.fields + [T.StructField("year", T.IntegerType())])
-
-STORED_SERIES = T.StructType([f for f in STORED_OBS.fields if f.name not in ("time", "value")] + [
+STORED_SERIES = T.StructType([f for f in STORED_OBS.fields if f.name not in ("time", "value", "cell")] + [
     T.StructField("first", T.TimestampNTZType()), T.StructField("last", T.TimestampNTZType()), T.StructField("n", T.LongType())])
 
 
@@ -40,15 +39,23 @@ def in_years(years: Column, start: str | None, end: str | None) -> Column:
 
 
 def scan_obs(spark: SparkSession, path: str, source=None, tiers=None, variables=None, locs=None,
-             start=None, end=None) -> DataFrame:
+             start=None, end=None, cells: list[tuple[int, int]] | None = None) -> DataFrame:
     """Observation rows of a written table.
 
-    Source, tier, variable and year prune directories; location and time reach the Parquet
-    row groups, which are sorted by them.
+    Source, tier, variable and year choose folders; location and time reach the Parquet row groups, which
+    are sorted by them. `cells` are ranges of cells on the curve that the rows are ordered by, as
+    `space.cells_around` finds them: rows elsewhere are left out, but for rows whose place the table does not know.
     """
-    df = spark.read.schema(STORED_OBS).parquet(path)
-    if source is not None:
-        df = df.filter(F.col("source").isin([source] if isinstance(source, str) else list(source)))
+    sources = None if source is None else {source} if isinstance(source, str) else set(source)
+    years = [None if at is None else int(str(at)[:4]) for at in (start, end)]
+
+    def keep(p: Partition) -> bool:
+        return ((sources is None or p.source in sources) and (tiers is None or p.tier in tiers) and (variables is None or p.var in variables)
+                and (years == [None, None] or p.year is not None and (years[0] or p.year) <= p.year <= (years[1] or p.year)))
+
+    df = read_rows(spark, path, keep, None if cells is None else in_cells(F.col("cell"), cells))
+    if sources is not None:
+        df = df.filter(F.col("source").isin(sorted(sources)))
     if tiers is not None:
         df = df.filter(F.col("tier").isin(list(tiers)))
     if variables is not None:
@@ -64,6 +71,14 @@ def scan_obs(spark: SparkSession, path: str, source=None, tiers=None, variables=
     return df.select(OBS_SCHEMA.names)
 
 
+def in_cells(cell: Column, ranges: list[tuple[int, int]]) -> Column:
+    """In one of the ranges, both ends included, or unknown."""
+    test = cell.isNull()
+    for low, high in ranges:
+        test = test | cell.between(low, high)
+    return test
+
+
 def series_folder(path: str) -> str:
     """Where a table keeps the list of its series; the name hides it from readers of the rows."""
     return f"{path.rstrip('/')}/_series"
@@ -78,12 +93,17 @@ def series_of(obs: DataFrame) -> DataFrame:
 def scan_series(spark: SparkSession, path: str) -> DataFrame:
     """The list of a table's series with `time`, the last one of each year; no rows are read.
 
-    Tables whose list is missing (after an append, or from elsewhere) are scanned for it.
+    Every version of a partition has a list of its own; lists of the same partition are merged. In a partition with
+    rows that a stream replaced, `n` counts those too. Tables from elsewhere are scanned.
     """
-    if path_exists(spark, series_folder(path)):
-        listed = spark.read.schema(STORED_SERIES).parquet(series_folder(path))
-    else:
-        listed = series_of(spark.read.schema(STORED_OBS).parquet(path))
+    snapshot = newest(spark, path)
+    if snapshot is None:
+        return series_of(spark.read.schema(STORED_OBS).parquet(path)).withColumn("time", F.col("last"))
+    keys = [partition(f).key for f in snapshot.folders]
+    listed = read_folders(spark, series_folder(path), list(snapshot.folders), STORED_SERIES).drop("version")
+    if len(set(keys)) < len(keys):
+        listed = listed.groupBy("source", "tier", "var", "loc_id", "year").agg(
+            F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
     return listed.withColumn("time", F.col("last"))
 
 

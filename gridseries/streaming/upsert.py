@@ -1,65 +1,142 @@
-"""Late-tolerant upsert of arriving rows into the current tier."""
+"""Late-tolerant upsert of arriving rows into the current tier.
+
+Each series keeps a state: its latest time, and the newest arrival of every time within its provisional window.
+A row that is older than the window is late; a row that arrived before one that is in already changes nothing.
+Both are told from the state alone. What is left of a batch is added to the table as a delta, which replaces older
+rows when it is read, so a batch reads no rows of the table; deltas are folded into one version when they are many.
+"""
+
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from gridseries.operators.lifecycle import cutoff
-from gridseries.plans.promote import refresh_current
-from gridseries.sinks.swap import finish_swaps
-from gridseries.schema import CURRENT, OBS_KEY, OBS_SCHEMA, SERIES
-from gridseries.sources.tables import path_exists, scan_series
+from gridseries.schema import CURRENT, KEEP_MONTHS, OBS_SCHEMA, SERIES
+from gridseries.sinks.versions import append_rows, work_folder
+from gridseries.sources.snapshots import newest
+from gridseries.sources.tables import scan_series
 
 ARRIVALS = T.StructType([*[f for f in OBS_SCHEMA.fields if f.name != "tier"],
                          T.StructField("arrival", T.TimestampNTZType())])
+JUDGED = T.StructType([*[f for f in OBS_SCHEMA.fields if f.name != "tier"], T.StructField("late", T.BooleanType())])
+# microseconds; parallel arrays, one entry for each time of the window
+STATE = "latest long, times array<long>, arrivals array<long>, values array<double>"
+# a series without arrivals for this long keeps its latest time only
+IDLE_DAYS = 31
 
 
-def newest_per_key(rows: DataFrame) -> DataFrame:
-    """Several arrivals of one key in a batch: the latest wins, then the largest value."""
-    keys = [c for c in OBS_KEY if c in rows.columns]
-    last = rows.groupBy(*keys, "arrival").agg(F.max("value").alias("value"))
-    return last.groupBy(*keys).agg(F.max_by("value", "arrival").alias("value"))
+def judge(keep_months: dict[str, int], idle_days: int = IDLE_DAYS) -> Callable:
+    """The function of one series and its arrivals; it carries all it needs to the executors."""
 
+    def run(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
+        import numpy as np
+        import pandas as pd
 
-def mark_late(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Add `late`: is the row older than the provisional window of its stored series?
+        never = np.iinfo(np.int64).min
+        latest, times, arrivals, values = state.get if state.exists else (never, [], [], [])
+        if state.hasTimedOut:
+            state.update((latest, [], [], []))
+            return
 
-    A series that is not stored yet has no window.
-    """
-    latest = stored.groupBy(*SERIES).agg(F.max("time").alias("_latest"))
-    late = F.coalesce(F.col("time") < cutoff(F.col("_latest"), F.col("source")), F.lit(False))
-    return batch.join(latest, SERIES, "left").withColumn("late", late).drop("_latest")
+        def micros(column) -> np.ndarray:
+            # a missing time has the smallest number
+            return column.astype("datetime64[us]").astype("int64").to_numpy()
 
+        def newest_of(rows) -> "pd.DataFrame":
+            # of one time: the latest arrival, then the largest value, a missing one last of all
+            rows = rows.sort_values(["time", "arrival", "value"], na_position="first", kind="stable")
+            return rows.drop_duplicates("time", keep="last")
 
-def upsert_batch(spark: SparkSession, batch: DataFrame, path: str, rejects: str, batch_id: int) -> None:
-    """Merge one micro-batch. A replay of the batch gives the same table.
+        def window_start(last: int) -> int:
+            months = keep_months.get(key[0])
+            if months is None or last == never:
+                return never
+            return int((np.datetime64(int(last), "us").astype("datetime64[M]") - months).astype("datetime64[us]").astype(np.int64))
 
-    Late rows are written aside first. That folder records the decision, so a replay after a
-    partly applied batch does not judge its rows by a table that already holds some of them.
-    """
-    finish_swaps(spark, path)
+        seen = None
+        for frame in frames:
+            part = pd.DataFrame({"time": micros(frame["time"]), "arrival": micros(frame["arrival"]), "value": frame["value"].to_numpy(float)})
+            known = frame["_latest"].dropna()
+            if len(known):
+                latest = max(latest, int(micros(known).max()))
+            seen = newest_of(part if seen is None else pd.concat([seen, part]))
+        if seen is None:
+            return
+        start = window_start(latest)
+        late = (seen["time"] < start) & (seen["time"] != never)
+        held = pd.DataFrame({"time": np.array(times, np.int64), "arrival": np.array(arrivals, np.int64), "value": np.array(values, float), "held": True})
+        both = newest_of(pd.concat([held, seen[~late].assign(held=False)]))
+        # a row that equals the held one comes second to it
+        fresh = both[~both["held"].astype(bool)].merge(held, how="left", on=["time", "arrival"], suffixes=("", "_before"))
+        same = fresh["held_before"].notna() & ((fresh["value"] == fresh["value_before"]) | (fresh["value"].isna() & fresh["value_before"].isna()))
+        fresh = fresh[~same]
+        latest = max(latest, int(both["time"].max()) if len(both) else never)
+        window = both[both["time"] >= window_start(latest)]
+        state.update((latest, window["time"].tolist(), window["arrival"].tolist(), window["value"].tolist()))
+        state.setTimeoutDuration(idle_days * 86_400_000)
+        out = pd.concat([x for x in (fresh[["time", "value"]].assign(late=False), seen.loc[late, ["time", "value"]].assign(late=True)) if len(x)] or [fresh[["time", "value"]].assign(late=False)])
+        stamps = out["time"].where(out["time"] != never).astype("Int64")
+        yield pd.DataFrame({"source": key[0], "var": key[1], "loc_id": key[2], "time": pd.to_datetime(stamps, unit="us"),
+                            "value": out["value"], "late": out["late"].astype(bool)})
+
+    return run
+
+
+def judged(arrivals: DataFrame, latest: DataFrame) -> DataFrame:
+    """The rows that are to be stored, and late ones. `latest` has (source, var, loc_id, _latest) of series stored before."""
+    known = arrivals.join(latest, SERIES, "left")
+    return known.groupBy(*SERIES).applyInPandasWithState(judge(KEEP_MONTHS), JUDGED, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def let_in(batch: DataFrame, path: str, rejects: str, stream: str, batch_id: int) -> None:
+    """Store one judged batch. A replay of the batch gives the same table and the same rejects."""
+    spark = batch.sparkSession
+    work = work_folder(path)
+    batch.write.parquet(work)
+    rows = spark.read.schema(JUDGED).parquet(work).withColumn("tier", F.lit(CURRENT))
+    rows.filter("late").select(OBS_SCHEMA.names).write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={batch_id}")
+    append_rows(rows.filter("not late").select(OBS_SCHEMA.names), path, delta=True, stream=(stream, batch_id))
+
+
+def stored_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The latest time of each series of the current tier, from the table's lists."""
     current = scan_series(spark, path).filter(F.col("tier") == CURRENT)
-    newest = newest_per_key(batch.withColumn("tier", F.lit(CURRENT))).select(OBS_SCHEMA.names)
-    folder = f"{rejects.rstrip('/')}/batch={batch_id}"
-    if not path_exists(spark, f"{folder}/_SUCCESS"):
-        marked = mark_late(newest, current)
-        marked.filter("late").drop("late").write.mode("overwrite").parquet(folder)
-    late = spark.read.schema(OBS_SCHEMA).parquet(folder)
-    fresh = newest.join(late.select(OBS_KEY), OBS_KEY, "left_anti")
-    refresh_current(spark, fresh, path)
+    return current.groupBy(*SERIES).agg(F.max("time").alias("_latest"))
 
 
 def stream_ingest(spark: SparkSession, incoming: str, path: str, rejects: str, checkpoint: str,
-                  available_now: bool = True, interval: str = "10 minutes"):
+                  available_now: bool = True, interval: str = "10 minutes", files_per_batch: int | None = None):
     """Start the stream over Parquet files of `ARRIVALS` rows; returns the running query.
 
-    `path` is an existing observation table. With `available_now` the query stops after what
-    has arrived so far.
+    `path` is a table that `write_obs` has written. What it holds when the stream starts is read once, from its lists
+    of series. With `available_now` the query stops after what has arrived so far.
     """
+    start = newest(spark, path)
+    if start is None:
+        raise ValueError(f"{path} is no table that write_obs has written")
+    known = f"{checkpoint.rstrip('/')}-known/{start.number}"
+    stored_latest(spark, path).write.mode("overwrite").parquet(known)
+    reader = spark.readStream.schema(ARRIVALS)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        let_in(batch, path, rejects, stream, batch_id)
+
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return (spark.readStream.schema(ARRIVALS).parquet(incoming)
-            .writeStream
-            .foreachBatch(lambda batch, n: upsert_batch(batch.sparkSession, batch, path, rejects, n))
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger)
-            .start())
+    # idle series are looked at in batches that have arrivals; batches for them alone would never end
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return (judged(reader.parquet(incoming), spark.read.parquet(known))
+                .writeStream
+                .outputMode("update")
+                .foreachBatch(store)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**trigger)
+                .start())
+    finally:
+        spark.conf.set(setting, before)

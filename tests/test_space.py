@@ -33,10 +33,10 @@ def as_frame(spark, requests):
     return spark.createDataFrame(rows, "req_id int, source string, lat double, lon double")
 
 
-@pytest.mark.parametrize("levels", [space.LEVELS, 0, 1, 4])
-def test_knn_is_brute_force_at_any_level(spark, make_catalogue, crowded, levels):
+@pytest.mark.parametrize("levels,target", [(None, space.CELL_TARGET), (0, 1), (1, 1), (4, 4), (None, 4)])
+def test_knn_is_brute_force_at_any_level(spark, make_catalogue, crowded, levels, target):
     requests, points = crowded
-    found = space.knn(as_frame(spark, requests), make_catalogue(points), levels=levels)
+    found = space.knn(as_frame(spark, requests), make_catalogue(points), levels=levels, target=target)
     got = {(r["req_id"], r["loc_id"], r["rank"]) for r in found.collect()}
     assert got == brute_force(requests, points)
 
@@ -48,6 +48,17 @@ def test_crowded_catalogue_is_descended(crowded, make_catalogue):
     assert space.levels_needed(points.limit(60)) == 0
 
 
+def test_cells_are_deep_only_where_the_catalogue_is_dense(crowded, make_catalogue):
+    catalogue = make_catalogue(crowded[1])
+    levels = space.levels_needed(catalogue, target=8)
+    points = space._points(catalogue, 4)
+    leaves = [r for r in space.cell_tree(points, levels, target=8).collect() if not r["split"]]
+    # no leaf is crowded, every point is in one, and depths differ
+    assert max(r["n"] for r in leaves) <= 8 and sum(r["n"] for r in leaves) == points.count()
+    assert min(r["level"] for r in leaves) <= 1 and max(r["level"] for r in leaves) == levels >= 4
+    assert len(leaves) < 300
+
+
 def test_knn_respects_sources_and_radius(spark, make_catalogue):
     other = make_catalogue([(-45, 170)], source="era5")
     mine = make_catalogue([(-45, 171.0), (-45, 170.5)])

@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridseries.operators import lifecycle
-from gridseries.plans import backfill, point, promote, update
+from gridseries.plans import backfill, batch, point, promote, update
 from gridseries.plans.ingest import rebuild
 from gridseries.schema import OBS_SCHEMA
-from gridseries.sinks import files, swap
-from gridseries.sinks.writers import laid_out, write_catalogue, write_obs, write_raw
+from gridseries.sinks import files, versions
+from gridseries.sinks.versions import laid_out
+from gridseries.sinks.writers import write_catalogue, write_obs, write_raw
+from gridseries.sources.snapshots import newest
 from gridseries.sources.tables import empty_result, path_exists, read_catalogue, scan_obs, scan_series, series_of
 
 T = "temperature_2m"
@@ -93,28 +95,37 @@ def test_mismatches_are_all_reported(spark, stored):
     assert error.value.n == 30 and spark.read.parquet(error.value.report).count() == 30
 
 
-@pytest.mark.parametrize("broken", ["write_obs", "replace_tier"])
-def test_interrupted_promotion_is_finished(spark, stored, monkeypatch, broken):
-    """A write that fails after the table was touched: the rerun finds every row."""
-    want = spark.read.parquet(stored).count()
-    keys = ["source", "var", "loc_id", "time"]
-    before = scan_obs(spark, stored).select(keys).distinct().collect()
-    real = getattr(swap, broken)
+def everything(spark, path):
+    return sorted(map(tuple, scan_obs(spark, path).collect()), key=str)
+
+
+@pytest.mark.parametrize("change", ["promote", "refresh", "append", "rebuild"])
+def test_readers_see_a_change_whole_or_not_at_all(spark, stored, monkeypatch, change):
+    """A read between the writing of the rows and their counting, a crash there, and a reader that began before."""
+    fresh = frame(spark, [("current", T, 0, at(5, 2), 99.0), ("historic", T, 0, at(1, 2), 98.0)])
+    run = {"promote": lambda: promote.promote(spark, stored, "nasapower"), "append": lambda: write_obs(fresh, stored, mode="append"),
+           "refresh": lambda: promote.refresh_current(spark, fresh.filter("tier = 'current'"), stored), "rebuild": lambda: rebuild([fresh], stored)}[change]
+    before, began = everything(spark, stored), scan_obs(spark, stored)
+    real, seen = versions.commit, []
 
-    def failing(rows, path, *args, **kwargs):
-        real(rows.limit(0) if broken == "replace_tier" else rows.filter("loc_id = 0"), path, *args, **kwargs)
+    def failing(spark, path, snapshot):
+        seen.append(everything(spark, path))
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(swap, broken, failing)
+    monkeypatch.setattr(versions, "commit", failing)
     with pytest.raises(RuntimeError, match="lost"):
-        promote.promote(spark, stored, "nasapower")
-    monkeypatch.setattr(swap, broken, real)
-    assert not promote.promote(spark, stored, "nasapower")
-    after = scan_obs(spark, stored)
-    assert sorted(map(tuple, after.select(keys).collect())) == sorted(map(tuple, before)) and want > after.count()
-    assert rows_of(scan_obs(spark, stored, tiers=["current"])) == {
-        (T, loc, at(m, 2), m + 0.5) for loc in (0, 1) for m in (4, 5)}
-    assert not files.folders(spark, f"{stored}/_staging")
+        run()
+    assert seen == [before] and everything(spark, stored) == before
+    monkeypatch.setattr(versions, "commit", real)
+    run()
+    after = everything(spark, stored)
+    assert after != before and sorted(map(tuple, began.collect()), key=str) == before
+    # what the crash and the change left behind goes
+    live = {f.split("/")[0] for f in newest(spark, stored).folders}
+    write_obs(frame(spark, [("current", T, 7, at(1), 1.0)]), stored, mode="append")
+    assert len(everything(spark, stored)) == len(after) + 1
+    kept = {f for f in files.folders(spark, stored) if f.startswith("version=")}
+    assert live <= kept and len(kept) == len(live) + 1 and not files.folders(spark, f"{stored}/_work")
 
 
 def listed(spark, path):
@@ -141,11 +152,94 @@ def test_planning_reads_no_rows(spark, stored, make_catalogue):
     assert files_read and all("/_series/" in f for f in files_read)
 
 
-def test_unfinished_staging_changes_nothing(spark, stored):
-    before = scan_obs(spark, stored).count()
-    frame(spark, [("historic", T, 0, at(1, 2), 77.0)]).write.parquet(f"{swap.staging_folder(stored)}/partitions")
-    assert swap.finish_swaps(spark, stored) == 0
-    assert scan_obs(spark, stored).count() == before and not files.folders(spark, f"{stored}/_staging")
+def test_planning_after_an_append_reads_no_rows(spark, stored, make_catalogue):
+    for i in range(3):
+        write_obs(frame(spark, [("current", T, i, at(5, 3 + i), 1.0)]), stored, mode="append")
+    plan = update.plan_update(spark, stored, make_catalogue([(-45, 170)]), "2024-06-01 00:00:00")
+    assert plan.inputFiles() and all("/_series/" in f for f in plan.inputFiles())
+    lists = scan_series(spark, stored).filter("tier = 'current'").collect()
+    assert {(r["loc_id"], r["last"], r["n"]) for r in lists} == {(0, at(5, 3), 4), (1, at(5, 4), 4), (2, at(5, 5), 1)}
+
+
+def test_many_versions_become_one(spark, stored, monkeypatch):
+    monkeypatch.setattr(versions, "MOST_VERSIONS", 3)
+    for i in range(5):
+        write_obs(frame(spark, [("current", T, 10 + i, at(5), 1.0)]), stored, mode="append")
+        of_current = [f for f in newest(spark, stored).folders if "tier=current" in f]
+        assert len(of_current) <= 3
+    assert scan_obs(spark, stored, tiers=["current"]).count() == 11 and scan_obs(spark, stored).count() == 19
+    assert scan_series(spark, stored).filter("tier = 'current'").agg(F.sum("n")).first()[0] == 11
+    versions.compact(spark, stored)
+    assert len(newest(spark, stored).folders) == len({f.split("/", 1)[1] for f in newest(spark, stored).folders})
+    assert scan_obs(spark, stored).count() == 19
+
+
+def test_a_delta_replaces_rows_with_its_keys(spark, stored):
+    for value in (50.0, None, 70.0):
+        versions.append_rows(frame(spark, [("current", T, 0, at(5, 2), value), ("current", T, 5, at(5, 2), value)]), stored, delta=True)
+        got = {(loc, time): v for _, loc, time, v in rows_of(scan_obs(spark, stored, tiers=["current"]))}
+        assert got[0, at(5, 2)] == got[5, at(5, 2)] == value and got[1, at(5, 2)] == 5.5 and len(got) == 7
+    assert rows_of(scan_obs(spark, stored, tiers=["current"], locs=[5])) == {(T, 5, at(5, 2), 70.0)}
+    versions.compact(spark, stored)
+    assert {(loc, time): v for _, loc, time, v in rows_of(scan_obs(spark, stored, tiers=["current"]))} == got
+
+
+def test_tables_from_elsewhere_are_read_but_not_changed(spark, tmp_path):
+    path, rows = str(tmp_path / "plain"), frame(spark, [("current", T, 0, at(5), 1.0), ("historic", T, 0, at(1), 1.0)])
+    rows.withColumn("year", F.year("time")).write.partitionBy("source", "tier", "var", "year").parquet(path)
+    assert scan_obs(spark, path, tiers=["current"]).count() == 1 and scan_series(spark, path).count() == 2
+    for change in (lambda: write_obs(rows, path, mode="append"), lambda: promote.refresh_current(spark, rows, path), lambda: promote.promote(spark, path, "nasapower", True)):
+        with pytest.raises(ValueError, match="elsewhere"):
+            change()
+    write_obs(scan_obs(spark, path), path)
+    assert scan_obs(spark, path).count() == 2 and promote.promote(spark, path, "nasapower", True)
+    assert not [f for f in files.folders(spark, path) if f.startswith("source=")]
+
+
+def test_odd_partition_values(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    rows = spark.createDataFrame([("a b/c", "current", "x=y %:", 0, None, 1.0), ("a b/c", "current", "x=y %:", 0, at(1), 2.0)], OBS_SCHEMA)
+    write_obs(rows, path)
+    versions.append_rows(rows, path, delta=True)
+    assert sorted(map(tuple, scan_obs(spark, path, source="a b/c", variables=["x=y %:"]).collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+
+
+def test_only_the_neighbourhoods_of_requests_are_read(spark, tmp_path):
+    """Requests at the two ends of the catalogue: the rows between are skipped by row groups."""
+    places = [(lat, lon) for lat in range(-47, -33) for lon in range(166, 179)]
+    catalogue = spark.createDataFrame([("nasapower", i, lat + 0.5, lon + 0.5) for i, (lat, lon) in enumerate(places)],
+                                      "source string, loc_id int, latitude double, longitude double")
+    obs = catalogue.select("source", F.lit("historic").alias("tier"), F.lit(T).alias("var"), "loc_id",
+                           F.explode(F.expr("sequence(timestamp_ntz'2024-01-01', timestamp_ntz'2024-01-10', interval 1 hour)")).alias("time"), F.lit(1.0).alias("value"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 2000)
+    try:
+        write_obs(obs, str(tmp_path / "near"), catalogue=catalogue)
+        write_obs(obs, str(tmp_path / "plain"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    requests = spark.createDataFrame([(i, "nasapower", float(places[k][0]), float(places[k][1]), [T], at(1, 2), at(1, 3), "idw") for i, k in enumerate((0, 1, len(places) - 1, len(places) - 2))],
+                                     "req_id int, source string, lat double, lon double, vars array<string>, start_time timestamp_ntz, end_time timestamp_ntz, mode string")
+
+    def scanned(path):
+        """The answers, and how many stored rows the scans gave."""
+        found = batch.extract_stored(spark, path, requests, catalogue)
+        rows, todo, total = sorted(map(tuple, found.collect())), [found._jdf.queryExecution().executedPlan()], 0
+        while todo:
+            node = todo.pop()
+            kind = node.getClass().getSimpleName()
+            if kind == "FileSourceScanExec":
+                total += node.metrics().apply("numOutputRows").value()
+            inner = node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan() if kind.endswith("QueryStageExec") else None
+            todo += [inner] if inner else [node.children().apply(i) for i in range(node.children().size())]
+        return rows, total
+
+    near, plain = scanned(str(tmp_path / "near")), scanned(str(tmp_path / "plain"))
+    assert near[0] == plain[0] and len(near[0]) == 100
+    # both ends are asked for, so a range of ids would leave out nothing
+    assert near[1] < 0.4 * plain[1]
+    # later versions keep the order without being given the catalogue
+    promote.refresh_current(spark, obs.withColumn("tier", F.lit("current")), str(tmp_path / "near"))
+    assert spark.read.parquet(*[f"{tmp_path}/near/{f}" for f in newest(spark, str(tmp_path / "near")).folders]).filter("cell is null").isEmpty()
 
 
 def test_other_sources_are_left_alone(spark, stored):
