@@ -36,7 +36,7 @@ def timed(query, spark, folder) -> float:
 def stored_queries(spark, folder: str) -> dict:
     work = scratch(spark, "bench")
     hourly, daily = f"{work}/hourly", f"{work}/daily"
-    write_obs(view(spark, folder, "series"), hourly)
+    write_obs(view(spark, folder, "series"), hourly, catalogue=view(spark, folder, "grid"))
     write_obs(view(spark, folder, "daily_historic"), daily)
     return {
         "stored_point": lambda s, f: point_stored(s, hourly, view(s, f, "grid"), "nasapower", LAT, LON, POINT_VARS,

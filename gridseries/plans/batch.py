@@ -120,7 +120,7 @@ def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variable
     variables = variables or profile["variables"]
     if not variables:
         nothing = F.lit(None).cast("array<struct<var: string, value: double>>").alias("answers")
-        return requests.filter(F.lit(False)).select("req_id", F.lit(None).cast("timestamp_ntz").alias("time"), nothing), []
+        return requests.filter(F.lit(False)).select("req_id", F.lit(None).cast("timestamp_ntz").alias("time"), "vars", nothing), []
     rows = obs.filter(F.col("var").isin(variables) & F.col("source").isin(profile["sources"])
                       & F.col("tier").isin(*TIERS))
     rows = time_range(rows, profile["start"], profile["end"])
@@ -133,7 +133,8 @@ def _extract(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variable
     wanted = joined.withColumn("cells", F.filter("cells", lambda c: F.array_contains("vars", c["var"])))
     answers = F.transform("cells", lambda c: F.struct(c["var"].alias("var"), _weighted(F.col("weights"), c["values"]).alias("value")))
     # a time needs every variable of the request
-    return wanted.filter(F.size("cells") == F.size("vars")).select("req_id", "time", answers.alias("answers")), variables
+    full = wanted.filter(F.size("cells") == F.size("vars")).select("req_id", "time", "vars", answers.alias("answers"))
+    return full, variables
 
 
 def _wide(answers: DataFrame, variables: list[str]) -> DataFrame:
@@ -168,6 +169,14 @@ def extract_series(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, va
     return answers.select("req_id", "time", F.inline("answers"))
 
 
+def extract_answers(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None = None,
+                    radius: float = RADIUS_DEGREES, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """(req_id, time, answers) with one (var, value) for each variable, in the order the request names them."""
+    answers, _ = _extract(requests, obs, catalogue, variables, radius, None, group_limit)
+    in_order = F.transform("vars", lambda v: F.filter("answers", lambda a: a["var"] == v)[0])
+    return answers.select("req_id", "time", in_order.alias("answers"))
+
+
 def run_requests(raw: DataFrame, obs: DataFrame, catalogue: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Validate text requests and extract the good ones: (results, rejected with reason).
 

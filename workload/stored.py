@@ -1,11 +1,12 @@
 """Check queries of everything that is written and read back; each writes below the checkpoint folder."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridseries.functions import times
 from gridseries.operators import lifecycle, quality, shape, space
-from gridseries.plans import backfill, batch, ingest, point, promote, stations, update
+from gridseries.operators.numbering import in_order, with_position
+from gridseries.plans import answers, backfill, batch, ingest, point, promote, stations, update
 from gridseries.schema import CURRENT, HISTORIC, OBS_SCHEMA
 from gridseries.sinks import files, writers
 from gridseries.sources import raw, tables
@@ -22,8 +23,8 @@ def stored(spark: SparkSession, obs: DataFrame) -> str:
 
 
 def placed(df: DataFrame) -> DataFrame:
-    """Rows with their place in the order they come in; for short, sorted results."""
-    return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+    """Rows with their place, from 1, in the order they come in."""
+    return in_order(df).withColumn("place", (F.col("position") + 1).cast("int")).drop("position")
 
 
 # ---- catalogues and tables -------------------------------------------------------------
@@ -36,12 +37,13 @@ def catalogue_file(spark, sf):
 
 
 @check("""select tier, var, loc_id, time, value from series
-          where tier = 'historic' and var = 'relative_humidity_2m' and loc_id in (1, 3, 5)
+          where tier = 'historic' and var = 'relative_humidity_2m' and loc_id in (select loc_id from grid where latitude > -45)
             and time between timestamp '2024-01-02 00:00:00' and timestamp '2024-01-03 12:00:00'""")
 def scan_stored(spark, sf):
     path = stored(spark, view(spark, sf, "series"))
-    found = tables.scan_obs(spark, path, "nasapower", [HISTORIC], ["relative_humidity_2m"], [1, 3, 5], "2024-01-02", "2024-01-03 12:00:00")
-    return found.select("tier", "var", "loc_id", "time", "value")
+    found = tables.scan_obs(spark, path, "nasapower", [HISTORIC], ["relative_humidity_2m"], None, "2024-01-02", "2024-01-03 12:00:00")
+    north = view(spark, sf, "grid").filter("latitude > -45").select("loc_id")
+    return found.join(north, "loc_id", "left_semi").select("tier", "var", "loc_id", "time", "value")
 
 
 @check("""select tier, var, cast(year(time) as int) as year, count(*) as n, count(distinct loc_id) as n_locations
@@ -117,6 +119,28 @@ def extract_from_table(spark, sf):
         "req_id", "time", *POINT_VARS)
 
 
+@check(f"""{NEAR}, {ANSWERS.format(requests='requests')}, wide as ({WIDE_ANSWERS}),
+          records as (
+            select w.req_id, time, strftime(time, '%Y-%m-%d %H:%M:%S') as t, r.var_name, temperature_2m, relative_humidity_2m from wide w join requests r on w.req_id = r.req_id),
+          texts as (
+            select req_id, time, cast(case var_name when 'temperature_2m' then json_object('time', t, 'temperature_2m', temperature_2m)
+                                                    when 'relative_humidity_2m' then json_object('time', t, 'relative_humidity_2m', relative_humidity_2m)
+                                                    else json_object('time', t, 'temperature_2m', temperature_2m, 'relative_humidity_2m', relative_humidity_2m) end as varchar) as record
+            from records),
+          arrays as (select req_id, count(*) as n, '[' || string_agg(record, ',' order by time) || ']' as data from texts group by req_id)
+          select a.req_id, a.n, cast(json_object('message', format('{{}} series at {{}},{{}} for {{}} from {{}} to {{}}, mode {{}}', source,
+                   cast(round(lat * 256) / 256 as varchar), cast(round(lon * 256) / 256 as varchar), array_to_string(string_split(var_name, ','), ', '),
+                   strftime(start_time, '%Y-%m-%d %H:%M:%S'), strftime(end_time, '%Y-%m-%d %H:%M:%S'), mode), 'Data', data) as varchar) as answer
+          from arrays a join requests r on a.req_id = r.req_id""")
+def answer_envelopes(spark, sf):
+    """Every request's answer as it is sent, put together from chunks of ten hours."""
+    asked = requests(spark, sf)
+    found = batch.extract_answers(asked, view(spark, sf, "series"), view(spark, sf, "grid"))
+    found = found.withColumn("answers", F.transform("answers", lambda a: F.struct(a["var"].alias("var"), F.round(a["value"], 4).alias("value"))))
+    shown = asked.withColumns({c: F.round(F.col(c) * 256) / 256 for c in ("lat", "lon")})
+    return answers.envelopes(shown, answers.answer_chunks(answers.with_records(found), 10))
+
+
 @check("""with doubled as (select req_id, count(*) as n from (
             select req_id from requests_raw union all select req_id from requests_raw where req_id % 7 = 0) group by req_id)
           select req_id, 'req_id is not unique' as error, n from doubled where n > 1""")
@@ -161,10 +185,10 @@ def ingest_grid_files(spark, sf):
 
 
 def payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """One payload per location: temperatures with sentinels and nulls, humidities that lack hours."""
+    """One payload per location and month: temperatures with sentinels and nulls, humidities that lack hours."""
     obs = view(spark, sf, "obs").withColumn("hour_key", F.date_format("time", "yyyyMMddHH"))
     humid = F.when(F.col("k") >= 5, F.struct("hour_key", F.col("k").cast("double").alias("value")))
-    packed = obs.groupBy("loc_id").agg(
+    packed = obs.groupBy("loc_id", F.date_format("time", "yyyyMM").alias("month")).agg(
         F.map_from_entries(F.collect_list(F.struct("hour_key", "value"))).alias("T2M"), F.map_from_entries(F.collect_list(humid)).alias("RH2M"))
     return packed.select("loc_id", F.to_json(F.struct(F.struct(F.struct("T2M", "RH2M").alias("parameter")).alias("properties"))).alias("payload"))
 
@@ -266,6 +290,32 @@ def promote_table(spark, sf):
     return tables.scan_obs(spark, path).filter(F.col("tier") == HISTORIC).select("var", "loc_id", "time", "value")
 
 
+@check("""with shared as (select distinct var, loc_id from daily_current intersect select distinct var, loc_id from daily_historic),
+          cur as (select c.* from daily_current c join shared using (var, loc_id)),
+          latest as (select var, loc_id, max(time) as t from cur group by all),
+          marked as (select c.*, c.time < cast(date_trunc('month', t - interval 5 month) as timestamp) as settled from cur c join latest using (var, loc_id)),
+          merged as (select var, loc_id, time, value, 0 as prio from marked where settled
+                     union all select h.var, h.loc_id, h.time, h.value, 1 from daily_historic h join shared using (var, loc_id)),
+          ranked as (select *, row_number() over (partition by var, loc_id, time order by prio) as rn from merged)
+          select 'historic' as kind, var, loc_id, time, value from ranked where rn = 1
+          union all select 'current', var, loc_id, time, value from marked where not settled
+          union all (select distinct 'only in current', var, loc_id, null::timestamp, null::double from daily_current anti join shared using (var, loc_id))
+          union all (select distinct 'only in historic', var, loc_id, null::timestamp, null::double from daily_historic anti join shared using (var, loc_id))""")
+def promote_stored(spark, sf):
+    """Unforced: blocked by series in one tier, which are reported; then for the others, each up to its own cutoff."""
+    current, historic = view(spark, sf, "daily_current"), view(spark, sf, "daily_historic")
+    blocked, path = stored(spark, historic.unionByName(current)), scratch(spark, "obs")
+    try:
+        promote.promote(spark, blocked, "era5")
+    except promote.SeriesMismatch as error:
+        report = spark.read.parquet(error.report)
+    kept = tables.scan_obs(spark, blocked).join(report.select("var", "loc_id"), ["var", "loc_id"], "left_anti")
+    writers.write_obs(kept, path)
+    promote.promote(spark, path, "era5")
+    missing = report.select(F.concat(F.lit("only in "), "only_in").alias("kind"), "var", "loc_id", F.lit(None).cast("timestamp_ntz").alias("time"), F.lit(None).cast("double").alias("value"))
+    return tables.scan_obs(spark, path).select(F.col("tier").alias("kind"), "var", "loc_id", "time", "value").unionByName(missing)
+
+
 @check("with " + RESUME.format(table="daily_historic", key="var", now=NOW) + """,
           started as (select k.var, cast(date_trunc('month', coalesce(r.time, timestamp '2001-01-01 00:00:00') - interval 5 month) as date) as first
                       from (select unnest(['runoff', 'temperature_2m']) as var) k left join resumed r on r.var = k.var),
@@ -323,7 +373,7 @@ def update_plan(spark, sf):
             and not exists (select 1 from fresh f where f.loc_id = s.loc_id and f.time = s.time)
           union all select loc_id, time - interval 60 day, value + 7, true from obs where hr < 5 and value <> -999""")
 def stream_upsert(spark, sf):
-    """Arrivals with revisions of one key and with late rows, through the stream."""
+    """Arrivals in four batches: a revision, a newer one, one that is older but comes later, and late rows."""
     path = stored(spark, view(spark, sf, "series"))
     obs = view(spark, sf, "obs").filter("value <> -999")
 
@@ -332,12 +382,12 @@ def stream_upsert(spark, sf):
                                f"timestamp_ntz'{arrival}' arrival")
 
     fresh = obs.filter("hr between 60 and 80")
-    landed = (arrivals(fresh, "value + 50", "time", "2024-03-01 00:00:00")
-              .unionByName(arrivals(fresh, "value + 100", "time", "2024-03-02 00:00:00"))
-              .unionByName(arrivals(obs.filter("hr < 5"), "value + 7", "time - interval 60 days", "2024-03-01 00:00:00")))
     incoming, rejects = scratch(spark, "incoming"), scratch(spark, "rejects")
-    writers.write_raw(landed, incoming)
-    stream_ingest(spark, incoming, path, rejects, scratch(spark, "stream")).awaitTermination()
+    for landed in (arrivals(fresh, "value + 50", "time", "2024-03-01 00:00:00"), arrivals(fresh, "value + 100", "time", "2024-03-02 00:00:00"),
+                   arrivals(fresh, "value + 10", "time", "2024-02-01 00:00:00"),
+                   arrivals(obs.filter("hr < 5"), "value + 7", "time - interval 60 days", "2024-03-01 00:00:00")):
+        writers.write_raw(landed.coalesce(1), incoming, mode="append")
+    stream_ingest(spark, incoming, path, rejects, scratch(spark, "stream"), files_per_batch=1).awaitTermination()
     kept = tables.scan_obs(spark, path, tiers=[CURRENT], variables=["temperature_2m"]).withColumn("late", F.lit(False))
     late = spark.read.schema(OBS_SCHEMA).option("recursiveFileLookup", "true").parquet(rejects).withColumn("late", F.lit(True))
     return kept.unionByName(late).select("loc_id", "time", "value", "late")
@@ -356,14 +406,13 @@ def wide_table_file(spark, sf):
         F.count("*").alias("n"), F.min("time").alias("first"), F.max("time").alias("last"))
 
 
-@check("""select cast(c.loc_id as bigint) as loc_id, cast(null as bigint) as position
-          from (select null as loc_id, unnest(range(3)) as copy) c, (select count(*) as n from grid) where n > 0""")
+@check("select cast(null as bigint) as loc_id, cast(null as bigint) as position from supplier where s_acctbal < 0")
 def null_ids(spark, sf):
-    """A sound catalogue with three null ids: only those are reported."""
-    grid = view(spark, sf, "grid").select("loc_id", "latitude").withColumn(
-        "loc_id", (F.row_number().over(Window.orderBy("loc_id")) - 1).cast("int"))
-    nulls = spark.range(3).select(F.lit(None).cast("int").alias("loc_id"), F.lit(0.0).alias("latitude"))
-    return space.check_dense_ids(grid.unionByName(nulls)).select(F.col("loc_id").cast("bigint").alias("loc_id"), "position")
+    """Locations without an id among others whose ids are dense: only they are reported."""
+    supplier = spark.read.parquet(f"{sf}/supplier.parquet")
+    dense = with_position(supplier.filter("s_acctbal >= 0").select("s_suppkey"), ["s_suppkey"]).select(F.col("position").cast("int").alias("loc_id"))
+    nulls = supplier.filter("s_acctbal < 0").select(F.lit(None).cast("int").alias("loc_id"))
+    return space.check_dense_ids(dense.unionByName(nulls)).select(F.col("loc_id").cast("bigint").alias("loc_id"), "position")
 
 
 @check("select var, loc_id, time, value from daily_historic where value is distinct from -999")
