@@ -3,16 +3,23 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridseries.operators.validate import unanswered, validate_requests
 from gridseries.plans.batch import extract_answers
-from gridseries.sinks.writers import RECORD_OPTIONS, response_message
+from gridseries.sinks.writers import RECORD_OPTIONS, response_message, write_raw
 from gridseries.session import spread
 
 # hours of one request whose records are put together in one place
 CHUNK_HOURS = 24 * 366
 
 
-def with_records(answers: DataFrame) -> DataFrame:
-    """(req_id, time, record): the JSON text of each answered time, its variables in the order they were asked for."""
+def with_records(answers: DataFrame, digits: int | None = None) -> DataFrame:
+    """(req_id, time, record): the JSON text of each answered time, its variables in the order they were asked for.
+
+    Values are rounded to `digits` places, if that is given.
+    """
+    if digits is not None:
+        shorter = F.transform("answers", lambda a: F.struct(a["var"].alias("var"), F.round(a["value"], digits).alias("value")))
+        answers = answers.withColumn("answers", shorter)
     stamp = F.date_format("time", RECORD_OPTIONS["timestampNTZFormat"])
     values = F.to_json(F.map_from_entries("answers"), RECORD_OPTIONS)
     # the values' text starts with a brace
@@ -47,7 +54,21 @@ def envelopes(requests: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def answer_requests(requests: DataFrame, obs: DataFrame, catalogue: DataFrame, variables: list[str] | None = None,
-                    chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+                    chunk_hours: int = CHUNK_HOURS, digits: int | None = None) -> DataFrame:
     """The envelopes of all accepted requests; those without any time have none, see `validate.unanswered`."""
-    records = with_records(extract_answers(requests, obs, catalogue, variables))
+    records = with_records(extract_answers(requests, obs, catalogue, variables), digits)
     return envelopes(requests, answer_chunks(records, chunk_hours))
+
+
+def respond(raw: DataFrame, obs: DataFrame, catalogue: DataFrame, path: str, digits: int | None = None) -> DataFrame:
+    """(req_id, status, answer) for every text request, as the service would answer it.
+
+    Status 200 has the envelope; 400 has `{"error": ...}`, for a request that is refused or that nothing is found for.
+    The envelopes are written to `path` once and read from there, also to find requests without any.
+    """
+    accepted, rejected = validate_requests(raw)
+    write_raw(answer_requests(accepted, obs, catalogue, digits=digits), path)
+    sent = raw.sparkSession.read.parquet(path)
+    errors = rejected.unionByName(unanswered(accepted, sent))
+    refused = errors.select("req_id", F.lit(400).alias("status"), F.to_json(F.struct("error")).alias("answer"))
+    return sent.select("req_id", F.lit(200).alias("status"), "answer").unionByName(refused)

@@ -12,7 +12,7 @@ from gridseries.sinks import files, writers
 from gridseries.sources import raw, tables
 from gridseries.streaming.upsert import stream_ingest
 from workload.queries import (
-    ANSWERS, FILL, LAT, LON, NEAR, NOW, POINT_VARS, RESUME, WIDE_ANSWERS, at_point, check, requests, rounded, scratch)
+    ANSWERS, FILL, LAT, LON, NEAR, NOW, POINT_VARS, RAW_RUN, RESUME, WIDE_ANSWERS, at_point, check, requests, rounded, scratch)
 from workload.views import view
 
 
@@ -119,26 +119,43 @@ def extract_from_table(spark, sf):
         "req_id", "time", *POINT_VARS)
 
 
-@check(f"""{NEAR}, {ANSWERS.format(requests='requests')}, wide as ({WIDE_ANSWERS}),
+def envelope_sql(requests: str) -> str:
+    """The answers of a table of requests: `sent`, after `whole`."""
+    stamps = "strftime(start_time, '%Y-%m-%d %H:%M:%S'), strftime(end_time, '%Y-%m-%d %H:%M:%S')"
+    return f"""wide as ({WIDE_ANSWERS}),
           records as (
-            select w.req_id, time, strftime(time, '%Y-%m-%d %H:%M:%S') as t, r.var_name, temperature_2m, relative_humidity_2m from wide w join requests r on w.req_id = r.req_id),
+            select w.req_id, time, strftime(time, '%Y-%m-%d %H:%M:%S') as t, r.var_name, temperature_2m, relative_humidity_2m
+            from wide w join {requests} r on w.req_id = r.req_id),
           texts as (
             select req_id, time, cast(case var_name when 'temperature_2m' then json_object('time', t, 'temperature_2m', temperature_2m)
                                                     when 'relative_humidity_2m' then json_object('time', t, 'relative_humidity_2m', relative_humidity_2m)
                                                     else json_object('time', t, 'temperature_2m', temperature_2m, 'relative_humidity_2m', relative_humidity_2m) end as varchar) as record
             from records),
-          arrays as (select req_id, count(*) as n, '[' || string_agg(record, ',' order by time) || ']' as data from texts group by req_id)
-          select a.req_id, a.n, cast(json_object('message', format('{{}} series at {{}},{{}} for {{}} from {{}} to {{}}, mode {{}}', source,
-                   cast(round(lat * 256) / 256 as varchar), cast(round(lon * 256) / 256 as varchar), array_to_string(string_split(var_name, ','), ', '),
-                   strftime(start_time, '%Y-%m-%d %H:%M:%S'), strftime(end_time, '%Y-%m-%d %H:%M:%S'), mode), 'Data', data) as varchar) as answer
-          from arrays a join requests r on a.req_id = r.req_id""")
+          arrays as (select req_id, count(*) as n, '[' || string_agg(record, ',' order by time) || ']' as data from texts group by req_id),
+          sent as (
+            select a.req_id, a.n, cast(json_object('message', format('{{}} series at {{}},{{}} for {{}} from {{}} to {{}}, mode {{}}', source,
+                     cast(round(lat * 256) / 256 as varchar), cast(round(lon * 256) / 256 as varchar), array_to_string(string_split(var_name, ','), ', '),
+                     {stamps}, mode), 'Data', data) as varchar) as answer
+            from arrays a join {requests} r on a.req_id = r.req_id)"""
+
+
+@check(f"{NEAR}, {ANSWERS.format(requests='requests')}, {envelope_sql('requests')} select * from sent")
 def answer_envelopes(spark, sf):
     """Every request's answer as it is sent, put together from chunks of ten hours."""
     asked = requests(spark, sf)
     found = batch.extract_answers(asked, view(spark, sf, "series"), view(spark, sf, "grid"))
-    found = found.withColumn("answers", F.transform("answers", lambda a: F.struct(a["var"].alias("var"), F.round(a["value"], 4).alias("value"))))
     shown = asked.withColumns({c: F.round(F.col(c) * 256) / 256 for c in ("lat", "lon")})
-    return answers.envelopes(shown, answers.answer_chunks(answers.with_records(found), 10))
+    return answers.envelopes(shown, answers.answer_chunks(answers.with_records(found, 4), 10))
+
+
+@check(f"""{RAW_RUN}, {envelope_sql('accepted')}
+          select req_id, 200 as status, answer from sent
+          union all select req_id, 400, cast(json_object('error', error) as varchar) from checked where error is not null
+          union all select req_id, 400, cast(json_object('error', 'no values near the point in the date range') as varchar) from accepted
+            where req_id not in (select req_id from sent)""")
+def responses(spark, sf):
+    """What the service would send for every text request: its answer, or what is wrong with it."""
+    return answers.respond(view(spark, sf, "requests_raw"), view(spark, sf, "series"), view(spark, sf, "grid"), scratch(spark, "answers"), 4)
 
 
 @check("""with doubled as (select req_id, count(*) as n from (
