@@ -5,9 +5,10 @@ hashed to `HASH_BITS` bits; a document is the set of its terms. The score is the
 linear weights and all pairwise interactions <v_i, v_j>, which are summed in linear time as
 (|sum v|^2 - sum |v|^2) / 2. Weights are learned by stochastic gradients from at most `MOST_ROWS`
 labelled rows, toxic and clean alike chosen by a hash. The model holds the terms that are in at least
-`LEAST_ROWS` of them and whose share differs between the labels beyond chance (a chi-square test), so
-that the many words of a long text that say nothing add nothing. Whole texts are read in training and
-scoring.
+`LEAST_ROWS` of them and that tell something, alone or together: a term whose share differs between the labels
+beyond chance, and the terms of any pair whose rows are labelled otherwise than the two terms add up to (chi-square
+tests; pairs of the `MOST_PAIRED` terms with the most rows). So the many words of a long text that say nothing
+add nothing. Whole texts are read in training and scoring.
 
 Defined cases: null and empty texts have no terms and get the bias alone; without labels of both
 kinds every score is 0; labels that are null are not used; of several labels of one document the
@@ -33,6 +34,9 @@ RANK = 4
 MOST_ROWS = 8_000
 LEAST_ROWS = 8
 CHI_SQUARE = 15.0
+# half a million pairs are tested, so their test is stricter
+PAIR_CHI_SQUARE = 30.0
+MOST_PAIRED = 1024
 THRESHOLD = 0.7
 WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[48:58] = WORD_BYTE[97:123] = WORD_BYTE[128:] = True
@@ -78,17 +82,47 @@ class Machine:
 
 
 def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Terms in enough rows whose share differs between the labels."""
+    """Terms in enough rows whose share differs between the labels, or that do in a pair."""
     size = 1 << HASH_BITS
     toxic = [r for r, y in zip(rows, labels) if y]
     clean = [r for r, y in zip(rows, labels) if not y]
     a, b = (np.bincount(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), minlength=size) for x in (toxic, clean))
     n, both = len(rows), a + b
-    kept = np.flatnonzero(both >= LEAST_ROWS)
-    a, both = a[kept].astype(float), both[kept].astype(float)
+    often = np.flatnonzero(both >= LEAST_ROWS)
+    a, both = a[often].astype(float), both[often].astype(float)
     expected = both * len(toxic) / n
     spread = expected * (len(clean) / n) * (1 - both / n)
-    return kept[(a - expected) ** 2 > CHI_SQUARE * np.maximum(spread, 1e-9)]
+    alone = often[(a - expected) ** 2 > CHI_SQUARE * np.maximum(spread, 1e-9)]
+    return np.union1d(alone, telling_pairs(rows, labels, often[np.argsort(-both, kind="stable")[:MOST_PAIRED]]))
+
+
+def telling_pairs(rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Those of some terms that have a partner with which they tell more, or less, than the two add up to.
+
+    Added up are the log odds of the terms over those of all rows, as a model without pairs would.
+    """
+    place = np.full(1 << HASH_BITS, -1, np.int32)
+    place[terms] = np.arange(len(terms))
+    met, toxic = np.zeros((2, len(terms), len(terms)))
+    for first in range(0, len(rows), 1024):
+        some = rows[first:first + 1024]
+        held = np.zeros((len(some), len(terms)), np.float32)
+        for line, keys in zip(held, some):
+            own = place[keys]
+            line[own[own >= 0]] = 1
+        met += held.T @ held
+        toxic += held.T @ (held * labels[first:first + len(some), None].astype(np.float32))
+
+    def odds(hits, of):
+        share = (hits + 0.5) / (of + 1)
+        return np.log(share / (1 - share))
+
+    own = odds(np.diag(toxic), np.diag(met)) - odds(labels.sum(), len(labels))
+    added = 1 / (1 + np.exp(-(own[:, None] + own + odds(labels.sum(), len(labels)))))
+    spread = np.maximum(met * added * (1 - added), 1e-9)
+    tells = (met >= LEAST_ROWS) & ((toxic - met * added) ** 2 > PAIR_CHI_SQUARE * spread)
+    np.fill_diagonal(tells, False)
+    return terms[tells.any(axis=1)]
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, rank: int = RANK, epochs: int = 40, seed: int = 3) -> Machine:

@@ -36,6 +36,35 @@ def test_interactions_are_learned(machine, words):
     assert np.abs(machine.factors).max() > 0.1 and len(line) == 4
 
 
+@pytest.mark.parametrize("alike", [1, 0])
+def test_terms_that_tell_only_together(words, alike):
+    """Each of two terms is as common in toxic rows as in clean ones; both or neither, or just one of them, is toxic."""
+    def made(n, seed):
+        rng = np.random.default_rng(seed)
+        first, second = rng.integers(0, 2, n), rng.integers(0, 2, n)
+        texts = [" ".join([*words(12, seed * 10 ** 6 + i), *["mildinsult"] * a, *["somegroup"] * b]) for i, (a, b) in enumerate(zip(first, second))]
+        return texts, ((first == second) == bool(alike)).astype(float)
+
+    texts, labels = made(4000, 1)
+    row, key = op.terms(pa.array(texts))
+    sets = np.split(key, np.searchsorted(row, np.arange(1, len(texts))))
+    own = set(op.terms(pa.array(["mildinsult somegroup"]))[1].tolist())
+    assert own <= set(op.telling(sets, labels).tolist())
+    machine = op.train(sets, labels)
+    texts, labels = made(1000, 2)
+    assert ((machine.of(pa.array(texts)) >= 0.5) == labels).mean() > 0.95
+    # and chance alone brings in hardly any term
+    assert len(op.telling(sets, np.random.default_rng(3).integers(0, 2, len(sets)).astype(float))) < 5
+
+
+def test_ties_and_very_long_texts(machine):
+    long = pa.array(["scumbag " + "filler thing " * 120_000 + "groupname", "scumbag groupname", "scumbag groupname"])
+    assert pa.array(long).nbytes > 1 << 20
+    score = machine.of(long)
+    # repeated rows are scored alike, and a long text by its set of terms
+    assert score[1] == score[2] and (score >= 0.5).all()
+
+
 def test_score_is_the_sum_over_pairs(machine):
     keys = op.terms(pa.array(["scumbag groupname thing other"]))[1]
     slots = machine.slot[keys]
