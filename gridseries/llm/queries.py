@@ -67,7 +67,7 @@ def op8_neighbours(spark, sf_dir):
 def op9_warc(spark, sf_dir):
     folder = shared_folder(spark, "archives")
     index = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
-    return warc.read_archives(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(index, folder, strict=True).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_licenses(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 An archive (.warc.zst) starts with a skippable frame that holds a Zstandard dictionary; then comes one
 frame for each record, compressed with that dictionary, so that a record can be read by its offset
-alone. The dictionary is trained on at most `SAMPLE_RECORDS` pages, chosen by a hash. Of pages with
+alone. The dictionary is trained on at most `SAMPLE_RECORDS` different payloads, chosen by a hash. Of pages with
 equal payloads of at least `least_bytes`, the one with the largest page_id is a `response` record; the
 others are `revisit` records that name it and carry no payload.
 
@@ -149,12 +149,21 @@ def with_originals(pages: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) ->
 
 
 def sample_dictionary(pages: DataFrame, most: int = SAMPLE_RECORDS) -> bytes:
-    """Trained on at most `most` pages of up to SAMPLE_PAGE_BYTES each."""
-    short = pages.where(F.octet_length("html").between(1, SAMPLE_PAGE_BYTES)).select("page_id", "url", "html")
-    share = min(1.0, 1.5 * most / max(1, short.count()))
-    drawn = short.where(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(most).orderBy("html", "page_id").collect()
-    bodies = [(r.html or "").encode() for r in drawn]
-    return train_dictionary([page_record(r.page_id, r.url, b, digest(b), None) for r, b in zip(drawn, bodies)])
+    """Trained on at most `most` different payloads, of each the first SAMPLE_PAGE_BYTES; records are written whole.
+
+    The draw goes by a hash of the payload and takes the smallest, so it is the same in every run and copies
+    count once.
+    """
+    draw = F.xxhash64("html")
+    rows = pages.where(F.octet_length("html") > 0).select(draw.alias("draw"), F.xxhash64("html", F.lit(1)).alias("tie"), "url", "html", "page_id")
+    # about twice as many as wanted pass the filter, so few payloads are moved; the count is one of different payloads
+    share = min(1.0, 2.0 * most / max(1, rows.agg(F.approx_count_distinct("draw")).first()[0]))
+    drawn = rows.where(F.pmod("draw", F.lit(1 << 30)) < int(share * (1 << 30)))
+    cut = F.substring(F.col("html").cast("binary"), 1, SAMPLE_PAGE_BYTES)
+    once = drawn.groupBy("draw", "tie").agg(F.min(F.struct("page_id", "url", cut.alias("body"))).alias("page"))
+    chosen = once.orderBy("draw", "tie").limit(most).select("draw", "tie", "page.*").collect()
+    chosen = sorted(chosen, key=lambda r: (r.draw, r.tie))
+    return train_dictionary([page_record(r.page_id, r.url, bytes(r.body), digest(bytes(r.body)), None) for r in chosen])
 
 
 def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = None, least_bytes: int = LEAST_REVISIT_BYTES,
@@ -201,9 +210,13 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = Non
     return stored(ordered.mapInArrow(write, schema), "warc-index")
 
 
-def read_archives(index: DataFrame, folder: str) -> DataFrame:
+def read_archives(index: DataFrame, folder: str, strict: bool = False) -> DataFrame:
     """One row per page record of the index's archives: page_id, url, payload (null for revisits), payload_bytes,
-    payload_digest, record_type, refers_to, and whether a response's payload has the digest of its header."""
+    payload_digest, record_type, refers_to, and whether a response's payload has the digest of its header.
+
+    Archives are dealt to as many tasks as there are, up to the session's number of shuffle partitions. With `strict`
+    a response that is not intact is an error.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]):
         files, _ = _files(folder)
@@ -224,8 +237,10 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                         length = next(int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
                         response, named = fields["WARC-Type"] == "response", fields["WARC-Payload-Digest"].removeprefix("sha1:")
                         page, refers = (int(fields[k]) if k in fields else None for k in ("Page-ID", "Refers-To-Page-ID"))
-                        rows.append((page, fields.get("WARC-Target-URI"), payload if response else None, length, named, fields["WARC-Type"],
-                                     refers, digest(payload) == named and len(payload) == length if response else None))
+                        intact = digest(payload) == named and len(payload) == length if response else None
+                        if strict and response and not intact:
+                            raise ValueError(f"page {page} in {name} is not what its header says")
+                        rows.append((page, fields.get("WARC-Target-URI"), payload if response else None, length, named, fields["WARC-Type"], refers, intact))
                         held += len(block)
                         if held > 8 << 20:
                             yield table(rows)
@@ -233,6 +248,9 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield table(rows)
 
-    archives = index.select("archive").distinct()
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the names are a few bytes, which adaptive execution would put into one task; by another key than that of
+    # distinct(), or its shuffle would serve for this one
+    archives = index.select("archive").distinct().repartition(tasks, F.xxhash64("archive"))
     return archives.mapInArrow(read, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, "
                                      "record_type string, refers_to long, intact boolean")

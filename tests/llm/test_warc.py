@@ -5,6 +5,7 @@ import struct
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from gridseries.llm import warc as op
 from gridseries.llm.tables import shared_folder
@@ -80,3 +81,30 @@ def test_empty_table(spark):
     folder = shared_folder(spark, "test-archives")
     index = op.write_archives(pages, folder)
     assert index.isEmpty() and op.read_archives(index, folder).isEmpty()
+
+
+def test_large_pages_only_have_a_dictionary_too(spark):
+    rows = [(i, f"http://x/{i}", f"<p>{i}</p>" + " ".join(f"word{j % 700}x{i % 3}" for j in range(9000))) for i in range(12)]
+    assert all(len(html) > op.SAMPLE_PAGE_BYTES for _, _, html in rows)
+    pages = spark.createDataFrame(rows + rows[:5] * 3, "page_id long, url string, html string").repartition(4)
+    dictionary = op.sample_dictionary(pages)
+    assert dictionary and dictionary == op.sample_dictionary(pages.repartition(2)) and op.sample_dictionary(pages, 3) == op.sample_dictionary(pages, 3)
+
+
+def test_archives_are_read_by_several_tasks(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 60) for i in range(300)], "page_id long, url string, html string").repartition(4)
+    folder = shared_folder(spark, "test-archives")
+    index = op.write_archives(pages, folder, archive_bytes=8000)
+    assert index.select("archive").distinct().count() > 10
+    back = op.read_archives(index, folder, strict=True)
+    assert back.select(F.spark_partition_id()).distinct().count() > 1 and back.count() == 300
+
+
+def test_broken_records_are_an_error(spark, tmp_path):
+    archive = op.Archive(b"")
+    archive.add(op.page_record(1, "u", b"payload", "A" * 32, None))
+    (tmp_path / "part-00000-0000.warc.zst").write_bytes(archive.out.getvalue())
+    index = spark.createDataFrame([(str(tmp_path / "part-00000-0000.warc.zst"),)], "archive string")
+    assert [r["intact"] for r in op.read_archives(index, f"file:{tmp_path}").collect()] == [False]
+    with pytest.raises(Exception, match="not what its header says"):
+        op.read_archives(index, f"file:{tmp_path}", strict=True).collect()
