@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridseries.llm.grouped import key_runs
+from gridseries.llm.grouped import beside, key_runs
 from gridseries.llm.tables import stored
 
 SCALE = 256
@@ -142,28 +142,6 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.select("vec_id", "row.label", "row.vector", F.size("row.vector").alias("dimension"))
 
 
-def _dealt(anchors: DataFrame, rows: DataFrame, keys: list[str], total: int, anchor_rows: int, stripe_rows: int) -> DataFrame:
-    """Every anchor group beside every stripe of rows of its key, the anchors (kind 0) first."""
-    spark = rows.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n")).join(anchors.groupBy(*keys).agg(F.count("*").alias("asked")), keys)
-    groups = F.ceil(F.col("asked") / anchor_rows)
-    counts = counts.withColumn("groups", groups)
-    for_tasks = F.ceil(2 * tasks * F.col("n") / max(1, total) / F.col("groups"))
-    stripes = F.greatest(F.ceil(F.col("n") / stripe_rows), F.least(F.ceil(F.col("n") / LEAST_STRIPE), for_tasks))
-    counts = counts.select(*keys, "groups", stripes.alias("stripes"))
-
-    asked = anchors.join(counts, keys)
-    asked = asked.withColumns({"kind": F.lit(0), "part": F.pmod(F.xxhash64("vec_id", F.lit(1)), "groups"),
-                               "stripe": F.explode(F.sequence(F.lit(0).cast("long"), F.col("stripes") - 1))})
-    met = rows.join(counts, keys)
-    met = met.withColumns({"kind": F.lit(1), "stripe": F.pmod(F.xxhash64("vec_id"), "stripes"),
-                           "part": F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))})
-    keys = ["dimension", *(k for k in keys if k != "dimension"), "part", "stripe"]
-    both = asked.unionByName(met, allowMissingColumns=True).drop("groups", "stripes")
-    return both.repartition(tasks, *keys).sortWithinPartitions(*keys, "kind")
-
-
 def _searched(dealt: DataFrame, keys: list[str], primes: list[int], most: int, same_label: bool, low: int, high: int) -> DataFrame:
     """anchor_id, positive_id, positive_score, vec_id, score: the best of each stripe."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,14 +208,14 @@ def hard_negatives(vectors: DataFrame, anchors_where: Column, positives: int = 5
     primes = primes_for(int(bound))
     anchors = rows.where(is_anchor)
 
-    dealt = _dealt(anchors, rows, ["dimension", "label"], size["n"], anchor_rows, stripe_rows)
+    dealt = beside(anchors, rows, ["dimension", "label"], size["n"], anchor_rows, stripe_rows, LEAST_STRIPE)
     near = _searched(dealt, ["dimension", "label", "part", "stripe"], primes, positives, True, low, high)
     ranked = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "vec_id")
     near = near.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= positives)
     near = near.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.sort_array(F.collect_list(F.struct("place", F.col("vec_id").alias("id"), "score"))).alias("near"))
     asked = stored(anchors.join(near, "vec_id").select("*", F.col("near.id").alias("positive_ids"), F.col("near.score").alias("positive_scores")).drop("near"), "anchors")
 
-    dealt = _dealt(asked, rows, ["dimension"], size["n"], anchor_rows, stripe_rows)
+    dealt = beside(asked, rows, ["dimension"], size["n"], anchor_rows, stripe_rows, LEAST_STRIPE)
     far = _searched(dealt, ["dimension", "part", "stripe"], primes, negatives, False, low, high)
     ranked = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "vec_id")
     far = far.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= negatives)

@@ -1,16 +1,18 @@
 """Largest inner products by low-dimensional stable projections and kd-trees.
 
 With M the largest norm, a vector x becomes (x, sqrt(M^2 - |x|^2)) and a query q becomes (q, 0); then the
-largest inner product is the smallest Euclidean distance. Vectors are projected to `PROJECTED`
-dimensions by one matrix of Gaussian (2-stable) entries, so that a squared projected distance is the
-true one times a chi-square variable. All rows are dealt to shards; each shard is indexed by a kd-tree
-over its projections. A query takes a shard's leaves by growing projected distance, verifies their
-vectors on the original values in double precision, and stops at the test: if even the next leaf's
-distance exceeds the true distance of the k-th best so far times the chi-square quantile `CERTAINTY`,
-a better vector has been passed over with a chance of at most 1 - CERTAINTY. Nothing else ends a search.
+largest inner product is the smallest Euclidean distance. Vectors are projected to `PROJECTED` dimensions, or as
+many as they have, by Gaussian (2-stable) directions made orthogonal, so that a squared projected distance is about
+the true one times a chi-square variable, with the smaller spread that so many of the dimensions leave.
 
-Queries go to all shards in blocks of at most `BLOCK_QUERIES`; a task carries the best so far from one
-shard to the next. Sums run over the components in order, so equal vectors have equal scores.
+Rows are dealt to stripes, queries to groups; a task takes one group and one stripe and indexes the stripe shard by
+shard, each by a kd-tree over its projections. Projected neighbours are verified on the original values in double
+precision, nearest first, until the test holds: if the next one's projected distance exceeds the true distance of the
+k-th best so far times the quantile for `CERTAINTY`, a better vector has been passed over with a chance of at most
+1 - CERTAINTY. Leaves whose boxes lie beyond are not looked into. Nothing else ends a search, and the best so far is
+carried from shard to shard.
+
+Sums run over the components in order, so equal vectors have equal scores.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part,
 nor do rows without vec_id; of rows that repeat a vec_id the least vector counts; vectors of different
@@ -27,15 +29,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridseries.llm.grouped import beside, key_runs
 from gridseries.llm.tables import stored
 
 NEAREST = 20
-PROJECTED = 8
-CERTAINTY = 0.95
+PROJECTED = 32
+CERTAINTY = 0.84
 SHARD_ROWS = 8192
 LEAF_ROWS = 64
-BLOCK_QUERIES = 20_000
+QUERY_ROWS = 16_384
+STRIPE_ROWS = 1 << 18
 LANES = 256
+# a query's nearest projected neighbours of a shard are verified in rounds of growing size
+ROUNDS = (64, 512)
+NO_ID = (1 << 63) - 1
 
 
 def chi_square_quantile(share: float, freedom: int) -> float:
@@ -52,15 +59,52 @@ def chi_square_quantile(share: float, freedom: int) -> float:
     return high
 
 
-def projection(dimension: int, projected: int = PROJECTED) -> np.ndarray:
-    return np.random.default_rng(dimension).normal(size=(dimension + 1, projected))
+def projected_dimensions(dimension: int) -> int:
+    """An even number, for the closed form above."""
+    return min(PROJECTED, (dimension + 1) // 2 * 2)
+
+
+def projection(dimension: int) -> np.ndarray:
+    """Orthogonal directions, scaled so that each adds the squared distance on average."""
+    chosen = np.random.default_rng(dimension).normal(size=(dimension + 1, projected_dimensions(dimension)))
+    return np.linalg.qr(chosen)[0] * math.sqrt(dimension + 1)
+
+
+def stopping_ratio(certainty: float, dimension: int) -> float:
+    """The chi-square quantile, its spread less by the share of dimensions that the projection keeps."""
+    m = projected_dimensions(dimension)
+    return m + (chi_square_quantile(certainty, m) - m) * math.sqrt(1 - m / (dimension + 1))
+
+
+class Queries:
+    """Some queries of one dimension and the best found for them so far: largest score, then smallest id."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, k: int):
+        self.ids, self.vectors, self.longest = ids, vectors, longest
+        self.points = np.column_stack([vectors, np.zeros(len(ids))]) @ projection(vectors.shape[1])
+        self.base = (vectors ** 2).sum(axis=1) + longest ** 2
+        self.scores, self.found = np.full((len(ids), k), -np.inf), np.full((len(ids), k), NO_ID)
+
+    def distance(self, some: slice) -> np.ndarray:
+        """Squared distance of the k-th best."""
+        return np.maximum(self.base[some] - 2 * self.scores[some, -1], 0)
+
+    def keep(self, lanes: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        better = (scores > self.scores[lanes, -1]) | ((scores == self.scores[lanes, -1]) & (ids < self.found[lanes, -1]))
+        lanes, scores, ids = lanes[better], scores[better], ids[better]
+        touched, k = np.unique(lanes), self.scores.shape[1]
+        owner = np.concatenate([np.repeat(touched, k), lanes])
+        scores = np.concatenate([self.scores[touched].ravel(), scores])
+        ids = np.concatenate([self.found[touched].ravel(), ids])
+        order = np.lexsort((ids, -scores, owner))
+        kept = order[np.searchsorted(owner[order], touched)[:, None] + np.arange(k)]
+        self.scores[touched], self.found[touched] = scores[kept], ids[kept]
 
 
 class Tree:
-    """A shard: leaves of equal size (empty places have id -1), their boxes in the projection, vectors by component."""
+    """A shard in the order of its leaves, their boxes in the projection, vectors by component."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float):
-        self.ids, self.vectors = ids, vectors
         rest = np.sqrt(np.maximum(longest ** 2 - (vectors ** 2).sum(axis=1), 0))
         points = np.column_stack([vectors, rest]) @ projection(vectors.shape[1])
         leaves, open_ = [], [np.arange(len(ids))]
@@ -73,43 +117,39 @@ class Tree:
             axis = np.argmax(own.max(axis=0) - own.min(axis=0))
             order = np.argpartition(own[:, axis], len(rows) // 2)
             open_ += [rows[order[:len(rows) // 2]], rows[order[len(rows) // 2:]]]
-        width = max(map(len, leaves))
         self.low = np.array([points[rows].min(axis=0) for rows in leaves])
         self.high = np.array([points[rows].max(axis=0) for rows in leaves])
-        at = np.full((len(leaves), width), -1)
-        for i, rows in enumerate(leaves):
-            at[i, :len(rows)] = rows
-        self.leaf_ids = np.where(at >= 0, ids[at], -1)
-        self.components = np.ascontiguousarray(np.where(at >= 0, vectors.T[:, at], 0.0))
-
-    def search(self, queries: np.ndarray, own: np.ndarray, scores: np.ndarray, found: np.ndarray, longest: float,
-               quantile: float) -> int:
-        """Improve (lane, k) scores and ids in place; returns how many vectors were verified."""
-        projected = np.column_stack([queries, np.zeros(len(queries))]) @ projection(queries.shape[1])
-        gap = np.maximum(0, np.maximum(self.low - projected[:, None], projected[:, None] - self.high))
-        distance = (gap ** 2).sum(axis=2)
-        order = np.argsort(distance, axis=1, kind="stable")
-        distance = np.take_along_axis(distance, order, axis=1)
-        base, k = (queries ** 2).sum(axis=1) + longest ** 2, scores.shape[1]
-        active, verified = np.arange(len(queries)), 0
-        for step in range(order.shape[1]):
-            worst = np.maximum(base[active] - 2 * scores[active, -1], 0)
-            active = active[~(distance[active, step] > quantile * worst)]
-            if not len(active):
-                break
-            leaf = order[active, step]
-            sums = np.zeros((len(active), self.leaf_ids.shape[1]))
-            for values, q in zip(self.components, queries[active].T):
-                sums += values[leaf] * q[:, None]
-            ids = self.leaf_ids[leaf]
-            sums[(ids < 0) | (ids == own[active, None])] = -np.inf
-            verified += sums.size
-            better = (sums > scores[active, -1:]).any(axis=1) | ((sums == scores[active, -1:]) & (ids < found[active, -1:])).any(axis=1)
-            rows = active[better]
-            all_scores = np.concatenate([scores[rows], sums[better]], axis=1)
-            all_ids = np.concatenate([found[rows], ids[better]], axis=1)
-            best = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-            scores[rows], found[rows] = np.take_along_axis(all_scores, best, axis=1), np.take_along_axis(all_ids, best, axis=1)
+        self.leaf = np.repeat(np.arange(len(leaves)), [len(rows) for rows in leaves])
+        order = np.concatenate(leaves)
+        self.ids, self.points = ids[order], points[order]
+        self.components = np.ascontiguousarray(vectors[order].T)
+
+    def search(self, queries: Queries, some: slice, ratio: float) -> int:
+        """Improve the best of some queries; returns how many vectors were verified."""
+        points, verified = queries.points[some], 0
+        gap = np.maximum(0, np.maximum(self.low - points[:, None], points[:, None] - self.high))
+        reached = (gap ** 2).sum(axis=2) <= ratio * queries.distance(some)[:, None]
+        rows = np.flatnonzero(reached.any(axis=0)[self.leaf])
+        if not len(rows):
+            return 0
+        near = self.points[rows]
+        distance = (points ** 2).sum(axis=1)[:, None] + (near ** 2).sum(axis=1) - 2 * points @ near.T
+        distance[queries.ids[some, None] == self.ids[rows]] = np.inf
+        # rounding must not lose a leaf's rows
+        distance = np.maximum(distance, 0)
+        for size in (*ROUNDS, len(rows)):
+            if size > len(rows):
+                continue
+            limit = np.partition(distance, size - 1, axis=1)[:, size - 1]
+            lane, at = np.nonzero(distance <= np.minimum(limit, ratio * queries.distance(some))[:, None])
+            lane, at = (x[np.isfinite(distance[lane, at])] for x in (lane, at))
+            distance[lane, at] = np.inf
+            own, place = lane + (some.start or 0), rows[at]
+            sums = np.zeros(len(lane))
+            for values, q in zip(self.components, queries.vectors.T):
+                sums += values[place] * q[own]
+            verified += len(lane)
+            queries.keep(own, sums, self.ids[place])
         return verified
 
 
@@ -123,66 +163,55 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.select("vec_id", "vector", F.size("vector").alias("dimension"), norm.alias("norm")).where("norm > 0")
 
 
-def nearest(vectors: DataFrame, queries_where, k: int = NEAREST, certainty: float = CERTAINTY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def nearest(vectors: DataFrame, queries_where, k: int = NEAREST, certainty: float = CERTAINTY, shard_rows: int = SHARD_ROWS,
+            query_rows: int = QUERY_ROWS, stripe_rows: int = STRIPE_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found for every row where `queries_where` holds."""
-    spark = vectors.sparkSession
     rows = stored(usable(vectors), "vectors")
-    kinds = {r["dimension"]: (math.sqrt(r["longest"]), r["n"]) for r in rows.groupBy("dimension").agg(
-        F.max("norm").alias("longest"), F.count("*").alias("n")).collect()}
-    shards = max(1, -(-sum(n for _, n in kinds.values()) // shard_rows))
-    dealt = rows.select("vec_id", "vector", "dimension", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"))
-    quantile = chi_square_quantile(certainty, PROJECTED)
-
-    def gather(table: pa.Table) -> pa.Table:
-        flat = table["vector"].combine_chunks().flatten()
-        return pa.table({"dimension": table["dimension"][:1], "ids": pa.array([table["vec_id"].to_numpy().astype("<i8").tobytes()], pa.binary()),
-                         "values": pa.array([flat.to_numpy().astype("<f8").tobytes()], pa.binary())})
-
-    index = stored(dealt.groupBy("dimension", "shard").applyInArrow(gather, "dimension int, ids binary, values binary"), "shards")
-    asked = rows.where(queries_where).select("vec_id", "vector", "dimension").orderBy("vec_id")
-    found = None
-    for block in _blocks(asked.toLocalIterator(), BLOCK_QUERIES):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared):
-            best = {d: (np.full((len(own), k), -np.inf), np.full((len(own), k), -1)) for d, (own, _) in shared.value.items()}
-            for batch in batches:
-                for dimension, ids, values in zip(*(batch.column(c).to_pylist() for c in ("dimension", "ids", "values"))):
-                    if dimension not in best:
-                        continue
-                    ids = np.frombuffer(ids, "<i8")
-                    longest = kinds[dimension][0]
-                    tree = Tree(ids, np.frombuffer(values, "<f8").reshape(len(ids), dimension), longest)
-                    (own, queries), (scores, near) = shared.value[dimension], best[dimension]
-                    for at in range(0, len(own), LANES):
-                        lanes = slice(at, at + LANES)
-                        tree.search(queries[lanes], own[lanes], scores[lanes], near[lanes], longest, quantile)
-            for dimension, (scores, near) in best.items():
-                held = near >= 0
-                own = np.repeat(shared.value[dimension][0], held.sum(axis=1))
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(near[held]), pa.array(scores[held])], ["query_id", "vec_id", "score"])
-
-        part = index.mapInArrow(search, "query_id long, vec_id long, score double")
-        found = part if found is None else found.union(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    longest = rows.groupBy("dimension").agg(F.sqrt(F.max("norm")).alias("longest"))
+    rows = rows.drop("norm")
+    asked = rows.where(F.coalesce(queries_where, F.lit(False))).join(longest, "dimension")
+    dealt = beside(asked, rows, ["dimension"], rows.count(), query_rows, stripe_rows, shard_rows)
+
+    def matrix(parts: list[pa.RecordBatch], dimension: int) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.concatenate([p.column("vec_id").to_numpy() for p in parts])
+        flat = np.concatenate([p.column("vector").flatten().to_numpy() for p in parts])
+        return ids, flat.reshape(len(ids), dimension)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asked, queries, held, size = None, [], None, [], 0
+
+        def shard() -> None:
+            tree, ratio = Tree(*matrix(held, now[0]), queries.longest), stopping_ratio(certainty, now[0])
+            for at in range(0, len(queries.ids), LANES):
+                tree.search(queries, slice(at, at + LANES), ratio)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            lane, place = np.nonzero(queries.found != NO_ID)
+            yield pa.RecordBatch.from_arrays([pa.array(queries.ids[lane]), pa.array(queries.found[lane, place]), pa.array(queries.scores[lane, place])],
+                                             ["query_id", "vec_id", "score"])
+
+        for key, part in key_runs(batches, ["dimension", "part", "stripe", "kind"]):
+            if key[:-1] != now:
+                if held:
+                    shard()
+                if queries:
+                    yield from out()
+                now, asked, queries, held, size = key[:-1], [], None, [], 0
+            if key[-1] == 0:
+                asked.append(part)
+                continue
+            queries = queries or Queries(*matrix(asked, now[0]), asked[0].column("longest")[0].as_py(), k)
+            for at in range(0, part.num_rows, shard_rows):
+                held.append(part.slice(at, shard_rows))
+                size += held[-1].num_rows
+                if size >= shard_rows:
+                    shard()
+                    held, size = [], 0
+        if held:
+            shard()
+        if queries:
+            yield from out()
+
+    found = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _blocks(rows, most: int):
-    """The query set in blocks, by dimension: ids and vectors."""
-    held = []
-    for row in rows:
-        held.append(row)
-        if len(held) == most:
-            yield _by_dimension(held)
-            held = []
-    if held:
-        yield _by_dimension(held)
-
-
-def _by_dimension(rows):
-    kinds = sorted({r["dimension"] for r in rows})
-    return {d: (np.array([r["vec_id"] for r in rows if r["dimension"] == d], np.int64),
-                np.array([r["vector"] for r in rows if r["dimension"] == d], float)) for d in kinds}

@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridseries.llm import neighbours as op
 
+GIVEN = Path("/root/testdata/sf0.1/embeddings.parquet")
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
@@ -47,13 +49,12 @@ def test_nearly_all_neighbours_are_found(spark):
         assert all(x[2] != q for x in own)
 
 
-def test_full_certainty_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(op, "BLOCK_QUERIES", 7)
+def test_full_certainty_is_exact(spark):
     nan, inf = float("nan"), float("inf")
     rows = made(1, 160, 5) + [(2000, None, 0), (2020, [], 0), (2040, [0.0] * 5, 0), (2060, [1.0, None, 1.0, 1.0, 1.0], 0), (2080, [nan] * 5, 0),
                               (2100, [inf] * 5, 0), (None, [1.0] * 5, 0), (20, [9.0] * 5, 0), (3000, [1.0, 2.0], 0), (3001, [2.0, 1.0], 0),
                               (3020, [3.0], 0)]
-    got = op.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, certainty=1 - 1e-12, shard_rows=64)
+    got = op.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, certainty=1 - 1e-12, shard_rows=64, query_rows=7, stripe_rows=90)
     assert {(r["query_id"], r["rank"], r["vec_id"]) for r in got.collect()} == brute_force(rows)
 
 
@@ -66,18 +67,41 @@ def test_fewer_candidates_and_empty_tables(spark):
     assert op.nearest(frame, F.col("vec_id") > 50).isEmpty()
 
 
-def test_quantile_and_pruning():
-    x = op.chi_square_quantile(0.95, 8)
-    assert x == pytest.approx(15.507, abs=1e-3)
-    rng = np.random.default_rng(3)
-    vectors = rng.normal(size=(2000, 16)) * 0.05 + np.eye(16)[rng.integers(0, 16, 2000)] * 5
+def test_quantile():
+    assert op.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
+    # all dimensions kept: projected distances are the true ones
+    assert op.stopping_ratio(0.9, 5) == pytest.approx(6) and op.stopping_ratio(0.9, 10 ** 6) == pytest.approx(op.chi_square_quantile(0.9, 32), abs=0.01)
+
+
+def verified_and_found(vectors, queries, k, shard):
     longest = float(np.sqrt((vectors ** 2).sum(axis=1).max()))
-    tree = op.Tree(np.arange(2000), vectors, longest)
-    scores, found = np.full((10, 5), -np.inf), np.full((10, 5), -1)
-    verified = tree.search(vectors[:10], np.arange(10), scores, found, longest, x)
-    # far groups are left out by the test
-    assert verified < 0.5 * 10 * 2000
-    exact = vectors[:10] @ vectors.T
-    exact[np.arange(10), np.arange(10)] = -np.inf
-    want = np.argsort(-exact, axis=1)[:, :5]
-    assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(found, want)]) >= 0.9
+    asked = op.Queries(queries, vectors[queries], longest, k)
+    verified = 0
+    for at in range(0, len(vectors), shard):
+        tree = op.Tree(np.arange(at, min(at + shard, len(vectors))), vectors[at:at + shard], longest)
+        verified += sum(tree.search(asked, slice(i, i + op.LANES), op.stopping_ratio(op.CERTAINTY, vectors.shape[1])) for i in range(0, len(queries), op.LANES))
+    exact = vectors[queries] @ vectors.T
+    exact[np.arange(len(queries)), queries] = -np.inf
+    want = np.argsort(-exact, axis=1)[:, :k]
+    return verified / len(queries) / len(vectors), np.mean([len(set(a) & set(b)) / k for a, b in zip(asked.found, want)])
+
+
+def test_the_stopping_test_prunes():
+    rng = np.random.default_rng(3)
+    grouped = rng.normal(size=(4000, 48)) * 0.05 + np.eye(48)[rng.integers(0, 16, 4000)] * 5
+    share, recall = verified_and_found(grouped, np.arange(0, 4000, 20), 5, 1000)
+    assert share < 0.15 and recall >= 0.9
+    # without any structure, the hardest case
+    even = rng.normal(size=(10_000, 64))
+    even /= np.sqrt((even ** 2).sum(axis=1))[:, None]
+    share, recall = verified_and_found(even, np.arange(0, 10_000, 20), 20, 8192)
+    assert share < 0.3 and recall >= 0.9
+
+
+@pytest.mark.skipif(not GIVEN.exists(), reason="the generated tables are not here")
+def test_given_vectors_are_found_without_reading_most(spark):
+    rows = spark.read.parquet(str(GIVEN)).select("vec_id", "embedding").toPandas()
+    vectors = np.stack(rows["embedding"]).astype(float)
+    share, recall = verified_and_found(vectors, np.flatnonzero(rows["vec_id"] % 20 == 0), 20, op.SHARD_ROWS)
+    print(f"verified {share:.3f} of all pairs, recall {recall:.3f}")
+    assert share < 0.3 and recall >= 0.9
