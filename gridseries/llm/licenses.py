@@ -301,7 +301,9 @@ def directory(path: str) -> Column:
 def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, templates=None) -> DataFrame:
     """id, path, license, score, via (own, inherited or null) and licensed_by, the path the licence comes from."""
     found = stored(own_licenses(files, threshold, templates), "licenses")
-    best = F.max_by(F.struct("own_license", "own_score", "path"), F.struct("own_score", -F.length("path"), -F.coalesce("id", F.lit(0))))
+    # the best score, then the smallest path, then the smallest id, none last
+    order = F.struct(-F.col("own_score"), "path", F.col("id").isNull(), "id")
+    best = F.min_by(F.struct("own_license", "own_score", "path"), order)
     holders = (found.where("is_file and path is not null").withColumn("holder", directory("path"))
                .groupBy("holder").agg(best.alias("law")))
     # stored, so that the join below has a shuffle of its own: every file has the root above it

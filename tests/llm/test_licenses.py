@@ -36,8 +36,11 @@ def test_own_and_inherited(spark):
 
 def test_the_root_and_ties(spark):
     rows = [("LICENSE", MIT), ("COPYING", APACHE), ("x/y/one.txt", BODY)]
-    # equal cosines: the shorter path, LICENSE and COPYING have seven letters, so the smaller id
-    assert scan(spark, rows)[2]["license"] == "MIT"
+    # equal cosines: the smallest path, whatever its length or the order of ids
+    assert scan(spark, rows)[2]["license"] == scan(spark, rows[::-1])[0]["license"] == "Apache-2.0"
+    rows = [("aa/LICENSE", MIT), ("aa/LICENSE", APACHE), ("aa/LICENSE", APACHE), ("aa/one.txt", BODY)]
+    # one path: the smallest id, also where rows repeat
+    assert [scan(spark, rows)[3]["license"], scan(spark, [rows[1], rows[0], rows[2], rows[3]])[3]["license"]] == ["MIT", "Apache-2.0"]
 
 
 def test_cosine_is_brute_force():
