@@ -74,3 +74,12 @@ def test_without_training_texts(documents):
     got = op.score_texts(documents(ODD), F.lit(False)).collect()
     assert len(got) == len(ODD) and {(r["n_known"], r["train_tokens"]) for r in got} == {(0, 0)}
     assert op.score_texts(documents(ODD).limit(0), F.lit(True)).isEmpty()
+
+
+def test_texts_longer_than_a_slice(documents, words):
+    long = " ".join(words(3000, 8)) + " "
+    rows = [(1, long * 100), (2, long), (4, "one more"), (8, long * 100)]
+    assert len(rows[0][1]) > op.SLICE
+    got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in op.score_texts(documents(rows, 1), F.col("doc_id") % 4 != 0).collect())
+    want = brute_force(rows, lambda r: r[0] % 4 != 0)
+    assert np.allclose(np.array(got), np.array(sorted(want)))
