@@ -3,8 +3,10 @@
 Whole texts are cut into consecutive windows of `STEPS` bytes. A forward and a backward recurrence
 with reset and update gates run over each window, a softmax labels every byte position, and a
 document's probabilities are the mean of its positions' log-probabilities, normalised. All bytes of
-all texts are read. The network is trained in numpy by backpropagation through time on excerpts of
-at most `per_language` different texts for each label; every label that has a row is learned.
+all texts are read. The network is trained in numpy by backpropagation through time on at most
+`per_language` different texts for each label, of each text windows from all over it, `windows_each` at most; every
+label that has a row is learned. The score counts at most `EVIDENCE` positions, however long a text is, so that
+it stays apart from 0 and 1; the label does not depend on that.
 
 Defined cases: a null text or one without a letter is `und` with score 0; without any labelled row
 everything is `und`; repeated rows are scored alike; extra columns stay untouched.
@@ -25,20 +27,23 @@ from gridseries.llm.flat import flatten, slices
 STEPS = 48
 HIDDEN = 8
 PER_LANGUAGE = 400
-EXCERPT_CHARS = 600
-MOST_EXCERPTS = 80_000
+WINDOWS_EACH = 12
+MOST_TEXTS = 80_000
+EVIDENCE = 10
 ROUNDS = 700
 ROUNDS_EACH = 10
 UNKNOWN = "und"
 LANES = 2048
 
 
-def training_excerpts(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """At most `per_language` excerpts for each label that has a row, chosen by a hash of the text.
+def training_windows(labelled: DataFrame, per_language: int = PER_LANGUAGE, windows_each: int = WINDOWS_EACH, steps: int = STEPS) -> list[tuple[str, bytes]]:
+    """Windows of at most `per_language` texts for each label that has a row, chosen by a hash of the text.
 
     Copies of a text under one label are one text. A first filter by hash keeps about twice what is
-    wanted of each label, so that none is ranked whole. With so many labels that all excerpts would be
-    more than MOST_EXCERPTS, each label has fewer, but one at least.
+    wanted of each label, so that none is ranked whole. With so many labels that all texts would be
+    more than MOST_TEXTS, each label has fewer, but one at least. A text of up to `windows_each` windows is taken whole;
+    of a longer one as many windows, one at a place chosen by a hash in each of as many equal parts, so no part of a
+    text is left out. The model's driver thus holds a bounded number of bytes, whatever the texts' lengths.
     """
     draw = F.xxhash64("text", F.lit(7))
     rows = (labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -46,18 +51,25 @@ def training_excerpts(labelled: DataFrame, per_language: int = PER_LANGUAGE) ->
     counts = rows.select("lang", "draw").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return []
-    per_language = max(1, min(per_language, MOST_EXCERPTS // len(counts)))
+    per_language = max(1, min(per_language, MOST_TEXTS // len(counts)))
     # so many that the filter hardly leaves too few; the model has all labels in one place too
     keep = max(2.0 * per_language, 40.0)
     share = labelled.sparkSession.createDataFrame([(r["lang"], keep / r["n"]) for r in counts], "lang string, share double")
     unit = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
-    start = F.pmod(F.xxhash64("text", F.lit(11)), F.greatest(F.lit(1), F.length("text") - EXCERPT_CHARS + 1)).cast("int") + 1
-    drawn = (rows.join(F.broadcast(share), "lang").where(unit < F.col("share"))
-             .select("lang", "draw", F.col("text").substr(start, F.lit(EXCERPT_CHARS)).alias("text")))
-    once = drawn.groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    drawn = rows.join(F.broadcast(share), "lang").where(unit < F.col("share"))
+    data = F.col("text").cast("binary")
+    n = F.octet_length("text")
+    part = n / windows_each
+
+    def window(i):
+        shift = F.pmod(F.xxhash64("draw", i), F.greatest(F.lit(1), F.floor(part - steps + 1).cast("long")))
+        return F.substring(data, F.floor(i * part).cast("int") + shift.cast("int") + 1, F.lit(steps))
+
+    cut = F.when(n <= windows_each * steps, F.array(data)).otherwise(F.transform(F.sequence(F.lit(0), F.lit(windows_each - 1)), window))
+    once = drawn.select("lang", "draw", cut.alias("windows")).groupBy("lang", "draw").agg(F.min("windows").alias("windows"))
     ranked = once.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw")))
     chosen = ranked.where(F.col("place") <= per_language).orderBy("lang", "place").collect()
-    return [(r["lang"], r["text"].encode()) for r in chosen]
+    return [(r["lang"], bytes(w)) for r in chosen for w in r["windows"]]
 
 
 def _sigmoid(x):
@@ -214,8 +226,8 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total / np.maximum(lengths, 1)[:, None]
 
 
-def fit(documents: DataFrame, labelled: DataFrame | None = None, per_language: int = PER_LANGUAGE) -> Network | None:
-    examples = training_excerpts(documents if labelled is None else labelled, per_language)
+def fit(documents: DataFrame, labelled: DataFrame | None = None, per_language: int = PER_LANGUAGE, windows_each: int = WINDOWS_EACH) -> Network | None:
+    examples = training_windows(documents if labelled is None else labelled, per_language, windows_each)
     return train(examples, rounds=max(ROUNDS, ROUNDS_EACH * len({lang for lang, _ in examples}))) if examples else None
 
 
@@ -233,8 +245,7 @@ def with_language(documents: DataFrame, net: Network | None) -> DataFrame:
         for batch in slices(batches, "text"):
             data, offsets = flatten(batch.column("text"))
             mean = pooled(own, data, offsets)
-            # about ten independent positions a text, however long: keeps scores apart from 0 and 1
-            chance = np.exp((mean - mean.max(axis=1, keepdims=True)) * np.minimum(np.diff(offsets), 10)[:, None])
+            chance = np.exp((mean - mean.max(axis=1, keepdims=True)) * np.minimum(np.diff(offsets), EVIDENCE)[:, None])
             chance /= chance.sum(axis=1, keepdims=True)
             best = chance.argmax(axis=1)
             letters = batch.column("_letters").to_numpy(zero_copy_only=False)

@@ -81,9 +81,9 @@ def test_without_labels_all_is_unknown(spark, documents):
 def test_training_sample_is_bounded(spark, documents):
     rows = [(i, text("aa" if i % 10 else "bb", i, 20)) for i in range(400)]
     labelled = documents(rows).selectExpr("text", "if(doc_id % 10 = 0, 'bb', 'aa') lang")
-    chosen = op.training_excerpts(labelled, 25)
+    chosen = op.training_windows(labelled, 25)
     assert sum(lang == "aa" for lang, _ in chosen) == 25 and 20 <= sum(lang == "bb" for lang, _ in chosen) <= 25
-    assert chosen == op.training_excerpts(labelled.repartition(7), 25)
+    assert chosen == op.training_windows(labelled.repartition(7), 25)
     one = op.train([("aa", b"some text of one language only")])
     assert one.languages == ["aa"] and op.pooled(one, np.frombuffer(b"abc", np.uint8), np.array([0, 3])).shape == (1, 1)
 
@@ -92,18 +92,68 @@ def test_every_label_is_learned_from_different_texts(spark, documents):
     labels = [f"l{k:03}" for k in range(230)]
     rows = [(i, text(list(SOUNDS)[i % 3], i, 8)) for i in range(690)]
     labelled = documents(rows).selectExpr("text", "concat('l', lpad(cast(doc_id % 230 as string), 3, '0')) lang")
-    assert {lang for lang, _ in op.training_excerpts(labelled)} == set(labels)
+    assert {lang for lang, _ in op.training_windows(labelled)} == set(labels)
     # one text very often, ten others once: each counts once, and none is missing
     often = [(i, text("aa", 5000 + max(0, i - 2990), 8)) for i in range(3000)]
     more = labelled.union(documents(often).selectExpr("text", "'often' lang"))
-    chosen = op.training_excerpts(more, 25)
+    chosen = op.training_windows(more, 25)
     found = [t for lang, t in chosen if lang == "often"]
     assert len(found) == len(set(found)) == 10 and set(found) == {t.encode() for _, t in often}
     assert op.train(chosen, rounds=1).languages == sorted([*labels, "often"])
 
 
 def test_many_labels_have_fewer_excerpts_each(spark, documents, monkeypatch):
-    monkeypatch.setattr(op, "MOST_EXCERPTS", 60)
+    monkeypatch.setattr(op, "MOST_TEXTS", 60)
     rows = [(i, text("aa", i, 8)) for i in range(2000)]
-    chosen = op.training_excerpts(documents(rows).selectExpr("text", "cast(doc_id % 40 as string) lang"))
+    chosen = op.training_windows(documents(rows).selectExpr("text", "cast(doc_id % 40 as string) lang"))
     assert len(chosen) == 40 and len({lang for lang, _ in chosen}) == 40
+
+
+def test_pooled_is_the_network_step_by_step(net):
+    """Every window of a text, one byte after the other in plain floats."""
+    from math import exp, log, tanh
+
+    def states(gru, data):
+        hidden, h, out = gru.inner.shape[0], [0.0] * gru.inner.shape[0], []
+        for byte in data:
+            x = [float(a) + float(b) for a, b in zip(gru.table[byte], gru.bias)]
+            gate = [0.5 + 0.5 * tanh(0.5 * (x[j] + sum(h[i] * float(gru.inner[i, j]) for i in range(hidden)))) for j in range(2 * hidden)]
+            update, reset = gate[:hidden], gate[hidden:]
+            new = [tanh(x[2 * hidden + j] + sum(reset[i] * h[i] * float(gru.inner[i, 2 * hidden + j]) for i in range(hidden))) for j in range(hidden)]
+            h = [a + u * (b - a) for a, u, b in zip(h, update, new)]
+            out.append(h)
+        return out
+
+    for whole in (b"x", text("bb", 3, 20).encode(), text("cc", 4, 9).encode() + bytes(range(256))):
+        total = [0.0] * len(net.languages)
+        for at in range(0, len(whole), net.steps):
+            window = whole[at:at + net.steps]
+            padded = window.ljust(net.steps)
+            ahead, behind = states(net.ahead, padded), states(net.behind, padded[::-1])[::-1]
+            for a, b in list(zip(ahead, behind))[:len(window)]:
+                logits = [float(net.out_bias[k]) + sum(v * float(net.out[i, k]) for i, v in enumerate(a + b)) for k in range(len(total))]
+                norm = log(sum(exp(z) for z in logits))
+                total = [t + z - norm for t, z in zip(total, logits)]
+        got = op.pooled(net, np.frombuffer(whole, np.uint8), np.array([0, len(whole)]))[0]
+        assert got == pytest.approx([t / len(whole) for t in total], rel=1e-4, abs=1e-5)
+
+
+def test_training_takes_windows_from_all_over_a_text(spark):
+    long = "".join(f"{i:04}abcdef" for i in range(9000))
+    rows = [("aa", long), ("aa", long), ("bb", "short é text"), ("bb", "é" * 2000), ("cc", None), (None, "no label")]
+    found = op.training_windows(spark.createDataFrame(rows, "lang string, text string"), windows_each=6)
+    own = [w for lang, w in found if lang == "aa"]
+    places = [long.encode().find(w) for w in own]
+    # one window in each sixth of the text, and whole short texts
+    assert [p // (len(long) // 6) for p in places] == list(range(6)) and all(len(w) == op.STEPS for w in own)
+    assert ("bb", "short é text".encode()) in found and len(found) == 6 + 1 + 6
+
+
+def test_ties_and_very_long_texts(net, documents):
+    flat = op.Network(["x", "y"], net.ahead, net.behind, np.zeros((2 * op.HIDDEN, 2), np.float32), np.zeros(2, np.float32))
+    rows = [(1, "any text"), (2, text("aa", 5) * 9000), (2, text("aa", 5) * 9000)]
+    assert len(rows[1][1]) > 1 << 20
+    # equal chances: the first label in alphabetical order
+    assert {(r["lang_pred"], r["score"]) for r in op.with_language(documents(rows), flat).collect()} == {("x", 0.5)}
+    found = {(r["doc_id"], r["lang_pred"], r["score"]) for r in op.with_language(documents(rows), net).collect()}
+    assert len(found) == 2 and (2, "aa") in {f[:2] for f in found}
