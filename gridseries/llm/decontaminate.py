@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridseries.llm.flat import LOWER, flatten, prefix_hash, repeat_ranges, slices, span_hash, word_spans
-from gridseries.llm.tables import ensure_checkpoint_dir
+from gridseries.llm.tables import ensure_checkpoint_dir, set_aside
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -207,7 +207,6 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Documents without any benchmark window, columns unchanged."""
-    names = documents.columns
-    kept = find_spans(documents.select(*(F.col(f"`{c}`") for c in names)), benchmark, window)
-    return kept.where(F.size("spans") == 0).select(*(F.col(f"`{c}`") for c in names))
+    """Documents without any benchmark window; all columns stay as they are."""
+    apart, restore = set_aside(documents, "text")
+    return restore(find_spans(apart, benchmark, window).where(F.size("spans") == 0))

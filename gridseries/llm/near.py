@@ -15,7 +15,8 @@ classes are the connected components of the links. A class is named by its small
    pairs, and a node without links has little else in its prefix.
 
 A pair of similarity s meets in some bucket with probability 1 - (1 - s^ROWS)^BANDS: 0.99995 at 0.8.
-Nothing is capped. Texts and shingles are compared by 64-bit hashes.
+Nothing is capped. Shingles are compared by 64-bit hashes, texts by 128 bits: a node is named by one hash of its
+text, and where a second one shows that texts share the first, all but one of them get other names.
 
 Defined cases: a document without words (null, empty, signs only) is linked to nothing and is its own
 class, also if repeated; repeated rows are one class; a null doc_id never names a class unless all of
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from gridseries.llm.bagminhash import bags, signatures
 from gridseries.llm.decontaminate import WORD_BYTE
 from gridseries.llm.flat import LOWER, flatten, mix, powers, prefix_hash, repeat_ranges, slices, span_hash, word_spans
-from gridseries.llm.tables import stored
+from gridseries.llm.tables import set_aside, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -61,16 +62,20 @@ def shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     return row, mix((sums[end] - sums[begin]) * down[begin])
 
 
-def _node() -> F.Column:
+def _raw() -> F.Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def _check() -> F.Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.lit(1), F.length("text"))
+
+
 def _id() -> F.Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
 
 
 def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, node, n_shingles, and the bucket keys of all bands (null for documents without words)."""
+    """doc_id, raw and check (hashes of the text), n_shingles, and the bucket keys of all bands (null without words)."""
 
     def scan(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text", STEP):
@@ -86,11 +91,22 @@ def _signed(documents: DataFrame, bands: int, rows: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * bands, bands), pa.int32()),
                                              pa.array(np.ascontiguousarray(keys).view(np.int64).ravel()))
             lists = pc.if_else(pa.array(count > 0), lists, pa.nulls(n, lists.type))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(count, pa.int64()), lists],
-                                             ["doc_id", "node", "n_shingles", "buckets"])
+            keys_ = [batch.column(c) for c in ("doc_id", "raw", "check")]
+            yield pa.RecordBatch.from_arrays([*keys_, pa.array(count, pa.int64()), lists], ["doc_id", "raw", "check", "n_shingles", "buckets"])
+
+    rows_ = documents.select(F.col("doc_id").cast("long"), "text", _raw().alias("raw"), _check().alias("check"))
+    return rows_.mapInArrow(scan, "doc_id long, raw long, check long, n_shingles long, buckets array<long>")
+
 
-    rows_ = documents.select(F.col("doc_id").cast("long"), "text", _node().alias("node"))
-    return rows_.mapInArrow(scan, "doc_id long, node long, n_shingles long, buckets array<long>")
+def _named(signed: DataFrame) -> DataFrame:
+    """With `node`, a name of the text that no other text has."""
+    shared = signed.groupBy("raw").agg(F.min("check").alias("main"), F.max("check").alias("other")).where("main <> other")
+    shared = stored(shared.select("raw", "main"), "shared")
+    # hardly ever any
+    if shared.isEmpty():
+        return signed.withColumn("node", F.col("raw"))
+    own = F.col("main").isNull() | (F.col("check") == F.col("main"))
+    return stored(signed.join(shared, "raw", "left").withColumn("node", F.when(own, F.col("raw")).otherwise(F.xxhash64("raw", "check"))).drop("main"), "named")
 
 
 def _bags_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -110,7 +126,7 @@ def _bags_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
                 ["node", "size", "items"])
 
     # one row of each node by its id, so that the many copies of a text do not meet
-    texts = documents.select("text", _node().alias("node"), _id().alias("id")).join(nodes, ["node", "id"], "left_semi")
+    texts = documents.select("text", _raw().alias("raw"), _check().alias("check"), _id().alias("id")).join(nodes, ["raw", "check", "id"])
     texts = texts.dropDuplicates(["node", "id"])
     return texts.select("node", "text").mapInArrow(scan, "node long, size long, items binary")
 
@@ -182,9 +198,10 @@ def _prefixes(bags_: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, node (of the text), class_id, n_members, n_shingles."""
-    signed = stored(_signed(documents, bands, rows), "signed")
-    nodes = signed.where(F.col("buckets").isNotNull()).groupBy("node").agg(F.first("buckets").alias("buckets"), F.min(_id()).alias("id"))
+    """doc_id, raw and check (of the text), class_id, n_members, n_shingles."""
+    signed = _named(stored(_signed(documents, bands, rows), "signed"))
+    nodes = signed.where(F.col("buckets").isNotNull()).groupBy("node").agg(
+        F.first("buckets").alias("buckets"), F.min(_id()).alias("id"), F.min("raw").alias("raw"), F.min("check").alias("check"))
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
     full = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(members.join(full, "bucket"), "members")
@@ -193,7 +210,7 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: i
     centre = placed.groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("top")).select("bucket", F.col("top.node").alias("centre"))
     pairs = members.join(centre, "bucket").where("node <> centre")
     pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    bags_ = stored(_bags_of(documents, nodes.join(score, "node", "left_semi").select("node", "id")), "bags")
+    bags_ = stored(_bags_of(documents, nodes.join(score, "node", "left_semi").select("node", "id", "raw", "check")), "bags")
     links = stored(_verified(pairs, bags_, threshold), "links")
     first = components(links)
 
@@ -223,22 +240,24 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: i
     worded = found.where("n_shingles > 0")
     # stored, so that the join has a shuffle of its own, in which a large class can be split
     classes = stored(worded.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_members")), "classes")
-    result = worded.join(classes, "label").select("doc_id", "node", "class_id", "n_members", "n_shingles")
-    alone = found.where("n_shingles = 0").select("doc_id", "node", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_members"), "n_shingles")
+    result = worded.join(classes, "label").select("doc_id", "raw", "check", "class_id", "n_members", "n_shingles")
+    alone = found.where("n_shingles = 0").select("doc_id", "raw", "check", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_members"), "n_shingles")
     return result.union(alone)
 
 
 def one_of_each(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Documents with one row of each class, that of the smallest doc_id; columns unchanged."""
+    """Documents with one row of each class, that of the smallest doc_id; all columns stay as they are."""
+    documents, restore = set_aside(documents, "doc_id", "text")
     classes = near_duplicates(documents, threshold).where(F.col("n_shingles") > 0)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_gone"))
-    gone = gone.distinct().withColumnRenamed("_node", "_gone")
-    kept = documents.withColumn("_node", _node()).join(gone, same, "left_anti")
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    other = [F.col("doc_id").alias("_id"), F.col("raw").alias("_other"), F.col("check").alias("_second")]
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_raw") == F.col("_other")) & (F.col("_check") == F.col("_second"))
+    gone = classes.where(~stays).select(*other).distinct()
+    kept = documents.withColumns({"_raw": _raw(), "_check": _check()}).join(gone, same, "left_anti")
     # rows that repeat the one that stays: rare, and looked for among ids only
-    again = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id", "node").agg(F.count("*").alias("n")).where("n > 1")
+    again = classes.where(stays).groupBy("doc_id", "raw", "check").agg(F.count("*").alias("n")).where("n > 1")
     if not again.isEmpty():
-        again = again.select(F.col("doc_id").alias("_id"), F.col("node").alias("_gone"))
-        once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "_node"])
+        again = again.select(*other)
+        once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "_raw", "_check"])
         kept = kept.join(again, same, "left_anti").unionByName(once)
-    return kept.drop("_node")
+    return restore(kept)

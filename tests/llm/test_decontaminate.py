@@ -66,7 +66,17 @@ def test_empty_tables(spark, case):
 
 def test_clean_documents_stay_as_they_are(case):
     rows, items, docs, benchmark = case
-    kept = op.remove_contaminated(docs.drop("spans"), benchmark)
-    assert kept.columns == docs.drop("spans").columns
+    docs = docs.withColumn("n_words", docs.doc_id + 7)
+    kept = op.remove_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and {(r["spans"], r["n_words"] - r["doc_id"]) for r in kept.collect() if r["doc_id"] is not None} == {("x", 7)}
     clean = [r[0] for r in brute_force(rows, items) if not r[5]]
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(clean, key=str)
+
+
+def test_texts_longer_than_a_slice(spark, documents, words):
+    filler = " ".join(words(100, 8)) + " "
+    long = filler * 3000 + " ".join(words(30, 1)[2:15]) + " tail"
+    assert len(long) > 1 << 20
+    items, rows = [(1, " ".join(words(30, 1)))], [(1, long), (2, filler * 3000), (3, long)]
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"]) for r in op.contamination(documents(rows, 1), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {1: (300_014, 13, 1), 2: (300_000, 0, 0), 3: (300_014, 13, 1)}

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridseries.llm import near as op
 from gridseries.llm.bagminhash import bags, signatures, weighted_jaccard
@@ -91,3 +92,20 @@ def test_signatures_are_unbiased(most):
 def test_bags_count_repeats():
     rows, shingles, n = bags(np.array([1, 0, 1, 1]), np.array([5, 5, 7, 5], np.uint64))
     assert list(zip(rows, shingles, n)) == [(0, 5, 1), (1, 5, 2), (1, 7, 1)]
+
+
+def test_texts_longer_than_a_slice(documents, words):
+    base = words(190_000, 21, 5000)
+    assert len(" ".join(base)) > op.STEP
+    rows = [(1, " ".join(base)), (2, " ".join(base[:-3000])), (3, " ".join(base[::-1])), (4, " ".join(base[:60_000])), (5, " ".join(base))]
+    got = {r["doc_id"]: r["class_id"] for r in op.near_duplicates(documents(rows, 2)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1}
+
+
+def test_texts_whose_first_hash_is_the_same(documents, rows, monkeypatch):
+    """Five hashes for all texts: the second hash keeps them apart, copies stay together."""
+    monkeypatch.setattr(op, "_raw", lambda: F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(5)))
+    docs = documents(rows)
+    assert sorted(((r["doc_id"], r["class_id"]) for r in op.near_duplicates(docs).collect()), key=str) == brute_force(rows)
+    want = sorted({c for i, c in brute_force(rows) if i not in (900, 901, 902, 903)} | {900, 901, 902, 903}, key=str)
+    assert sorted((r["doc_id"] for r in op.one_of_each(docs).collect()), key=str) == want
