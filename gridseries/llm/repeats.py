@@ -1,26 +1,26 @@
 """Removal of repeated passages by merged Burrows-Wheeler transforms.
 
-A byte goes when a string of `LENGTH` bytes that covers it also starts anywhere else in the corpus.
+A byte goes when a string of `length` bytes that covers it also starts anywhere else in the corpus. The
+length is a parameter, a multiple of LEVELS; a minimizer's strings and the blocks have a quarter of it.
 
-1. Every window of LENGTH bytes has a minimizer: the smallest hash of its GRAM-byte strings, leftmost
+1. Every window of `length` bytes has a minimizer: the smallest hash of its quarter-length strings, leftmost
    on ties. Consecutive windows with one minimizer are a run, the bytes they span its content. Equal
    windows have equal minimizers, and no two windows of a run are equal.
-2. Runs are counted by (minimizer, content). Equal contents are repeats as they stand. A minimizer
-   with a single content needs nothing else, which leaves the minimizers with several.
-3. The distinct contents of those are dealt to buckets by minimizer, so that all strings that can
-   share a window meet. A bucket is cut into shards. Each shard gets its own suffix order and
-   Burrows-Wheeler transform over blocks of BLOCK bytes. The transforms are then merged: the interleave
-   of the shards, at first one after the other, is refined LENGTH / BLOCK times; a pass deals every
-   slot to its preceding block, in order, and splits the groups of equal prefixes. The suffixes
-   themselves are not sorted again. What is still together at the end shares LENGTH bytes; groups of
-   two or more such slots are the repeated intervals.
-4. Removed spans go back to the documents by a key of the text.
+2. Runs are counted by (minimizer, content), so that copies are looked at once. A content that occurs
+   once, and alone under its minimizer, shares no window with anything and needs nothing else.
+3. All other contents are dealt to buckets by minimizer, each once and with its count, so that all strings
+   that can share a window meet. Whole minimizers of a bucket are merged at a time, cut into shards. Each shard gets its own suffix order and
+   Burrows-Wheeler transform over blocks. The transforms are then merged: the interleave of the shards, at
+   first one after the other, is refined LEVELS times; a pass deals every slot to its preceding block, in order,
+   and splits the groups of equal prefixes. The suffixes themselves are not sorted again. What is still
+   together at the end shares all blocks; a group whose slots count two or more is a repeated interval.
+4. Repeated intervals go back to all places of their content, and to the documents by a key of the text.
 
 A minimizer with more than MOST_CONTENTS contents is not given to one task: its windows are counted
 one by one by (minimizer, place, hash), with partial sums before the shuffle. That is exact as well.
 
 Contents, blocks and windows are compared by 64-bit hashes among strings of one minimizer or bucket,
-texts by 128 bits. Nulls count as empty; texts under LENGTH bytes hold no window; repeated rows are
+texts by 128 bits. Nulls count as empty; texts under `length` bytes hold no window; repeated rows are
 repeats of each other; an empty table gives no rows; extra columns stay untouched.
 """
 
@@ -39,26 +39,26 @@ from gridseries.llm.flat import flatten, prefix_hash, slices, span_hash
 from gridseries.llm.tables import stored
 
 LENGTH = 400
-GRAM = 100
-BLOCK = 50
-SHARD_BYTES = 1 << 18
-BUCKET_BYTES = 1 << 21
+LEVELS = 4
+SHARD_BYTES = 1 << 17
+MERGE_BYTES = 1 << 19
+BUCKET_BYTES = 1 << 20
 LEAST_BUCKETS = 512
-MOST_CONTENTS = 512
+MOST_CONTENTS = 8192
 STEP = 1 << 18
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray):
+def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     """(row, first window, last window, minimizer, content hash, minimizer's place) of every run; a row's bytes count from 0."""
-    n = len(data)
-    if n < LENGTH:
+    n, gram = len(data), length // 4
+    if n < length:
         return None
     sums = prefix_hash(data)
-    grams = np.arange(n - GRAM + 1)
-    hashes = span_hash(sums, grams, grams + GRAM)
+    grams = np.arange(n - gram + 1)
+    hashes = span_hash(sums, grams, grams + gram)
     least = (hashes & ~_PLACE) | grams.astype(np.uint64)
-    width, wanted = 1, LENGTH - GRAM + 1
+    width, wanted = 1, length - gram + 1
     while width * 2 <= wanted:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -67,28 +67,28 @@ def runs_of(data: np.ndarray, offsets: np.ndarray):
     place = (least & _PLACE).astype(np.int64)
     lengths = np.diff(offsets)
     edge = np.zeros(n + 1, np.int64)
-    long = lengths >= LENGTH
+    long = lengths >= length
     np.add.at(edge, offsets[:-1][long], 1)
-    np.add.at(edge, offsets[1:][long] - LENGTH + 1, -1)
+    np.add.at(edge, offsets[1:][long] - length + 1, -1)
     valid = np.cumsum(edge)[:len(place)] > 0
     first = valid.copy()
     first[1:] &= (place[1:] != place[:-1]) | ~valid[:-1]
-    # two rows whose windows touch cannot be: the last LENGTH - 1 bytes of a row start no window
+    # two rows whose windows touch cannot be: the last length - 1 bytes of a row start no window
     last = valid.copy()
     last[:-1] &= first[1:] | ~valid[1:]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last)
     row = np.searchsorted(offsets, starts, "right") - 1
     at = place[starts]
-    return row, starts - offsets[row], ends - offsets[row], hashes[at], span_hash(sums, starts, ends + LENGTH), at - offsets[row]
+    return row, starts - offsets[row], ends - offsets[row], hashes[at], span_hash(sums, starts, ends + length), at - offsets[row]
 
 
-def _parts(batches: Iterator[pa.RecordBatch]):
+def _parts(batches: Iterator[pa.RecordBatch], length: int):
     """(batch, data, offsets, base): small slices; a long text comes in overlapping parts with their place in it."""
     for batch in slices(batches, "text", STEP):
         data, offsets = flatten(batch.column("text"))
         if batch.num_rows == 1 and len(data) > 4 * STEP:
-            for base in range(0, len(data) - LENGTH + 1, STEP):
-                piece = data[base:base + STEP + LENGTH - 1]
+            for base in range(0, len(data) - length + 1, STEP):
+                piece = data[base:base + STEP + length - 1]
                 yield batch, piece, np.array([0, len(piece)]), base
         else:
             yield batch, data, offsets, 0
@@ -98,12 +98,12 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _runs(texts: DataFrame) -> DataFrame:
+def _runs(texts: DataFrame, length: int) -> DataFrame:
     """k1, k2, id, minimizer, content, begin, end of all runs."""
 
     def scan(batches):
-        for batch, data, offsets, base in _parts(batches):
-            found = runs_of(data, offsets)
+        for batch, data, offsets, base in _parts(batches, length):
+            found = runs_of(data, offsets, length)
             if found is None:
                 continue
             row, begin, end, minimizer, content, _ = found
@@ -123,18 +123,18 @@ def _keyed(documents: DataFrame) -> DataFrame:
 class Shard:
     """Suffixes of some strings in order of their first blocks, and the block before each.
 
-    Strings lie in `data` one after the other. A suffix is read in steps of BLOCK bytes; where less
+    Strings lie in `data` one after the other. A suffix is read in steps of `block` bytes; where less
     than a block is left stands the end symbol 0, the same for all.
     """
 
-    def __init__(self, symbols: np.ndarray, bounds: np.ndarray, levels: int):
+    def __init__(self, symbols: np.ndarray, bounds: np.ndarray, levels: int, block: int):
         n = len(symbols)
         if n >= 1 << 21:
             raise ValueError("a shard has at most 2 MB")
         end = np.repeat(bounds[1:], np.diff(bounds))
         here = np.arange(n)
         rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64) if n else symbols.astype(np.int64)
-        step = BLOCK
+        step = block
         for _ in range(max(0, levels - 1).bit_length()):
             after = here + step
             # what follows the end counts as nothing, lower than any rank
@@ -146,9 +146,9 @@ class Shard:
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(new) - 1
             step *= 2
-        self.order = np.sort((rank << 21) | here) & ((1 << 21) - 1)
+        self.order = (np.sort((rank << 21) | here) & ((1 << 21) - 1)).astype(np.int32)
         begin = np.repeat(bounds[:-1], np.diff(bounds))
-        before = here - BLOCK
+        before = here - block
         self.before = np.where(before >= begin, symbols[np.maximum(before, 0)], 0)[self.order]
 
 
@@ -158,26 +158,34 @@ def merge(shards: list[Shard], levels: int) -> list[np.ndarray]:
     n = sum(sizes)
     interleave = np.repeat(np.arange(len(shards), dtype=np.uint16), sizes)
     before = np.concatenate([s.before for s in shards])
-    before = np.unique(before, return_inverse=True)[1].astype(np.int64) + (0 if (before == 0).any() else 1)
-    group = np.zeros(n, np.int64)
+    least = 0 if (before == 0).any() else 1
+    before = np.unique(before, return_inverse=True)[1].astype(np.int32) + np.int32(least)
+    group = np.zeros(n, np.int32)
     slot = np.arange(n)
     for _ in range(levels):
-        preceding = np.empty(n, np.int64)
-        preceding[np.argsort(interleave, kind="stable")] = before
-        dealt = np.sort((preceding << 32) | slot)
-        symbol, source = dealt >> 32, dealt & 0xFFFFFFFF
+        dealt = np.empty(n, np.int64)
+        dealt[np.argsort(interleave, kind="stable")] = before
+        dealt <<= 32
+        dealt |= slot
+        dealt.sort()
+        source = (dealt & 0xFFFFFFFF).astype(np.int32)
+        dealt >>= 32
         interleave, old = interleave[source], group[source]
         # suffixes at their end are alike, whatever string comes next
-        split = (symbol[1:] != symbol[:-1]) | ((old[1:] != old[:-1]) & (symbol[1:] != 0))
-        group = np.append(0, np.cumsum(split)) if n else group
+        split = (dealt[1:] != dealt[:-1]) | ((old[1:] != old[:-1]) & (dealt[1:] != 0))
+        group = np.append(0, np.cumsum(split, dtype=np.int32)).astype(np.int32) if n else group
     by_shard = group[np.argsort(interleave, kind="stable")]
     return np.split(by_shard, np.cumsum(sizes)[:-1])
 
 
-def repeated_windows(contents: list[bytes], length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> list[np.ndarray]:
-    """For each string, whether the window at each start occurs at another place of any of them."""
-    levels = length // BLOCK
+def repeated_windows(contents: list[bytes], length: int = LENGTH, shard_bytes: int = SHARD_BYTES, times: list[int] | None = None) -> list[np.ndarray]:
+    """For each string, whether the window at each start occurs at another place of any of them.
+
+    `times` says how often each string stands for itself, else once.
+    """
+    levels, block = LEVELS, length // LEVELS
     lengths = np.array([len(c) for c in contents], np.int64)
+    times = np.ones(len(contents)) if times is None else np.array(times, float)
     shards, cuts, held = [], [0], 0
     for i, n in enumerate(lengths):
         if held and held + n > shard_bytes:
@@ -192,12 +200,13 @@ def repeated_windows(contents: list[bytes], length: int = LENGTH, shard_bytes: i
         ends = np.cumsum(places)
         sums = prefix_hash(data)
         here = np.arange(len(data))
-        whole = here + BLOCK < np.repeat(ends, places)
+        whole = here + block < np.repeat(ends, places)
         symbols = np.zeros(len(data), np.uint64)
-        symbols[whole] = span_hash(sums, here[whole], here[whole] + BLOCK) | np.uint64(1)
-        shards.append(Shard(symbols, np.append(0, ends), levels))
+        symbols[whole] = span_hash(sums, here[whole], here[whole] + block) | np.uint64(1)
+        shards.append(Shard(symbols, np.append(0, ends), levels, block))
     groups = merge(shards, levels)
-    total = np.bincount(np.concatenate(groups)) if shards else np.zeros(0, np.int64)
+    weights = [np.repeat(times[a:b], lengths[a:b] + 1)[shard.order] for a, b, shard in zip(cuts, cuts[1:], shards)]
+    total = np.bincount(np.concatenate(groups), np.concatenate(weights)) if shards else np.zeros(0)
     out = []
     for (a, b), shard, group in zip(zip(cuts, cuts[1:]), shards, groups):
         again = np.empty(len(shard.order), bool)
@@ -212,63 +221,71 @@ def intervals(mark: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
 
-_SPANS = "k1 long, k2 long, begin long, end long"
+_COLUMNS = ["k1", "k2", "minimizer", "content", "n", "begin", "end"]
+_FOUND = "k1 long, k2 long, minimizer long, content long, n long, begin long, end long"
 
 
-def _merged(contents: DataFrame, buckets: int) -> DataFrame:
-    """Intervals of repeated window starts in contents that occur once, bucket by bucket."""
+def _merged(contents: DataFrame, buckets: int, length: int) -> DataFrame:
+    """Intervals of repeated window starts of each content, bucket by bucket."""
 
     def settle(table: pa.Table) -> pa.Table:
         # repeated rows of one document bring the same content again
         keys = list(zip(table["minimizer"].to_pylist(), table["content"].to_pylist()))
         rows = list({k: i for i, k in enumerate(keys)}.values())
-        table = table.take(pa.array(rows))
-        marks = repeated_windows(table["bytes"].to_pylist())
-        out = []
-        for k1, k2, begin, n, mark in zip(*(table[c].to_pylist() for c in ("k1", "k2", "begin", "n")), marks):
-            if n == 1:
-                out += [(k1, k2, begin + a, begin + b) for a, b in intervals(mark)]
-        columns = list(zip(*out)) or [[]] * 4
-        return pa.table([pa.array(c, pa.int64()) for c in columns], ["k1", "k2", "begin", "end"])
+        table = table.take(pa.array(rows)).sort_by([("minimizer", "ascending"), ("content", "ascending")])
+        minimizers = table["minimizer"].to_numpy()
+        before = np.append(0, np.cumsum(pc.binary_length(table["bytes"]).to_numpy()))
+        edges = np.append(np.flatnonzero(np.append(True, np.diff(minimizers) != 0)), len(minimizers))
+        out, first = [], 0
+        while first < len(minimizers):
+            # whole minimizers up to MERGE_BYTES, one at least: only strings of one minimizer can share a window
+            fitting = edges[(edges > first) & (before[edges] <= before[first] + MERGE_BYTES)]
+            end = int(fitting[-1]) if len(fitting) else int(edges[np.searchsorted(edges, first, "right")])
+            part = table.slice(first, end - first)
+            marks = repeated_windows(part["bytes"].to_pylist(), length, times=part["n"].to_pylist())
+            for k1, k2, minimizer, content, n, begin, mark in zip(*(part[c].to_pylist() for c in _COLUMNS[:6]), marks):
+                out += [(k1, k2, minimizer, content, n, begin + a, begin + b) for a, b in intervals(mark)]
+            first = end
+        columns = list(zip(*out)) or [[]] * 7
+        return pa.table([pa.array(c, pa.int64()) for c in columns], _COLUMNS)
 
     dealt = contents.withColumn("bucket", F.pmod(F.xxhash64("minimizer"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInArrow(settle, _SPANS)
+    return dealt.groupBy("bucket").applyInArrow(settle, _FOUND)
 
 
-def _counted(contents: DataFrame) -> DataFrame:
+def _counted(contents: DataFrame, length: int) -> DataFrame:
     """The same for minimizers with very many contents: windows counted one by one."""
 
     def windows(batches):
         for batch in slices(batches, "bytes", STEP):
             data, offsets = flatten(batch.column("bytes"))
-            lengths = np.diff(offsets) - LENGTH + 1
+            lengths = np.diff(offsets) - length + 1
             sums = prefix_hash(data)
             row = np.repeat(np.arange(batch.num_rows), lengths)
             inner = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             start = offsets[row] + inner
-            taken = [batch.column(c).take(pa.array(row)) for c in ("k1", "k2", "minimizer", "n")]
+            taken = [batch.column(c).take(pa.array(row)) for c in _COLUMNS[:5]]
             at = pc.add(batch.column("begin").take(pa.array(row)), pa.array(inner))
-            yield pa.RecordBatch.from_arrays([*taken, at, _signed(span_hash(sums, start, start + LENGTH))],
-                                             ["k1", "k2", "minimizer", "n", "begin", "window"])
+            yield pa.RecordBatch.from_arrays([*taken, at, _signed(span_hash(sums, start, start + length))],
+                                             [*_COLUMNS[:6], "window"])
 
-    rows = contents.mapInArrow(windows, "k1 long, k2 long, minimizer long, n long, begin long, window long")
+    rows = contents.mapInArrow(windows, "k1 long, k2 long, minimizer long, content long, n long, begin long, window long")
     often = rows.groupBy("minimizer", "window").agg(F.sum("n").alias("all")).where("all > 1").drop("all")
-    return rows.where("n = 1").join(often, ["minimizer", "window"]).select("k1", "k2", "begin", F.col("begin").alias("end"))
+    return rows.join(often, ["minimizer", "window"]).select(*_COLUMNS[:6], F.col("begin").alias("end"))
 
 
-def repeated_spans(documents: DataFrame) -> DataFrame:
+def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """k1, k2 (the text's key) and the intervals of window starts that occur elsewhere, as one array a text."""
-    keyed = _keyed(documents.select("doc_id", "text")).where(F.octet_length("text") >= LENGTH)
-    runs = _runs(keyed.select("k1", "k2", "id", "text"))
+    if length < LEVELS or length % LEVELS:
+        raise ValueError(f"the length has to be a multiple of {LEVELS}")
+    keyed = _keyed(documents.select("doc_id", "text")).where(F.octet_length("text") >= length)
+    runs = _runs(keyed.select("k1", "k2", "id", "text"), length)
     # one place of each content; of copies of a text always the same one
     held = F.struct("k1", "k2", "id", "begin", "end")
     counted = runs.groupBy("minimizer", "content").agg(F.count("*").alias("n"), F.min(held).alias("at"))
-    counted = stored(counted.select("minimizer", "content", "n", "at.*"), "runs")
+    counted = stored(counted.select("minimizer", "content", "n", "at.*"), "contents")
     several = counted.groupBy("minimizer").agg(F.count("*").alias("contents")).where("contents > 1")
-    alike = runs.join(counted.where("n > 1").select("minimizer", "content"), ["minimizer", "content"])
-    spans = alike.select("k1", "k2", "begin", "end")
-
-    asked = counted.join(several, "minimizer")
+    asked = counted.join(several, "minimizer", "left").where("n > 1 or contents > 1").fillna(1, ["contents"])
     lists = asked.groupBy("k1", "k2", "id").agg(F.collect_list(F.struct("begin", "end", "minimizer", "content", "n", "contents")).alias("asked"))
     one = keyed.join(lists, ["k1", "k2", "id"]).select("k1", "k2", "text", "asked")
 
@@ -281,7 +298,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
             flat = pc.list_flatten(asked)
             begin, end = flat.field("begin").to_numpy(), flat.field("end").to_numpy()
             raw = data.tobytes()
-            bytes_ = [raw[a:b] for a, b in zip((offsets[row] + begin).tolist(), (offsets[row] + end + LENGTH).tolist())]
+            bytes_ = [raw[a:b] for a, b in zip((offsets[row] + begin).tolist(), (offsets[row] + end + length).tolist())]
             keys = [batch.column(c).take(pa.array(row)) for c in ("k1", "k2")]
             own = [flat.field(c) for c in ("minimizer", "content", "n", "contents", "begin")]
             yield pa.RecordBatch.from_arrays([*keys, *own, pa.array(bytes_, pa.binary())],
@@ -292,19 +309,27 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     size = contents.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     few, many = contents.where(F.col("contents") <= MOST_CONTENTS), contents.where(F.col("contents") > MOST_CONTENTS)
-    spans = spans.union(_merged(few, buckets)).union(_counted(many))
+    found = stored(_merged(few, buckets, length).union(_counted(many, length)), "found")
+    # of a content that occurs several times every window does, at all its places
+    alike = runs.join(found.where("n > 1").select("minimizer", "content").distinct(), ["minimizer", "content"])
+    spans = found.where("n = 1").select("k1", "k2", "begin", "end").union(alike.select("k1", "k2", "begin", "end"))
     return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
-def without_repeats(documents: DataFrame) -> DataFrame:
-    """All columns, and `kept` (binary), `n_bytes`, `n_removed`, `removed` (array of begin, end; end not included)."""
+def without_repeats(documents: DataFrame, length: int = LENGTH, least_words: int = 0, as_text: bool = False) -> DataFrame:
+    """All columns, and `kept` (binary), `n_bytes`, `n_removed`, `removed` (array of begin, end; end not included).
+
+    Columns of those names are replaced. Of the runs of repeated bytes those go that hold at least `least_words`
+    words, divided by white space and counting cut ones. With `as_text`, kept is text: of characters that a cut splits, what is
+    left of their bytes goes as well.
+    """
     documents = documents.drop("kept", "n_bytes", "n_removed", "removed", "_k1", "_k2", "_spans")
     # stored, so that the join has a shuffle of its own, in which the many copies of a text can be split
-    spans = stored(repeated_spans(documents), "spans").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans"))
+    spans = stored(repeated_spans(documents, length), "spans").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans"))
     keyed = documents.withColumns({"_k1": F.xxhash64("text"), "_k2": F.xxhash64("text", F.lit(1), F.length("text"))})
     joined = keyed.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
     span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])
-    schema = T.StructType([*documents.schema.fields, T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
+    schema = T.StructType([*documents.schema.fields, T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("removed", T.ArrayType(span))])
     arrow_span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
@@ -316,19 +341,21 @@ def without_repeats(documents: DataFrame) -> DataFrame:
                 own, found = raw[offsets[i]:offsets[i + 1]], []
                 if spans_.is_valid:
                     flat = spans_.values
-                    begin, end = flat.field("begin").to_numpy(), flat.field("end").to_numpy() + LENGTH
+                    begin, end = flat.field("begin").to_numpy(), flat.field("end").to_numpy() + length
                     order = np.argsort(begin, kind="stable")
                     begin, reach = begin[order], np.maximum.accumulate(end[order])
                     new = np.append(True, begin[1:] > reach[:-1])
                     found = list(zip(begin[new].tolist(), reach[np.append(np.flatnonzero(new)[1:] - 1, len(begin) - 1)].tolist()))
+                    found = [(a, b) for a, b in found if len(own[a:b].split()) >= least_words] if least_words else found
                 edges = [0, *(x for s in found for x in s), len(own)]
-                kept.append(b"".join(own[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                left = [own[a:b] for a, b in zip(edges[::2], edges[1::2])]
+                kept.append("".join(x.decode("utf-8", "ignore") for x in left) if as_text else b"".join(left))
                 removed.append([{"begin": a, "end": b} for a, b in found])
             gone = [sum(x["end"] - x["begin"] for x in r) for r in removed]
             columns = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "_spans"]
             names = [name for name in batch.schema.names if name != "_spans"]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(kept, pa.binary()), pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(removed, arrow_span)],
+                [*columns, pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(removed, arrow_span)],
                 [*names, "kept", "n_bytes", "n_removed", "removed"])
 
     return joined.mapInArrow(cut, schema)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +15,20 @@ from pyspark.sql import functions as F
 from gridseries.session import ensure_checkpoint_dir
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Spark's default, and ours
+SPARK_BATCH_BYTES, BATCH_BYTES = "67108864b", "8m"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's code to the executors once per context, where it may not be installed.
 
-    The archive goes to the shared folder, from where Spark takes it.
+    The archive goes to the shared folder, from where Spark takes it. Batches of rows that go to Python are bounded by
+    BATCH_BYTES, unless the session has another bound than Spark's own: a batch lies in memory several times, in
+    the executor and in its workers.
     """
+    if spark.conf.get(BATCH_SETTING) == SPARK_BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_gridseries_shipped", False):
         return
@@ -83,8 +93,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 _written: list[str] = []
 
 
-def drop_stored(spark: SparkSession) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_stored(spark: SparkSession, keep: int = 0) -> None:
+    """Remove the stored tables of this session, but for the first `keep`."""
+    while len(_written) > keep:
+        remove_folder(spark, _written.pop())
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within the block are removed at its end."""
+    held = len(_written)
+    try:
+        yield
+    finally:
+        drop_stored(spark, held)

@@ -71,3 +71,18 @@ def test_equal_spans_have_equal_hashes():
     assert h[0] == h[1] != h[2]
     up, down = flat.powers(flat.SLICE_BYTES + 10)
     assert ((up * down) == 1).all()
+
+
+def test_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    from gridseries.llm import tables
+    before = spark.conf.get(tables.BATCH_SETTING)
+    try:
+        spark.conf.unset(tables.BATCH_SETTING)
+        assert spark.conf.get(tables.BATCH_SETTING) == tables.SPARK_BATCH_BYTES
+        tables.ship_package(spark)
+        assert spark.conf.get(tables.BATCH_SETTING) == tables.BATCH_BYTES
+        spark.conf.set(tables.BATCH_SETTING, "1m")
+        tables.ship_package(spark)
+        assert spark.conf.get(tables.BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.set(tables.BATCH_SETTING, before)

@@ -43,13 +43,42 @@ def rows(words):
     return out + ODD
 
 
-@pytest.mark.parametrize("most", [op.MOST_CONTENTS, 3])
-def test_removal_is_brute_force(documents, rows, monkeypatch, most):
+@pytest.mark.parametrize("most,length", [(op.MOST_CONTENTS, 400), (3, 400), (op.MOST_CONTENTS, 240), (3, 16)])
+def test_removal_is_brute_force(documents, rows, monkeypatch, most, length):
     monkeypatch.setattr(op, "MOST_CONTENTS", most)
     monkeypatch.setattr(op, "LEAST_BUCKETS", 8)
+    monkeypatch.setattr(op, "MERGE_BYTES", 1500)
     got = [(r["doc_id"], r["n_bytes"], r["n_removed"], len(r["removed"]), hashlib.sha256(r["kept"]).hexdigest())
-           for r in op.without_repeats(documents(rows)).collect()]
-    assert sorted(got, key=str) == brute_force(rows)
+           for r in op.without_repeats(documents(rows), length).collect()]
+    assert sorted(got, key=str) == brute_force(rows, length)
+
+
+def test_lengths_are_whole_blocks(documents, rows):
+    with pytest.raises(ValueError, match="multiple of 4"):
+        op.without_repeats(documents(rows), 100 + 1)
+
+
+def test_kept_text_has_whole_characters_only(documents):
+    shared = "é" * 200 + "\ufffd"
+    rows = [(1, "ü\ufffda" + shared + "é\ufffd"), (2, "b" + shared + "z"), (3, None), (4, "short é")]
+    got = {r["doc_id"]: r["kept"] for r in op.without_repeats(documents(rows), 400, as_text=True).collect()}
+    assert got == {1: "ü\ufffdaé\ufffd", 2: "bz", 3: "", 4: "short é"}
+    # the cut starts within the first character of the run, as é is 2 bytes and the strings are odd
+    rows = [(1, "x" + "é" * 300), (2, "\u00e8" + "é" * 299)]
+    assert {r["kept"] for r in op.without_repeats(documents(rows), 400, as_text=True).collect()} <= {"x", "", "\u00e8"}
+
+
+def test_short_runs_of_words_stay(documents):
+    few, many = " ".join(f"longerword{i:03}" for i in range(40)), " ".join(f"w{i:03}" for i in range(100))
+    rows = [(i, f"{i}start {few} {i}middle {many} {i}end") for i in range(3)]
+    kept = {r["doc_id"]: r["kept"] for r in op.without_repeats(documents(rows), 400, least_words=51, as_text=True).collect()}
+    assert all(few in kept[i] and "w050" not in kept[i] for i in range(3))
+
+
+def test_times_count_as_copies():
+    text = bytes(range(200)) * 3
+    assert not op.repeated_windows([text[:450]], 400)[0].any()
+    assert op.repeated_windows([text[:450]], 400, times=[2])[0].all()
 
 
 @pytest.mark.parametrize("shard", [500, 3000, 1 << 18])
