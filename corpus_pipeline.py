@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from gridseries.llm import decontaminate, language, near, packing, repeats
 from gridseries.llm.queries import tokenizer_path
-from gridseries.llm.tables import set_aside, shared_folder, ship_package, table
+from gridseries.llm.tables import remove_folder, set_aside, shared_folder, ship_package, table, temporary
+
+
+# 51 words of prose have 313 bytes at the median, and 240 or more in 99.5 of 100 places
+REPEAT_BYTES = 240
+LEAST_WORDS = 51
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,17 +42,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated passages; a document of which nothing is left goes.
+    """Texts without passages of over 50 words that occur elsewhere; a document of which nothing is left goes.
 
-    A cut may fall within a character; such broken bytes are dropped. n_chars counts the new text.
+    REPEAT_BYTES is shorter than nearly all passages of that many words, so that those are found, and LEAST_WORDS
+    leaves shorter ones alone. A cut may fall within a character; such broken bytes are dropped. n_chars counts
+    the new text.
     """
     ship_package(spark)
     apart, restore = set_aside(docs, "doc_id", "text", "n_chars")
-    cut = repeats.without_repeats(apart)
-    left = F.col("kept").cast("string")
-    left = F.when(F.is_valid_utf8(left), left).otherwise(F.regexp_replace(F.make_valid_utf8(left), "\uFFFD", ""))
+    cut = repeats.without_repeats(apart, REPEAT_BYTES, LEAST_WORDS, as_text=True)
     shorter = F.col("n_removed") > 0
-    cut = cut.withColumn("text", F.when(shorter, left).otherwise(F.col("text"))).where(~shorter | (F.length("text") > 0))
+    cut = cut.withColumn("text", F.when(shorter, F.col("kept")).otherwise(F.col("text"))).where(~shorter | (F.length("text") > 0))
     return restore(cut.withColumn("n_chars", F.when(shorter, F.length("text").cast("long")).otherwise(F.col("n_chars"))))
 
 
@@ -76,11 +81,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents; each result is written and read again before the next."""
+    """All stages on documents; each result is written and read again before the next.
+
+    What a stage has read, and the tables it wrote for itself, are removed once its result is there.
+    """
     docs = table(spark, sf_dir, "documents")
-    folder = shared_folder(spark, "pipeline")
+    folder, before = shared_folder(spark, "pipeline"), None
     for number, (name, stage) in enumerate(STAGES):
         out = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if before:
+            remove_folder(spark, before)
+        before = out
     return docs
