@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,10 @@ BROADCAST_BYTES = 32 << 20
 # the splitting pattern of the file's byte-level pre-tokenizer (fixed value)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_RUN = 256
+COMPARED = 8
+# one task in so many compares texts
+COMPARING = 8
+COMPARED_CHARS = 20_000
 _SPACE = re.compile(r"\s")
 
 
@@ -43,20 +48,35 @@ class Encoder:
 
     The merges run in tiktoken on the file's own vocabulary, whose ids are in the order of its merges;
     that gives the ids of `tokenizers` several times faster. Texts with very long runs without white
-    space, where its merging is slow, and files of another kind go through `tokenizers` itself.
+    space (`long_run` characters), where its merging is slow, and files of another kind go through `tokenizers`
+    itself. The first `compared` texts of an encoder, of up to COMPARED_CHARS characters as `tokenizers` takes much memory
+    for long ones, go through both; should their ids differ, that is an error.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, long_run: int = LONG_RUN, compared: int = COMPARED):
+        self.path, self.fast = path, _fast(path)
+        self.long_run, self.compared = long_run, compared
+
+    @cached_property
+    def slow(self):
+        """Loaded where a text needs it; it takes some memory."""
         from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(path)
-        self.fast = _fast(path)
+        return Tokenizer.from_file(self.path)
 
     def ids(self, text: str) -> bytes:
-        long_run = any(not _SPACE.search(text, i, i + LONG_RUN) for i in range(0, len(text) - LONG_RUN + 1, LONG_RUN))
-        if self.fast is None or long_run:
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        run = self.long_run
+        if self.fast is None or any(not _SPACE.search(text, i, i + run) for i in range(0, len(text) - run + 1, run)):
+            return self.exact(text)
+        found = self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        if self.compared and len(text) <= COMPARED_CHARS:
+            self.compared -= 1
+            if found != self.exact(text):
+                raise ValueError("the merged ids are not those of the tokenizer file")
+        return found
+
+    def exact(self, text: str) -> bytes:
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def _fast(path: str):
@@ -83,7 +103,7 @@ def _fast(path: str):
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
-def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, long_run: int = LONG_RUN) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian 32-bit), and part, nth: a number per length in each partition."""
     end = np.array([end_id], "<u4").tobytes()
     schema = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
@@ -92,7 +112,8 @@ def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPA
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, part = Encoder(tokenizer_path), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
+        encoder = Encoder(tokenizer_path, long_run, 0 if part % COMPARING else COMPARED)
         seen = np.zeros(capacity + 1, np.int64)
         rows, held = [], 0
 
@@ -187,10 +208,15 @@ def minimum_slack(counts: np.ndarray, capacity: int = CAPACITY) -> Plan:
     return Plan(table[:, 0] * RANKS + table[:, 1], *table[:, 1:].T, sequence)
 
 
-def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row per piece with its ids, its sequence_id and its offset there."""
+def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, long_run: int = LONG_RUN,
+         broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per piece with its ids, its sequence_id and its offset there.
+
+    `long_run` says which texts `tokenizers` merges, see Encoder; the counts of pieces by partition are broadcast if they
+    have at most `broadcast_bytes`, else joined by Spark's own choice. The rows do not depend on either.
+    """
     spark = documents.sparkSession
-    pieces = stored(token_pieces(documents, tokenizer_path, capacity, end_id), "pieces")
+    pieces = stored(token_pieces(documents, tokenizer_path, capacity, end_id, long_run), "pieces")
     sizes = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     totals = np.zeros(capacity + 1, np.int64)
     # one row per length
@@ -201,7 +227,7 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     before = before.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("before"))
-    if before.count() * capacity * 16 <= BROADCAST_BYTES:
+    if before.count() * capacity * 16 <= broadcast_bytes:
         before = F.broadcast(before)
     ranked = pieces.join(before, "part").withColumn("rank", F.col("nth") + F.col("before")[F.col("length")])
 

@@ -97,3 +97,32 @@ def test_ranks_join_without_a_broadcast(documents, words, tokenizer, monkeypatch
 
 def test_empty_table(documents):
     assert op.pack(documents(ODD).limit(0), tokenizer_path()).isEmpty()
+
+
+def test_ids_are_compared_with_those_of_the_file(monkeypatch):
+    encoder = op.Encoder(tokenizer_path(), compared=2)
+    class Other:
+        def encode_to_numpy(self, text, allowed_special):
+            return np.zeros(3, np.uint32)
+
+    assert encoder.ids("some words") == encoder.exact("some words") and encoder.compared == 1
+    encoder.fast = Other()
+    with pytest.raises(ValueError, match="tokenizer file"):
+        encoder.ids("other words")
+
+
+def test_parameters_change_no_rows(documents, words):
+    docs = documents([(i, " ".join(words(40 + i, i)) + "x" * 30 * (i % 3)) for i in range(40)], parts=5)
+    kinds = [sorted(map(tuple, op.pack(docs, tokenizer_path(), 64, **given).drop("sequence_id", "offset").collect()))
+             for given in ({}, {"long_run": 8}, {"broadcast_bytes": 0})]
+    assert kinds[0] == kinds[1] == kinds[2]
+
+
+def test_texts_longer_than_a_slice(documents, words, tokenizer):
+    text = " ".join(words(200_000, 4))
+    assert len(text) > 1 << 20
+    packed = op.pack(documents([(1, text), (2, text)], 1), tokenizer_path()).orderBy("doc_id", "piece").collect()
+    want = tokenizer.encode(text, add_special_tokens=False).ids + [op.END_ID]
+    for doc in (1, 2):
+        ids = [np.frombuffer(r["ids"], "<u4") for r in packed if r["doc_id"] == doc]
+        assert np.concatenate(ids).tolist() == want and all(len(x) == 1024 for x in ids[1:])
