@@ -87,7 +87,8 @@ def stencil_values(obs: DataFrame, groups: DataFrame) -> DataFrame:
     members = groups.selectExpr(*GROUP, "day", "place.source", "posexplode(place.stencil) as (pos, loc_id)")
     rows = obs.select("source", "loc_id", "time", "var", "value", F.to_date("time").alias("day"),
                       (F.col("tier") == CURRENT).alias("current"))
-    hits = rows.join(members, ["source", "loc_id", "day"])
+    # estimates take rows from small files for small, and a broadcast would then hold all of them in every task
+    hits = rows.hint("merge").join(members, ["source", "loc_id", "day"])
     # all rows of a group and day come together here; what follows stays in place
     together = spread(hits, *GROUP, "day")
     aggregates = []

@@ -1,9 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridseries.operators import validate
 from gridseries.plans import batch
+from gridseries.session import spread
 
 COLUMNS = "req_id int, data_source string, lat string, lon string, var_name string, start_date string, end_date string, interp_mode string"
 GOOD = dict(data_source="nasapower", lat="-44.8", lon="170.9", var_name="temperature_2m",
@@ -76,3 +78,18 @@ def test_records(spark, make_obs):
     from gridseries.sinks.writers import to_records
     text = to_records(make_obs([(0, 0, None)]).select("loc_id", "time", "value"), "loc_id").first()["record"]
     assert json.loads(text) == {"time": "2024-01-01 00:00:00", "value": None}
+
+
+def test_fan_out_after_a_join_by_the_same_key_keeps_its_partitions(spark):
+    ids = spark.range(1000).withColumnRenamed("id", "req_id")
+    joined = ids.join(ids.withColumn("again", F.lit(1)).hint("merge"), "req_id", "left")
+    counted = spread(joined, "req_id").groupBy("req_id").count()
+    assert counted.select(F.spark_partition_id()).distinct().count() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_observations_from_small_files_are_not_broadcast(spark, make_obs, tmp_path):
+    make_obs([(0, h, float(h)) for h in range(24)]).write.parquet(str(tmp_path / "obs"))
+    groups = spark.sql("select named_struct('source', 'nasapower', 'stencil', array(0)) as place, 0L as salt, date'2024-01-01' as day")
+    found = batch.stencil_values(spark.read.parquet(str(tmp_path / "obs")), groups)
+    assert found.count() == 24
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
