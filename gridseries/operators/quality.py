@@ -48,32 +48,21 @@ def trim_trailing(obs: DataFrame) -> DataFrame:
     return obs.filter(~sentinel).unionByName(inner_gaps.drop("_last"))
 
 
-def _hour_gaps(obs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows keyed by (series, hour of day, quarter), and per key what crosses its borders."""
-    time = F.col("time")
-    rows = obs.withColumns({
-        "value": values.nan_to_null(F.col("value")), "_hour": F.hour(time),
-        "_quarter": times.quarter_index(time)})
-    value = F.col("value")
-    valid, sentinel = values.is_valid(value), values.is_sentinel(value)
-    edges = rows.groupBy(*SERIES, "_hour", "_quarter").agg(
-        F.min_by(F.when(valid, value), F.when(valid, time)).alias("first_valid"),
-        F.max_by(F.when(valid, value), F.when(valid, time)).alias("last_valid"),
-        F.max(F.when(~sentinel, time)).alias("_last"),
-        F.min(F.when(sentinel, time)).alias("_gap"),
-    )
-    series = Window.partitionBy(*SERIES)
-    by_quarter = Window.partitionBy(*SERIES, "_hour").orderBy("_quarter")
-    before = by_quarter.rowsBetween(Window.unboundedPreceding, -1)
-    whole = by_quarter.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edges = edges.select(
-        *SERIES, "_hour", "_quarter",
-        F.last("last_valid", ignorenulls=True).over(before).alias("_carried"),
-        F.first("first_valid", ignorenulls=True).over(whole).alias("_first"),
-        F.max("_last").over(series).alias("_last"),
-        F.min("_gap").over(series).alias("_gap"),
-    )
-    return rows, edges
+# rows of one series and hour of day; the location comes first, as it tells most rows apart when they are sorted.
+# `_of` is (source, var): Spark takes a literal source out of some keys only, and would shuffle the rows again
+HOUR_KEY = ["loc_id", "_hour", "_of"]
+
+
+def _gap_bounds(rows: DataFrame) -> DataFrame:
+    """Per series, repeated for each of its hours: its last time that is no sentinel, and its first sentinel.
+
+    `rows` lie together by `HOUR_KEY`, so they are not moved for this, only one row per key is.
+    """
+    time, sentinel = F.col("time"), values.is_sentinel(F.col("value"))
+    per_hour = rows.groupBy(*HOUR_KEY).agg(
+        F.max(F.when(~sentinel, time)).alias("_last"), F.min(F.when(sentinel, time)).alias("_gap"))
+    series = Window.partitionBy("loc_id", "_of")
+    return per_hour.select(*HOUR_KEY, F.max("_last").over(series).alias("_last"), F.min("_gap").over(series).alias("_gap"))
 
 
 def _filled(value: Column) -> Column:
@@ -81,10 +70,11 @@ def _filled(value: Column) -> Column:
 
     Where none precedes, the next valid value is the first one of the series at that hour.
     """
-    order = Window.partitionBy(*SERIES, "_hour", "_quarter").orderBy("time")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    hour = Window.partitionBy(*HOUR_KEY)
+    so_far = hour.orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
+    whole = hour.orderBy("time").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     good = F.when(values.is_valid(value), value)
-    return F.coalesce(F.last(good, ignorenulls=True).over(so_far), F.col("_carried"), F.col("_first"))
+    return F.coalesce(F.last(good, ignorenulls=True).over(so_far), F.first(good, ignorenulls=True).over(whole))
 
 
 def fill_by_hour(obs: DataFrame, trim: bool = False) -> DataFrame:
@@ -93,19 +83,21 @@ def fill_by_hour(obs: DataFrame, trim: bool = False) -> DataFrame:
     Nulls are filled too, but only in a series that also holds a sentinel. A gap with no valid
     value at its hour becomes null. With `trim`, trailing sentinels are cut first.
 
-    One shuffle of the rows, by (series, hour, quarter): some ninety rows of an hourly series,
-    however long it is. What is carried over the borders comes from a pre-aggregated table with
-    one row per key; the join's sort is a prefix of the one the window needs.
+    One shuffle and one sort of the rows, by (series, hour): one row a day of an hourly series. The bounds
+    of whole series come from the same shuffle; the window's order is the one the join needs.
     """
-    rows, edges = _hour_gaps(obs)
-    joined = rows.join(edges, [*SERIES, "_hour", "_quarter"])
+    time = F.col("time")
+    # an hour that cannot be null keeps the join from adding a filter to one of the two uses of the shuffle
+    rows = obs.dropna(subset=[*SERIES, "time"]).withColumns({
+        "value": values.nan_to_null(F.col("value")), "_hour": F.coalesce(F.hour(time), F.lit(0)), "_of": F.struct("source", "var")})
+    rows = rows.drop("source", "var").repartition(*HOUR_KEY)
+    joined = rows.withColumn("_filled", _filled(F.col("value"))).join(_gap_bounds(rows).hint("merge"), HOUR_KEY)
     if trim:
-        joined = joined.filter(F.col("time") <= F.col("_last"))
+        joined = joined.filter(time <= F.col("_last"))
         has_gap = F.coalesce(F.col("_gap") <= F.col("_last"), F.lit(False))
     else:
         has_gap = F.col("_gap").isNotNull()
-    value = F.col("value")
-    filled = joined.withColumn("value", F.when(has_gap, _filled(value)).otherwise(value))
+    filled = joined.select("*", "_of.*").withColumn("value", F.when(has_gap, F.col("_filled")).otherwise(F.col("value")))
     return filled.select(obs.columns)
 
 

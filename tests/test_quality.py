@@ -95,6 +95,18 @@ def test_one_series_holding_most_rows(make_obs, spark):
     assert got == want
 
 
+def test_filling_shuffles_rows_once(spark, make_obs, tmp_path):
+    make_obs([(0, h, S if h % 5 == 0 else float(h)) for h in range(96)]).drop("source").write.parquet(str(tmp_path / "obs"))
+    filled = quality.fill_by_hour(spark.read.parquet(str(tmp_path / "obs")).selectExpr("'nasapower' as source", "var", "loc_id", "time", "value"))
+    assert len(filled.collect()) == 96
+    assert "ReusedExchange" in filled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_key_are_not_filled(make_obs, hours):
+    obs = make_obs([(0, 1, 1.0), (0, 25, S), (None, 1, S), (None, 2, 3.0)])
+    assert series_of(quality.fill_by_hour(obs)) == [(hours(1), 1.0), (hours(25), 1.0)]
+
+
 def test_unique_violations(make_obs):
     found = quality.unique_violations(make_obs([(0, 0, 1.0), (0, 0, 2.0), (0, 1, 1.0)])).collect()
     assert [r["n"] for r in found] == [2]
