@@ -34,7 +34,7 @@ def mark_settled(current: DataFrame, force: bool = False) -> DataFrame:
     """
     if force:
         return current.withColumn("settled", F.lit(True))
-    out = with_series_stats(current, series_stats(current, {"_latest": (F.max("time"), F.max)}))
+    out = with_series_stats(current, series_stats(current, {"_latest": F.max("time")}))
     settled = F.col("time") < cutoff(F.col("_latest"), F.col("source"))
     return out.withColumn("settled", F.coalesce(settled, F.lit(False))).drop("_latest")
 

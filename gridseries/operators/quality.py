@@ -17,23 +17,17 @@ def drop_null_rows(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
-def series_stats(obs: DataFrame, stats: dict[str, tuple]) -> DataFrame:
-    """Statistics of whole series, repeated for each of their months.
+def series_stats(obs: DataFrame, stats: dict[str, Column]) -> DataFrame:
+    """One row of statistics per series. `stats` maps a name to an aggregate over rows.
 
-    `stats` maps a name to (aggregate over rows, function that combines partial results). Rows
-    are pre-aggregated per series and month, so a long series never meets in one task.
+    The aggregates are combined before the shuffle, so a long series never meets in one task.
     """
-    partial = (obs.withColumn("_month", times.month_index(F.col("time")))
-               .groupBy(*SERIES, "_month").agg(*[a.alias(n) for n, (a, _) in stats.items()]))
-    whole = Window.partitionBy(*SERIES)
-    return partial.select(
-        *SERIES, "_month", *[combine(n).over(whole).alias(n) for n, (_, combine) in stats.items()])
+    return obs.groupBy(*SERIES).agg(*[a.alias(n) for n, a in stats.items()])
 
 
 def with_series_stats(rows: DataFrame, stats: DataFrame, how: str = "left") -> DataFrame:
-    """Attach them by series and month; a join on the series alone would be skewed by long ones."""
-    return (rows.withColumn("_month", times.month_index(F.col("time")))
-            .join(stats, [*SERIES, "_month"], how).drop("_month"))
+    """Attach them by series. Adaptive execution splits the rows of long ones over several tasks."""
+    return rows.join(stats, SERIES, how)
 
 
 def trim_trailing(obs: DataFrame) -> DataFrame:
@@ -43,7 +37,7 @@ def trim_trailing(obs: DataFrame) -> DataFrame:
     straight through.
     """
     sentinel = values.is_sentinel(F.col("value"))
-    last = series_stats(obs, {"_last": (F.max(F.when(~sentinel, F.col("time"))), F.max)})
+    last = series_stats(obs, {"_last": F.max(F.when(~sentinel, F.col("time")))})
     inner_gaps = with_series_stats(obs.filter(sentinel), last, "inner").filter(F.col("time") <= F.col("_last"))
     return obs.filter(~sentinel).unionByName(inner_gaps.drop("_last"))
 

@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from gridseries.operators import quality
 from gridseries.plans.ingest import clean_point
 
@@ -107,6 +109,13 @@ def test_rows_without_a_key_are_not_filled(make_obs, hours):
     assert series_of(quality.fill_by_hour(obs)) == [(hours(1), 1.0), (hours(25), 1.0)]
 
 
+def test_statistics_have_one_row_for_each_series(make_obs):
+    obs = make_obs([(loc, 24 * day, float(day)) for loc in range(3) for day in range(200)] + [(0, 24 * 300, S)])
+    plan = quality.trim_trailing(obs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_month" not in plan
+    assert quality.series_stats(obs, {"n": F.count("*")}).count() == 3
+
+
 def test_unique_violations(make_obs):
     found = quality.unique_violations(make_obs([(0, 0, 1.0), (0, 0, 2.0), (0, 1, 1.0)])).collect()
     assert [r["n"] for r in found] == [2]
