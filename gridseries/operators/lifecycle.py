@@ -41,7 +41,7 @@ def mark_settled(current: DataFrame, force: bool = False) -> DataFrame:
 
 def replaced(newer: DataFrame, older: DataFrame) -> DataFrame:
     """Rows of one tier after newer ones have replaced those they meet."""
-    return union_priority(newer.select(OBS_SCHEMA.names), older.select(OBS_SCHEMA.names), OBS_KEY)
+    return union_priority(newer.select(OBS_SCHEMA.names), older.select(OBS_SCHEMA.names), OBS_KEY, ["loc_id", "time"])
 
 
 def remaining_current(marked: DataFrame) -> DataFrame:

@@ -39,17 +39,21 @@ def route_tiers(requests: DataFrame, bounds: DataFrame) -> DataFrame:
         ((in_history & reaches) | (~in_history & in_current)).alias("read_current"))
 
 
-def union_priority(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+def union_priority(first: DataFrame, second: DataFrame, keys: list[str],
+                   together: list[str] | None = None) -> DataFrame:
     """Union where rows of `first` win over rows of `second` with the same keys.
 
     Columns are picked by priority one by one: as long as they are numbers or times, the merge
-    is a hash aggregate with map-side combine. Within one input `keys` must be unique.
+    is a hash aggregate. Within one input `keys` must be unique, so few rows meet before the shuffle; it comes
+    first, by those keys in `together`, and no task holds the groups of a large piece of input.
     """
     tagged = (first.withColumn("_prio", F.lit(0))
               .unionByName(second.select(first.columns).withColumn("_prio", F.lit(1))))
     rest = [c for c in first.columns if c not in keys]
     picks = [F.min_by(c, "_prio").alias(c) for c in rest]
-    return tagged.groupBy(*keys).agg(*picks).select(first.columns)
+    # the number keeps adaptive execution from merging partitions whose rows are small while they are shuffled
+    n = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tagged.repartition(n, *(together or keys)).groupBy(*keys).agg(*picks).select(first.columns)
 
 
 def serve_tiers(obs: DataFrame) -> DataFrame:

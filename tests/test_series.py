@@ -198,3 +198,11 @@ def test_repeated_request_ids_are_refused(world):
     obs, catalogue, requests, _ = world
     with pytest.raises(ValueError):
         batch.extract_points(requests.unionByName(requests.limit(1)), obs, catalogue)
+
+
+def test_replacing_rows_shuffles_before_it_groups(make_obs):
+    keys = ["source", "tier", "var", "loc_id", "time"]
+    merged = series.union_priority(make_obs([(0, 0, 1.0)]), make_obs([(0, 0, 2.0), (0, 1, 3.0)]), keys, ["loc_id", "time"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("partial_min_by") < plan.index("Exchange")
+    assert sorted(r["value"] for r in merged.collect()) == [1.0, 3.0]
