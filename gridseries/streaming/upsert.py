@@ -28,26 +28,32 @@ IDLE_DAYS = 31
 
 
 def judge(keep_months: dict[str, int], idle_days: int = IDLE_DAYS) -> Callable:
-    """The function of one series and its arrivals; it carries all it needs to the executors."""
+    """The function of one series and its arrivals; it carries all it needs to the executors.
+
+    A batch calls it for every series that has arrivals, each with few rows: they are taken as arrays, as a single
+    step on a data frame would cost more than all of them do.
+    """
 
     def run(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
         import numpy as np
         import pandas as pd
 
         never = np.iinfo(np.int64).min
-        latest, times, arrivals, values = state.get if state.exists else (never, [], [], [])
+        latest, *held = state.get if state.exists else (never, [], [], [])
         if state.hasTimedOut:
             state.update((latest, [], [], []))
             return
 
         def micros(column) -> np.ndarray:
             # a missing time has the smallest number
-            return column.astype("datetime64[us]").astype("int64").to_numpy()
+            return np.asarray(column, "datetime64[us]").view(np.int64)
 
-        def newest_of(rows) -> "pd.DataFrame":
-            # of one time: the latest arrival, then the largest value, a missing one last of all
-            rows = rows.sort_values(["time", "arrival", "value"], na_position="first", kind="stable")
-            return rows.drop_duplicates("time", keep="last")
+        def newest_of(time, arrival, value) -> np.ndarray:
+            # places, in order of time; of one time: the latest arrival, then the largest value, a missing one last of all
+            missing = np.isnan(value)
+            order = np.lexsort((np.where(missing, 0, value), ~missing, arrival, time))
+            ordered = time[order]
+            return order[np.append(ordered[1:] != ordered[:-1], True)] if len(order) else order
 
         def window_start(last: int) -> int:
             months = keep_months.get(key[0])
@@ -57,29 +63,33 @@ def judge(keep_months: dict[str, int], idle_days: int = IDLE_DAYS) -> Callable:
 
         seen = None
         for frame in frames:
-            part = pd.DataFrame({"time": micros(frame["time"]), "arrival": micros(frame["arrival"]), "value": frame["value"].to_numpy(float)})
-            known = frame["_latest"].dropna()
-            if len(known):
-                latest = max(latest, int(micros(known).max()))
-            seen = newest_of(part if seen is None else pd.concat([seen, part]))
+            part = [micros(frame["time"]), micros(frame["arrival"]), np.asarray(frame["value"], float)]
+            latest = max(latest, int(micros(frame["_latest"]).max(initial=never)))
+            rows = part if seen is None else [np.concatenate(both) for both in zip(seen, part)]
+            chosen = newest_of(*rows)
+            seen = [column[chosen] for column in rows]
         if seen is None:
             return
         start = window_start(latest)
-        late = (seen["time"] < start) & (seen["time"] != never)
-        held = pd.DataFrame({"time": np.array(times, np.int64), "arrival": np.array(arrivals, np.int64), "value": np.array(values, float), "held": True})
-        both = newest_of(pd.concat([held, seen[~late].assign(held=False)]))
+        late = (seen[0] < start) & (seen[0] != never)
+        held = [np.array(held[0], np.int64), np.array(held[1], np.int64), np.array(held[2], float)]
+        both = [np.concatenate([h, s[~late]]) for h, s in zip(held, seen)]
         # a row that equals the held one comes second to it
-        fresh = both[~both["held"].astype(bool)].merge(held, how="left", on=["time", "arrival"], suffixes=("", "_before"))
-        same = fresh["held_before"].notna() & ((fresh["value"] == fresh["value_before"]) | (fresh["value"].isna() & fresh["value_before"].isna()))
-        fresh = fresh[~same]
-        latest = max(latest, int(both["time"].max()) if len(both) else never)
-        window = both[both["time"] >= window_start(latest)]
-        state.update((latest, window["time"].tolist(), window["arrival"].tolist(), window["value"].tolist()))
+        chosen = newest_of(*both)
+        window = [column[chosen] for column in both]
+        # the held rows are in order of time, each time once
+        before = np.searchsorted(held[0], window[0])
+        time, arrival, value = (np.append(column, 0)[before] for column in held)
+        same = (before < len(held[0])) & (time == window[0]) & (arrival == window[1]) & ((value == window[2]) | (np.isnan(value) & np.isnan(window[2])))
+        fresh = (chosen >= len(held[0])) & ~same
+        latest = max(latest, int(window[0].max(initial=never)))
+        inside = window[0] >= window_start(latest)
+        state.update((latest, *(column[inside].tolist() for column in window)))
         state.setTimeoutDuration(idle_days * 86_400_000)
-        out = pd.concat([x for x in (fresh[["time", "value"]].assign(late=False), seen.loc[late, ["time", "value"]].assign(late=True)) if len(x)] or [fresh[["time", "value"]].assign(late=False)])
-        stamps = out["time"].where(out["time"] != never).astype("Int64")
-        yield pd.DataFrame({"source": key[0], "var": key[1], "loc_id": key[2], "time": pd.to_datetime(stamps, unit="us"),
-                            "value": out["value"], "late": out["late"].astype(bool)})
+        times = np.concatenate([window[0][fresh], seen[0][late]])
+        if len(times):
+            yield pd.DataFrame({"source": key[0], "var": key[1], "loc_id": key[2], "time": times.view("datetime64[us]"),
+                                "value": np.concatenate([window[2][fresh], seen[2][late]]), "late": np.arange(len(times)) >= fresh.sum()})
 
     return run
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pandas as pd
 import pytest
@@ -146,3 +147,14 @@ def test_state_of_a_series():
 def test_windows_follow_the_source(source, late):
     got = judged(State(), [arrivals([(at(m), float(m), at(12)) for m in range(1, 9)], at(9))], source)
     assert {t for t, _, is_late in got if is_late} == ({at(m) for m in range(1, 9) if at(m) <= late} if late else set())
+
+
+def test_a_series_with_few_arrivals_is_judged_quickly():
+    """Every series of a batch is a call of its own, so the time of a call is that of the stream."""
+    frame, states = arrivals([(at(6, 1 + i), float(i), at(7)) for i in range(20)], at(5)), [State() for _ in range(400)]
+    judged(State(), [frame])
+    run, begun = judge(KEEP_MONTHS), time.process_time()
+    for _ in range(2):
+        for loc, state in enumerate(states):
+            list(run(("nasapower", T, loc), iter([frame]), state))
+    assert time.process_time() - begun < 2.0

@@ -403,7 +403,8 @@ def stream_upsert(spark, sf):
     for landed in (arrivals(fresh, "value + 50", "time", "2024-03-01 00:00:00"), arrivals(fresh, "value + 100", "time", "2024-03-02 00:00:00"),
                    arrivals(fresh, "value + 10", "time", "2024-02-01 00:00:00"),
                    arrivals(obs.filter("hr < 5"), "value + 7", "time - interval 60 days", "2024-03-01 00:00:00")):
-        writers.write_raw(landed.coalesce(1), incoming, mode="append")
+        # one file is one batch; the rows are made in many tasks, and one writes them
+        writers.write_raw(landed.repartition(1), incoming, mode="append")
     stream_ingest(spark, incoming, path, rejects, scratch(spark, "stream"), files_per_batch=1).awaitTermination()
     kept = tables.scan_obs(spark, path, tiers=[CURRENT], variables=["temperature_2m"]).withColumn("late", F.lit(False))
     late = spark.read.schema(OBS_SCHEMA).option("recursiveFileLookup", "true").parquet(rejects).withColumn("late", F.lit(True))
