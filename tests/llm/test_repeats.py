@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -113,3 +114,36 @@ def test_empty_table(documents, rows):
 def test_extra_columns_stay(documents, rows):
     docs = documents(rows).withColumnRenamed("spans", "removed")
     assert op.without_repeats(docs).columns == ["doc_id", "text", "score", "kept", "n_bytes", "n_removed", "removed"]
+
+
+def test_ranks_of_symbols_that_differ_in_their_lowest_bits():
+    rng = np.random.default_rng(5)
+    for symbols in (rng.integers(0, 1 << 64, 3000, dtype=np.uint64), rng.integers(0, 40, 3000, dtype=np.uint64) | np.uint64(1 << 63), np.zeros(0, np.uint64)):
+        assert op.ranked(symbols).tolist() == np.unique(symbols, return_inverse=True)[1].tolist()
+
+
+def test_transforms_of_many_symbols():
+    """More symbols than a digit of the sort holds, in shards of different sizes."""
+    rng = np.random.default_rng(6)
+    strings = [rng.bytes(700) for _ in range(150)]
+    strings += [s[i:i + 500] for i, s in enumerate(strings[:20])]
+    seen = Counter(s[i:i + 400] for s in strings for i in range(len(s) - 399))
+    for s, got in zip(strings, op.repeated_windows(strings, 400, 9000)):
+        assert got.tolist() == [seen[s[i:i + 400]] > 1 for i in range(len(s) - 399)]
+
+
+def test_cost_of_merged_transforms():
+    """Against plain argsorts of as many numbers, which the machine slows down as well."""
+    rng = np.random.default_rng(7)
+    strings = [rng.bytes(600) for _ in range(800)]
+    numbers = rng.integers(0, 1 << 62, sum(map(len, strings)))
+
+    def least(run):
+        took = []
+        for _ in range(5):
+            begun = time.process_time()
+            run()
+            took.append(time.process_time() - begun)
+        return min(took)
+
+    assert least(lambda: op.repeated_windows(strings, 400)) < 6 * least(lambda: np.argsort(numbers))
