@@ -71,3 +71,15 @@ def curve_cell(lat: Column, lon: Column) -> Column:
         code = code + F.shiftleft(F.shiftright(own["column"], i).bitwiseAND(F.lit(1)), 2 * i)
         code = code + F.shiftleft(F.shiftright(own["row"], i).bitwiseAND(F.lit(1)), 2 * i + 1)
     return code
+
+
+def curve_place(lat: Column, lon: Column) -> Column:
+    """Number of a place on a curve like that of `curve_cell`, by squares of 2 to the -22 degrees."""
+    def every_other_bit(x: Column, most: int) -> Column:
+        bits = F.greatest(F.lit(0), F.least(F.lit((most << 22) - 1), F.floor(x * (1 << 22))))
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                            (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
+        return bits
+
+    return F.shiftleft(every_other_bit(lat + 90, 180), 1).bitwiseOR(every_other_bit(lon + 180, 360))

@@ -103,6 +103,56 @@ def test_unpivot_after_pivot_is_the_identity(make_obs):
     assert back.exceptAll(want).isEmpty() and want.exceptAll(back).isEmpty()
 
 
+NEAR = "req_id int, source string, lat double, lon double, loc_id int, weight double"
+
+
+def test_interpolated_rows_are_not_shuffled(spark, make_obs):
+    near = spark.createDataFrame([(i, "nasapower", -45.0, 170.0, loc, 0.5) for i in range(20) for loc in (0, 1)], NEAR)
+    out = series.interpolate(make_obs([(loc, h, 1.0) for loc in (0, 1) for h in range(5)]), near)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Exchange" not in plan.split("Join")[0]
+    assert out.count() == 100
+
+
+@pytest.mark.parametrize("block", [None, 3])
+def test_interpolated_rows_equal_a_loop_with_odd_rows(spark, hours, block):
+    rng = random.Random(8)
+    names = ("nasapower", "era5")
+    # nulls, repeated rows, missing rows, times 40 days apart
+    obs = [(rng.choice(names), rng.choice(["historic", "current", None]), rng.choice([T, H, None]), rng.choice([*range(12), None]),
+            rng.choice([hours(0), hours(1), hours(960), None]), rng.choice([None, rng.uniform(0, 30), rng.uniform(0, 30)])) for _ in range(900)]
+    near = []
+    for i in range(60):
+        lat, lon = rng.uniform(-46, -44), rng.uniform(169, 171)
+        locs = [rng.choice([*range(14), None]) if rng.random() < 0.1 else x for x in rng.sample(range(12), rng.randrange(1, 5))]
+        # ids that come twice, at two places or in two sources; one is null
+        near += [(None if i == 50 else i % 55, rng.choice(names) if i % 7 == 0 else names[0], lat, lon, loc,
+                  None if rng.random() < 0.1 else rng.random()) for loc in locs]
+    schema = "source string, tier string, var string, loc_id int, time timestamp_ntz, value double"
+    got = series.interpolate(spark.createDataFrame(obs, schema), spark.createDataFrame(near, NEAR), *([block] if block else []))
+
+    hits = {}
+    for req_id, source, _, _, loc_id, weight in near:
+        for o in obs:
+            if req_id is not None and loc_id is not None and o[0] == source and o[3] == loc_id:
+                hits.setdefault((req_id, o[1], o[2], o[4]), []).append((o[5], weight))
+    k = {r: sum(n[0] == r for n in near) for r in range(55)}
+    want = {}
+    for key, pairs in hits.items():
+        if len(pairs) == k[key[0]]:
+            products = [v * w for v, w in pairs if v is not None and w is not None]
+            want[key] = sum(products) if products and all(v is not None for v, _ in pairs) else None
+    assert any(v is None for v in want.values()) and any(len(hits[x]) > 1 and want[x] is not None for x in want)
+    rows = got.collect()
+    assert len(rows) == len(want)
+    close({(r["req_id"], r["tier"], r["var"], r["time"]): r["value"] for r in rows}, want)
+
+
+def test_interpolation_without_requests_is_empty(spark, make_obs):
+    out = series.interpolate(make_obs([(0, 0, 1.0)]), spark.createDataFrame([], NEAR))
+    assert out.isEmpty() and out.columns == ["req_id", "tier", "var", "time", "value"]
+
+
 @pytest.fixture(scope="module")
 def world(spark, make_obs, make_catalogue):
     rng = random.Random(5)

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gridseries.functions import values
 from gridseries.operators import space
 
 
@@ -127,3 +128,16 @@ def test_extend_numbers_many_rows_without_gaps(spark, make_catalogue):
 def test_dense_ids(spark, ids, want):
     frame = spark.createDataFrame([(i,) for i in ids], "loc_id int")
     assert {(r["loc_id"], r["position"]) for r in space.check_dense_ids(frame).collect()} == want
+
+
+def test_curve_place_takes_bits_in_turn(spark):
+    points = [(-45.0, 170.0), (-45.0, 170.0000005), (-44.9, 170.0), (0.0, 0.0), (-90.0, -180.0), (95.0, 200.0)]
+    got = spark.createDataFrame(points, "lat double, lon double").select(
+        "lat", "lon", values.curve_place(F.col("lat"), F.col("lon")).alias("n")).collect()
+
+    def number(lat, lon):
+        y, x = (min((most << 22) - 1, max(0, math.floor(v * 2 ** 22))) for v, most in ((lat + 90, 180), (lon + 180, 360)))
+        return sum((y >> i & 1) << 2 * i + 1 | (x >> i & 1) << 2 * i for i in range(31))
+
+    assert [r["n"] for r in got] == [number(r["lat"], r["lon"]) for r in got]
+    assert len({r["n"] for r in got}) == len(points)
